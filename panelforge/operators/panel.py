@@ -167,7 +167,7 @@ def _group_moments(df: DataFrame, target: str, keys: list[str]) -> DataFrame:
 
 
 def variance_decomposition(df: DataFrame, *, entity: str = "entity", period: str = "period",
-                           category: str = "category", target: str = "ret") -> DataFrame:
+                           category: str = "category", target: str = "ret", digits: int | None = 6) -> DataFrame:
     """A4 + A5 + A6 in one scan of the panel (GROUPING SETS over entity, period,
     category and the grand total), then a tiny aggregate over the group rows.
 
@@ -187,24 +187,27 @@ def variance_decomposition(df: DataFrame, *, entity: str = "entity", period: str
     is_c = (F.col("gid") == gid_of[category]) & F.col(category).isNotNull() & (F.col("n") > 0)
     is_t = F.col("gid") == total_gid
     n_tot = F.max(F.when(is_t, F.col("n")))
+
+    def r(c):
+        return F.round(c, digits) if digits is not None else c
     return g.agg(
-        F.round(F.max(F.when(is_t, F.col("mean"))), 6).alias("overall_mean"),
-        F.round(F.sqrt(F.max(F.when(is_t, F.col("m2"))) / (n_tot - 1)), 6).alias("overall_std"),
-        F.round(F.sqrt(F.var_samp(F.when(is_e, F.col("mean")))), 6).alias("between_std"),
-        F.round(F.sqrt(F.sum(F.when(is_e, F.col("m2"))) / (n_tot - 1)), 6).alias("within_std"),
-        F.round(F.var_samp(F.when(is_p, F.col("mean"))), 6).alias("month_variance"),
-        F.round(F.var_samp(F.when(is_c, F.col("mean"))), 6).alias("category_variance"),
-        F.round(F.var_samp(F.when(is_e, F.col("mean"))), 6).alias("between_variance"),
-        F.round(F.max(F.when(is_t, F.col("m2"))) / (n_tot - 1), 6).alias("overall_variance"),
+        r(F.max(F.when(is_t, F.col("mean")))).alias("overall_mean"),
+        r(F.sqrt(F.max(F.when(is_t, F.col("m2"))) / (n_tot - 1))).alias("overall_std"),
+        r(F.sqrt(F.var_samp(F.when(is_e, F.col("mean"))))).alias("between_std"),
+        r(F.sqrt(F.sum(F.when(is_e, F.col("m2"))) / (n_tot - 1))).alias("within_std"),
+        r(F.var_samp(F.when(is_p, F.col("mean")))).alias("month_variance"),
+        r(F.var_samp(F.when(is_c, F.col("mean")))).alias("category_variance"),
+        r(F.var_samp(F.when(is_e, F.col("mean")))).alias("between_variance"),
+        r(F.max(F.when(is_t, F.col("m2"))) / (n_tot - 1)).alias("overall_variance"),
     )
 
 
 def variance_share(df: DataFrame, **kw) -> DataFrame:
     """Each variance component as a share of the overall variance (percent)."""
-    vd = variance_decomposition(df, **kw)
+    vd = variance_decomposition(df, digits=None, **kw)
     ov = F.col("overall_variance")
     return vd.select(
-        "overall_variance",
+        F.round(ov, 6).alias("overall_variance"),
         F.round(safe_div(F.col("month_variance"), ov) * 100, 6).alias("month_share_pct"),
         F.round(safe_div(F.col("between_variance"), ov) * 100, 6).alias("between_share_pct"),
         F.round(safe_div(F.col("category_variance"), ov) * 100, 6).alias("category_share_pct"),

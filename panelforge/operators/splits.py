@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelforge.session import checkpoint_root
+
 # The reference's split months, shifted back 25 years to the test data's calendar.
 TRAIN_END, VAL_END, TEST_END = 199912, 200012, 200112
 WALK_FORWARD_FOLDS = [  # (train limit, validation start, validation end)
@@ -97,6 +99,7 @@ def dense_index(df: DataFrame, order: list[str], *, out: str = "row_index",
     same partitioning.  Only one number per partition reaches the driver.
     """
     spark = df.sparkSession
+    checkpoint_root(spark)
     n_parts = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ranged = (df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id()))
