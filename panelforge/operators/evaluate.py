@@ -227,3 +227,14 @@ def seen_unseen_metrics(long: DataFrame, *, flag: str = "seen", entity: str = "e
 
     rows = wide.select("model", F.explode(F.array(group_row(True, "seen"), group_row(False, "unseen"))).alias("g"))
     return rows.select("g.entity_group", "model", *[f"g.{s_}" for s_ in stats])
+
+
+def train_val_gap(long: DataFrame, *, split: str = "split") -> DataFrame:
+    """MAE and R^2 on train and val per model, and their gaps (val - train MAE, train - val R^2)."""
+    m = long.groupBy("model").pivot(split, ["train", "val"]).agg(
+        *regression_metric_columns("actual", "pred", with_mape=False, digits=None))
+    return m.select(
+        "model", F.round("train_mae", 6).alias("train_mae"), F.round("val_mae", 6).alias("val_mae"),
+        F.round(F.col("val_mae") - F.col("train_mae"), 6).alias("mae_gap"),
+        F.round("train_r2", 6).alias("train_r2"), F.round("val_r2", 6).alias("val_r2"),
+        F.round(F.col("train_r2") - F.col("val_r2"), 6).alias("r2_gap"))

@@ -98,3 +98,26 @@ def labelled_cte(panel: str = "panel_dense", target: str = "ret", name: str = "l
   WHERE nxt_target IS NOT NULL
     AND ((nxt_period // 100) * 12 + nxt_period % 100) - ((period // 100) * 12 + period % 100) = 1
 )"""
+
+
+def preds_cte(fit_splits: str = "'train', 'val'", eval_split: str = "'test'") -> str:
+    """Long holdout predictions of the five baselines, from their definitions."""
+    return f"""
+fit AS (SELECT * FROM labelled WHERE split IN ({fit_splits})),
+hold AS (SELECT * FROM labelled WHERE split IN ({eval_split})),
+fit_mean AS (SELECT avg(target) AS m FROM fit),
+cat_mean AS (SELECT category, avg(target) AS cm FROM fit GROUP BY category),
+ent_mean AS (SELECT entity, avg(target) AS em FROM fit GROUP BY entity),
+preds AS (
+  SELECT entity, period, target_month, category, split, target AS actual, 'zero_return' AS model,
+         CAST(0 AS DOUBLE) AS pred FROM hold
+  UNION ALL SELECT entity, period, target_month, category, split, target, 'persistence', ret FROM hold
+  UNION ALL SELECT h.entity, h.period, h.target_month, h.category, h.split, h.target, 'category_mean',
+                   coalesce(c.cm, (SELECT m FROM fit_mean))
+            FROM hold h LEFT JOIN cat_mean c ON h.category = c.category
+  UNION ALL SELECT h.entity, h.period, h.target_month, h.category, h.split, h.target, 'entity_mean',
+                   coalesce(e.em, (SELECT m FROM fit_mean))
+            FROM hold h LEFT JOIN ent_mean e ON h.entity = e.entity
+  UNION ALL SELECT entity, period, target_month, category, split, target, 'development_mean',
+                   (SELECT m FROM fit_mean) FROM hold
+)"""
