@@ -1 +1,58 @@
-"""Registered queries (filled in below)."""
+"""Preprocessing and model queries (A12, T1, L0-L8, D1-D3, K*, R*)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from panelforge.operators import preprocess as pp
+from panelforge.plans.catalog import register
+from panelforge.plans.frames import labelled
+from panelforge.plans.oracle_sql import SPARSE_CTE, labelled_cte, with_ctes
+from panelforge.sources.panels import SPARSE_FEATURES
+
+SPARSE_NUMERIC = sorted([*SPARSE_FEATURES, "ret"])  # current return is a feature for next month (W2)
+# The TPC-H market segments, i.e. the category levels of the sparse panel.
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+@register("median_mode_fit", with_ctes("""
+SELECT 'aum' AS column_name, 'median' AS kind, median(aum) AS median, CAST(NULL AS VARCHAR) AS mode
+FROM labelled WHERE split = 'train'
+UNION ALL SELECT 'n_orders', 'median', median(CAST(n_orders AS DOUBLE)), NULL FROM labelled WHERE split = 'train'
+UNION ALL SELECT 'ret', 'median', median(ret), NULL FROM labelled WHERE split = 'train'
+UNION ALL SELECT 'sd_price', 'median', median(sd_price), NULL FROM labelled WHERE split = 'train'
+UNION ALL SELECT 'category', 'mode', NULL,
+  (SELECT category FROM labelled WHERE split = 'train' GROUP BY category ORDER BY count(*) DESC, category LIMIT 1)
+""", SPARSE_CTE, labelled_cte("panel_sparse")))
+def median_mode_fit_q(spark, sf_dir):
+    """Exact medians and most frequent level on the training rows."""
+    lab = labelled(spark, sf_dir, "sparse").where(F.col("split") == "train")
+    return pp.median_mode_fit(lab, SPARSE_NUMERIC, ["category"])
+
+
+def _preprocess_sql() -> str:
+    num = SPARSE_NUMERIC
+    med = ", ".join(f"median(CAST({c} AS DOUBLE)) AS {c}" for c in num)
+    imp = ", ".join(f"coalesce(CAST(l.{c} AS DOUBLE), med.{c}) AS {c}" for c in num)
+    st = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in num)
+    scaled = ", ".join(f"round((i.{c} - st.m_{c}) / CASE WHEN st.s_{c} = 0 THEN 1 ELSE st.s_{c} END, 6) AS {c}"
+                       for c in num)
+    onehot = ", ".join(f"CASE WHEN coalesce(i.category, (SELECT category FROM mode_cat)) = '{lv}' "
+                       f"THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS category_{lv}" for lv in SEGMENTS)
+    return with_ctes(f"""
+SELECT i.entity, i.period, i.split, {scaled}, {onehot}
+FROM imp i, st""", SPARSE_CTE, labelled_cte("panel_sparse"), f"""
+med AS (SELECT {med} FROM labelled WHERE split = 'train'),
+imp AS (SELECT l.entity, l.period, l.split, l.category, {imp} FROM labelled l, med),
+st AS (SELECT {st} FROM imp WHERE split = 'train'),
+mode_cat AS (SELECT category FROM labelled WHERE split = 'train' GROUP BY category
+             ORDER BY count(*) DESC, category LIMIT 1)""")
+
+
+@register("preprocess", _preprocess_sql())
+def preprocess_q(spark, sf_dir):
+    """Fit on train only (median impute + ddof-0 scale; mode impute + one-hot), transform every split."""
+    lab = labelled(spark, sf_dir, "sparse")
+    model = pp.fit_preprocess(lab.where(F.col("split") == "train"), SPARSE_NUMERIC, ["category"])
+    out = model.transform(lab, keep=["entity", "period", "split"])
+    return out.select(*[F.round(c, 6).alias(c) if c in SPARSE_NUMERIC else F.col(c) for c in out.columns])
