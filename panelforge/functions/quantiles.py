@@ -2,16 +2,25 @@
 without gathering a column into one task.
 
 Spark's exact ``percentile`` keeps a value->count map of the whole column in the
-final aggregation task.  Here the k-th smallest value is found by bracket
-narrowing.  Each round is ONE aggregate over the rows: rows below / above the
-bracket get bucket -1 / B, rows inside get one of B = 1,024 equal-width buckets,
-and the group-by returns count, min and max per bucket (at most B + 2 rows,
-partial aggregation on the map side).  The bucket function is monotonic in x,
-so the bucket holding rank k is exactly the values in [its min, its max]; that
-becomes the next bracket.  A bucket with one distinct value, or few enough rows
-to fetch (``gather_limit``), ends the search exactly.  Each round shrinks the
-range about 1,000-fold, so doubles converge in a few scans.  Infinite values are
-counted apart and answered directly.
+final aggregation task.  Here the ranks k and k+1 around ``prob * (n - 1)`` are
+found by bracket narrowing, for all requested columns in lockstep:
+
+* one aggregate gives, per column, the non-missing count, the number of -inf /
+  +inf values and the finite min / max (the first bracket);
+* each round is ONE job: every row emits (column, bucket, value) for the
+  columns still searching -- 1,024 equal-width buckets inside the column's
+  bracket, -1 / 1,024 for values below / above it -- and a
+  ``groupBy(column, bucket)`` returns count, min and max per bucket (map-side
+  partial aggregation; at most columns x 1,026 rows reach the driver).  The
+  bucket function is monotonic in x, so the buckets holding the two target
+  ranks are exactly the values in [min of the first, max of the last]; that is
+  the next bracket, and the counts below it are exact;
+* a bracket with one distinct value is answered directly; once a bracket holds
+  at most ``gather_limit`` rows, one final job fetches the bracketed values of
+  all such columns and the ranks are read off.
+
+Each round shrinks a bracket about 1,000-fold, so doubles converge in a few
+scans; small inputs finish in two jobs.
 """
 
 from __future__ import annotations
@@ -25,75 +34,109 @@ BUCKETS = 1024
 INF = float("inf")
 
 
-def _column_stats(df: DataFrame, cols: list[str]) -> dict:
+def exact_quantiles(df: DataFrame, cols: list[str], prob: float, *, gather_limit: int = 50_000) -> dict:
+    """Linear-interpolation quantile ``prob`` of each column's non-missing values
+    (None for an all-missing column)."""
+    src = df.select(*[F.col(c).cast("double").alias(f"q{i}") for i, c in enumerate(cols)])
     aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+    for i in range(len(cols)):
+        x = F.col(f"q{i}")
         fin = F.when(~F.isnan(x) & (F.abs(x) != INF), x)
         aggs += [F.count(x).alias(f"n{i}"), F.count(F.when(x == -INF, 1)).alias(f"ni{i}"),
                  F.count(F.when(x == INF, 1)).alias(f"pi{i}"), F.min(fin).alias(f"lo{i}"),
                  F.max(fin).alias(f"hi{i}")]
-    row = df.agg(*aggs).first()
-    return {c: (row[f"n{i}"], row[f"ni{i}"], row[f"pi{i}"], row[f"lo{i}"], row[f"hi{i}"])
-            for i, c in enumerate(cols)}
-
-
-def _kth_finite(df: DataFrame, col: str, k: int, lo: float, hi: float, gather_limit: int) -> float:
-    """Exact k-th smallest (0-based) among the finite values of ``col``; lo / hi are their min / max."""
-    x = F.col(col).cast("double")
-    finite = x.isNotNull() & (F.abs(x) != INF)
-    rows = df.where(finite)
-    below = 0
-    for _ in range(80):
-        if lo == hi:
-            return lo
-        width = (hi / 2 - lo / 2) / BUCKETS
-        inside = F.least(F.floor((x / 2 - F.lit(lo / 2)) / F.lit(width)), F.lit(BUCKETS - 1)).cast("int")
-        bucket = F.when(x < F.lit(lo), F.lit(-1)).when(x > F.lit(hi), F.lit(BUCKETS)).otherwise(inside)
-        hist = sorted((r["b"], r["c"], r["mn"], r["mx"]) for r in
-                      rows.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("c"), F.min(x).alias("mn"),
-                                                          F.max(x).alias("mx")).collect())
-        acc = 0
-        for b, c, mn, mx in hist:
-            if k < acc + c:
-                if b in (-1, BUCKETS):
-                    raise RuntimeError("rank left the bracket")  # cannot happen: counts are exact
-                if mn == mx:
-                    return mn
-                if c <= gather_limit:
-                    vals = sorted(r[0] for r in rows.where(bucket == b).select(x).collect())
-                    return vals[k - acc]
-                below, lo, hi = acc, mn, mx
-                break
-            acc += c
-        del below
-    raise RuntimeError(f"quantile search on {col} did not converge")
-
+    st = src.agg(*aggs).first()
 
-def exact_quantiles(df: DataFrame, cols: list[str], prob: float, *, gather_limit: int = 50_000) -> dict:
-    """Linear-interpolation quantile ``prob`` of each column's non-missing values
-    (None for an all-missing column)."""
-    stats = _column_stats(df, cols)
-    out = {}
-    for c in cols:
-        n, n_neg, n_pos, lo, hi = stats[c]
+    out: dict = {}
+    search = {}   # i -> dict(lo, hi, below, cnt, ranks)
+    want = {}     # i -> (ranks among all values, weights)
+    for i, c in enumerate(cols):
+        n, n_neg, n_pos = st[f"n{i}"], st[f"ni{i}"], st[f"pi{i}"]
         if not n:
             out[c] = None
             continue
-
-        def kth(k: int) -> float:
-            if k < n_neg:
-                return -INF
-            if k >= n - n_pos:
-                return INF
-            return _kth_finite(df, c, k - n_neg, lo, hi, gather_limit)
-
         h = prob * (n - 1)
         k = int(math.floor(h))
-        v_k = kth(k)
-        if h == k or k + 1 >= n:
-            out[c] = v_k
-        else:
-            v_k1 = kth(k + 1)
-            out[c] = v_k + (h - k) * (v_k1 - v_k)
+        ranks = [k] if (h == k or k + 1 >= n) else [k, k + 1]
+        want[i] = (h, k, ranks)
+        values = {}
+        finite_ranks = []
+        for r in ranks:
+            if r < n_neg:
+                values[r] = -INF
+            elif r >= n - n_pos:
+                values[r] = INF
+            else:
+                finite_ranks.append(r - n_neg)
+        want[i] = (h, k, ranks, values, n_neg)
+        if finite_ranks:
+            search[i] = {"lo": st[f"lo{i}"], "hi": st[f"hi{i}"], "below": 0, "cnt": n - n_neg - n_pos,
+                         "ranks": finite_ranks}
+
+    for _ in range(80):
+        active = [i for i, s in search.items()
+                  if "value" not in s and s["cnt"] > gather_limit and s["lo"] != s["hi"]]
+        for i, s in search.items():
+            if "value" not in s and s["lo"] == s["hi"]:
+                s["value"] = {r: s["lo"] for r in s["ranks"]}
+        if not active:
+            break
+        structs = []
+        for i in active:
+            s = search[i]
+            x = F.col(f"q{i}")
+            lo, hi = s["lo"], s["hi"]
+            width = (hi / 2 - lo / 2) / BUCKETS
+            inside = F.least(F.floor((x / 2 - F.lit(lo / 2)) / F.lit(width)), F.lit(BUCKETS - 1)).cast("int")
+            b = (F.when(x.isNull() | (F.abs(x) == INF), F.lit(None).cast("int"))
+                 .when(x < F.lit(lo), F.lit(-1)).when(x > F.lit(hi), F.lit(BUCKETS)).otherwise(inside))
+            structs.append(F.struct(F.lit(i).alias("c"), b.alias("b"), x.alias("v")))
+        hist = (src.select(F.explode(F.array(*structs)).alias("e")).where(F.col("e.b").isNotNull())
+                .groupBy(F.col("e.c").alias("c"), F.col("e.b").alias("b"))
+                .agg(F.count(F.lit(1)).alias("cnt"), F.min("e.v").alias("mn"), F.max("e.v").alias("mx"))
+                .collect())
+        per: dict[int, list] = {}
+        for r in hist:
+            per.setdefault(r["c"], []).append((r["b"], r["cnt"], r["mn"], r["mx"]))
+        for i in active:
+            s = search[i]
+            buckets = sorted(per.get(i, []))
+            acc, spans = 0, []
+            for b, c, mn, mx in buckets:
+                spans.append((b, acc, c, mn, mx))
+                acc += c
+            lo_r, hi_r = min(s["ranks"]), max(s["ranks"])
+            first = next(sp for sp in spans if sp[1] <= lo_r < sp[1] + sp[2])
+            last = next(sp for sp in spans if sp[1] <= hi_r < sp[1] + sp[2])
+            if first[0] in (-1, BUCKETS) or last[0] in (-1, BUCKETS):
+                raise RuntimeError("rank left the bracket")  # cannot happen: counts are exact
+            s["below"] = first[1]
+            s["cnt"] = sum(sp[2] for sp in spans if first[0] <= sp[0] <= last[0])
+            s["lo"], s["hi"] = first[3], last[4]
+
+    pending = [i for i, s in search.items() if "value" not in s]
+    if pending:
+        structs = []
+        for i in pending:
+            s = search[i]
+            x = F.col(f"q{i}")
+            keep = x.isNotNull() & (F.abs(x) != INF) & (x >= F.lit(s["lo"])) & (x <= F.lit(s["hi"]))
+            structs.append(F.when(keep, F.struct(F.lit(i).alias("c"), x.alias("v"))))
+        rows = (src.select(F.explode(F.array(*structs)).alias("e")).where(F.col("e").isNotNull())
+                .select("e.c", "e.v").collect())
+        vals: dict[int, list] = {}
+        for r in rows:
+            vals.setdefault(r["c"], []).append(r["v"])
+        for i in pending:
+            v = sorted(vals.get(i, []))
+            search[i]["value"] = {r: v[r - search[i]["below"]] for r in search[i]["ranks"]}
+
+    for i, (h, k, ranks, values, n_neg) in want.items():
+        s = search.get(i)
+        if s is not None:
+            for r in ranks:
+                if r not in values:
+                    values[r] = s["value"][r - n_neg]
+        v_k = values[k]
+        out[cols[i]] = v_k if len(ranks) == 1 else v_k + (h - k) * (values[k + 1] - v_k)
     return out

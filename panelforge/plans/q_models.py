@@ -56,3 +56,188 @@ def preprocess_q(spark, sf_dir):
     model = pp.fit_preprocess(lab.where(F.col("split") == "train"), SPARSE_NUMERIC, ["category"])
     out = model.transform(lab, keep=["entity", "period", "split"])
     return out.select(*[F.round(c, 6).alias(c) if c in SPARSE_NUMERIC else F.col(c) for c in out.columns])
+
+
+# ---------------------------------------------------------------- linear models and PCA
+
+import numpy as np  # noqa: E402
+
+from panelforge.operators import linear as lin  # noqa: E402
+from panelforge.operators import pca as pc  # noqa: E402
+from panelforge.operators.evaluate import fit_mean  # noqa: E402
+from panelforge.plans.design import forecasting_design, walk_forward_keys  # noqa: E402
+from panelforge.plans.frames import development_and_holdout, panel  # noqa: E402
+from panelforge.plans.oracle_sql import DENSE_CTE  # noqa: E402
+from panelforge.sources.panels import DENSE_FEATURES  # noqa: E402
+
+DEV_DENSE = with_ctes("{body}", DENSE_CTE, labelled_cte("panel_dense"),
+                      "dev AS (SELECT * FROM labelled WHERE split IN ('train', 'val'))")
+
+
+def _dev(spark, sf_dir):
+    return development_and_holdout(labelled(spark, sf_dir, "dense"))[0]
+
+
+@register("mean_baseline", DEV_DENSE.format(body="SELECT round(avg(target), 6) AS mean_prediction FROM dev"))
+def mean_baseline_q(spark, sf_dir):
+    """The development mean as a one-number model."""
+    return spark.createDataFrame([(round(fit_mean(_dev(spark, sf_dir), "target"), 6),)], "mean_prediction double")
+
+
+@register("ols_single", DEV_DENSE.format(body="""
+SELECT CAST(regr_count(target, ret) AS BIGINT) AS n_rows, round(regr_intercept(target, ret), 6) AS intercept,
+       round(regr_slope(target, ret), 6) AS slope, round(regr_r2(target, ret), 6) AS r2 FROM dev"""))
+def ols_single_q(spark, sf_dir):
+    """L1 with one regressor (AR(1) of the return) on development rows."""
+    model, coef, stats = lin.ols(_dev(spark, sf_dir), ["ret"], "target")
+    st = stats.first()
+    return spark.createDataFrame([(int(st["n"]), round(model.intercept, 6), round(float(model.coef[0]), 6),
+                                   round(st["r2"], 6))], "n_rows bigint, intercept double, slope double, r2 double")
+
+
+@register("ridge_fixed", DEV_DENSE.format(body="""
+SELECT round(regr_avgy(target, ret) - regr_sxy(target, ret) / (regr_sxx(target, ret) + 100) * regr_avgx(target, ret), 6)
+         AS intercept,
+       round(regr_sxy(target, ret) / (regr_sxx(target, ret) + 100), 6) AS slope FROM dev"""))
+def ridge_fixed_q(spark, sf_dir):
+    """L4 at the final evaluation's alpha = 100, one regressor (closed form)."""
+    m = lin.ridge(_dev(spark, sf_dir), ["ret"], "target", 100.0)
+    return spark.createDataFrame([(round(m.intercept, 6), round(float(m.coef[0]), 6))], "intercept double, slope double")
+
+
+@register("vif_pair", with_ctes("""
+SELECT 'hhi' AS feature, round(1 / (1 - corr(hhi, top1_pct) * corr(hhi, top1_pct)), 6) AS vif FROM panel_dense
+UNION ALL
+SELECT 'top1_pct', round(1 / (1 - corr(hhi, top1_pct) * corr(hhi, top1_pct)), 6) FROM panel_dense""", DENSE_CTE))
+def vif_pair_q(spark, sf_dir):
+    """L3 with two features: 1 / (1 - r^2)."""
+    v = lin.vif(panel(spark, sf_dir, "dense"), ["hhi", "top1_pct"])
+    return v.select("feature", F.round("vif", 6).alias("vif"))
+
+
+PCA_PAIR_CTE = """
+pst AS (SELECT avg(hhi) AS mx, avg(top1_pct) AS my, var_samp(hhi) AS a, var_samp(top1_pct) AS c,
+               covar_samp(hhi, top1_pct) AS b FROM panel_dense),
+pev AS (SELECT *, (a + c) / 2 + sqrt(((a - c) / 2) * ((a - c) / 2) + b * b) AS l1,
+                  (a + c) / 2 - sqrt(((a - c) / 2) * ((a - c) / 2) + b * b) AS l2 FROM pst),
+pvec AS (SELECT *, b / sqrt(b * b + (l1 - a) * (l1 - a)) AS u1x, (l1 - a) / sqrt(b * b + (l1 - a) * (l1 - a)) AS u1y,
+                   b / sqrt(b * b + (l2 - a) * (l2 - a)) AS u2x, (l2 - a) / sqrt(b * b + (l2 - a) * (l2 - a)) AS u2y
+         FROM pev),
+psign AS (SELECT *, CASE WHEN (CASE WHEN abs(u1x) >= abs(u1y) THEN u1x ELSE u1y END) < 0 THEN -1 ELSE 1 END AS s1,
+                    CASE WHEN (CASE WHEN abs(u2x) >= abs(u2y) THEN u2x ELSE u2y END) < 0 THEN -1 ELSE 1 END AS s2
+          FROM pvec)"""
+
+
+@register("pca_pair", with_ctes("""
+SELECT 'PC1' AS component, 1 AS component_index, round(l1, 6) AS eigenvalue,
+       round(l1 / (a + c) * 100, 6) AS variance_explained_pct, round(l1 / (a + c) * 100, 6) AS cumulative_variance_pct
+FROM pev
+UNION ALL
+SELECT 'PC2', 2, round(l2, 6), round(l2 / (a + c) * 100, 6), round((l1 + l2) / (a + c) * 100, 6) FROM pev""",
+                                DENSE_CTE, PCA_PAIR_CTE))
+def pca_pair_q(spark, sf_dir):
+    """D1 + D2 on two features: eigenvalues of the 2 x 2 sample covariance (closed form)."""
+    m = pc.pca_fit(panel(spark, sf_dir, "dense"), ["hhi", "top1_pct"])
+    ev = m.explained_variance(spark)
+    return ev.select("component", F.col("component_index").cast("int").alias("component_index"),
+                     *[F.round(c, 6).alias(c) for c in ("eigenvalue", "variance_explained_pct",
+                                                        "cumulative_variance_pct")])
+
+
+@register("pca_scores_pair", with_ctes("""
+SELECT p.entity, p.period,
+       round(((p.hhi - s.mx) * s.u1x + (p.top1_pct - s.my) * s.u1y) * s.s1, 6) AS PC1,
+       round(((p.hhi - s.mx) * s.u2x + (p.top1_pct - s.my) * s.u2y) * s.s2, 6) AS PC2
+FROM panel_dense p, psign s""", DENSE_CTE, PCA_PAIR_CTE))
+def pca_scores_pair_q(spark, sf_dir):
+    """D3 on two features: centered projection on the sign-fixed eigenvectors."""
+    p = panel(spark, sf_dir, "dense")
+    m = pc.pca_fit(p, ["hhi", "top1_pct"])
+    s = m.transform(p, keep=["entity", "period"])
+    return s.select("entity", "period", F.round("PC1", 6).alias("PC1"), F.round("PC2", 6).alias("PC2"))
+
+
+# ---- full-width fits: checked by invariant tests (tests/test_linear.py, tests/test_pca.py)
+
+def _train_design(spark, sf_dir):
+    design, feats, _ = forecasting_design(spark, sf_dir, "dense")
+    return design, design.where(F.col("split") == "train"), feats
+
+
+@register("ridge_cv_walk_forward")
+def ridge_cv_q(spark, sf_dir):
+    """L4: alpha grid scored by mean R^2 over the five walk-forward folds (one moments pass)."""
+    _, train, feats = _train_design(spark, sf_dir)
+    months = sorted(r[0] for r in train.select("target_month").distinct().collect())
+    _, table = lin.ridge_cv(train, feats, "target", fold_col="target_month", folds=walk_forward_keys(months))
+    return table
+
+
+@register("elasticnet_cv_walk_forward")
+def elasticnet_cv_q(spark, sf_dir):
+    """Alpha x l1_ratio grid by mean fold MSE (coordinate descent on fold moments)."""
+    _, train, feats = _train_design(spark, sf_dir)
+    months = sorted(r[0] for r in train.select("target_month").distinct().collect())
+    _, table = lin.elasticnet_cv(train, feats, "target", fold_col="target_month", folds=walk_forward_keys(months))
+    return table
+
+
+@register("lasso_cv")
+def lasso_cv_q(spark, sf_dir):
+    """Lasso alpha by mean MSE over five hash folds of the training rows."""
+    from panelforge.operators.splits import hash_fold
+    _, train, feats = _train_design(spark, sf_dir)
+    _, table = lin.lasso_cv(hash_fold(train, ["entity", "period"]), feats, "target", fold_col="fold")
+    return table
+
+
+@register("linear_coefficients")
+def linear_coefficients_q(spark, sf_dir):
+    """Ridge (alpha = 100, fitted on development rows) coefficients ordered by magnitude."""
+    design, feats, _ = forecasting_design(spark, sf_dir, "dense", fit_splits=("train", "val"))
+    m = lin.ridge(design.where(F.col("split").isin("train", "val")), feats, "target", 100.0)
+    return m.coefficients(spark)
+
+
+@register("vif_table")
+def vif_table_q(spark, sf_dir):
+    """L3 + O6: VIF of every dense feature, descending."""
+    return lin.vif(panel(spark, sf_dir, "dense"), DENSE_FEATURES)
+
+
+@register("pca_explained_variance")
+def pca_explained_variance_q(spark, sf_dir):
+    """D1 + D2 on the scaled training features (k = all)."""
+    _, train, _ = _train_design(spark, sf_dir)
+    numeric = sorted([*DENSE_FEATURES, "ret"])
+    return pc.pca_fit(train, numeric).explained_variance(spark)
+
+
+@register("pca_loadings")
+def pca_loadings_q(spark, sf_dir):
+    """D1 loadings (eigenvector x sqrt(eigenvalue)) of the first five components."""
+    _, train, _ = _train_design(spark, sf_dir)
+    numeric = sorted([*DENSE_FEATURES, "ret"])
+    return pc.pca_fit(train, numeric, 5).loadings(spark)
+
+
+@register("ols_on_components")
+def ols_on_components_q(spark, sf_dir):
+    """L1 on principal components (PCR): coefficients with t statistics and p-values."""
+    _, train, _ = _train_design(spark, sf_dir)
+    numeric = sorted([*DENSE_FEATURES, "ret"])
+    m = pc.pca_fit(train, numeric, 5)
+    scores = m.transform(train, keep=["target"])
+    _, coef, _ = lin.ols(scores, [f"PC{i + 1}" for i in range(5)], "target")
+    return coef
+
+
+@register("fe_ols_clustered")
+def fe_ols_clustered_q(spark, sf_dir):
+    """L2: pooled OLS with category and month fixed effects, errors clustered by entity."""
+    p = panel(spark, sf_dir, "dense")
+    coef, _ = lin.fe_ols_clustered(p, ["hhi", "n_lines", "sd_qty", "small_pct"], "ret")
+    return coef
+
+
+_ = np
