@@ -241,3 +241,113 @@ def fe_ols_clustered_q(spark, sf_dir):
 
 
 _ = np
+
+
+# ---------------------------------------------------------------- clustering
+
+from panelforge.operators import cluster as cl  # noqa: E402
+
+CLUSTER_COLS = ["hhi", "top1_pct"]
+ENTITY_MEANS_CTE = """
+ent AS (SELECT entity, category, avg(hhi) AS hhi, avg(top1_pct) AS top1_pct FROM panel_dense GROUP BY entity, category)"""
+
+
+def _entity_table(spark, sf_dir):
+    """Entity means of two dense features; the supplier's region is a deterministic label."""
+    p = panel(spark, sf_dir, "dense")
+    return p.groupBy("entity", "category").agg(*[F.avg(c).alias(c) for c in CLUSTER_COLS])
+
+
+@register("entity_mean_scores", with_ctes("""
+SELECT p.entity, round(avg(((p.hhi - s.mx) * s.u1x + (p.top1_pct - s.my) * s.u1y) * s.s1), 6) AS PC1,
+       round(avg(((p.hhi - s.mx) * s.u2x + (p.top1_pct - s.my) * s.u2y) * s.s2), 6) AS PC2
+FROM panel_dense p, psign s GROUP BY p.entity""", DENSE_CTE, PCA_PAIR_CTE))
+def entity_mean_scores_q(spark, sf_dir):
+    """Entity means of the component scores."""
+    p = panel(spark, sf_dir, "dense")
+    scores = pc.pca_fit(p, CLUSTER_COLS).transform(p, keep=["entity"])
+    em = cl.entity_means(scores, ["PC1", "PC2"])
+    return em.select("entity", F.round("PC1", 6).alias("PC1"), F.round("PC2", 6).alias("PC2"))
+
+
+@register("cluster_profiles", with_ctes("""
+SELECT category AS cluster, round(avg(hhi), 6) AS hhi, round(avg(top1_pct), 6) AS top1_pct,
+       CAST(count(*) AS BIGINT) AS n_members FROM ent GROUP BY category""", DENSE_CTE, ENTITY_MEANS_CTE))
+def cluster_profiles_q(spark, sf_dir):
+    """A8 with the region as the cluster label."""
+    prof = cl.cluster_profiles(_entity_table(spark, sf_dir).withColumnRenamed("category", "cluster"), CLUSTER_COLS)
+    return prof.select("cluster", *[F.round(c, 6).alias(c) for c in CLUSTER_COLS], "n_members")
+
+
+CLUSTER_METRIC_SQL = with_ctes("""
+SELECT CAST((SELECT count(*) FROM ent) AS BIGINT) AS n, CAST((SELECT count(*) FROM cs) AS INTEGER) AS k,
+       round((SELECT sum(d2) FROM own), 6) AS inertia,
+       round((SELECT avg(CASE WHEN n_own > 1 THEN (b - a) / greatest(a, b) ELSE 0 END) FROM sil), 6)
+         AS silhouette_sqeuclidean,
+       round((SELECT avg(r) FROM (SELECT i.category, max((si.s + sj.s) / sqrt((i.mx - j.mx) * (i.mx - j.mx)
+                                       + (i.my - j.my) * (i.my - j.my))) AS r
+                                  FROM cs i JOIN cs j ON i.category <> j.category
+                                  JOIN spread si ON si.category = i.category JOIN spread sj ON sj.category = j.category
+                                  GROUP BY i.category)), 6) AS davies_bouldin,
+       round(((SELECT sum(n * ((mx - (SELECT avg(hhi) FROM ent)) * (mx - (SELECT avg(hhi) FROM ent))
+                              + (my - (SELECT avg(top1_pct) FROM ent)) * (my - (SELECT avg(top1_pct) FROM ent))))
+               FROM cs) / ((SELECT count(*) FROM cs) - 1))
+             / ((SELECT sum(d2) FROM own) / ((SELECT count(*) FROM ent) - (SELECT count(*) FROM cs))), 6)
+         AS calinski_harabasz""", DENSE_CTE, ENTITY_MEANS_CTE, """
+cs AS (SELECT category, count(*) AS n, avg(hhi) AS mx, avg(top1_pct) AS my FROM ent GROUP BY category),
+own AS (SELECT e.entity, e.category, (e.hhi - c.mx) * (e.hhi - c.mx) + (e.top1_pct - c.my) * (e.top1_pct - c.my) AS d2
+        FROM ent e JOIN cs c ON e.category = c.category),
+spread AS (SELECT category, avg(sqrt(d2)) AS s FROM own GROUP BY category),
+pair AS (SELECT e.entity, e.category AS own_c, c.category AS other_c,
+                avg((e.hhi - f.hhi) * (e.hhi - f.hhi) + (e.top1_pct - f.top1_pct) * (e.top1_pct - f.top1_pct)) AS md,
+                count(*) AS cnt
+         FROM ent e JOIN ent f ON true JOIN cs c ON f.category = c.category
+         GROUP BY e.entity, e.category, c.category),
+sil AS (SELECT entity, max(CASE WHEN own_c = other_c THEN md * cnt / greatest(cnt - 1, 1) END) AS a,
+               min(CASE WHEN own_c <> other_c THEN md END) AS b,
+               max(CASE WHEN own_c = other_c THEN cnt END) AS n_own
+        FROM pair GROUP BY entity)""")
+
+
+@register("cluster_metrics", CLUSTER_METRIC_SQL)
+def cluster_metrics_q(spark, sf_dir):
+    """K2 (squared Euclidean, exact from cluster sums) + K3 + K4 + inertia with the region as label.
+    The oracle computes the silhouette from explicit point pairs (a brute-force check on this
+    small entity table); the Spark side never forms pairs."""
+    ent = _entity_table(spark, sf_dir).withColumnRenamed("category", "cluster")
+    m = cl.cluster_metrics(ent, CLUSTER_COLS, label="cluster")
+    for key in ("inertia", "silhouette_sqeuclidean", "davies_bouldin", "calinski_harabasz"):
+        m[key] = round(m[key], 6)
+    return cl.metrics_frame(spark, m)
+
+
+def _scaled_entity_table(spark, sf_dir):
+    ent = _entity_table(spark, sf_dir)
+    from panelforge.operators.panel import standardize_panel
+    return standardize_panel(ent, CLUSTER_COLS)
+
+
+@register("kmeans_clusters")
+def kmeans_clusters_q(spark, sf_dir):
+    """K1 + K7: k = 3 on standardized entity means; label 1..3 by descending first-feature centre."""
+    ent = _scaled_entity_table(spark, sf_dir).persist()
+    km = cl.kmeans(ent, CLUSTER_COLS, 3)
+    hc = cl.ward_hierarchy(ent, CLUSTER_COLS, n_clusters=3)
+    out = cl.ward_labels(spark, hc, km.transform(ent, "kmeans_cluster"))
+    return out.select("entity", "kmeans_cluster", "hc_cluster")
+
+
+@register("ward_hierarchy")
+def ward_hierarchy_q(spark, sf_dir):
+    """K5 + K6: Ward merges (leaf pairs, height, size) of the entity table with its cophenetic correlation."""
+    ent = _scaled_entity_table(spark, sf_dir)
+    hc = cl.ward_hierarchy(ent, CLUSTER_COLS, n_clusters=3)
+    rows = [(i + 1, int(a), int(b), float(h), float(sz), hc.cophenetic) for i, (a, b, h, sz) in enumerate(hc.merges)]
+    return spark.createDataFrame(rows, "step int, leaf_a int, leaf_b int, height double, size double, "
+                                       "cophenetic_corr double")
+
+
+@register("k_candidates")
+def k_candidates_q(spark, sf_dir):
+    """K8: inertia and quality indices for k = 2..5."""
+    return cl.k_candidates(_scaled_entity_table(spark, sf_dir), CLUSTER_COLS)
