@@ -351,3 +351,91 @@ def ward_hierarchy_q(spark, sf_dir):
 def k_candidates_q(spark, sf_dir):
     """K8: inertia and quality indices for k = 2..5."""
     return cl.k_candidates(_scaled_entity_table(spark, sf_dir), CLUSTER_COLS)
+
+
+# ---------------------------------------------------------------- trees
+
+from panelforge.operators import trees as tr  # noqa: E402
+
+
+def _tree_inputs(spark, sf_dir):
+    design, feats, _ = forecasting_design(spark, sf_dir, "dense")
+    return design, design.where(F.col("split") == "train"), design.where(F.col("split") == "val"), feats
+
+
+@register("decision_tree_cv")
+def decision_tree_cv_q(spark, sf_dir):
+    """Depth x leaf-size grid over the walk-forward folds, MAE; per (candidate, fold) scores."""
+    _, train, _, feats = _tree_inputs(spark, sf_dir)
+    _, table = tr.tuned(train, feats, "tree", tr.TREE_GRID, tr.walk_forward())
+    return table
+
+
+@register("rf_random_search")
+def rf_random_search_q(spark, sf_dir):
+    """15 seeded draws of the forest space over the walk-forward folds."""
+    _, train, _, feats = _tree_inputs(spark, sf_dir)
+    _, table = tr.tuned(train, feats, "forest", tr.RF_SEARCH, tr.walk_forward(), random_draws=15)
+    return table
+
+
+@register("hist_gradient_boosting")
+def hist_gradient_boosting_q(spark, sf_dir):
+    """15 seeded draws of the boosting space (histogram trees, maxBins 255) over the walk-forward folds."""
+    _, train, _, feats = _tree_inputs(spark, sf_dir)
+    _, table = tr.tuned(train, feats, "gbt", tr.GBT_SEARCH, tr.walk_forward(), random_draws=15)
+    return table
+
+
+@register("random_forest_cv")
+def random_forest_cv_q(spark, sf_dir):
+    """R2: forest grid over the walk-forward folds."""
+    _, train, _, feats = _tree_inputs(spark, sf_dir)
+    _, table = tr.tuned(train, feats, "forest", tr.FOREST_GRID, tr.walk_forward())
+    return table
+
+
+@register("gradient_boosting_cv")
+def gradient_boosting_cv_q(spark, sf_dir):
+    """Boosting grid over the walk-forward folds."""
+    _, train, _, feats = _tree_inputs(spark, sf_dir)
+    _, table = tr.tuned(train, feats, "gbt", tr.GBT_GRID, tr.walk_forward())
+    return table
+
+
+@register("rf_final_predictions")
+def rf_final_q(spark, sf_dir):
+    """The fixed forest fitted on development rows, predictions on the holdout."""
+    design, feats, _ = forecasting_design(spark, sf_dir, "dense", fit_splits=("train", "val"))
+    dev = design.where(F.col("split").isin("train", "val"))
+    model = tr.rf_final(dev, feats)
+    return model.predict(design.where(F.col("split") == "test")).select("entity", "target_month", "target", "pred")
+
+
+@register("fold_metrics")
+def fold_metrics_q(spark, sf_dir):
+    """The fixed forest refitted per walk-forward fold; per-fold and mean / std rows."""
+    _, train, _, feats = _tree_inputs(spark, sf_dir)
+    return tr.fold_metrics(train, feats, "forest", tr.RF_FINAL, tr.walk_forward())
+
+
+@register("impurity_importance")
+def impurity_importance_q(spark, sf_dir):
+    """R8."""
+    _, train, _, feats = _tree_inputs(spark, sf_dir)
+    return tr.rf_final(train, feats).impurity_importance(spark)
+
+
+@register("permutation_importance")
+def permutation_importance_q(spark, sf_dir):
+    """R^2 drop over 5 permutations of each feature on the validation rows."""
+    _, train, val, feats = _tree_inputs(spark, sf_dir)
+    model = tr.rf_final(train, feats)
+    return tr.permutation_importance(model, val, keys=["entity", "period"], n_repeats=5)
+
+
+@register("top_features")
+def top_features_q(spark, sf_dir):
+    """The ten largest impurity importances."""
+    _, train, _, feats = _tree_inputs(spark, sf_dir)
+    return tr.rf_final(train, feats).impurity_importance(spark).limit(10)
