@@ -37,6 +37,8 @@ INF = float("inf")
 def exact_quantiles(df: DataFrame, cols: list[str], prob: float, *, gather_limit: int = 50_000) -> dict:
     """Linear-interpolation quantile ``prob`` of each column's non-missing values
     (None for an all-missing column)."""
+    if not cols:
+        return {}
     src = df.select(*[F.col(c).cast("double").alias(f"q{i}") for i, c in enumerate(cols)])
     aggs = []
     for i in range(len(cols)):
