@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ BUCKETS = 1024
 INF = float("inf")
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], prob: float, *, gather_limit: int = 50_000) -> dict:
+def exact_quantiles(df: DataFrame, cols: list[str], prob: float, *, gather_limit: int = 20_000) -> dict:
     """Linear-interpolation quantile ``prob`` of each column's non-missing values
     (None for an all-missing column)."""
     if not cols:
@@ -124,14 +125,12 @@ def exact_quantiles(df: DataFrame, cols: list[str], prob: float, *, gather_limit
             x = F.col(f"q{i}")
             keep = x.isNotNull() & (F.abs(x) != INF) & (x >= F.lit(s["lo"])) & (x <= F.lit(s["hi"]))
             structs.append(F.when(keep, F.struct(F.lit(i).alias("c"), x.alias("v"))))
-        rows = (src.select(F.explode(F.array(*structs)).alias("e")).where(F.col("e").isNotNull())
-                .select("e.c", "e.v").collect())
-        vals: dict[int, list] = {}
-        for r in rows:
-            vals.setdefault(r["c"], []).append(r["v"])
+        pdf = (src.select(F.explode(F.array(*structs)).alias("e")).where(F.col("e").isNotNull())
+               .select(F.col("e.c").alias("c"), F.col("e.v").alias("v")).toPandas())
+        vals = {int(c): np.sort(g["v"].to_numpy()) for c, g in pdf.groupby("c")}
         for i in pending:
-            v = sorted(vals.get(i, []))
-            search[i]["value"] = {r: v[r - search[i]["below"]] for r in search[i]["ranks"]}
+            v = vals.get(i, [])
+            search[i]["value"] = {r: float(v[r - search[i]["below"]]) for r in search[i]["ranks"]}
 
     for i, (h, k, ranks, values, n_neg) in want.items():
         s = search.get(i)

@@ -6,7 +6,7 @@ merge exactly on the driver (parallel formula), so a fold's training set, a
 walk-forward window or the whole table is a merge of per-group moments: one
 Spark pass feeds every fit of a cross-validation.
 
-Narrow designs (q = p + 1 <= ``EXPR_LIMIT``) use Spark's numerically stable
+Narrow designs (q <= ``EXPR_LIMIT`` columns) use Spark's numerically stable
 ``covar_pop`` aggregates.  Wide designs (many dummies) use two passes: group
 means, then ``mapInPandas`` partial sums of mean-centered products per
 partition, reduced by a ``groupBy(group, i, j).sum`` on the executors; only
@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-EXPR_LIMIT = 24
+EXPR_LIMIT = 6  # above this, hundreds of covar aggregates overwhelm whole-stage codegen
 
 
 @dataclass

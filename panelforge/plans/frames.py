@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 
 from panelforge.operators.panel import next_month_target
 from panelforge.operators.splits import TEST_END, TRAIN_END, VAL_END, chronological_split
+from panelforge.sources.interim import materialized
 from panelforge.sources.panels import panel_dense, panel_sparse
 
 PANELS = {"dense": panel_dense, "sparse": panel_sparse}
+SOURCES = {"dense": ["lineitem", "part", "supplier", "nation", "region"], "sparse": ["orders", "customer"]}
 
 
 def panel(spark: SparkSession, sf_dir: str, which: str = "dense") -> DataFrame:
-    return PANELS[which](spark, sf_dir)
+    """The interim panel (S4 -> S2): derived from the star schema once per source version."""
+    sources = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SOURCES[which]]
+    return materialized(spark, f"panel_{which}", sources, lambda: PANELS[which](spark, sf_dir))
 
 
 def labelled(spark: SparkSession, sf_dir: str, which: str = "dense") -> DataFrame:

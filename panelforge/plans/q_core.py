@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panelforge.operators import evaluate as ev
 from panelforge.plans.catalog import register
-from panelforge.plans.frames import development_and_holdout, labelled, panel
+from panelforge.plans.frames import PANELS, development_and_holdout, labelled
 from panelforge.plans.oracle_sql import DENSE_CTE, SPARSE_CTE, labelled_cte, with_ctes
 from panelforge.sources.panels import DENSE_COLUMNS, SPARSE_COLUMNS
 
@@ -15,14 +15,14 @@ LABELLED_COLUMNS = ["entity", "period", "category", "ret", "target", "target_mon
 
 @register("scan_panel_dense", with_ctes(f"SELECT {', '.join(DENSE_COLUMNS)} FROM panel_dense", DENSE_CTE))
 def scan_panel_dense(spark, sf_dir):
-    """The dense entity x month panel (supplier x ship month)."""
-    return panel(spark, sf_dir, "dense")
+    """Derivation of the dense entity x month panel (supplier x ship month) from the star schema."""
+    return PANELS["dense"](spark, sf_dir)
 
 
 @register("scan_panel_sparse", with_ctes(f"SELECT {', '.join(SPARSE_COLUMNS)} FROM panel_sparse", SPARSE_CTE))
 def scan_panel_sparse(spark, sf_dir):
-    """The sparse panel (customer x order month)."""
-    return panel(spark, sf_dir, "sparse")
+    """Derivation of the sparse panel (customer x order month)."""
+    return PANELS["sparse"](spark, sf_dir)
 
 
 @register("next_month_target", with_ctes(

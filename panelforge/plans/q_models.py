@@ -439,3 +439,27 @@ def top_features_q(spark, sf_dir):
     """The ten largest impurity importances."""
     _, train, _, feats = _tree_inputs(spark, sf_dir)
     return tr.rf_final(train, feats).impurity_importance(spark).limit(10)
+
+
+# ---------------------------------------------------------------- end-to-end final evaluation
+
+from panelforge.plans import final_evaluation as fe  # noqa: E402
+
+
+@register("final_evaluation")
+def final_evaluation_q(spark, sf_dir):
+    """M7 on the dense holdout: ridge (alpha 100) and the fixed forest refitted on development
+    rows, against the four baselines, with relative improvements and RMSE rank."""
+    return fe.comparison_table_of(spark, sf_dir)
+
+
+@register("final_monthly_metrics")
+def final_monthly_q(spark, sf_dir):
+    """M8 with the fitted models."""
+    return fe.ev.monthly_metrics(fe.final_predictions(spark, sf_dir), fe.MODELS)
+
+
+@register("final_seen_unseen")
+def final_seen_unseen_q(spark, sf_dir):
+    """M12 with the fitted models."""
+    return fe.ev.seen_unseen_metrics(fe.final_predictions(spark, sf_dir))

@@ -40,7 +40,7 @@ SELECT CAST(count(*) AS BIGINT) AS n_rows,
 FROM raw_drops""", DENSE_CTE, RAW_DROPS_CTE))
 def duplicate_count_q(spark, sf_dir):
     """V2 over all columns of the stacked raw drops."""
-    return va.duplicate_count(raw_drops(spark, sf_dir))
+    return va.duplicate_count(raw_drops(panel(spark, sf_dir, "dense")))
 
 
 @register("panel_key_duplicates", with_ctes("""
@@ -48,13 +48,13 @@ SELECT entity, period, CAST(count(*) AS BIGINT) AS n_rows
 FROM raw_drops GROUP BY entity, period HAVING count(*) > 1""", DENSE_CTE, RAW_DROPS_CTE))
 def panel_key_duplicates_q(spark, sf_dir):
     """V3: (entity, period) keys landed more than once."""
-    return va.panel_key_duplicates(raw_drops(spark, sf_dir), ["entity", "period"])
+    return va.panel_key_duplicates(raw_drops(panel(spark, sf_dir, "dense")), ["entity", "period"])
 
 
 @register("dedup_rows", with_ctes("SELECT DISTINCT * FROM raw_drops", DENSE_CTE, RAW_DROPS_CTE))
 def dedup_rows_q(spark, sf_dir):
     """V8: exact duplicates removed from the raw drops."""
-    return va.dedup_rows(raw_drops(spark, sf_dir))
+    return va.dedup_rows(raw_drops(panel(spark, sf_dir, "dense")))
 
 
 def range_input(spark, sf_dir):

@@ -102,9 +102,8 @@ def panel_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.join(cust, "entity").select(*SPARSE_COLUMNS)
 
 
-def raw_drops(spark: SparkSession, sf_dir: str, *, first_end: int = 200012, second_start: int = 200001) -> DataFrame:
+def raw_drops(panel: DataFrame, *, first_end: int = 200012, second_start: int = 200001) -> DataFrame:
     """Two landed drops of the dense panel that overlap in year 2000, stacked as a raw
     ingestion would see them: the overlap produces exact duplicate rows and keys."""
-    panel = panel_dense(spark, sf_dir)
     return panel.filter(F.col("period") <= first_end).unionByName(
         panel.filter(F.col("period") >= second_start))

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 def ingest_drops(spark: SparkSession, landing: str, store: str, ledger: str, checkpoint: str,
                  schema: T.StructType | str, *, keys: tuple[str, ...] = ("entity", "period"),
                  required: tuple[str, ...] = (), role: str = "explanatory",
-                 files_per_batch: int = 1) -> int:
+                 files_per_batch: int = 256) -> int:
     """Process every landed file once; returns the number of micro-batches run."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .option("recursiveFileLookup", "true").parquet(landing)

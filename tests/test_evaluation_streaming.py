@@ -48,12 +48,12 @@ def test_streaming_latest_drop_wins_and_replay_is_idempotent(spark, tmp_path):
     schema = "entity long, period int, ret double"
     spark.createDataFrame([(1, 202001, 1.0), (1, 202002, 2.0)], schema).coalesce(1).write.parquet(str(tmp_path / "land/d1"))
     n1 = ingest_drops(spark, str(tmp_path / "land"), str(tmp_path / "store"), str(tmp_path / "ledger"),
-                      str(tmp_path / "ckpt"), schema)
+                      str(tmp_path / "ckpt"), schema, files_per_batch=1)
     spark.createDataFrame([(1, 202002, 9.0), (1, 202003, 3.0)], schema).coalesce(1).write.parquet(str(tmp_path / "land/d2"))
     n2 = ingest_drops(spark, str(tmp_path / "land"), str(tmp_path / "store"), str(tmp_path / "ledger"),
-                      str(tmp_path / "ckpt"), schema)
+                      str(tmp_path / "ckpt"), schema, files_per_batch=1)
     n3 = ingest_drops(spark, str(tmp_path / "land"), str(tmp_path / "store"), str(tmp_path / "ledger"),
-                      str(tmp_path / "ckpt"), schema)
+                      str(tmp_path / "ckpt"), schema, files_per_batch=1)
     assert (n1, n2, n3) == (1, 1, 0)
     cur = {(r["period"]): r["ret"] for r in resolve_latest(spark.read.parquet(str(tmp_path / "store"))).collect()}
     assert cur == {202001: 1.0, 202002: 9.0, 202003: 3.0}
