@@ -30,5 +30,5 @@ def register(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import the modules that register queries."""
     from panelforge.plans import (  # noqa: F401
-        q_core, q_validate, q_diagnostics, q_evaluation, q_models, q_streaming,
+        q_core, q_validate, q_diagnostics, q_evaluation, q_models, q_streaming, q_runs,
     )

@@ -15,20 +15,30 @@ FEATURES = {"dense": DENSE_FEATURES, "sparse": SPARSE_FEATURES}
 KEEP = ["entity", "period", "category", "target_month", "split", "target", "ret_raw"]
 
 
+def design_from_labelled(lab: DataFrame, numeric: list[str], *, categorical: tuple[str, ...] = ("category",),
+                         fit_splits=("train",), keep: list[str] | None = None
+                         ) -> tuple[DataFrame, list[str], PreprocessModel]:
+    """Checkpoint the labelled frame once (the fit reads it several times), fit the
+    preprocessor on ``fit_splits`` rows only and transform every row."""
+    checkpoint_root(lab.sparkSession)
+    lab = lab.withColumn("ret_raw", F.col("ret")).checkpoint(eager=True)
+    model = fit_preprocess(lab.where(F.col("split").isin(*fit_splits)), sorted(numeric), list(categorical))
+    keep = [c for c in (keep or KEEP) if c in lab.columns]
+    renamed = {c: f"_k_{c}" for c in keep if c in categorical}
+    src = lab
+    for c, k in renamed.items():
+        src = src.withColumn(k, F.col(c))
+    design = model.transform(src, keep=[renamed.get(c, c) for c in keep])
+    for c, k in renamed.items():
+        design = design.withColumnRenamed(k, c)
+    return design, model.output_columns(), model
+
+
 def forecasting_design(spark: SparkSession, sf_dir: str, which: str = "dense",
                        fit_splits=("train",)) -> tuple[DataFrame, list[str], PreprocessModel]:
     """Numerics (features + current return, sorted) median-imputed and scaled, category one-hot;
     the preprocessor is fitted on ``fit_splits`` only."""
-    # The fit runs several actions over the labelled panel: cut its lineage once
-    # (reliable checkpoint in the session's shared checkpoint folder).
-    checkpoint_root(spark)
-    lab = labelled(spark, sf_dir, which).withColumn("ret_raw", F.col("ret")).checkpoint(eager=True)
-    numeric = sorted([*FEATURES[which], "ret"])
-    model = fit_preprocess(lab.where(F.col("split").isin(*fit_splits)), numeric, ["category"])
-    design = model.transform(lab.withColumnRenamed("category", "_cat").withColumn("category", F.col("_cat")),
-                             keep=[c if c != "category" else "_cat" for c in KEEP])
-    design = design.withColumnRenamed("_cat", "category")
-    return design, model.output_columns(), model
+    return design_from_labelled(labelled(spark, sf_dir, which), [*FEATURES[which], "ret"], fit_splits=fit_splits)
 
 
 def walk_forward_keys(months: list[int]) -> list[tuple[list, list]]:
