@@ -167,20 +167,20 @@ def residuals(long: DataFrame) -> DataFrame:
 
 
 def monthly_metrics(long: DataFrame, models: list[str], *, month: str = "target_month") -> DataFrame:
-    """M8: per target month rows, actual mean / std and MAE, RMSE per model (pivot with an explicit list)."""
+    """M8: per target month rows, actual mean / std and MAE, RMSE per model -- one
+    conditional aggregate over the explicit model list (a single exchange)."""
     e = F.col("actual") - F.col("pred")
-    per = long.groupBy(month, "model").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("actual").alias("am"), F.stddev_pop("actual").alias("asd"),
-        F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"))
-    wide = per.groupBy(month).pivot("model", models).agg(
-        F.first("n").alias("n"), F.first("am").alias("am"), F.first("asd").alias("asd"),
-        F.first("mae").alias("mae"), F.first("rmse").alias("rmse"))
-    first = models[0]
-    return wide.select(
-        F.col(month), F.col(f"{first}_n").cast("long").alias("n_rows"),
-        F.round(F.col(f"{first}_am"), 6).alias("actual_mean"),
-        F.round(F.col(f"{first}_asd"), 6).alias("actual_std"),
-        *[F.round(F.col(f"{m}_{k}"), 6).alias(f"{m}_{k}") for m in models for k in ("mae", "rmse")])
+    first = F.col("model") == models[0]
+    per_model = []
+    for m in models:
+        is_m = F.col("model") == m
+        per_model += [F.round(F.avg(F.when(is_m, F.abs(e))), 6).alias(f"{m}_mae"),
+                      F.round(F.sqrt(F.avg(F.when(is_m, e * e))), 6).alias(f"{m}_rmse")]
+    return long.groupBy(month).agg(
+        F.count(F.when(first, 1)).cast("long").alias("n_rows"),
+        F.round(F.avg(F.when(first, F.col("actual"))), 6).alias("actual_mean"),
+        F.round(F.stddev_pop(F.when(first, F.col("actual"))), 6).alias("actual_std"),
+        *per_model)
 
 
 def error_percentiles(long: DataFrame, *, probs: tuple[float, ...] = (0.5, 0.75, 0.9, 0.95)) -> DataFrame:
@@ -192,12 +192,11 @@ def error_percentiles(long: DataFrame, *, probs: tuple[float, ...] = (0.5, 0.75,
 
 
 def category_errors(long: DataFrame, models: list[str], *, category: str = "category") -> DataFrame:
-    """Rows and MAE per category per model."""
-    per = long.groupBy(category, "model").agg(F.count(F.lit(1)).alias("n"),
-                                              F.avg(F.abs(F.col("actual") - F.col("pred"))).alias("mae"))
-    wide = per.groupBy(category).pivot("model", models).agg(F.first("n").alias("n"), F.first("mae").alias("mae"))
-    return wide.select(F.col(category), F.col(f"{models[0]}_n").cast("long").alias("n_rows"),
-                       *[F.round(F.col(f"{m}_mae"), 6).alias(f"{m}_mae") for m in models])
+    """Rows and MAE per category per model (one conditional aggregate)."""
+    err = F.abs(F.col("actual") - F.col("pred"))
+    return long.groupBy(category).agg(
+        F.count(F.when(F.col("model") == models[0], 1)).cast("long").alias("n_rows"),
+        *[F.round(F.avg(F.when(F.col("model") == m, err)), 6).alias(f"{m}_mae") for m in models])
 
 
 def top_errors(errors: DataFrame, *, by: str, keys: list[str], n: int = 10) -> DataFrame:
