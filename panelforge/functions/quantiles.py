@@ -35,9 +35,19 @@ BUCKETS = 1024
 INF = float("inf")
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], prob: float, *, gather_limit: int = 20_000) -> dict:
-    """Linear-interpolation quantile ``prob`` of each column's non-missing values
-    (None for an all-missing column)."""
+def exact_quantiles(df: DataFrame, cols: list[str], prob, *, gather_limit: int = 20_000) -> dict:
+    """Linear-interpolation quantile(s) of each column's non-missing values.
+
+    ``prob`` a float -> {column: value}; a list of floats -> {column: {prob: value}}.
+    An all-missing column gives None."""
+    probs = list(prob) if isinstance(prob, (list, tuple)) else [prob]
+    res = _quantiles(df, cols, probs, gather_limit)
+    if isinstance(prob, (list, tuple)):
+        return res
+    return {c: (None if v is None else v[probs[0]]) for c, v in res.items()}
+
+
+def _quantiles(df: DataFrame, cols: list[str], probs: list[float], gather_limit: int) -> dict:
     if not cols:
         return {}
     src = df.select(*[F.col(c).cast("double").alias(f"q{i}") for i, c in enumerate(cols)])
@@ -51,49 +61,50 @@ def exact_quantiles(df: DataFrame, cols: list[str], prob: float, *, gather_limit
     st = src.agg(*aggs).first()
 
     out: dict = {}
-    search = {}   # i -> dict(lo, hi, below, cnt, ranks)
-    want = {}     # i -> (ranks among all values, weights)
+    search = {}   # target id -> state of the bracket search over column i
+    want = {}     # target id -> (column index, prob, h, k, ranks, known values, n_neg)
+    tid = 0
     for i, c in enumerate(cols):
         n, n_neg, n_pos = st[f"n{i}"], st[f"ni{i}"], st[f"pi{i}"]
         if not n:
             out[c] = None
             continue
-        h = prob * (n - 1)
-        k = int(math.floor(h))
-        ranks = [k] if (h == k or k + 1 >= n) else [k, k + 1]
-        want[i] = (h, k, ranks)
-        values = {}
-        finite_ranks = []
-        for r in ranks:
-            if r < n_neg:
-                values[r] = -INF
-            elif r >= n - n_pos:
-                values[r] = INF
-            else:
-                finite_ranks.append(r - n_neg)
-        want[i] = (h, k, ranks, values, n_neg)
-        if finite_ranks:
-            search[i] = {"lo": st[f"lo{i}"], "hi": st[f"hi{i}"], "below": 0, "cnt": n - n_neg - n_pos,
-                         "ranks": finite_ranks}
+        out[c] = {}
+        for p in probs:
+            h = p * (n - 1)
+            k = int(math.floor(h))
+            ranks = [k] if (h == k or k + 1 >= n) else [k, k + 1]
+            values, finite_ranks = {}, []
+            for r in ranks:
+                if r < n_neg:
+                    values[r] = -INF
+                elif r >= n - n_pos:
+                    values[r] = INF
+                else:
+                    finite_ranks.append(r - n_neg)
+            want[tid] = (i, p, h, k, ranks, values, n_neg)
+            if finite_ranks:
+                search[tid] = {"col": i, "lo": st[f"lo{i}"], "hi": st[f"hi{i}"], "below": 0,
+                               "cnt": n - n_neg - n_pos, "ranks": finite_ranks}
+            tid += 1
 
     for _ in range(80):
-        active = [i for i, s in search.items()
-                  if "value" not in s and s["cnt"] > gather_limit and s["lo"] != s["hi"]]
-        for i, s in search.items():
-            if "value" not in s and s["lo"] == s["hi"]:
-                s["value"] = {r: s["lo"] for r in s["ranks"]}
+        for s_ in search.values():
+            if "value" not in s_ and s_["lo"] == s_["hi"]:
+                s_["value"] = {r: s_["lo"] for r in s_["ranks"]}
+        active = [t for t, s_ in search.items() if "value" not in s_ and s_["cnt"] > gather_limit]
         if not active:
             break
         structs = []
-        for i in active:
-            s = search[i]
-            x = F.col(f"q{i}")
-            lo, hi = s["lo"], s["hi"]
+        for t in active:
+            s_ = search[t]
+            x = F.col(f"q{s_['col']}")
+            lo, hi = s_["lo"], s_["hi"]
             width = (hi / 2 - lo / 2) / BUCKETS
             inside = F.least(F.floor((x / 2 - F.lit(lo / 2)) / F.lit(width)), F.lit(BUCKETS - 1)).cast("int")
             b = (F.when(x.isNull() | (F.abs(x) == INF), F.lit(None).cast("int"))
                  .when(x < F.lit(lo), F.lit(-1)).when(x > F.lit(hi), F.lit(BUCKETS)).otherwise(inside))
-            structs.append(F.struct(F.lit(i).alias("c"), b.alias("b"), x.alias("v")))
+            structs.append(F.struct(F.lit(t).alias("c"), b.alias("b"), x.alias("v")))
         hist = (src.select(F.explode(F.array(*structs)).alias("e")).where(F.col("e.b").isNotNull())
                 .groupBy(F.col("e.c").alias("c"), F.col("e.b").alias("b"))
                 .agg(F.count(F.lit(1)).alias("cnt"), F.min("e.v").alias("mn"), F.max("e.v").alias("mx"))
@@ -101,43 +112,42 @@ def exact_quantiles(df: DataFrame, cols: list[str], prob: float, *, gather_limit
         per: dict[int, list] = {}
         for r in hist:
             per.setdefault(r["c"], []).append((r["b"], r["cnt"], r["mn"], r["mx"]))
-        for i in active:
-            s = search[i]
-            buckets = sorted(per.get(i, []))
+        for t in active:
+            s_ = search[t]
             acc, spans = 0, []
-            for b, c, mn, mx in buckets:
+            for b, c, mn, mx in sorted(per.get(t, [])):
                 spans.append((b, acc, c, mn, mx))
                 acc += c
-            lo_r, hi_r = min(s["ranks"]), max(s["ranks"])
+            lo_r, hi_r = min(s_["ranks"]), max(s_["ranks"])
             first = next(sp for sp in spans if sp[1] <= lo_r < sp[1] + sp[2])
             last = next(sp for sp in spans if sp[1] <= hi_r < sp[1] + sp[2])
             if first[0] in (-1, BUCKETS) or last[0] in (-1, BUCKETS):
                 raise RuntimeError("rank left the bracket")  # cannot happen: counts are exact
-            s["below"] = first[1]
-            s["cnt"] = sum(sp[2] for sp in spans if first[0] <= sp[0] <= last[0])
-            s["lo"], s["hi"] = first[3], last[4]
+            s_["below"] = first[1]
+            s_["cnt"] = sum(sp[2] for sp in spans if first[0] <= sp[0] <= last[0])
+            s_["lo"], s_["hi"] = first[3], last[4]
 
-    pending = [i for i, s in search.items() if "value" not in s]
+    pending = [t for t, s_ in search.items() if "value" not in s_]
     if pending:
         structs = []
-        for i in pending:
-            s = search[i]
-            x = F.col(f"q{i}")
-            keep = x.isNotNull() & (F.abs(x) != INF) & (x >= F.lit(s["lo"])) & (x <= F.lit(s["hi"]))
-            structs.append(F.when(keep, F.struct(F.lit(i).alias("c"), x.alias("v"))))
+        for t in pending:
+            s_ = search[t]
+            x = F.col(f"q{s_['col']}")
+            keep = x.isNotNull() & (F.abs(x) != INF) & (x >= F.lit(s_["lo"])) & (x <= F.lit(s_["hi"]))
+            structs.append(F.when(keep, F.struct(F.lit(t).alias("c"), x.alias("v"))))
         pdf = (src.select(F.explode(F.array(*structs)).alias("e")).where(F.col("e").isNotNull())
                .select(F.col("e.c").alias("c"), F.col("e.v").alias("v")).toPandas())
         vals = {int(c): np.sort(g["v"].to_numpy()) for c, g in pdf.groupby("c")}
-        for i in pending:
-            v = vals.get(i, [])
-            search[i]["value"] = {r: float(v[r - search[i]["below"]]) for r in search[i]["ranks"]}
+        for t in pending:
+            v = vals.get(t, [])
+            search[t]["value"] = {r: float(v[r - search[t]["below"]]) for r in search[t]["ranks"]}
 
-    for i, (h, k, ranks, values, n_neg) in want.items():
-        s = search.get(i)
-        if s is not None:
+    for t, (i, p, h, k, ranks, values, n_neg) in want.items():
+        s_ = search.get(t)
+        if s_ is not None:
             for r in ranks:
                 if r not in values:
-                    values[r] = s["value"][r - n_neg]
+                    values[r] = s_["value"][r - n_neg]
         v_k = values[k]
-        out[cols[i]] = v_k if len(ranks) == 1 else v_k + (h - k) * (values[k + 1] - v_k)
+        out[cols[i]][p] = v_k if len(ranks) == 1 else v_k + (h - k) * (values[k + 1] - v_k)
     return out

@@ -183,12 +183,25 @@ def monthly_metrics(long: DataFrame, models: list[str], *, month: str = "target_
         *per_model)
 
 
-def error_percentiles(long: DataFrame, *, probs: tuple[float, ...] = (0.5, 0.75, 0.9, 0.95)) -> DataFrame:
-    """Exact percentiles of |error| per model with linear interpolation."""
-    names = {0.5: "p50", 0.75: "p75", 0.9: "p90", 0.95: "p95"}
+def error_percentiles(long: DataFrame, *, probs: tuple[float, ...] = (0.5, 0.75, 0.9, 0.95),
+                      max_models: int = 1000) -> DataFrame:
+    """Exact percentiles of |error| per model (linear interpolation).  Each model's
+    errors become one conditional column and the distributed exact-quantile search runs
+    on all of them in lockstep, so no model's errors are gathered into one task."""
+    from panelforge.functions.quantiles import exact_quantiles
+    models = sorted(r[0] for r in long.select("model").distinct().limit(max_models + 1).collect())
+    if len(models) > max_models:
+        raise ValueError("too many models for a per-model percentile table")
     err = F.abs(F.col("actual") - F.col("pred"))
-    return long.groupBy("model").agg(*[F.round(F.percentile(err, p), 6).alias(names.get(p, f"p{int(p * 100)}"))
-                                       for p in probs])
+    wide = long.select(*[F.when(F.col("model") == m, err).alias(f"m{j}") for j, m in enumerate(models)])
+    q = exact_quantiles(wide, [f"m{j}" for j in range(len(models))], list(probs))
+    names = {0.5: "p50", 0.75: "p75", 0.9: "p90", 0.95: "p95"}
+    cols = [names.get(p, f"p{int(p * 100)}") for p in probs]
+    rows = [(m, *[None if q[f"m{j}"] is None else float(q[f"m{j}"][p]) for p in probs])
+            for j, m in enumerate(models)]
+    table = long.sparkSession.createDataFrame(rows, "model string, " + ", ".join(f"{c} double" for c in cols))
+    # round in Spark (half-up on the decimal form), as every other table does
+    return table.select("model", *[F.round(c, 6).alias(c) for c in cols])
 
 
 def category_errors(long: DataFrame, models: list[str], *, category: str = "category") -> DataFrame:

@@ -70,6 +70,12 @@ from panelforge.plans.frames import development_and_holdout, panel  # noqa: E402
 from panelforge.plans.oracle_sql import DENSE_CTE  # noqa: E402
 from panelforge.sources.panels import DENSE_FEATURES  # noqa: E402
 
+def _round6(df):
+    """Round DOUBLE columns in Spark (half-up on the decimal form, like the oracle engine)."""
+    from panelforge.operators.evaluate import round_doubles
+    return round_doubles(df, 6)
+
+
 DEV_DENSE = with_ctes("{body}", DENSE_CTE, labelled_cte("panel_dense"),
                       "dev AS (SELECT * FROM labelled WHERE split IN ('train', 'val'))")
 
@@ -81,7 +87,8 @@ def _dev(spark, sf_dir):
 @register("mean_baseline", DEV_DENSE.format(body="SELECT round(avg(target), 6) AS mean_prediction FROM dev"))
 def mean_baseline_q(spark, sf_dir):
     """The development mean as a one-number model."""
-    return spark.createDataFrame([(round(fit_mean(_dev(spark, sf_dir), "target"), 6),)], "mean_prediction double")
+    one = spark.createDataFrame([(fit_mean(_dev(spark, sf_dir), "target"),)], "mean_prediction double")
+    return _round6(one)
 
 
 @register("ols_single", DEV_DENSE.format(body="""
@@ -91,8 +98,8 @@ def ols_single_q(spark, sf_dir):
     """L1 with one regressor (AR(1) of the return) on development rows."""
     model, coef, stats = lin.ols(_dev(spark, sf_dir), ["ret"], "target")
     st = stats.first()
-    return spark.createDataFrame([(int(st["n"]), round(model.intercept, 6), round(float(model.coef[0]), 6),
-                                   round(st["r2"], 6))], "n_rows bigint, intercept double, slope double, r2 double")
+    return _round6(spark.createDataFrame([(int(st["n"]), float(model.intercept), float(model.coef[0]), float(st["r2"]))],
+                                         "n_rows bigint, intercept double, slope double, r2 double"))
 
 
 @register("ridge_fixed", DEV_DENSE.format(body="""
@@ -102,7 +109,7 @@ SELECT round(regr_avgy(target, ret) - regr_sxy(target, ret) / (regr_sxx(target,
 def ridge_fixed_q(spark, sf_dir):
     """L4 at the final evaluation's alpha = 100, one regressor (closed form)."""
     m = lin.ridge(_dev(spark, sf_dir), ["ret"], "target", 100.0)
-    return spark.createDataFrame([(round(m.intercept, 6), round(float(m.coef[0]), 6))], "intercept double, slope double")
+    return _round6(spark.createDataFrame([(float(m.intercept), float(m.coef[0]))], "intercept double, slope double"))
 
 
 @register("vif_pair", with_ctes("""
@@ -316,9 +323,7 @@ def cluster_metrics_q(spark, sf_dir):
     small entity table); the Spark side never forms pairs."""
     ent = _entity_table(spark, sf_dir).withColumnRenamed("category", "cluster")
     m = cl.cluster_metrics(ent, CLUSTER_COLS, label="cluster")
-    for key in ("inertia", "silhouette_sqeuclidean", "davies_bouldin", "calinski_harabasz"):
-        m[key] = round(m[key], 6)
-    return cl.metrics_frame(spark, m)
+    return _round6(cl.metrics_frame(spark, m))
 
 
 def _scaled_entity_table(spark, sf_dir):
