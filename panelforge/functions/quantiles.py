@@ -95,16 +95,20 @@ def _quantiles(df: DataFrame, cols: list[str], probs: list[float], gather_limit:
         active = [t for t, s_ in search.items() if "value" not in s_ and s_["cnt"] > gather_limit]
         if not active:
             break
-        structs = []
+        groups: dict[tuple, list[int]] = {}
         for t in active:
-            s_ = search[t]
-            x = F.col(f"q{s_['col']}")
-            lo, hi = s_["lo"], s_["hi"]
+            groups.setdefault((search[t]["col"], search[t]["lo"], search[t]["hi"]), []).append(t)
+        gid_of = {}
+        structs = []
+        for g, ((col, lo, hi), members) in enumerate(groups.items()):
+            for t in members:
+                gid_of[t] = g
+            x = F.col(f"q{col}")
             width = (hi / 2 - lo / 2) / BUCKETS
             inside = F.least(F.floor((x / 2 - F.lit(lo / 2)) / F.lit(width)), F.lit(BUCKETS - 1)).cast("int")
             b = (F.when(x.isNull() | (F.abs(x) == INF), F.lit(None).cast("int"))
                  .when(x < F.lit(lo), F.lit(-1)).when(x > F.lit(hi), F.lit(BUCKETS)).otherwise(inside))
-            structs.append(F.struct(F.lit(t).alias("c"), b.alias("b"), x.alias("v")))
+            structs.append(F.struct(F.lit(g).alias("c"), b.alias("b"), x.alias("v")))
         hist = (src.select(F.explode(F.array(*structs)).alias("e")).where(F.col("e.b").isNotNull())
                 .groupBy(F.col("e.c").alias("c"), F.col("e.b").alias("b"))
                 .agg(F.count(F.lit(1)).alias("cnt"), F.min("e.v").alias("mn"), F.max("e.v").alias("mx"))
@@ -115,7 +119,7 @@ def _quantiles(df: DataFrame, cols: list[str], probs: list[float], gather_limit:
         for t in active:
             s_ = search[t]
             acc, spans = 0, []
-            for b, c, mn, mx in sorted(per.get(t, [])):
+            for b, c, mn, mx in sorted(per.get(gid_of[t], [])):
                 spans.append((b, acc, c, mn, mx))
                 acc += c
             lo_r, hi_r = min(s_["ranks"]), max(s_["ranks"])
@@ -129,18 +133,24 @@ def _quantiles(df: DataFrame, cols: list[str], probs: list[float], gather_limit:
 
     pending = [t for t, s_ in search.items() if "value" not in s_]
     if pending:
-        structs = []
+        span: dict[int, list] = {}
         for t in pending:
             s_ = search[t]
-            x = F.col(f"q{s_['col']}")
-            keep = x.isNotNull() & (F.abs(x) != INF) & (x >= F.lit(s_["lo"])) & (x <= F.lit(s_["hi"]))
-            structs.append(F.when(keep, F.struct(F.lit(t).alias("c"), x.alias("v"))))
+            cur = span.setdefault(s_["col"], [s_["lo"], s_["hi"]])
+            cur[0], cur[1] = min(cur[0], s_["lo"]), max(cur[1], s_["hi"])
+        structs = []
+        for col, (lo, hi) in span.items():
+            x = F.col(f"q{col}")
+            keep = x.isNotNull() & (F.abs(x) != INF) & (x >= F.lit(lo)) & (x <= F.lit(hi))
+            structs.append(F.when(keep, F.struct(F.lit(col).alias("c"), x.alias("v"))))
         pdf = (src.select(F.explode(F.array(*structs)).alias("e")).where(F.col("e").isNotNull())
                .select(F.col("e.c").alias("c"), F.col("e.v").alias("v")).toPandas())
         vals = {int(c): np.sort(g["v"].to_numpy()) for c, g in pdf.groupby("c")}
         for t in pending:
-            v = vals.get(t, [])
-            search[t]["value"] = {r: float(v[r - search[t]["below"]]) for r in search[t]["ranks"]}
+            s_ = search[t]
+            v = vals.get(s_["col"], np.array([]))
+            start = int(np.searchsorted(v, s_["lo"], side="left"))  # values of the column below this bracket
+            s_["value"] = {r: float(v[start + r - s_["below"]]) for r in s_["ranks"]}
 
     for t, (i, p, h, k, ranks, values, n_neg) in want.items():
         s_ = search.get(t)

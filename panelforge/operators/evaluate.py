@@ -193,8 +193,12 @@ def error_percentiles(long: DataFrame, *, probs: tuple[float, ...] = (0.5, 0.75,
     if len(models) > max_models:
         raise ValueError("too many models for a per-model percentile table")
     err = F.abs(F.col("actual") - F.col("pred"))
-    wide = long.select(*[F.when(F.col("model") == m, err).alias(f"m{j}") for j, m in enumerate(models)])
-    q = exact_quantiles(wide, [f"m{j}" for j in range(len(models))], list(probs))
+    # the table is read by a few small jobs and the result lands on the driver: persist for their duration
+    wide = long.select(*[F.when(F.col("model") == m, err).alias(f"m{j}") for j, m in enumerate(models)]).persist()
+    try:
+        q = exact_quantiles(wide, [f"m{j}" for j in range(len(models))], list(probs))
+    finally:
+        wide.unpersist()
     names = {0.5: "p50", 0.75: "p75", 0.9: "p90", 0.95: "p95"}
     cols = [names.get(p, f"p{int(p * 100)}") for p in probs]
     rows = [(m, *[None if q[f"m{j}"] is None else float(q[f"m{j}"][p]) for p in probs])

@@ -68,3 +68,16 @@ def test_entry_contract(spark):
                                                               "development_mean"}
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q) and len(q) >= 60
+
+
+def test_error_percentiles_exact_per_model(spark):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(11)
+    pdf = pd.DataFrame({"model": rng.choice(["a", "b", "c"], 3000), "actual": rng.standard_cauchy(3000),
+                        "pred": rng.normal(size=3000)})
+    got = {r["model"]: r for r in ev.error_percentiles(spark.createDataFrame(pdf)).collect()}
+    for m, g in pdf.groupby("model"):
+        err = np.abs(g["actual"] - g["pred"]).to_numpy()
+        for p, name in ((0.5, "p50"), (0.75, "p75"), (0.9, "p90"), (0.95, "p95")):
+            assert abs(got[m][name] - float(np.quantile(err, p))) < 5e-7
