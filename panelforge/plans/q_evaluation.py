@@ -213,3 +213,12 @@ def seen_unseen_metrics_q(spark, sf_dir):
     rows = ev.seen_flag(hold, dev)
     lp = ev.long_predictions(ev.add_baselines(rows, dev, models=tuple(MODELS)), [*IDS, "seen"])
     return ev.seen_unseen_metrics(lp)
+
+
+@register("residual_fitted_data", _sql("dense", """
+SELECT entity, target_month, model, round(pred, 6) AS fitted, round(actual - pred, 6) AS residual FROM preds"""))
+def residual_fitted_data_q(spark, sf_dir):
+    """The table behind the residual-versus-fitted figure, every model on the dense holdout."""
+    r = ev.residuals(long_preds(spark, sf_dir))
+    return r.select("entity", "target_month", "model", F.round("pred", 6).alias("fitted"),
+                    F.round("residual", 6).alias("residual"))

@@ -468,3 +468,16 @@ def final_monthly_q(spark, sf_dir):
 def final_seen_unseen_q(spark, sf_dir):
     """M12 with the fitted models."""
     return fe.ev.seen_unseen_metrics(fe.final_predictions(spark, sf_dir))
+
+
+@register("cluster_map_data", with_ctes("""
+SELECT p.entity, p.category, round(avg(((p.hhi - s.mx) * s.u1x + (p.top1_pct - s.my) * s.u1y) * s.s1), 6) AS PC1,
+       round(avg(((p.hhi - s.mx) * s.u2x + (p.top1_pct - s.my) * s.u2y) * s.s2), 6) AS PC2
+FROM panel_dense p, psign s GROUP BY p.entity, p.category""", DENSE_CTE, PCA_PAIR_CTE))
+def cluster_map_data_q(spark, sf_dir):
+    """The table behind the two-component cluster map (entity means of PC1 / PC2, coloured
+    by a label; here the supplier's region)."""
+    p = panel(spark, sf_dir, "dense")
+    scores = pc.pca_fit(p, CLUSTER_COLS).transform(p, keep=["entity", "category"])
+    em = scores.groupBy("entity", "category").agg(F.avg("PC1").alias("PC1"), F.avg("PC2").alias("PC2"))
+    return em.select("entity", "category", F.round("PC1", 6).alias("PC1"), F.round("PC2", 6).alias("PC2"))
