@@ -49,7 +49,30 @@ def drop_profile_q(spark, sf_dir):
                            period=F.date_format("o_orderdate", "yyyyMM"))
 
 
-@register("schema_drift")
+def _drift_sql() -> str:
+    from panelforge.sources.panels import DENSE_COLUMNS
+
+    def prof(src: str) -> str:
+        parts = [f"""SELECT '{c}' AS column_name,
+       CASE (SELECT typeof({c}) FROM {src} LIMIT 1) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+            WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' END AS data_type,
+       CASE WHEN count(*) > 0 THEN (count(*) - count({c})) / count(*) ELSE 0 END AS null_rate
+FROM {src}""" for c in DENSE_COLUMNS]
+        return "\nUNION ALL ".join(parts)
+    return with_ctes("""
+SELECT coalesce(a.column_name, b.column_name) AS column_name, a.data_type AS active_type,
+       a.null_rate AS active_null_rate, b.data_type AS new_type, b.null_rate AS new_null_rate,
+       CASE WHEN a.data_type IS NULL THEN 'added' WHEN b.data_type IS NULL THEN 'removed'
+            WHEN a.data_type <> b.data_type THEN 'type_changed'
+            WHEN abs(b.null_rate - a.null_rate) > 0.05 THEN 'null_rate_shift' ELSE 'unchanged' END AS status
+FROM prof_a a FULL OUTER JOIN prof_b b ON a.column_name = b.column_name""", DENSE_CTE, f"""
+drop_a AS (SELECT * FROM panel_dense WHERE period < 200001),
+drop_b AS (SELECT * FROM panel_dense WHERE period >= 200001),
+prof_a AS ({prof("drop_a")}),
+prof_b AS ({prof("drop_b")})""")
+
+
+@register("schema_drift", _drift_sql())
 def schema_drift_q(spark, sf_dir):
     """Column profile of the 1990s drop of the dense panel against the 2000s drop."""
     p = panel(spark, sf_dir, "dense")
