@@ -100,9 +100,10 @@ def dense_index(df: DataFrame, order: list[str], *, out: str = "row_index",
     """
     spark = df.sparkSession
     checkpoint_root(spark)
-    n_parts = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = (df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id()))
+    # without an explicit count AQE sizes the range partitions from runtime statistics;
+    # the checkpoint below freezes them, so ids and offsets refer to the same partitions
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order))
+    ranged = ranged.sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id())
     ranged = ranged.checkpoint(eager=True)
     ranged = ranged.withColumn("_pid", F.shiftright(F.col("_mid"), 33))
     counts = sorted((r["_pid"], r["n"]) for r in ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect())
