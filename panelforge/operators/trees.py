@@ -82,7 +82,7 @@ def _score(pred: DataFrame, label: str) -> dict:
 
 def cross_validate(df: DataFrame, features: list[str], kind: str, candidates: list[dict],
                    folds: list[tuple[Column, Column]], *, label: str = "target", seed: int = 42,
-                   parallelism: int = 8) -> tuple[dict, DataFrame]:
+                   parallelism: int = 16) -> tuple[dict, DataFrame]:
     """Every (candidate, fold) fit as its own Spark job on cached data; best = lowest mean MAE."""
     data = assemble(df, features).select(VEC, label, *{c for c in df.columns if c in ("target_month",)}).persist()
     try:
