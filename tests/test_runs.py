@@ -21,3 +21,19 @@ def test_forecasting_run(spark, sf_small, tmp_path):
     written = spark.read.parquet(str(tmp_path / "processed/mode=forecasting"))
     assert written.select("split").distinct().count() >= 3
     assert spark.read.parquet(str(tmp_path / "predictions")).where(F.col("stage") == "forecasting_validation").count() > 0
+
+
+def test_explanatory_run(spark, sf_small, tmp_path):
+    from panelforge.plans.explanatory import run_explanatory
+    out = run_explanatory(panel(spark, sf_small, "dense"), DENSE_FEATURES, out_dir=str(tmp_path))
+    cmp_ = out["comparison"].collect()
+    assert {r["split"] for r in cmp_} == {"train", "test"}
+    assert {r["model"] for r in cmp_} == {"ridge", "elastic_net", "ols_on_components", "mean_baseline",
+                                          "decision_tree"}
+    ev = out["explained_variance"].orderBy("component_index").collect()
+    assert abs(ev[-1]["cumulative_variance_pct"] - 100) < 1e-6          # k = p components
+    labels = out["assignments"].collect()
+    assert {r["kmeans_cluster"] for r in labels} == {1, 2, 3} and {r["hc_cluster"] for r in labels} == {1, 2, 3}
+    assert out["cluster_metrics"].first()["k"] == 3
+    assert spark.read.parquet(str(tmp_path / "pca/mode=explanatory/loadings")).count() == 11 * 11
+    assert spark.read.parquet(str(tmp_path / "clustering/mode=explanatory/assignments")).count() == len(labels)
