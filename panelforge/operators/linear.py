@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from panelforge.functions.distributions import f_sf, norm_ppf, norm_sf2, t_ppf, t_sf2
 from panelforge.operators.gram import Moments, merge_all, moments
+from panelforge.session import checkpoint_root
 
 # The reference's penalty grids.
 ALPHAS = [0.01, 0.1, 1.0, 10.0, 100.0]
@@ -244,6 +245,7 @@ def fe_ols_clustered(df: DataFrame, features: list[str], label: str, *, entity:
     """
     from panelforge.operators.panel import level_list
 
+    checkpoint_root(df.sparkSession)  # several passes follow: cut lineage once in the shared folder
     data = df.dropna(subset=[*features, label, category, period, entity]).checkpoint(eager=True)
     cats = level_list(data, category, max_levels)
     pers = level_list(data, period, max_levels)
