@@ -83,21 +83,50 @@ def _score(pred: DataFrame, label: str) -> dict:
 def cross_validate(df: DataFrame, features: list[str], kind: str, candidates: list[dict],
                    folds: list[tuple[Column, Column]], *, label: str = "target", seed: int = 42,
                    parallelism: int = 16) -> tuple[dict, DataFrame]:
-    """Every (candidate, fold) fit as its own Spark job on cached data; best = lowest mean MAE."""
+    """Every (candidate, fold) scored on cached data, fits running as concurrent Spark jobs;
+    best = lowest mean MAE.  Boosted candidates that differ only in ``maxIter`` share one
+    fit per fold (boosting is deterministic without subsampling, so a shorter run is a
+    prefix of the longest) and are scored per prefix with ``evaluateEachIteration``."""
     data = assemble(df, features).select(VEC, label, *{c for c in df.columns if c in ("target_month",)}).persist()
     try:
-        tasks = [(ci, fi) for ci in range(len(candidates)) for fi in range(len(folds))]
-
-        def run(task):
-            ci, fi = task
-            tr, va = folds[fi]
-            model = estimator(kind, dict(candidates[ci]), label=label, seed=seed).fit(data.where(tr))
-            return ci, fi, _score(model.transform(data.where(va)), label)
+        if kind == "gbt":
+            groups: dict[str, list[int]] = {}
+            for ci, c in enumerate(candidates):
+                key = json.dumps({k: v for k, v in c.items() if k != "maxIter"}, sort_keys=True)
+                groups.setdefault(key, []).append(ci)
+            tasks = [(members, fi) for members in groups.values() for fi in range(len(folds))]
+
+            def run(task):
+                members, fi = task
+                tr_, va = folds[fi]
+                longest = max(members, key=lambda ci: candidates[ci]["maxIter"])
+                model = estimator(kind, dict(candidates[longest]), label=label, seed=seed).fit(data.where(tr_))
+                val = data.where(va)
+                st = val.agg(F.count(F.lit(1)).alias("n"), F.var_pop(label).alias("v")).first()
+                sst = (st["v"] or 0.0) * st["n"]
+                mae_it = model.evaluateEachIteration(val, "absolute")
+                mse_it = model.evaluateEachIteration(val, "squared")
+                out = []
+                for ci in members:
+                    m = candidates[ci]["maxIter"]
+                    mse = mse_it[m - 1]
+                    r2 = 1 - mse * st["n"] / sst if sst > 0 else (1.0 if mse == 0 else 0.0)
+                    out.append((ci, fi, {"mae": mae_it[m - 1], "rmse": math.sqrt(mse), "r2": r2}))
+                return out
+        else:
+            tasks = [(ci, fi) for ci in range(len(candidates)) for fi in range(len(folds))]
+
+            def run(task):
+                ci, fi = task
+                tr_, va = folds[fi]
+                model = estimator(kind, dict(candidates[ci]), label=label, seed=seed).fit(data.where(tr_))
+                return [(ci, fi, _score(model.transform(data.where(va)), label))]
 
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            results = list(pool.map(run, tasks))
+            results = [r for batch in pool.map(run, tasks) for r in batch]
     finally:
         data.unpersist()
+    results.sort(key=lambda r: (r[0], r[1]))
     rows = [(json.dumps(candidates[ci], sort_keys=True), fi + 1, m["mae"], m["rmse"], m["r2"]) for ci, fi, m in results]
     mean_mae = {}
     for ci, _, m in results:

@@ -202,3 +202,19 @@ def test_tree_importances(spark, reg_df):
     perm = {r["feature"]: r["importance_mean"] for r in
             tr.permutation_importance(model, df, keys=["period"], n_repeats=3).collect()}
     assert perm["f1"] > perm["f2"] and abs(perm["f2"]) < 0.05
+
+
+def test_boosting_prefix_scores_equal_separate_fits(spark, reg_df):
+    """Candidates that differ only in maxIter share one fit; their scores must equal separate fits."""
+    import json
+    df, _, _ = reg_df
+    folds = [(F.col("fold") != k, F.col("fold") == k) for k in range(2)]
+    cands = [{"maxIter": 5, "stepSize": 0.1, "maxDepth": 2}, {"maxIter": 12, "stepSize": 0.1, "maxDepth": 2}]
+    _, table = tr.cross_validate(df, FEATS, "gbt", cands, folds)
+    shared = {(r["params"], r["fold"]): (r["mae"], r["rmse"], r["r2"]) for r in table.collect()}
+    data = tr.assemble(df, FEATS)
+    for c in cands:
+        for fi, (a, b) in enumerate(folds):
+            sc = tr._score(tr.estimator("gbt", dict(c)).fit(data.where(a)).transform(data.where(b)), "target")
+            got = shared[(json.dumps(c, sort_keys=True), fi + 1)]
+            assert np.allclose(got, (sc["mae"], sc["rmse"], sc["r2"]), atol=1e-9)
