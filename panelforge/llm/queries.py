@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from panelforge.llm import exact_dedup, packing, quality_rules, token_counts, warc_zip
+from panelforge.llm import exact_dedup, lm_scoring, packing, quality_rules, token_counts, warc_zip
 from panelforge.llm.common import table
 
 QUERIES: dict = {}
@@ -20,6 +20,11 @@ def query(name: str, oracle: str | None = None):
     return keep
 
 
+@query("op1_lm_scoring")
+def op1(spark, sf_dir):
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 @query("op2_exact_dedup", oracle="""
 with d as (
   select doc_id, length(coalesce(text, '')) as n,
