@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from panelforge.llm import exact_dedup, lm_scoring, packing, quality_rules, token_counts, warc_zip
+from panelforge.llm import exact_dedup, lm_scoring, ngram_join, packing, quality_rules, token_counts, warc_zip
 from panelforge.llm.common import table
 
 QUERIES: dict = {}
@@ -48,6 +48,11 @@ def op4(spark, sf_dir):
     return entries.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed", "policy")
 
 
+@query("op5_ngram_join")
+def op5(spark, sf_dir):
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("tkey")
+
+
 @query("op6_warc")
 def op6(spark, sf_dir):
     return warc_zip.archive_pages(table(spark, sf_dir, "pages")).drop("url")
