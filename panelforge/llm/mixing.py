@@ -16,8 +16,8 @@ holds it are put in order, so a leaf with a third of all rows is never sorted in
 
 Defined results: null text counts as empty; documents without words need no budget, so they
 are in the prefix if they come before its end; null categories are a category of their own; nodes without a weight
-share with weight 1; a weight of 0 or less gets nothing; rows that repeat an id and length are neighbours in the
-order and share their place (all or none); an empty table gives no rows; extra columns are ignored.
+share with weight 1; a weight of 0 or less gets nothing; rows that repeat an id, a text and a leaf share
+their place (all or none); an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,19 +36,19 @@ SALT = 16  # a hot leaf's documents find its budget in so many places
 
 
 def count_words(docs: DataFrame, id_col: str, text_col: str, levels: Mapping[str, Column]) -> DataFrame:
-    """id, one column l0, l1, .. per level, n_tokens (words)."""
+    """id, tk (hash of the text), one column l0, l1, .. per level, n_tokens (words)."""
     ship(docs.sparkSession)
     names = [f"l{i}" for i in range(len(levels))]
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tk"),
                       *[F.coalesce(c.cast("string"), F.lit(NONE)).alias(n) for c, n in zip(levels.values(), names)])
 
     def run(batches):
         for batch in slices(batches):
             sizes = [len(t.split()) for t in text_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(sizes, pa.int64())], names=["id", *names, "n_tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(sizes, pa.int64())], names=["id", "tk", *names, "n_tokens"])
 
     kind = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(run, f"id {kind}, " + ", ".join(f"{n} string" for n in names) + ", n_tokens long")
+    return src.mapInArrow(run, f"id {kind}, tk long, " + ", ".join(f"{n} string" for n in names) + ", n_tokens long")
 
 
 def allocate(leaves: DataFrame, names: Sequence[str], budget: float, weights: Sequence[Mapping[str, float]], max_epochs: int) -> DataFrame:
@@ -74,7 +74,7 @@ def allocate(leaves: DataFrame, names: Sequence[str], budget: float, weights: Se
 
 def mix(docs: DataFrame, levels: Mapping[str, Column], budget_share: float = 0.5, weights: Sequence[Mapping[str, float]] | None = None,
         max_epochs: int = 2, seed: str = "mix-1", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, the levels, n_tokens, leaf_tokens, leaf_budget, copies (0: not taken).
+    """One row per document: id, tk, the levels, n_tokens, leaf_tokens, leaf_budget, copies (0: not taken).
 
     budget_share: the budget as a share of all tokens."""
     names = [f"l{i}" for i in range(len(levels))]
@@ -104,12 +104,30 @@ def mix(docs: DataFrame, levels: Mapping[str, Column], budget_share: float = 0.5
         .withColumn("bucket", F.element_at("marks", F.col("w") + 1)).drop("marks")
         .join(buckets.select(*names, "bucket", "whole", "rest", "before", "state"), [*names, "bucket"], "left"), "placed")
     mark = F.md5(F.concat_ws(":", F.lit(seed), F.col("whole").cast("string"), F.coalesce(F.col("id").cast("string"), F.lit(NONE))))
-    inside = Window.partitionBy(*names, "bucket").orderBy("mark", "n_tokens").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    same = Window.partitionBy(*names, "bucket", "mark", "n_tokens")
+    inside = Window.partitionBy(*names, "bucket").orderBy("mark", "n_tokens", "tk").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    same = Window.partitionBy(*names, "bucket", "mark", "n_tokens", "tk")
     cut = (placed.where("state = 2").withColumn("mark", mark)
            .withColumn("reached", F.col("before") + F.sum("n_tokens").over(inside) - F.sum("n_tokens").over(same))
            .withColumn("taken", (2 * F.col("reached") + F.col("n_tokens") < 2 * F.col("rest")).cast("int")).drop("mark", "reached"))
     rest = placed.where("state <> 2").withColumn("taken", (F.col("state") == 1).cast("int"))
     out = rest.unionByName(cut)
-    return out.select(F.col("id").alias(id_col), *[F.col(n).alias(level) for n, level in zip(names, levels)], "n_tokens", F.col("tokens").alias("leaf_tokens"),
+    return out.select(F.col("id").alias(id_col), "tk", *[F.col(n).alias(level) for n, level in zip(names, levels)], "n_tokens", F.col("tokens").alias("leaf_tokens"),
                       F.round("budget", 3).alias("leaf_budget"), F.least(F.col("w") + F.col("taken"), F.lit(max_epochs)).cast("long").alias("copies"))
+
+
+def take(docs: DataFrame, levels: Mapping[str, Column], budget_share: float = 0.5, weights: Sequence[Mapping[str, float]] | None = None,
+         max_epochs: int = 2, seed: str = "mix-1", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that the mix takes, as often as it takes them, with their own columns."""
+    names = [f"__l{i}" for i in range(len(levels))]
+    plan = mix(docs, levels, budget_share, weights, max_epochs, seed, id_col, text_col).where("copies > 0")
+    plan = plan.select(F.col(id_col).alias("__id"), F.coalesce("tk", F.lit(0)).alias("__tk"), *[F.col(k).alias(n) for k, n in zip(levels, names)], F.col("copies").alias("__copies")).distinct()
+    keyed = docs.select("*", F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("__tk"), *[F.coalesce(c.cast("string"), F.lit(NONE)).alias(n) for c, n in zip(levels.values(), names)])
+    met = keyed.join(plan, keyed[id_col].eqNullSafe(plan["__id"]) & (keyed["__tk"] == plan["__tk"]) & _all(keyed[n] == plan[n] for n in names))
+    return met.select(*[keyed[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("__copy")).drop("__copy")
+
+
+def _all(conditions) -> Column:
+    out = None
+    for c in conditions:
+        out = c if out is None else out & c
+    return out

@@ -14,11 +14,13 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelforge.llm.common import SPACE, pick, ship, slices, text_bytes
 
@@ -114,6 +116,25 @@ def apply_policy(entries: DataFrame, policy: str = CURRENT) -> DataFrame:
             .withColumn("policy", F.lit(policy)))
 
 
+def filter_documents(docs: DataFrame, policy: str = CURRENT, text_col: str = "text") -> DataFrame:
+    """The documents that a policy keeps, with their own columns: ledger and policy in one pass over the texts."""
+    ship(docs.sparkSession)
+    names = [f"__{m}" for m in MEASURES]
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in slices(batches):
+            rows = [measure(raw) for raw in text_bytes(batch.column(at))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.int64()) for c in zip(*rows))], names=[*batch.schema.names, *names])
+
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in names)])
+    measured = docs.mapInArrow(run, schema)
+    own = re.compile(r"\b(" + "|".join(MEASURES) + r")\b")
+    failed = F.expr(" | ".join(f"(case when {own.sub(lambda m: '__' + m[1], cond)} then {1 << i}L else 0L end)" for i, cond in enumerate(RULES.values())))
+    mask = mask_of(policy) | mask_of("base-1")
+    return measured.where(failed.bitwiseAND(F.lit(mask)) == 0).drop(*names)
+
+
 def ablation(entries: DataFrame, policy: str = CURRENT) -> DataFrame:
     """Per rule of a policy: documents that fail it, and those that no other rule of the policy rejects."""
     mask = mask_of(policy)

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import functions as F
 
 from panelforge.llm import exact_dedup, html_main, line_dedup, lm_scoring, mixing, ngram_join, packing, quality_rules, token_counts, warc_zip
 from panelforge.llm.common import table
+from panelforge.llm.production import MIX_WEIGHTS, mixing_tree
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -64,18 +64,9 @@ def op7(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-def mix_levels():
-    """The tree of the mixing query: four domains of sources, languages, sources."""
-    number = F.coalesce(F.regexp_extract("source", "([0-9]+)$", 1).try_cast("int"), F.lit(0))
-    return {"domain": F.concat(F.lit("d"), F.pmod(number, F.lit(4)).cast("string")), "language": F.col("lang"), "origin": F.col("source")}
-
-
-MIX_WEIGHTS = [{"d0": 0.4, "d1": 0.3, "d2": 0.2, "d3": 0.1}, {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}, {}]
-
-
 @query("op8_mixing")
 def op8(spark, sf_dir):
-    return mixing.mix(table(spark, sf_dir, "documents"), mix_levels(), 0.5, MIX_WEIGHTS, max_epochs=2)
+    return mixing.mix(table(spark, sf_dir, "documents"), mixing_tree(), 0.5, MIX_WEIGHTS, max_epochs=2).drop("tk")
 
 
 @query("op9_html_main")
