@@ -6,6 +6,7 @@ import os
 import uuid
 import zipfile
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,40 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext._panelforge_shipped = True
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that nothing refers to any more; it does so when garbage is collected."""
+    import gc
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+_IS_SPACE = np.zeros(256, dtype=bool)
+_IS_SPACE[list(SPACE)] = True
+
+
+def words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of a string column without nulls, in one pass over its bytes.
+
+    Returns the words (binary), and for each its row, its line within the row, and a number that tells lines of
+    the whole column apart (ascending)."""
+    column = column.cast(pa.large_binary()) if not pa.types.is_large_binary(column.type) else column
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset:column.offset + len(column) + 1]
+    raw = column.buffers()[2]
+    data = np.frombuffer(raw, dtype=np.uint8)[offsets[0]:offsets[-1]] if raw is not None else np.zeros(0, dtype=np.uint8)
+    offsets = offsets - offsets[0]
+    solid = ~_IS_SPACE[data]
+    first = solid.copy()
+    first[1:] &= ~solid[:-1]
+    edges = offsets[:-1][offsets[:-1] < len(data)]
+    first[edges] = solid[edges]  # a word ends with its row
+    at = np.flatnonzero(first)
+    before = np.concatenate([np.cumsum(solid)[at] - 1, [solid.sum()]]).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(before), pa.py_buffer(data[solid])])
+    feeds = np.concatenate([[0], np.cumsum(data == 10)])
+    row = np.searchsorted(offsets, at, side="right") - 1
+    return words, row, feeds[at] - feeds[offsets[row]], feeds[at] + row
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as empty."""
     return [b or b"" for b in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()]

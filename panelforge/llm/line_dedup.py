@@ -8,10 +8,10 @@ doc_id, then by their number in the document.
    number) by their counts, all others before them. Any total order gives exact results;
    this one keeps lists of lines short.
 2. Prefix filter: a line of n words is listed under its n - ceil(t n) + 1 rarest words only.
-3. Lines that share such a word meet in one task, ordered by size. Identical sets are first
-   collapsed onto their earliest line, so the copies of a common line cost one row
-   each. The others must pass the length filter, the positional filter (words that
-   remain behind the shared one) and a bitmap filter (a 64-bit parity of the words bounds
+3. Lines that share such a word meet in one task, ordered by size. Identical sets (equal size, rarest word,
+   64-bit sum of word hashes and bitmap) are first collapsed onto their earliest line, so the
+   copies of a common line cost one row each. The others must pass the length filter, the positional filter (words that
+   remain behind the shared one) and a bitmap filter (a parity of the words, 64 or 256 bits wide, bounds
    the sets' difference from below).
 4. Pairs that are left are verified on the words themselves.
 
@@ -26,14 +26,14 @@ are ordered by a hash of the text; an empty table gives no rows; extra columns a
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import materialize, partitions_for, ship, slices, text_bytes
+from panelforge.llm.common import materialize, partitions_for, release, ship, slices, words_of
 
 UP, DOWN = 4, 5  # threshold 4/5
 FREQUENT, FREQUENT_BYTES = 65_536, 48
@@ -42,24 +42,17 @@ _TOP = 1 << 62
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
+    """(word, n) over all texts. Words that occur once in a slice of some megabytes are left out there: they are not
+    frequent, and rare words are ordered by hash anyway."""
     def run(batches):
-        counts: Counter = Counter()
         for batch in slices(batches):
-            for raw in text_bytes(batch.column(0)):
-                counts.update(raw.split())
-            if len(counts) > 500_000:
-                yield _counted(counts)
-                counts = Counter()
-        if counts:
-            yield _counted(counts)
+            counts = words_of(batch.column(0))[0].value_counts()
+            seen = counts.filter(pc.greater(counts.field("counts"), 1))
+            yield pa.RecordBatch.from_arrays([seen.field("values"), seen.field("counts")], names=["word", "n"])
 
     return texts.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _counted(counts: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-
-
 def frequent_words(counts: DataFrame) -> list[tuple[bytes, int]]:
     """At most FREQUENT short words with their counts: those above the lowest eighth of an octave that fits."""
     fit = counts.where((F.col("n") > 1) & (F.octet_length("word") <= FREQUENT_BYTES)).withColumn("level", F.floor(F.log2("n") * 8).cast("int"))
@@ -74,24 +67,19 @@ def frequent_words(counts: DataFrame) -> list[tuple[bytes, int]]:
     return [] if least is None else [(bytes(r["word"]), r["n"]) for r in fit.where(F.col("level") >= least).collect()]
 
 
-class Order(dict):
-    """Word -> place in the order of rarity, a whole number that also stands for the word."""
+class Order:
+    """Words -> places in the order of rarity, whole numbers that also stand for the words."""
 
     def __init__(self, frequent: list[tuple[bytes, int]]):
         ranked = sorted(frequent, key=lambda x: (x[1], x[0]))
-        super().__init__((w, _TOP + i) for i, (w, _) in enumerate(ranked))
-        self.cache: dict[bytes, int] = {}
+        self.known = {w: _TOP + i for i, (w, _) in enumerate(ranked)}
 
-    def __missing__(self, word: bytes) -> int:
-        got = self.cache.get(word)
-        if got is None:
-            import xxhash
-            got = xxhash.xxh3_64_intdigest(word) >> 2
-            if len(self.cache) >= 300_000:
-                self.cache.clear()
-            if len(word) <= 64:
-                self.cache[word] = got
-        return got
+    def of(self, words: list[bytes]) -> np.ndarray:
+        keys = list(map(self.known.get, words))
+        rare = [i for i, k in enumerate(keys) if k is None]
+        out = np.array([0 if k is None else k for k in keys], dtype=np.int64)
+        out[rare] = np.fromiter(map(xxhash.xxh3_64_intdigest, [words[i] for i in rare]), dtype=np.uint64, count=len(rare)) >> np.uint64(2)
+        return out
 
 
 def prefix_length(n: np.ndarray) -> np.ndarray:
@@ -104,58 +92,71 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x * np.uint64(0xD6E8FEB86659FD93)
 
 
-def line_rows(docs: list[tuple[int, int, bytes]], order: Order):
-    """Rows (word, doc, line, size, bits, print) of a batch of (doc, tk, text), as arrays.
+NAMES = ("word", "doc", "line", "size", "print", "bits0", "bits1", "bits2", "bits3")
+LONG = 64  # lines of more words get a bitmap of 256 bits instead of 64
+
+
+def line_rows(doc: np.ndarray, tk: np.ndarray, text: pa.Array, order: Order):
+    """Rows (NAMES) of a batch of documents, as arrays.
 
     line: tk << 32 | number; size: n << 32 | place of the word in the line's order."""
-    heads, sets = [], []
-    for doc, tk, raw in docs:
-        for no, line in enumerate(raw.split(b"\n")):
-            words = line.split()
-            if words:
-                heads.append((doc, tk << 32 | no))
-                sets.append(sorted(set(map(order.__getitem__, words))))
-    n = np.array([len(s) for s in sets], dtype=np.int64)
-    if not len(n):
+    words, row, number, line = words_of(text)
+    if not len(words):
         return None
-    flat = np.fromiter((x for s in sets for x in s), dtype=np.int64, count=int(n.sum()))
+    coded = words.dictionary_encode()
+    keys = order.of(coded.dictionary.to_pylist())
+    by = np.argsort(keys, kind="stable")
+    rank = np.empty(len(by), dtype=np.int64)
+    rank[by] = np.arange(len(by))
+    fresh = np.concatenate([[True], line[1:] != line[:-1]])
+    both = np.sort((np.cumsum(fresh) - 1) << 32 | rank[coded.indices.to_numpy()])
+    both = both[np.concatenate([[True], both[1:] != both[:-1]])]  # each line's words once, rarest first
+    doc, tl = doc[row[fresh]], tk[row[fresh]].astype(np.int64) << 32 | number[fresh]
+    owner, flat = both >> 32, keys[by][both & 0xFFFFFFFF]
+    n = np.bincount(owner)
     starts = np.concatenate([[0], np.cumsum(n)[:-1]])
     mixed = _mixed(flat)
-    bits = np.bitwise_xor.reduceat(np.uint64(1) << (mixed >> np.uint64(58)), starts)
+    one = np.uint64(1) << (mixed >> np.uint64(58))
+    block = (mixed >> np.uint64(56)) & np.uint64(3)
+    long = n > LONG
+    bits = np.zeros((4, len(n)), dtype=np.uint64)
+    bits[0] = np.bitwise_xor.reduceat(one, starts)
+    if long.any():
+        for k in range(4):
+            part = np.bitwise_xor.reduceat(np.where(block == k, one, np.uint64(0)), starts)
+            bits[k, long] = part[long]
     prints = np.add.reduceat(mixed ^ (mixed >> np.uint64(29)), starts) ^ n.astype(np.uint64)
     p = prefix_length(n)
     line = np.repeat(np.arange(len(n)), p)
     place = np.arange(len(line)) - np.repeat(np.concatenate([[0], np.cumsum(p)[:-1]]), p)
-    doc, tl = (np.array(c, dtype=np.int64) for c in zip(*heads))
-    return flat[starts[line] + place], doc[line], tl[line], n[line] << 32 | place, bits[line].view(np.int64), prints[line].view(np.int64)
+    return flat[starts[line] + place], doc[line], tl[line], n[line] << 32 | place, prints[line].view(np.int64), *(b[line].view(np.int64) for b in bits)
 
 
 def listed(docs: DataFrame, frequent) -> DataFrame:
     """(doc, tk, text) -> one row per line and word of its prefix."""
-    names = ["word", "doc", "line", "size", "bits", "print"]
-
     def run(batches):
         order = Order(frequent.value)
         for batch in slices(batches, 4 << 20):
-            rows = line_rows(list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(2)))), order)
+            rows = line_rows(batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2), order)
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows], names=NAMES)
 
-    return docs.select("doc", "tk", "text").mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return docs.select("doc", "tk", "text").mapInArrow(run, ", ".join(f"{n} long" for n in NAMES))
 
 
-def candidate_pairs(word, doc, line, size, bits, prints, first: int | None):
-    """Pairs of lines (later, earlier) among rows ordered by word, size of line, print, doc, line.
+def candidate_pairs(word, doc, line, size, prints, *bits, first: int | None = None):
+    """Pairs of lines (later, earlier) among rows in the order of candidates().
 
-    Returns (later doc, later line, earlier doc, earlier line, cut): cut marks lines with more than `first` candidates."""
+    Returns (later doc, later line, earlier doc, earlier line, same, cut). same: equal in size, print, bitmap and rarest word;
+    such lines are one set. cut marks lines with more than `first` other candidates."""
     n, place = size >> 32, size & 0xFFFFFFFF
     new = np.ones(len(word), dtype=bool)
-    new[1:] = (word[1:] != word[:-1]) | (n[1:] != n[:-1]) | (prints[1:] != prints[:-1])
+    new[1:] = np.any([c[1:] != c[:-1] for c in (word, size, prints, *bits)], axis=0)
     leader = np.flatnonzero(new)[np.cumsum(new) - 1]
     copies = np.flatnonzero(~new & (place == 0) & ((doc != doc[leader]) | (line != line[leader])))  # identical sets meet under their first word
-    late, early = [copies], [leader[copies]]
     lead = np.flatnonzero(new)
-    w, m, at, b = word[lead], n[lead], place[lead], bits[lead].view(np.uint64)
+    w, m, at, b = word[lead], n[lead], place[lead], [x[lead].view(np.uint64) for x in bits]
+    late, early = [], []
     i, k = np.arange(len(lead)), 0
     while len(i):
         k += 1
@@ -164,13 +165,17 @@ def candidate_pairs(word, doc, line, size, bits, prints, first: int | None):
         ok = (w[i] == w[j]) & (DOWN * m[i] >= UP * m[j])  # the sizes ascend: once too far apart, always
         i, j = i[ok], j[ok]
         need = -(-UP * (m[i] + m[j]) // (UP + DOWN))  # least intersection
-        ok = 1 + np.minimum(m[i] - at[i], m[j] - at[j]) - 1 >= need
-        ok &= np.bitwise_count(b[i] ^ b[j]) <= m[i] + m[j] - 2 * need
+        apart = sum(np.bitwise_count(x[i] ^ x[j]).astype(np.int64) for x in b)
+        mixed = (m[i] > LONG) != (m[j] > LONG)  # bitmaps of two lengths: fold the long one
+        if mixed.any():
+            x, y = i[mixed], j[mixed]
+            apart[mixed] = np.bitwise_count(b[0][x] ^ b[1][x] ^ b[2][x] ^ b[3][x] ^ b[0][y] ^ b[1][y] ^ b[2][y] ^ b[3][y])
+        ok = (np.minimum(m[i] - at[i], m[j] - at[j]) >= need) & (apart <= m[i] + m[j] - 2 * need)
         u, v = lead[i[ok]], lead[j[ok]]
         swap = (doc[u] > doc[v]) | ((doc[u] == doc[v]) & (line[u] > line[v]))
         late.append(np.where(swap, u, v))
         early.append(np.where(swap, v, u))
-    late, early = np.concatenate(late), np.concatenate(early)
+    late, early = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (late, early))
     by = np.lexsort((line[early], doc[early], late))
     late, early = late[by], early[by]
     cut = np.zeros(len(late), dtype=bool)
@@ -179,10 +184,12 @@ def candidate_pairs(word, doc, line, size, bits, prints, first: int | None):
         nth = np.arange(len(late)) - np.repeat(start, np.diff(np.append(start, len(late))))
         over = np.isin(late, late[nth >= first])
         late, early, cut = late[nth < first], early[nth < first], over[nth < first]
-    return doc[late], line[late], doc[early], line[early], cut
+    same = np.concatenate([np.ones(len(copies), dtype=bool), np.zeros(len(late), dtype=bool)])
+    late, early, cut = np.concatenate([copies, late]), np.concatenate([leader[copies], early]), np.concatenate([np.zeros(len(copies), dtype=bool), cut])
+    return doc[late], line[late], doc[early], line[early], same, cut
 
 
-PAIRS = "later_doc long, later_line long, doc long, line long, cut boolean"
+PAIRS = "later_doc long, later_line long, doc long, line long, same boolean, cut boolean"
 
 
 def candidates(rows: DataFrame, first: int | None) -> DataFrame:
@@ -190,7 +197,7 @@ def candidates(rows: DataFrame, first: int | None) -> DataFrame:
     def run(batches):
         held = None
         for batch in slices(batches):
-            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(6)]
+            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(len(NAMES))]
             if held is not None:
                 cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
             cut = int(np.searchsorted(cols[0], cols[0][-1]))  # the last word may go on
@@ -201,9 +208,9 @@ def candidates(rows: DataFrame, first: int | None) -> DataFrame:
             yield out(held)
 
     def out(cols):
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in candidate_pairs(*cols, first)], names=["later_doc", "later_line", "doc", "line", "cut"])
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in candidate_pairs(*cols, first=first)], names=["later_doc", "later_line", "doc", "line", "same", "cut"])
 
-    ordered = rows.repartition(partitions_for(rows.sparkSession), "word").sortWithinPartitions("word", "size", "print", "doc", "line")
+    ordered = rows.repartition(partitions_for(rows.sparkSession), "word").sortWithinPartitions("word", "size", "print", "bits0", "bits1", "bits2", "bits3", "doc", "line")
     return ordered.mapInArrow(run, PAIRS)
 
 
@@ -235,17 +242,23 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ship(spark)
     texts = _texts(docs, id_col, text_col)
     frequent = spark.sparkContext.broadcast(frequent_words(word_counts(texts)))
-    pairs = materialize(candidates(listed(texts, frequent), FIRST).groupBy("later_doc", "later_line", "doc", "line").agg(F.max("cut").alias("cut")), "pairs")
-    checked = materialize(verified(pairs, texts).groupBy("later_doc", "later_line").agg(F.max("ok").alias("ok"), F.max("cut").alias("cut")), "checked")
-    found = checked.where("ok").select("later_doc", "later_line")
-    open_lines = materialize(checked.where("cut and not ok").select(F.col("later_doc").alias("doc"), F.col("later_line").alias("line")), "open")
-    if not open_lines.isEmpty():  # all candidates of these lines: their words' rows only
-        rows = listed(texts, frequent)
-        words = rows.join(open_lines, ["doc", "line"], "left_semi").select("word").distinct()
-        rest = candidates(rows.join(words, "word", "left_semi").select("word", "doc", "line", "size", "bits", "print"), None)
-        late = open_lines.select(F.col("doc").alias("later_doc"), F.col("line").alias("later_line"))
-        again = materialize(rest.join(late, ["later_doc", "later_line"], "left_semi").distinct(), "again")
-        found = found.union(verified(again, texts).where("ok").select("later_doc", "later_line").distinct())
+    pairs = materialize(candidates(listed(texts, frequent), FIRST).groupBy("later_doc", "later_line", "doc", "line")
+                        .agg(F.max("same").alias("same"), F.max("cut").alias("cut")), "pairs")
+    release(spark)
+    late = ["later_doc", "later_line"]
+    same = pairs.where("same").select(*late).distinct()
+    # lines with an equal earlier line need no other match
+    checked = verified(pairs.where("not same").join(same, late, "left_anti"), texts)
+    checked = materialize(checked.groupBy(*late).agg(F.max("ok").alias("ok"), F.max("cut").alias("cut")), "checked")
+    release(spark)
+    found = same.union(checked.where("ok").select(*late))
+    lost = materialize(checked.where("cut and not ok").select(F.col("later_doc").alias("doc"), F.col("later_line").alias("line")), "open")
+    if not lost.isEmpty():  # all candidates of these lines, through the rows of their words only
+        theirs = texts.join(lost.select("doc").distinct(), "doc", "left_semi")
+        words = materialize(listed(theirs, frequent).join(lost, ["doc", "line"], "left_semi").select("word").distinct(), "words")
+        rest = candidates(listed(texts, frequent).join(words, "word", "left_semi").select(*NAMES), None)
+        again = materialize(rest.join(lost.toDF(*late), late, "left_semi").select(*late, "doc", "line", "cut").distinct(), "again")
+        found = found.union(verified(again, texts).where("ok").select(*late).distinct())
     found = materialize(found, "duplicates")
     return found.select(F.col("later_doc").alias("doc"), F.shiftright("later_line", 32).cast("int").alias("tk"),
                         F.col("later_line").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("no"))
