@@ -17,6 +17,9 @@ from panelforge.session import checkpoint_root
 SPACE = b" \t\n\x0b\x0c\r"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -27,10 +30,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: a short lineage that survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write df to the shared folder and read it back: a short lineage that survives lost executors.
+
+    The write's shuffle files go as soon as it has ended, not when the driver next collects garbage."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ship(spark: SparkSession) -> None:
@@ -52,15 +62,8 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext._panelforge_shipped = True
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of plans that nothing refers to any more; it does so when garbage is collected."""
-    import gc
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
-_IS_SPACE = np.zeros(256, dtype=bool)
-_IS_SPACE[list(SPACE)] = True
+_SOLID = np.ones(256, dtype=bool)
+_SOLID[list(SPACE)] = False
 
 
 def words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
@@ -73,17 +76,39 @@ def words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.nda
     raw = column.buffers()[2]
     data = np.frombuffer(raw, dtype=np.uint8)[offsets[0]:offsets[-1]] if raw is not None else np.zeros(0, dtype=np.uint8)
     offsets = offsets - offsets[0]
-    solid = ~_IS_SPACE[data]
+    solid = _SOLID[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     edges = offsets[:-1][offsets[:-1] < len(data)]
     first[edges] = solid[edges]  # a word ends with its row
     at = np.flatnonzero(first)
-    before = np.concatenate([np.cumsum(solid)[at] - 1, [solid.sum()]]).astype(np.int32)
+    before = np.append(np.cumsum(solid, dtype=np.int32)[at] - 1, np.int32(np.count_nonzero(solid))).astype(np.int32)
     words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(before), pa.py_buffer(data[solid])])
-    feeds = np.concatenate([[0], np.cumsum(data == 10)])
-    row = np.searchsorted(offsets, at, side="right") - 1
-    return words, row, feeds[at] - feeds[offsets[row]], feeds[at] + row
+    feeds = np.flatnonzero(data == 10)
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(at, offsets)))
+    ahead = np.zeros(len(at) + 1, dtype=np.int64)  # line feeds before each word
+    np.add.at(ahead, np.searchsorted(at, feeds), 1)
+    ahead = np.cumsum(ahead)[:-1]
+    return words, row, ahead - np.searchsorted(feeds, offsets[:-1])[row], ahead + row
+
+
+_TABLE = np.random.default_rng(11).integers(0, 1 << 64, (64, 256), dtype=np.uint64)
+
+
+def hash_words(words: pa.Array) -> np.ndarray:
+    """64-bit tabulation hashes of a binary array without nulls and empty words."""
+    if not len(words):
+        return np.zeros(0, dtype=np.uint64)
+    offsets = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]]
+    starts = offsets[:-1] - offsets[0]
+    place = np.arange(len(data)) - np.repeat(starts, np.diff(offsets))
+    part = _TABLE[place & 63, data]
+    if (place >= 64).any():
+        part = part * (2 * (place >> 6).astype(np.uint64) + np.uint64(1))
+    h = np.add.reduceat(part, starts)
+    h ^= h >> np.uint64(31)
+    return h * np.uint64(0x9E3779B97F4A7C15)
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:

@@ -29,11 +29,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import materialize, partitions_for, release, ship, slices, words_of
+from panelforge.llm.common import hash_words, materialize, partitions_for, ship, slices, words_of
 
 UP, DOWN = 4, 5  # threshold 4/5
 FREQUENT, FREQUENT_BYTES = 65_536, 48
@@ -71,15 +70,11 @@ class Order:
     """Words -> places in the order of rarity, whole numbers that also stand for the words."""
 
     def __init__(self, frequent: list[tuple[bytes, int]]):
-        ranked = sorted(frequent, key=lambda x: (x[1], x[0]))
-        self.known = {w: _TOP + i for i, (w, _) in enumerate(ranked)}
+        self.ranked = pa.array([w for w, _ in sorted(frequent, key=lambda x: (x[1], x[0]))], pa.binary())
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        keys = list(map(self.known.get, words))
-        rare = [i for i, k in enumerate(keys) if k is None]
-        out = np.array([0 if k is None else k for k in keys], dtype=np.int64)
-        out[rare] = np.fromiter(map(xxhash.xxh3_64_intdigest, [words[i] for i in rare]), dtype=np.uint64, count=len(rare)) >> np.uint64(2)
-        return out
+    def of(self, words: pa.Array) -> np.ndarray:
+        rank = pc.fill_null(pc.index_in(words, value_set=self.ranked), -1).to_numpy(zero_copy_only=False)
+        return np.where(rank < 0, (hash_words(words) >> np.uint64(2)).astype(np.int64), _TOP + rank.astype(np.int64))
 
 
 def prefix_length(n: np.ndarray) -> np.ndarray:
@@ -104,7 +99,7 @@ def line_rows(doc: np.ndarray, tk: np.ndarray, text: pa.Array, order: Order):
     if not len(words):
         return None
     coded = words.dictionary_encode()
-    keys = order.of(coded.dictionary.to_pylist())
+    keys = order.of(coded.dictionary)
     by = np.argsort(keys, kind="stable")
     rank = np.empty(len(by), dtype=np.int64)
     rank[by] = np.arange(len(by))
@@ -136,7 +131,7 @@ def listed(docs: DataFrame, frequent) -> DataFrame:
     """(doc, tk, text) -> one row per line and word of its prefix."""
     def run(batches):
         order = Order(frequent.value)
-        for batch in slices(batches, 4 << 20):
+        for batch in slices(batches):
             rows = line_rows(batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2), order)
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows], names=NAMES)
@@ -145,10 +140,16 @@ def listed(docs: DataFrame, frequent) -> DataFrame:
 
 
 def candidate_pairs(word, doc, line, size, prints, *bits, first: int | None = None):
-    """Pairs of lines (later, earlier) among rows in the order of candidates().
+    """Pairs of lines (later, earlier) among rows of whole words.
 
     Returns (later doc, later line, earlier doc, earlier line, same, cut). same: equal in size, print, bitmap and rarest word;
     such lines are one set. cut marks lines with more than `first` other candidates."""
+    more = np.zeros(len(word) + 1, dtype=bool)
+    more[1:-1] = word[1:] == word[:-1]
+    many = np.flatnonzero(more[1:] | more[:-1])  # a word of one line joins nothing
+    word, doc, line, size, prints, *bits = (c[many] for c in (word, doc, line, size, prints, *bits))
+    by = np.lexsort((line, doc, *bits, prints, size, word))
+    word, doc, line, size, prints, *bits = (c[by] for c in (word, doc, line, size, prints, *bits))
     n, place = size >> 32, size & 0xFFFFFFFF
     new = np.ones(len(word), dtype=bool)
     new[1:] = np.any([c[1:] != c[:-1] for c in (word, size, prints, *bits)], axis=0)
@@ -210,7 +211,7 @@ def candidates(rows: DataFrame, first: int | None) -> DataFrame:
     def out(cols):
         return pa.RecordBatch.from_arrays([pa.array(c) for c in candidate_pairs(*cols, first=first)], names=["later_doc", "later_line", "doc", "line", "same", "cut"])
 
-    ordered = rows.repartition(partitions_for(rows.sparkSession), "word").sortWithinPartitions("word", "size", "print", "bits0", "bits1", "bits2", "bits3", "doc", "line")
+    ordered = rows.repartition(partitions_for(rows.sparkSession), "word").sortWithinPartitions("word")
     return ordered.mapInArrow(run, PAIRS)
 
 
@@ -244,13 +245,11 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     frequent = spark.sparkContext.broadcast(frequent_words(word_counts(texts)))
     pairs = materialize(candidates(listed(texts, frequent), FIRST).groupBy("later_doc", "later_line", "doc", "line")
                         .agg(F.max("same").alias("same"), F.max("cut").alias("cut")), "pairs")
-    release(spark)
     late = ["later_doc", "later_line"]
     same = pairs.where("same").select(*late).distinct()
     # lines with an equal earlier line need no other match
     checked = verified(pairs.where("not same").join(same, late, "left_anti"), texts)
     checked = materialize(checked.groupBy(*late).agg(F.max("ok").alias("ok"), F.max("cut").alias("cut")), "checked")
-    release(spark)
     found = same.union(checked.where("ok").select(*late))
     lost = materialize(checked.where("cut and not ok").select(F.col("later_doc").alias("doc"), F.col("later_line").alias("line")), "open")
     if not lost.isEmpty():  # all candidates of these lines, through the rows of their words only
