@@ -24,6 +24,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small(stored: DataFrame, most_bytes: int = 8 << 20) -> DataFrame:
+    """A stored table, marked for broadcast if its files are small; else Spark joins it by shuffling."""
+    path = stored.inputFiles()
+    if not path:
+        return stored
+    spark = stored.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path[0]).getParent()
+    size = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    return F.broadcast(stored) if size <= most_bytes else stored
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
     return f"{checkpoint_root(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"

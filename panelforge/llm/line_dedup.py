@@ -15,7 +15,7 @@ doc_id, then by their number in the document.
    the sets' difference from below).
 4. Pairs that are left are verified on the words themselves.
 
-Each line needs one earlier match only, so a task passes on a line's FIRST earliest candidates. Lines
+Each line needs one earlier match only, so a task passes on the FIRST candidates of a line, those with the most similar bitmaps. Lines
 that had more and found no match among these are searched again without that bound, so
 nothing is lost.
 
@@ -32,11 +32,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import hash_words, materialize, partitions_for, ship, slices, words_of
+from panelforge.llm.common import hash_words, materialize, partitions_for, ship, small, slices, words_of
 
 UP, DOWN = 4, 5  # threshold 4/5
 FREQUENT, FREQUENT_BYTES = 65_536, 48
 FIRST = 8
+LOST = 20_000  # lines of one more search
 _TOP = 1 << 62
 
 
@@ -88,7 +89,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 NAMES = ("word", "doc", "line", "size", "print", "bits0", "bits1", "bits2", "bits3")
-LONG = 64  # lines of more words get a bitmap of 256 bits instead of 64
+WIDE = (24, 96)  # lines of more words get a bitmap of 128 and of 256 bits instead of 64
 
 
 def line_rows(doc: np.ndarray, tk: np.ndarray, text: pa.Array, order: Order):
@@ -113,13 +114,14 @@ def line_rows(doc: np.ndarray, tk: np.ndarray, text: pa.Array, order: Order):
     mixed = _mixed(flat)
     one = np.uint64(1) << (mixed >> np.uint64(58))
     block = (mixed >> np.uint64(56)) & np.uint64(3)
-    long = n > LONG
-    bits = np.zeros((4, len(n)), dtype=np.uint64)
-    bits[0] = np.bitwise_xor.reduceat(one, starts)
-    if long.any():
-        for k in range(4):
-            part = np.bitwise_xor.reduceat(np.where(block == k, one, np.uint64(0)), starts)
-            bits[k, long] = part[long]
+    bits = np.array([np.bitwise_xor.reduceat(np.where(block == k, one, np.uint64(0)), starts) for k in range(4)])
+    fold = n <= WIDE[1]  # narrower bitmaps are the wide one folded
+    bits[0, fold] ^= bits[2, fold]
+    bits[1, fold] ^= bits[3, fold]
+    bits[2:, fold] = 0
+    fold = n <= WIDE[0]
+    bits[0, fold] ^= bits[1, fold]
+    bits[1, fold] = 0
     prints = np.add.reduceat(mixed ^ (mixed >> np.uint64(29)), starts) ^ n.astype(np.uint64)
     p = prefix_length(n)
     line = np.repeat(np.arange(len(n)), p)
@@ -127,6 +129,25 @@ def line_rows(doc: np.ndarray, tk: np.ndarray, text: pa.Array, order: Order):
     return flat[starts[line] + place], doc[line], tl[line], n[line] << 32 | place, prints[line].view(np.int64), *(b[line].view(np.int64) for b in bits)
 
 
+LISTED = "word long, row binary"  # row: the other columns of NAMES, 8 bytes each
+
+
+def _packed(columns) -> pa.RecordBatch:
+    word, *rest = columns
+    body = np.stack(rest, axis=1)
+    ends = np.arange(len(word) + 1, dtype=np.int32) * np.int32(8 * len(rest))
+    return pa.RecordBatch.from_arrays([pa.array(word), pa.Array.from_buffers(pa.binary(), len(word), [None, pa.py_buffer(ends), pa.py_buffer(body)])], names=["word", "row"])
+
+
+def _unpacked(batch: pa.RecordBatch) -> np.ndarray:
+    """(rows, columns of NAMES)"""
+    column = batch.column(1).cast(pa.large_binary())
+    width = len(NAMES) - 1
+    first = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset]
+    body = np.frombuffer(column.buffers()[2], dtype=np.uint8)[first:first + 8 * width * len(column)].view(np.int64).reshape(-1, width)
+    return np.concatenate([batch.column(0).to_numpy()[:, None], body], axis=1)
+
+
 def listed(docs: DataFrame, frequent) -> DataFrame:
     """(doc, tk, text) -> one row per line and word of its prefix."""
     def run(batches):
@@ -134,22 +155,25 @@ def listed(docs: DataFrame, frequent) -> DataFrame:
         for batch in slices(batches):
             rows = line_rows(batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2), order)
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows], names=NAMES)
+                for at in range(0, len(rows[0]), 500_000):
+                    yield _packed([c[at:at + 500_000] for c in rows])
 
-    return docs.select("doc", "tk", "text").mapInArrow(run, ", ".join(f"{n} long" for n in NAMES))
+    return docs.select("doc", "tk", "text").mapInArrow(run, LISTED)
 
 
-def candidate_pairs(word, doc, line, size, prints, *bits, first: int | None = None):
+def candidate_pairs(word, doc, line, size, prints, *bits, first: int | None = None, wanted: np.ndarray | None = None):
     """Pairs of lines (later, earlier) among rows of whole words.
 
     Returns (later doc, later line, earlier doc, earlier line, same, cut). same: equal in size, print, bitmap and rarest word;
-    such lines are one set. cut marks lines with more than `first` other candidates."""
+    such lines are one set. cut marks lines with more than `first` other candidates. wanted: rows whose lines may be the later ones."""
     more = np.zeros(len(word) + 1, dtype=bool)
     more[1:-1] = word[1:] == word[:-1]
     many = np.flatnonzero(more[1:] | more[:-1])  # a word of one line joins nothing
     word, doc, line, size, prints, *bits = (c[many] for c in (word, doc, line, size, prints, *bits))
+    wanted = None if wanted is None else wanted[many]
     by = np.lexsort((line, doc, *bits, prints, size, word))
     word, doc, line, size, prints, *bits = (c[by] for c in (word, doc, line, size, prints, *bits))
+    wanted = None if wanted is None else wanted[by]
     n, place = size >> 32, size & 0xFFFFFFFF
     new = np.ones(len(word), dtype=bool)
     new[1:] = np.any([c[1:] != c[:-1] for c in (word, size, prints, *bits)], axis=0)
@@ -157,7 +181,7 @@ def candidate_pairs(word, doc, line, size, prints, *bits, first: int | None = No
     copies = np.flatnonzero(~new & (place == 0) & ((doc != doc[leader]) | (line != line[leader])))  # identical sets meet under their first word
     lead = np.flatnonzero(new)
     w, m, at, b = word[lead], n[lead], place[lead], [x[lead].view(np.uint64) for x in bits]
-    late, early = [], []
+    late, early, far = [], [], []
     i, k = np.arange(len(lead)), 0
     while len(i):
         k += 1
@@ -167,17 +191,23 @@ def candidate_pairs(word, doc, line, size, prints, *bits, first: int | None = No
         i, j = i[ok], j[ok]
         need = -(-UP * (m[i] + m[j]) // (UP + DOWN))  # least intersection
         apart = sum(np.bitwise_count(x[i] ^ x[j]).astype(np.int64) for x in b)
-        mixed = (m[i] > LONG) != (m[j] > LONG)  # bitmaps of two lengths: fold the long one
-        if mixed.any():
-            x, y = i[mixed], j[mixed]
-            apart[mixed] = np.bitwise_count(b[0][x] ^ b[1][x] ^ b[2][x] ^ b[3][x] ^ b[0][y] ^ b[1][y] ^ b[2][y] ^ b[3][y])
+        for least in WIDE[::-1]:  # bitmaps of two widths: fold the wide one
+            mixed = (m[i] > least) != (m[j] > least)
+            if mixed.any():
+                x, y = i[mixed], j[mixed]
+                even, odd = b[0][x] ^ b[2][x] ^ b[0][y] ^ b[2][y], b[1][x] ^ b[3][x] ^ b[1][y] ^ b[3][y]
+                apart[mixed] = np.bitwise_count(even ^ odd) if least == WIDE[0] else np.bitwise_count(even).astype(np.int64) + np.bitwise_count(odd)
         ok = (np.minimum(m[i] - at[i], m[j] - at[j]) >= need) & (apart <= m[i] + m[j] - 2 * need)
         u, v = lead[i[ok]], lead[j[ok]]
         swap = (doc[u] > doc[v]) | ((doc[u] == doc[v]) & (line[u] > line[v]))
         late.append(np.where(swap, u, v))
         early.append(np.where(swap, v, u))
-    late, early = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (late, early))
-    by = np.lexsort((line[early], doc[early], late))
+        far.append(apart[ok])
+        if wanted is not None:
+            mine = wanted[late[-1]]
+            late[-1], early[-1], far[-1] = late[-1][mine], early[-1][mine], far[-1][mine]
+    late, early, far = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (late, early, far))
+    by = np.lexsort((line[early], doc[early], far, late))  # the most alike first, then the earliest
     late, early = late[by], early[by]
     cut = np.zeros(len(late), dtype=bool)
     if first is not None and len(late):
@@ -193,23 +223,31 @@ def candidate_pairs(word, doc, line, size, prints, *bits, first: int | None = No
 PAIRS = "later_doc long, later_line long, doc long, line long, same boolean, cut boolean"
 
 
-def candidates(rows: DataFrame, first: int | None) -> DataFrame:
-    """Candidate pairs of all listed rows. A word's rows meet in one task, copies collapsed as they stream in."""
+def candidates(rows: DataFrame, first: int | None, lost=None) -> DataFrame:
+    """Candidate pairs of all listed rows; a word's rows meet in one task. lost: pairs of these later lines (doc, line) only."""
     def run(batches):
+        only = None if lost is None else np.array(lost.value, dtype=np.int64).reshape(-1, 2)
         held = None
         for batch in slices(batches):
-            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(len(NAMES))]
+            table = _unpacked(batch)
             if held is not None:
-                cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
-            cut = int(np.searchsorted(cols[0], cols[0][-1]))  # the last word may go on
+                table = np.concatenate([held, table])
+            cut = int(np.searchsorted(table[:, 0], table[-1, 0]))  # the last word may go on
             if cut:
-                yield out([c[:cut] for c in cols])
-            held = [c[cut:] for c in cols]
+                yield out(table[:cut], only)
+            held = table[cut:]
         if held is not None:
-            yield out(held)
-
-    def out(cols):
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in candidate_pairs(*cols, first=first)], names=["later_doc", "later_line", "doc", "line", "same", "cut"])
+            yield out(held, only)
+
+    def out(table, only):
+        wanted = None
+        if only is not None:
+            wanted = np.isin(table[:, 1], only[:, 0])
+            pairs = set(map(tuple, only.tolist()))
+            at = np.flatnonzero(wanted)
+            wanted[at] = [x in pairs for x in map(tuple, table[at, 1:3].tolist())]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in candidate_pairs(*table.T, first=first, wanted=wanted)],
+                                          names=["later_doc", "later_line", "doc", "line", "same", "cut"])
 
     ordered = rows.repartition(partitions_for(rows.sparkSession), "word").sortWithinPartitions("word")
     return ordered.mapInArrow(run, PAIRS)
@@ -219,6 +257,7 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """(later_doc, later_line, cut, ok) of candidate pairs, by the words themselves."""
     ends = pairs.select(F.col("later_doc").alias("doc"), F.col("later_line").alias("line")).union(pairs.select("doc", "line")).distinct()
     wanted = ends.groupBy("doc", F.shiftright("line", 32).cast("int").alias("tk")).agg(F.collect_list(F.col("line").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")).alias("nos"))
+    wanted = small(materialize(wanted, "wanted"))
     lines = (docs.join(wanted, ["doc", "tk"]).select("doc", "tk", F.explode("nos").alias("no"), F.split("text", "\n", -1).alias("all"))
              .select("doc", (F.shiftleft(F.col("tk").cast("long"), 32) + F.col("no")).alias("line"), F.col("all")[F.col("no")].alias("one"))
              .select("doc", "line", F.array_distinct(F.array_remove(F.split("one", r"[\x20\x09-\x0D]+"), "")).alias("words")))
@@ -251,13 +290,22 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     checked = verified(pairs.where("not same").join(same, late, "left_anti"), texts)
     checked = materialize(checked.groupBy(*late).agg(F.max("ok").alias("ok"), F.max("cut").alias("cut")), "checked")
     found = same.union(checked.where("ok").select(*late))
-    lost = materialize(checked.where("cut and not ok").select(F.col("later_doc").alias("doc"), F.col("later_line").alias("line")), "open")
-    if not lost.isEmpty():  # all candidates of these lines, through the rows of their words only
-        theirs = texts.join(lost.select("doc").distinct(), "doc", "left_semi")
-        words = materialize(listed(theirs, frequent).join(lost, ["doc", "line"], "left_semi").select("word").distinct(), "words")
-        rest = candidates(listed(texts, frequent).join(words, "word", "left_semi").select(*NAMES), None)
-        again = materialize(rest.join(lost.toDF(*late), late, "left_semi").select(*late, "doc", "line", "cut").distinct(), "again")
-        found = found.union(verified(again, texts).where("ok").select(*late).distinct())
+    lost = checked.where("cut and not ok").select(F.col("later_doc").alias("doc"), F.col("later_line").alias("line"))
+    parts = lost.count() // LOST + 1  # searched in parts of a bounded number of lines each
+    if parts > 1 or not lost.isEmpty():
+        lost = materialize(lost.withColumn("part", F.pmod(F.xxhash64("doc", "line"), F.lit(parts))), "lost")
+    else:
+        parts = 0
+    for part in range(parts):
+        mine = [(r["doc"], r["line"]) for r in lost.where(F.col("part") == part).collect()]
+        held = spark.sparkContext.broadcast(mine)
+        ids = spark.createDataFrame(sorted({(d,) for d, _ in mine}), "doc long") if mine else None
+        if ids is None:
+            continue
+        words = listed(texts.join(F.broadcast(ids), "doc", "left_semi"), frequent).select("word").distinct()
+        rest = candidates(listed(texts, frequent).join(small(materialize(words, "words")), "word", "left_semi"), None, held)
+        again = materialize(rest.select(*late, "doc", "line", "cut").distinct(), "again")
+        found = found.union(materialize(verified(again, texts).where("ok").select(*late).distinct(), "again-ok"))
     found = materialize(found, "duplicates")
     return found.select(F.col("later_doc").alias("doc"), F.shiftright("later_line", 32).cast("int").alias("tk"),
                         F.col("later_line").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("no"))
@@ -265,9 +313,9 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def remove_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with their text less the duplicate lines, plus columns __lines and __removed (line numbers from 0)."""
-    gone = duplicate_lines(docs, id_col, text_col).groupBy("doc", "tk").agg(F.array_sort(F.collect_list("no")).alias("__removed"))
+    gone = duplicate_lines(docs, id_col, text_col).groupBy(F.col("doc").alias("__d"), F.col("tk").alias("__t")).agg(F.array_sort(F.collect_list("no")).alias("__removed"))
     keyed = docs.withColumn("__doc", F.coalesce(docs[id_col].cast("long"), F.lit((1 << 63) - 1))).withColumn("__tk", _tk(docs[text_col]))
-    joined = keyed.join(gone, (keyed["__doc"] == gone["doc"]) & (keyed["__tk"] == gone["tk"]), "left")
+    joined = keyed.join(gone, (keyed["__doc"] == gone["__d"]) & (keyed["__tk"] == gone["__t"]), "left")
     lines = F.split(F.col(text_col), "\n", -1)
     kept = F.array_join(F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains("__removed", s["i"])).getField("x"), "\n")
     text = F.when(F.col("__removed").isNull(), F.col(text_col)).otherwise(kept)
