@@ -15,7 +15,8 @@ doc_id, then by their number in the document.
    the sets' difference from below).
 4. Pairs that are left are verified on the words themselves.
 
-Each line needs one earlier match only, so a task passes on the FIRST candidates of a line, those with the most similar bitmaps. Lines
+Each line needs one earlier match only, so a task passes on a line's candidates by the likeness of their bitmaps, until FIRST of them are
+likely matches. Lines
 that had more and found no match among these are searched again without that bound, so
 nothing is lost.
 
@@ -165,13 +166,13 @@ def candidate_pairs(word, doc, line, size, prints, *bits, first: int | None = No
     """Pairs of lines (later, earlier) among rows of whole words.
 
     Returns (later doc, later line, earlier doc, earlier line, same, cut). same: equal in size, print, bitmap and rarest word;
-    such lines are one set. cut marks lines with more than `first` other candidates. wanted: rows whose lines may be the later ones."""
+    such lines are one set. cut marks lines with candidates beyond their `first` likely ones. wanted: rows whose lines may be the later ones."""
     more = np.zeros(len(word) + 1, dtype=bool)
     more[1:-1] = word[1:] == word[:-1]
     many = np.flatnonzero(more[1:] | more[:-1])  # a word of one line joins nothing
     word, doc, line, size, prints, *bits = (c[many] for c in (word, doc, line, size, prints, *bits))
     wanted = None if wanted is None else wanted[many]
-    by = np.lexsort((line, doc, *bits, prints, size, word))
+    by = np.lexsort((line, doc, prints, size, word))
     word, doc, line, size, prints, *bits = (c[by] for c in (word, doc, line, size, prints, *bits))
     wanted = None if wanted is None else wanted[by]
     n, place = size >> 32, size & 0xFFFFFFFF
@@ -181,7 +182,7 @@ def candidate_pairs(word, doc, line, size, prints, *bits, first: int | None = No
     copies = np.flatnonzero(~new & (place == 0) & ((doc != doc[leader]) | (line != line[leader])))  # identical sets meet under their first word
     lead = np.flatnonzero(new)
     w, m, at, b = word[lead], n[lead], place[lead], [x[lead].view(np.uint64) for x in bits]
-    late, early, far = [], [], []
+    late, early, far, sure = [], [], [], []
     i, k = np.arange(len(lead)), 0
     while len(i):
         k += 1
@@ -203,18 +204,23 @@ def candidate_pairs(word, doc, line, size, prints, *bits, first: int | None = No
         late.append(np.where(swap, u, v))
         early.append(np.where(swap, v, u))
         far.append(apart[ok])
+        # the bitmap of a short line hardly folds words onto each other; that of a long one must be well below the bound
+        sure.append(((m[j] <= WIDE[0]) | (5 * apart <= 3 * (m[i] + m[j] - 2 * need)))[ok])
         if wanted is not None:
             mine = wanted[late[-1]]
-            late[-1], early[-1], far[-1] = late[-1][mine], early[-1][mine], far[-1][mine]
-    late, early, far = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (late, early, far))
+            late[-1], early[-1], far[-1], sure[-1] = late[-1][mine], early[-1][mine], far[-1][mine], sure[-1][mine]
+    late, early, far = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (late, early, far, sure))
     by = np.lexsort((line[early], doc[early], far, late))  # the most alike first, then the earliest
-    late, early = late[by], early[by]
+    late, early, sure = late[by], early[by], sure[by].astype(bool)
     cut = np.zeros(len(late), dtype=bool)
     if first is not None and len(late):
         start = np.flatnonzero(np.concatenate([[True], late[1:] != late[:-1]]))
-        nth = np.arange(len(late)) - np.repeat(start, np.diff(np.append(start, len(late))))
-        over = np.isin(late, late[nth >= first])
-        late, early, cut = late[nth < first], early[nth < first], over[nth < first]
+        total = np.cumsum(sure)
+        before = total - sure
+        passed = before - np.repeat(before[start], np.diff(np.append(start, len(late))))  # likely matches ahead of it
+        stay = passed < first
+        cut = np.isin(late, late[~stay])[stay]
+        late, early = late[stay], early[stay]
     same = np.concatenate([np.ones(len(copies), dtype=bool), np.zeros(len(late), dtype=bool)])
     late, early, cut = np.concatenate([copies, late]), np.concatenate([leader[copies], early]), np.concatenate([np.zeros(len(copies), dtype=bool), cut])
     return doc[late], line[late], doc[early], line[early], same, cut
@@ -314,6 +320,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def remove_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with their text less the duplicate lines, plus columns __lines and __removed (line numbers from 0)."""
     gone = duplicate_lines(docs, id_col, text_col).groupBy(F.col("doc").alias("__d"), F.col("tk").alias("__t")).agg(F.array_sort(F.collect_list("no")).alias("__removed"))
+    gone = small(materialize(gone, "gone"))
     keyed = docs.withColumn("__doc", F.coalesce(docs[id_col].cast("long"), F.lit((1 << 63) - 1))).withColumn("__tk", _tk(docs[text_col]))
     joined = keyed.join(gone, (keyed["__doc"] == gone["__d"]) & (keyed["__tk"] == gone["__t"]), "left")
     lines = F.split(F.col(text_col), "\n", -1)
