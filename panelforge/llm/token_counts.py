@@ -18,8 +18,7 @@ gives an empty result; repeated rows are counted each; extra columns are ignored
 
 from __future__ import annotations
 
-import re
-
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +26,6 @@ from pyspark.sql import functions as F
 from panelforge.llm.common import pick, ship, slices
 
 MARK = "▁"  # the model's space mark; a literal one in a text is the same as a space
-PRETOKEN = re.compile(r"\n| *[^ \n]+| +")
 CACHE = 400_000  # merged pre-tokens a worker remembers; longer ones are not kept
 _LOADED: dict = {}
 
@@ -54,25 +52,39 @@ class Counter:
         extra = [0 if t[0] == " " else 2 for t in todo]  # space mark and line feed
         return [len(ids) - x for ids, x in zip(self.sp.encode(plain, num_threads=1), extra)]
 
-    def count(self, texts: list[str]) -> list[int]:
-        found = []
-        for t in texts:
-            t = t.replace(MARK, " ")
-            found.append(PRETOKEN.findall(" " + t) if t else [])
-        known = self.shortcut
-        todo = list({p for ps in found for p in ps if p not in known and p not in self.cache})
-        fresh = dict(zip(todo, self._merge(todo)))
-        if len(self.cache) + len(fresh) > CACHE:
-            self.cache.clear()
-        self.cache.update((k, v) for k, v in fresh.items() if len(k) <= 64)
-        cache = self.cache
-        out = []
-        for ps in found:
-            n = 0
-            for p in ps:
-                n += known.get(p) or cache.get(p) or fresh[p]
-            out.append(n)
-        return out
+    def count_distinct(self, pretokens: list[str]) -> np.ndarray:
+        known, cache = self.shortcut, self.cache
+        out = [known.get(p) or cache.get(p) for p in pretokens]
+        todo = [i for i, n in enumerate(out) if n is None]
+        fresh = self._merge([pretokens[i] for i in todo]) if todo else []
+        if len(cache) + len(todo) > CACHE:
+            cache.clear()
+        for i, n in zip(todo, fresh):
+            out[i] = n
+            if len(pretokens[i]) <= 64:
+                cache[pretokens[i]] = n
+        return np.array(out, dtype=np.int64)
+
+    def count(self, texts: pa.Array) -> np.ndarray:
+        """Tokens of each text; texts come with one space before them, or empty."""
+        texts = texts.cast(pa.large_binary())
+        if texts.buffers()[2] is not None and b"\xe2\x96\x81" in memoryview(texts.buffers()[2]).tobytes():
+            texts = pa.array([t.replace(MARK.encode(), b" ") for t in texts.to_pylist()], pa.large_binary())
+        offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        if offsets[-1] == offsets[0]:
+            return np.zeros(len(texts), dtype=np.int64)
+        data = np.frombuffer(texts.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]]
+        offsets = offsets - offsets[0]
+        feed, space = data == 10, data == 32
+        first = feed.copy()
+        first[1:] |= feed[:-1] | (space[1:] & ~space[:-1])
+        first[offsets[:-1][offsets[:-1] < len(data)]] = True
+        at = np.flatnonzero(first)
+        pieces = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(np.append(at, len(data)).astype(np.int32)), pa.py_buffer(data)])
+        coded = pieces.dictionary_encode()
+        n = self.count_distinct([p.decode("utf-8", "replace") for p in coded.dictionary.to_pylist()])
+        total = np.concatenate([[0], np.cumsum(n[coded.indices.to_numpy()])])
+        return np.diff(total[np.searchsorted(at, offsets)])
 
 
 def counter(model: str) -> Counter:
@@ -87,13 +99,13 @@ def token_counts(docs: DataFrame, model: str, limit: int = 4096, id_col: str = "
 
     def run(batches):
         c = counter(model)
-        for batch in slices(batches, 4 << 20):
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(c.count(texts), pa.int64())],
+        for batch in slices(batches):
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(c.count(batch.column(1)))],
                                              names=["id", "n_bytes", "n_tokens"])
 
     src = pick(docs, id=id_col, text=text_col)
+    spaced = F.when(F.coalesce("text", F.lit("")) == "", F.lit("")).otherwise(F.concat(F.lit(" "), "text"))  # as the model puts it
     kind = src.schema["id"].dataType.simpleString()
-    counted = src.select("id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")).mapInArrow(
+    counted = src.select("id", spaced.alias("text"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")).mapInArrow(
         run, f"id {kind}, n_bytes long, n_tokens long")
     return counted.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
