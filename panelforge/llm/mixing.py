@@ -53,7 +53,11 @@ def count_words(docs: DataFrame, id_col: str, text_col: str, levels: Mapping[str
 
 def allocate(leaves: DataFrame, names: Sequence[str], budget: float, weights: Sequence[Mapping[str, float]], max_epochs: int) -> DataFrame:
     """(names.., tokens) -> (names.., tokens, budget): budgets handed down level by level."""
-    nodes = leaves.groupBy(*names).agg(F.sum("tokens").alias("tokens")).withColumn("cap", F.col("tokens").cast("double") * max_epochs)
+    barred = F.lit(False)  # below a weight of 0: no capacity at any level
+    for name, given in zip(names, weights):
+        for key in (k for k, w in given.items() if w <= 0):
+            barred = barred | (F.col(name) == key)
+    nodes = leaves.groupBy(*names).agg(F.sum("tokens").alias("tokens")).withColumn("cap", F.when(barred, 0.0).otherwise(F.col("tokens").cast("double") * max_epochs))
     share = None
     for depth, name in enumerate(names):
         parent, path = list(names[:depth]), list(names[:depth + 1])
