@@ -209,7 +209,7 @@ def candidate_pairs(word, doc, line, size, prints, *bits, first: int | None = No
         if wanted is not None:
             mine = wanted[late[-1]]
             late[-1], early[-1], far[-1], sure[-1] = late[-1][mine], early[-1][mine], far[-1][mine], sure[-1][mine]
-    late, early, far = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (late, early, far, sure))
+    late, early, far, sure = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (late, early, far, sure))
     by = np.lexsort((line[early], doc[early], far, late))  # the most alike first, then the earliest
     late, early, sure = late[by], early[by], sure[by].astype(bool)
     cut = np.zeros(len(late), dtype=bool)
