@@ -77,11 +77,10 @@ _SOLID = np.ones(256, dtype=bool)
 _SOLID[list(SPACE)] = False
 
 
-def words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+def cut_words(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a string column without nulls, in one pass over its bytes.
 
-    Returns the words (binary), and for each its row, its line within the row, and a number that tells lines of
-    the whole column apart (ascending)."""
+    Returns the words (binary), their first bytes' places, the column's bytes and its rows' bounds in them."""
     column = column.cast(pa.large_binary()) if not pa.types.is_large_binary(column.type) else column
     offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset:column.offset + len(column) + 1]
     raw = column.buffers()[2]
@@ -93,13 +92,18 @@ def words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.nda
     edges = offsets[:-1][offsets[:-1] < len(data)]
     first[edges] = solid[edges]  # a word ends with its row
     at = np.flatnonzero(first)
-    before = np.append(np.cumsum(solid, dtype=np.int32)[at] - 1, np.int32(np.count_nonzero(solid))).astype(np.int32)
-    words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(before), pa.py_buffer(data[solid])])
+    letters = data[solid]
+    bounds = np.append(np.cumsum(solid, dtype=np.int32)[at] - 1, len(letters)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(bounds), pa.py_buffer(letters)]), at, data, offsets
+
+
+def words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of a string column without nulls, and for each its row, its line within the row, and a number that tells
+    lines of the whole column apart (ascending)."""
+    words, at, data, offsets = cut_words(column)
     feeds = np.flatnonzero(data == 10)
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(at, offsets)))
-    ahead = np.zeros(len(at) + 1, dtype=np.int64)  # line feeds before each word
-    np.add.at(ahead, np.searchsorted(at, feeds), 1)
-    ahead = np.cumsum(ahead)[:-1]
+    ahead = np.cumsum(np.bincount(np.searchsorted(at, feeds), minlength=len(at) + 1))[:-1]  # line feeds before each word
     return words, row, ahead - np.searchsorted(feeds, offsets[:-1])[row], ahead + row
 
 

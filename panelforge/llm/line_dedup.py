@@ -33,11 +33,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import hash_words, materialize, partitions_for, ship, small, slices, words_of
+from panelforge.llm.common import cut_words, hash_words, materialize, partitions_for, ship, small, slices, words_of
 
 UP, DOWN = 4, 5  # threshold 4/5
 FREQUENT, FREQUENT_BYTES = 65_536, 48
-FIRST = 8
+FIRST = 5
 LOST = 20_000  # lines of one more search
 _TOP = 1 << 62
 
@@ -46,8 +46,8 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """(word, n) over all texts. Words that occur once in a slice of some megabytes are left out there: they are not
     frequent, and rare words are ordered by hash anyway."""
     def run(batches):
-        for batch in slices(batches):
-            counts = words_of(batch.column(0))[0].value_counts()
+        for batch in slices(batches, 4 << 20):
+            counts = cut_words(batch.column(0))[0].value_counts()
             seen = counts.filter(pc.greater(counts.field("counts"), 1))
             yield pa.RecordBatch.from_arrays([seen.field("values"), seen.field("counts")], names=["word", "n"])
 
@@ -90,7 +90,15 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 NAMES = ("word", "doc", "line", "size", "print", "bits0", "bits1", "bits2", "bits3")
-WIDE = (24, 96)  # lines of more words get a bitmap of 128 and of 256 bits instead of 64
+
+
+def width(n: np.ndarray) -> np.ndarray:
+    """Bitmap of a line of n words: 0, 1 and 2 for 64, 128 and 256 bits.
+
+    Lines of middle length have the most rows, so theirs are narrower."""
+    return np.select([n <= 10, n <= 24, n <= 96], [0, 2, 1], 2)
+
+
 
 
 def line_rows(doc: np.ndarray, tk: np.ndarray, text: pa.Array, order: Order):
@@ -116,11 +124,11 @@ def line_rows(doc: np.ndarray, tk: np.ndarray, text: pa.Array, order: Order):
     one = np.uint64(1) << (mixed >> np.uint64(58))
     block = (mixed >> np.uint64(56)) & np.uint64(3)
     bits = np.array([np.bitwise_xor.reduceat(np.where(block == k, one, np.uint64(0)), starts) for k in range(4)])
-    fold = n <= WIDE[1]  # narrower bitmaps are the wide one folded
+    fold = width(n) < 2  # narrower bitmaps are the wide one folded
     bits[0, fold] ^= bits[2, fold]
     bits[1, fold] ^= bits[3, fold]
     bits[2:, fold] = 0
-    fold = n <= WIDE[0]
+    fold = width(n) < 1
     bits[0, fold] ^= bits[1, fold]
     bits[1, fold] = 0
     prints = np.add.reduceat(mixed ^ (mixed >> np.uint64(29)), starts) ^ n.astype(np.uint64)
@@ -153,7 +161,7 @@ def listed(docs: DataFrame, frequent) -> DataFrame:
     """(doc, tk, text) -> one row per line and word of its prefix."""
     def run(batches):
         order = Order(frequent.value)
-        for batch in slices(batches):
+        for batch in slices(batches, 4 << 20):
             rows = line_rows(batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2), order)
             if rows:
                 for at in range(0, len(rows[0]), 500_000):
@@ -183,6 +191,7 @@ def candidate_pairs(word, doc, line, size, prints, *bits, first: int | None = No
     lead = np.flatnonzero(new)
     w, m, at, b = word[lead], n[lead], place[lead], [x[lead].view(np.uint64) for x in bits]
     late, early, far, sure = [], [], [], []
+    wide = width(m)
     i, k = np.arange(len(lead)), 0
     while len(i):
         k += 1
@@ -192,12 +201,12 @@ def candidate_pairs(word, doc, line, size, prints, *bits, first: int | None = No
         i, j = i[ok], j[ok]
         need = -(-UP * (m[i] + m[j]) // (UP + DOWN))  # least intersection
         apart = sum(np.bitwise_count(x[i] ^ x[j]).astype(np.int64) for x in b)
-        for least in WIDE[::-1]:  # bitmaps of two widths: fold the wide one
-            mixed = (m[i] > least) != (m[j] > least)
+        for level in (1, 0):  # bitmaps of two widths: fold the wide one
+            mixed = (np.minimum(wide[i], wide[j]) == level) & (wide[i] != wide[j])
             if mixed.any():
                 x, y = i[mixed], j[mixed]
                 even, odd = b[0][x] ^ b[2][x] ^ b[0][y] ^ b[2][y], b[1][x] ^ b[3][x] ^ b[1][y] ^ b[3][y]
-                apart[mixed] = np.bitwise_count(even ^ odd) if least == WIDE[0] else np.bitwise_count(even).astype(np.int64) + np.bitwise_count(odd)
+                apart[mixed] = np.bitwise_count(even ^ odd) if level == 0 else np.bitwise_count(even).astype(np.int64) + np.bitwise_count(odd)
         ok = (np.minimum(m[i] - at[i], m[j] - at[j]) >= need) & (apart <= m[i] + m[j] - 2 * need)
         u, v = lead[i[ok]], lead[j[ok]]
         swap = (doc[u] > doc[v]) | ((doc[u] == doc[v]) & (line[u] > line[v]))
@@ -205,7 +214,7 @@ def candidate_pairs(word, doc, line, size, prints, *bits, first: int | None = No
         early.append(np.where(swap, v, u))
         far.append(apart[ok])
         # the bitmap of a short line hardly folds words onto each other; that of a long one must be well below the bound
-        sure.append(((m[j] <= WIDE[0]) | (5 * apart <= 3 * (m[i] + m[j] - 2 * need)))[ok])
+        sure.append(((m[j] <= 24) | (5 * apart <= 3 * (m[i] + m[j] - 2 * need)))[ok])
         if wanted is not None:
             mine = wanted[late[-1]]
             late[-1], early[-1], far[-1], sure[-1] = late[-1][mine], early[-1][mine], far[-1][mine], sure[-1][mine]
