@@ -173,7 +173,7 @@ def listed(docs: DataFrame, frequent) -> DataFrame:
 def candidate_pairs(word, doc, line, size, prints, *bits, first: int | None = None, wanted: np.ndarray | None = None):
     """Pairs of lines (later, earlier) among rows of whole words.
 
-    Returns (later doc, later line, earlier doc, earlier line, same, cut). same: equal in size, print, bitmap and rarest word;
+    Returns (later doc, later line, earlier doc, earlier line, same, cut, distance of the bitmaps). same: equal in size, print, bitmap and rarest word;
     such lines are one set. cut marks lines with candidates beyond their `first` likely ones. wanted: rows whose lines may be the later ones."""
     more = np.zeros(len(word) + 1, dtype=bool)
     more[1:-1] = word[1:] == word[:-1]
@@ -220,7 +220,7 @@ def candidate_pairs(word, doc, line, size, prints, *bits, first: int | None = No
             late[-1], early[-1], far[-1], sure[-1] = late[-1][mine], early[-1][mine], far[-1][mine], sure[-1][mine]
     late, early, far, sure = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (late, early, far, sure))
     by = np.lexsort((line[early], doc[early], far, late))  # the most alike first, then the earliest
-    late, early, sure = late[by], early[by], sure[by].astype(bool)
+    late, early, far, sure = late[by], early[by], far[by], sure[by].astype(bool)
     cut = np.zeros(len(late), dtype=bool)
     if first is not None and len(late):
         start = np.flatnonzero(np.concatenate([[True], late[1:] != late[:-1]]))
@@ -229,13 +229,13 @@ def candidate_pairs(word, doc, line, size, prints, *bits, first: int | None = No
         passed = before - np.repeat(before[start], np.diff(np.append(start, len(late))))  # likely matches ahead of it
         stay = passed < first
         cut = np.isin(late, late[~stay])[stay]
-        late, early = late[stay], early[stay]
+        late, early, far = late[stay], early[stay], far[stay]
     same = np.concatenate([np.ones(len(copies), dtype=bool), np.zeros(len(late), dtype=bool)])
     late, early, cut = np.concatenate([copies, late]), np.concatenate([leader[copies], early]), np.concatenate([np.zeros(len(copies), dtype=bool), cut])
-    return doc[late], line[late], doc[early], line[early], same, cut
+    return doc[late], line[late], doc[early], line[early], same, cut, np.concatenate([np.zeros(len(copies), dtype=np.int64), far.astype(np.int64)])
 
 
-PAIRS = "later_doc long, later_line long, doc long, line long, same boolean, cut boolean"
+PAIRS = "later_doc long, later_line long, doc long, line long, same boolean, cut boolean, far long"
 
 
 def candidates(rows: DataFrame, first: int | None, lost=None) -> DataFrame:
@@ -262,24 +262,36 @@ def candidates(rows: DataFrame, first: int | None, lost=None) -> DataFrame:
             at = np.flatnonzero(wanted)
             wanted[at] = [x in pairs for x in map(tuple, table[at, 1:3].tolist())]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in candidate_pairs(*table.T, first=first, wanted=wanted)],
-                                          names=["later_doc", "later_line", "doc", "line", "same", "cut"])
+                                          names=["later_doc", "later_line", "doc", "line", "same", "cut", "far"])
 
     ordered = rows.repartition(partitions_for(rows.sparkSession), "word").sortWithinPartitions("word")
     return ordered.mapInArrow(run, PAIRS)
 
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """(later_doc, later_line, cut, ok) of candidate pairs, by the words themselves."""
+    """(later_doc, later_line, cut, ok) of lines with candidates, by the words themselves.
+
+    Each line is held against its most alike candidate first, and against the others only if that fails."""
+    late = ["later_doc", "later_line"]
     ends = pairs.select(F.col("later_doc").alias("doc"), F.col("later_line").alias("line")).union(pairs.select("doc", "line")).distinct()
     wanted = ends.groupBy("doc", F.shiftright("line", 32).cast("int").alias("tk")).agg(F.collect_list(F.col("line").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")).alias("nos"))
     wanted = small(materialize(wanted, "wanted"))
-    lines = (docs.join(wanted, ["doc", "tk"]).select("doc", "tk", F.explode("nos").alias("no"), F.split("text", "\n", -1).alias("all"))
-             .select("doc", (F.shiftleft(F.col("tk").cast("long"), 32) + F.col("no")).alias("line"), F.col("all")[F.col("no")].alias("one"))
-             .select("doc", "line", F.array_distinct(F.array_remove(F.split("one", r"[\x20\x09-\x0D]+"), "")).alias("words")))
+    lines = materialize(
+        docs.join(wanted, ["doc", "tk"]).select("doc", "tk", F.explode("nos").alias("no"), F.split("text", "\n", -1).alias("all"))
+        .select("doc", (F.shiftleft(F.col("tk").cast("long"), 32) + F.col("no")).alias("line"), F.col("all")[F.col("no")].alias("one"))
+        .select("doc", "line", F.array_distinct(F.array_remove(F.split("one", r"[\x20\x09-\x0D]+"), "")).alias("words")), "lines")
     later = lines.select(F.col("doc").alias("later_doc"), F.col("line").alias("later_line"), F.col("words").alias("later_words"))
     both = F.size(F.array_intersect("words", "later_words"))
-    return (pairs.join(lines, ["doc", "line"]).join(later, ["later_doc", "later_line"])
-            .select("later_doc", "later_line", "cut", (both * (UP + DOWN) >= UP * (F.size("words") + F.size("later_words"))).alias("ok")))
+
+    def held(some: DataFrame, name: str) -> DataFrame:
+        return materialize(some.join(lines, ["doc", "line"]).join(later, late)
+                           .select(*late, "cut", (both * (UP + DOWN) >= UP * (F.size("words") + F.size("later_words"))).alias("ok")), name)
+
+    best = pairs.groupBy(*late).agg(F.max("cut").alias("cut"), F.min_by(F.struct("doc", "line"), F.struct("far", "doc", "line")).alias("b")).select(*late, "cut", "b.*")
+    first = held(best, "first")
+    others = pairs.join(first.where("not ok").select(*late), late, "left_semi")
+    rest = held(others.select(*late, "doc", "line", "cut"), "others")
+    return first.union(rest).groupBy(*late).agg(F.max("ok").alias("ok"), F.max("cut").alias("cut"))
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -298,12 +310,11 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = _texts(docs, id_col, text_col)
     frequent = spark.sparkContext.broadcast(frequent_words(word_counts(texts)))
     pairs = materialize(candidates(listed(texts, frequent), FIRST).groupBy("later_doc", "later_line", "doc", "line")
-                        .agg(F.max("same").alias("same"), F.max("cut").alias("cut")), "pairs")
+                        .agg(F.max("same").alias("same"), F.max("cut").alias("cut"), F.min("far").alias("far")), "pairs")
     late = ["later_doc", "later_line"]
     same = pairs.where("same").select(*late).distinct()
     # lines with an equal earlier line need no other match
-    checked = verified(pairs.where("not same").join(same, late, "left_anti"), texts)
-    checked = materialize(checked.groupBy(*late).agg(F.max("ok").alias("ok"), F.max("cut").alias("cut")), "checked")
+    checked = materialize(verified(materialize(pairs.where("not same").join(same, late, "left_anti"), "unlike"), texts), "checked")
     found = same.union(checked.where("ok").select(*late))
     lost = checked.where("cut and not ok").select(F.col("later_doc").alias("doc"), F.col("later_line").alias("line"))
     parts = lost.count() // LOST + 1  # searched in parts of a bounded number of lines each
@@ -319,7 +330,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             continue
         words = listed(texts.join(F.broadcast(ids), "doc", "left_semi"), frequent).select("word").distinct()
         rest = candidates(listed(texts, frequent).join(small(materialize(words, "words")), "word", "left_semi"), None, held)
-        again = materialize(rest.select(*late, "doc", "line", "cut").distinct(), "again")
+        again = materialize(rest.select(*late, "doc", "line", "cut", "far").groupBy(*late, "doc", "line").agg(F.max("cut").alias("cut"), F.min("far").alias("far")), "again")
         found = found.union(materialize(verified(again, texts).where("ok").select(*late).distinct(), "again-ok"))
     found = materialize(found, "duplicates")
     return found.select(F.col("later_doc").alias("doc"), F.shiftright("later_line", 32).cast("int").alias("tk"),
