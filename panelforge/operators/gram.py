@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelforge.session import ship_package
+
 EXPR_LIMIT = 6  # above this, hundreds of covar aggregates overwhelm whole-stage codegen
 
 
@@ -124,17 +126,17 @@ def _moments_wide(src: DataFrame, q: int, g: list[str]) -> dict[tuple, Moments]:
     iu, ju = np.triu_indices(q)
 
     def partial(batches):
+        """One upper triangle per group of the partition, yielded once at its end."""
+        sums: dict[str, np.ndarray] = {}
         for pdf in batches:
-            if pdf.empty:
-                continue
-            keys = (pdf[g].astype(object).apply(lambda r: _jkey(list(r)), axis=1)
-                    if g else pd.Series(["[]"] * len(pdf), index=pdf.index))
-            for key, idx in keys.groupby(keys).groups.items():
-                Z = pdf.loc[idx, zc].to_numpy(dtype=float) - np.asarray(means[key])
-                S = Z.T @ Z
-                yield pd.DataFrame({"gkey": key, "i": iu.astype("int32"), "j": ju.astype("int32"),
-                                    "v": S[iu, ju]})
-
+            for key, part in (pdf.groupby(g, dropna=False, sort=False) if g else [((), pdf)]):
+                name = _jkey([None if v is None or v != v else v for v in key])
+                Z = part[zc].to_numpy(dtype=float) - np.asarray(means[name])
+                sums[name] = sums.get(name, 0.0) + (Z.T @ Z)[iu, ju]
+        for name, v in sums.items():
+            yield pd.DataFrame({"gkey": name, "i": iu.astype("int32"), "j": ju.astype("int32"), "v": v})
+
+    ship_package(src.sparkSession)
     sums = (src.mapInPandas(partial, "gkey string, i int, j int, v double")
             .groupBy("gkey", "i", "j").agg(F.sum("v").alias("v")).collect())
     out: dict[tuple, Moments] = {}

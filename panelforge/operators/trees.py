@@ -195,32 +195,35 @@ def _coprime_multiplier(n: int, rng: random.Random) -> int:
             return a
 
 
+def permuted_index(a: str, i: str, b: str, n: int):
+    """(a * i + b) mod n without overflow."""
+    wide = [F.col(c).cast("decimal(19,0)") for c in (a, i, b)]
+    return F.pmod(wide[0] * wide[1] + wide[2], F.lit(max(n, 1)).cast("decimal(19,0)")).cast("long")
+
+
 def permutation_importance(model: TreeModel, df: DataFrame, *, label: str = "target", keys: list[str],
                            n_repeats: int = 5, seed: int = 42, scoring: str = "r2") -> DataFrame:
     """Score drop when one feature's values are permuted across the rows.
 
-    The rows get a dense index once; each (feature, repeat) permutation is the
-    bijection i -> (a * i + b) mod n with a coprime to n (a, b seeded), so the
-    permuted value of row i is row ((a * i + b) mod n)'s value: an equi-join on
-    the index, no sort and no group.  All variants are scored in one table and
-    one ``groupBy``.  (Permutations are pseudo-random bijections, not numpy's
+    The rows get a dense index once; each repeat's permutation is the bijection
+    i -> (a * i + b) mod n with a coprime to n (a, b seeded), shared by all features, so the
+    permuted value of row i is row ((a * i + b) mod n)'s value: one equi-join on the index
+    per repeat, no sort and no group. Features fan out after the join, so the
+    shuffle carries one copy of the rows for each repeat. The index arithmetic is DECIMAL(38):
+    a * i passes the range of LONG beyond some 3e9 rows. All variants are scored in one
+    table and one ``groupBy``.  (Permutations are pseudo-random bijections, not numpy's
     generator; importances agree in distribution, not digit for digit.)
     """
     feats = model.features
     base = dense_index(df.select(*keys, *feats, label), keys, out="_i")
     n = base.count()
     rng = random.Random(seed)
-    variants = []
-    for j, f in enumerate(feats):
-        for r in range(n_repeats):
-            variants.append(F.struct(F.lit(f).alias("_feature"), F.lit(r).alias("_repeat"),
-                                     F.lit(_coprime_multiplier(n, rng)).cast("long").alias("_a"),
-                                     F.lit(rng.randrange(n) if n else 0).cast("long").alias("_b")))
-    expanded = base.select("*", F.explode(F.array(*variants)).alias("_v")).select(
-        "*", "_v._feature", "_v._repeat",
-        F.pmod(F.col("_v._a") * F.col("_i") + F.col("_v._b"), F.lit(max(n, 1))).alias("_src")).drop("_v")
+    repeats = F.array(*[F.struct(F.lit(r).alias("_repeat"), F.lit(_coprime_multiplier(n, rng)).cast("long").alias("_a"),
+                                 F.lit(rng.randrange(n) if n else 0).cast("long").alias("_b")) for r in range(n_repeats)])
+    expanded = base.select("*", F.explode(repeats).alias("_v")).select(
+        "*", "_v._repeat", permuted_index("_v._a", "_i", "_v._b", n).alias("_src")).drop("_v")
     donors = base.select(F.col("_i").alias("_src"), *[F.col(f).alias(f"_d_{f}") for f in feats])
-    joined = expanded.join(donors, "_src")
+    joined = expanded.join(donors, "_src").withColumn("_feature", F.explode(F.array(*[F.lit(f) for f in feats])))
     permuted = joined.select(
         "_feature", "_repeat", F.col(label),
         *[F.when(F.col("_feature") == F.lit(f), F.col(f"_d_{f}")).otherwise(F.col(f)).alias(f) for f in feats])

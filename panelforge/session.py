@@ -7,8 +7,11 @@ themselves, and only when it is unset.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -43,6 +46,27 @@ def checkpoint_root(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     scratch = tempfile.mkdtemp(prefix="panelforge-ckpt-")  # local runs and tests only
+    atexit.register(shutil.rmtree, scratch, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(scratch)
     return scratch
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per session, so that Python tasks find it wherever they start."""
+    context = spark.sparkContext
+    if getattr(context, "_panelforge_package", None):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="panelforge-pkg-"), "panelforge_code.zip")  # the driver's copy; Spark sends it
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(target)
+    context._panelforge_package = target
+    atexit.register(shutil.rmtree, os.path.dirname(target), ignore_errors=True)

@@ -4,10 +4,12 @@
 ``availableNow`` (process everything landed, then stop), and ``foreachBatch``:
 
 * per batch and file: rows, distinct entities and periods, duplicate keys
-  inside the file (V3) and the schema check (V4) -> appended to the ledger (V18);
-* rows are appended to the panel store under ``epoch=<batch id>``, written in
-  overwrite mode for that partition only, so a replayed batch after a failure
-  rewrites the same folder (idempotent, exactly-once with the checkpoint).
+  inside the file (V3) and the schema check of the file's own footer (V4) -> the
+  ledger (V18); a file that lacks a required column is in the ledger with
+  ``schema_ok = false`` and stays out of the store;
+* ledger and store rows go under ``epoch=<batch id>``, written in overwrite mode for
+  that partition only, so a replayed batch after a failure rewrites the same
+  folders (idempotent, exactly-once with the checkpoint).
 
 A late correction is simply a later drop: ``resolve_latest`` keeps, per key,
 the row of the most recent drop (row_number over the key ordered by drop time;
@@ -30,12 +32,20 @@ def ingest_drops(spark: SparkSession, landing: str, store: str, ledger: str, che
               .option("recursiveFileLookup", "true").parquet(landing)
               .withColumn("drop_file", F.col("_metadata.file_path"))
               .withColumn("drop_time", F.col("_metadata.file_modification_time")))
-    missing = [c for c in required if c not in stream.columns]
     batches = []
 
+    def faulty(files: list[str]) -> list[str]:
+        """Files whose own schema lacks a required column; at most files_per_batch footers."""
+        return [f for f in files if not set(required) <= set(spark.read.parquet(f).columns)]
+
+    def put(df: DataFrame, epoch_id: int, path: str) -> None:
+        (df.withColumn("epoch", F.lit(epoch_id).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(path))
+
     def handle(batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()
         try:
+            bad = faulty([r[0] for r in batch.select("drop_file").distinct().collect()]) if required else []
             profile = batch.groupBy("drop_file", "drop_time").agg(
                 F.count(F.lit(1)).cast("long").alias("n_rows"),
                 F.countDistinct(keys[0]).cast("long").alias("n_entities"),
@@ -44,11 +54,9 @@ def ingest_drops(spark: SparkSession, landing: str, store: str, ledger: str, che
                    .groupBy("drop_file").agg(F.count(F.lit(1)).cast("long").alias("n_duplicate_keys")))
             entry = (profile.join(dup, "drop_file", "left")
                      .withColumn("n_duplicate_keys", F.coalesce("n_duplicate_keys", F.lit(0)).cast("long"))
-                     .withColumn("schema_ok", F.lit(not missing))
-                     .withColumn("role", F.lit(role)).withColumn("epoch", F.lit(epoch_id).cast("long")))
-            entry.write.mode("append").parquet(ledger)
-            (batch.withColumn("epoch", F.lit(epoch_id).cast("long")).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(store))
+                     .withColumn("schema_ok", ~F.col("drop_file").isin(bad)).withColumn("role", F.lit(role)))
+            put(entry, epoch_id, ledger)
+            put(batch.where(~F.col("drop_file").isin(bad)), epoch_id, store)
             batches.append(epoch_id)
         finally:
             batch.unpersist()

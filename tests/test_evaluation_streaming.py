@@ -81,3 +81,16 @@ def test_error_percentiles_exact_per_model(spark):
         err = np.abs(g["actual"] - g["pred"]).to_numpy()
         for p, name in ((0.5, "p50"), (0.75, "p75"), (0.9, "p90"), (0.95, "p95")):
             assert abs(got[m][name] - float(np.quantile(err, p))) < 5e-7
+
+
+def test_replayed_batch_leaves_one_ledger_row_and_faulty_file_stays_out(spark, tmp_path):
+    land, store, ledger = (str(tmp_path / n) for n in ("land", "store", "ledger"))
+    good = spark.createDataFrame([(1, 202001, 0.5), (2, 202001, 0.1)], "entity long, period int, ret double")
+    good.coalesce(1).write.parquet(f"{land}/drop1")
+    good.drop("ret").coalesce(1).write.parquet(f"{land}/drop2")
+    for attempt in range(2):  # a fresh checkpoint replays batch 0
+        ingest_drops(spark, land, store, ledger, str(tmp_path / f"ckpt{attempt}"), good.schema, required=("ret",))
+    rows = spark.read.parquet(ledger).collect()
+    assert sorted(r.schema_ok for r in rows) == [False, True]
+    kept = spark.read.parquet(store).collect()
+    assert sorted((r.entity, r.ret) for r in kept) == [(1, 0.5), (2, 0.1)]

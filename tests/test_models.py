@@ -218,3 +218,28 @@ def test_boosting_prefix_scores_equal_separate_fits(spark, reg_df):
             sc = tr._score(tr.estimator("gbt", dict(c)).fit(data.where(a)).transform(data.where(b)), "target")
             got = shared[(json.dumps(c, sort_keys=True), fi + 1)]
             assert np.allclose(got, (sc["mae"], sc["rmse"], sc["r2"]), atol=1e-9)
+
+
+def test_permuted_index_passes_the_range_of_long(spark):
+    from panelforge.operators.trees import permuted_index
+    n, a, i, b = 5_000_000_000, 4_999_999_997, 4_999_999_999, 12_345
+    got = spark.createDataFrame([(a, i, b)], "a long, i long, b long").select(permuted_index("a", "i", "b", n)).first()[0]
+    assert got == (a * i + b) % n
+
+
+def test_wide_moments_shuffle_one_triangle_per_partition_and_group(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from panelforge.operators import gram
+    cols = [f"c{i}" for i in range(8)]
+    df = spark.range(0, 30_000, 1, 3).select((F.col("id") % 4).alias("g"), *[F.sin(F.col("id") * (i + 1)).alias(c) for i, c in enumerate(cols)])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    try:
+        got = gram.moments(df, cols, ["g"])
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    pdf = df.toPandas()
+    for key, part in pdf.groupby("g"):
+        z = part[cols].to_numpy()
+        assert np.allclose(got[(key,)].C, (z - z.mean(0)).T @ (z - z.mean(0)))
