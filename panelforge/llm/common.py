@@ -131,7 +131,7 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [b or b"" for b in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()]
 
 
-def slices(batches, most_bytes: int = 8 << 20):
+def slices(batches, most_bytes: int = 4 << 20):
     """Cut Arrow batches into pieces of about most_bytes, so that long rows never pile up in Python."""
     for batch in batches:
         rows = batch.num_rows
@@ -140,6 +140,7 @@ def slices(batches, most_bytes: int = 8 << 20):
         step = max(1, int(rows * most_bytes / max(batch.nbytes, 1)))
         for at in range(0, rows, step):
             yield batch.slice(at, step)
+    pa.default_memory_pool().release_unused()  # workers live on after their task
 
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:

@@ -31,10 +31,11 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import materialize, partitions_for, pick, ship, slices, text_bytes
+from panelforge.llm.common import hash_words, materialize, partitions_for, pick, ship, slices, text_bytes, words_of
 from panelforge.llm.components import connected_components
 
 GRAM, BANDS, ROWS = 5, 24, 4
@@ -45,30 +46,16 @@ TOLERANCE = 1e-6
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _WordHash(dict):
-    """64-bit hashes of words, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-        if len(self) > 400_000:
-            self.clear()
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = h
-        return h
-
-
-_WORDS = _WordHash()
-
-
-def gram_hashes(split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the word 5-grams of each text, one after another, and the bounds of the texts."""
-    n = np.array([len(ws) for ws in split], dtype=np.int64)
-    h = np.fromiter((_WORDS[w] for ws in split for w in ws), dtype=np.uint64, count=int(n.sum()))
+def gram_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the word 5-grams of each text (no nulls), one after another, and the bounds of the texts."""
+    words, row, _, _ = words_of(texts)
+    coded = words.dictionary_encode()
+    h = hash_words(coded.dictionary)[coded.indices.to_numpy()]
+    n = np.bincount(row, minlength=len(texts))
     starts = np.concatenate([[0], np.cumsum(n)])
     grams = np.where(n >= GRAM, n - GRAM + 1, np.minimum(n, 1))
     bounds = np.concatenate([[0], np.cumsum(grams)])
-    doc = np.repeat(np.arange(len(split)), grams)
+    doc = np.repeat(np.arange(len(n)), grams)
     at = np.arange(bounds[-1]) - bounds[doc] + starts[doc]
     out = np.zeros(len(at), dtype=np.uint64)
     for k in range(GRAM):
@@ -213,7 +200,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in slices(batches, 4 << 20):
             split = [t.split() for t in text_bytes(batch.column(1))]
-            sig = minhash(*gram_hashes(split))
+            sig = minhash(*gram_hashes(pc.fill_null(batch.column(1), "")))
             fp = [hashlib.blake2b(b" ".join(ws), digest_size=16).digest() for ws in split]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(fp, pa.binary()), pa.array([len(ws) for ws in split], pa.int64()),
@@ -280,7 +267,7 @@ def verified_links(docs: DataFrame, nodes: DataFrame, parts: DataFrame, threshol
                     end += 1
                 part, at = rows[at:end], end
                 if len(part) > 1:
-                    hashes, bounds = gram_hashes([(r[5] or "").encode().split() for r in part])
+                    hashes, bounds = gram_hashes(pa.array([r[5] or "" for r in part], pa.string()))
                     sets = [np.unique(hashes[x:y]) for x, y in zip(bounds, bounds[1:])]
                     links, label = count_links(sets, np.array([r[3] for r in part]), part[0][1] == part[0][2], threshold)
                     node = np.array([r[4] for r in part], dtype=np.int64)
