@@ -37,7 +37,7 @@ from panelforge.llm.common import cut_words, hash_words, materialize, partitions
 
 UP, DOWN = 4, 5  # threshold 4/5
 FREQUENT, FREQUENT_BYTES = 65_536, 48
-FIRST = 5
+FIRST = 3
 LOST = 20_000  # lines of one more search
 _TOP = 1 << 62
 
