@@ -39,6 +39,7 @@ UP, DOWN = 4, 5  # threshold 4/5
 FREQUENT, FREQUENT_BYTES = 65_536, 48
 FIRST = 3
 LOST = 20_000  # lines of one more search
+WORDS = 500_000  # words sent to the executors for it; more are joined
 _TOP = 1 << 62
 
 
@@ -101,20 +102,26 @@ def width(n: np.ndarray) -> np.ndarray:
 
 
 
-def line_rows(doc: np.ndarray, tk: np.ndarray, text: pa.Array, order: Order):
+def line_rows(doc: np.ndarray, tk: np.ndarray, text: pa.Array, order: Order, only: np.ndarray | None = None):
     """Rows (NAMES) of a batch of documents, as arrays.
 
-    line: tk << 32 | number; size: n << 32 | place of the word in the line's order."""
+    line: tk << 32 | number; size: n << 32 | place of the word in the line's order. only: rows under these words (sorted) alone."""
     words, row, number, line = words_of(text)
     if not len(words):
         return None
     coded = words.dictionary_encode()
     keys = order.of(coded.dictionary)
+    codes = coded.indices.to_numpy()
+    fresh = np.concatenate([[True], line[1:] != line[:-1]])
+    if only is not None:  # lines without such a word are left out before they are sorted
+        hit = np.logical_or.reduceat(np.isin(keys, only)[codes], np.flatnonzero(fresh))[np.cumsum(fresh) - 1]
+        if not hit.any():
+            return None
+        row, number, codes, fresh = row[hit], number[hit], codes[hit], fresh[hit]
     by = np.argsort(keys, kind="stable")
     rank = np.empty(len(by), dtype=np.int64)
     rank[by] = np.arange(len(by))
-    fresh = np.concatenate([[True], line[1:] != line[:-1]])
-    both = np.sort((np.cumsum(fresh) - 1) << 32 | rank[coded.indices.to_numpy()])
+    both = np.sort((np.cumsum(fresh) - 1) << 32 | rank[codes])
     both = both[np.concatenate([[True], both[1:] != both[:-1]])]  # each line's words once, rarest first
     doc, tl = doc[row[fresh]], tk[row[fresh]].astype(np.int64) << 32 | number[fresh]
     owner, flat = both >> 32, keys[by][both & 0xFFFFFFFF]
@@ -135,6 +142,9 @@ def line_rows(doc: np.ndarray, tk: np.ndarray, text: pa.Array, order: Order):
     p = prefix_length(n)
     line = np.repeat(np.arange(len(n)), p)
     place = np.arange(len(line)) - np.repeat(np.concatenate([[0], np.cumsum(p)[:-1]]), p)
+    if only is not None:
+        mine = np.isin(flat[starts[line] + place], only)
+        line, place = line[mine], place[mine]
     return flat[starts[line] + place], doc[line], tl[line], n[line] << 32 | place, prints[line].view(np.int64), *(b[line].view(np.int64) for b in bits)
 
 
@@ -157,12 +167,12 @@ def _unpacked(batch: pa.RecordBatch) -> np.ndarray:
     return np.concatenate([batch.column(0).to_numpy()[:, None], body], axis=1)
 
 
-def listed(docs: DataFrame, frequent) -> DataFrame:
-    """(doc, tk, text) -> one row per line and word of its prefix."""
+def listed(docs: DataFrame, frequent, only=None) -> DataFrame:
+    """(doc, tk, text) -> one row per line and word of its prefix. only: under these words alone."""
     def run(batches):
-        order = Order(frequent.value)
+        order, mine = Order(frequent.value), None if only is None else only.value
         for batch in slices(batches, 4 << 20):
-            rows = line_rows(batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2), order)
+            rows = line_rows(batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2), order, mine)
             if rows:
                 for at in range(0, len(rows[0]), 500_000):
                     yield _packed([c[at:at + 500_000] for c in rows])
@@ -328,8 +338,13 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ids = spark.createDataFrame(sorted({(d,) for d, _ in mine}), "doc long") if mine else None
         if ids is None:
             continue
-        words = listed(texts.join(F.broadcast(ids), "doc", "left_semi"), frequent).select("word").distinct()
-        rest = candidates(listed(texts, frequent).join(small(materialize(words, "words")), "word", "left_semi"), None, held)
+        words = materialize(listed(texts.join(F.broadcast(ids), "doc", "left_semi"), frequent).select("word").distinct(), "words")
+        if words.count() <= WORDS:
+            only = np.sort(np.array([r["word"] for r in words.collect()], dtype=np.int64))
+            near = listed(texts, frequent, spark.sparkContext.broadcast(only))
+        else:
+            near = listed(texts, frequent).join(small(words), "word", "left_semi")
+        rest = candidates(near, None, held)
         again = materialize(rest.select(*late, "doc", "line", "cut", "far").groupBy(*late, "doc", "line").agg(F.max("cut").alias("cut"), F.min("far").alias("far")), "again")
         found = found.union(materialize(verified(again, texts).where("ok").select(*late).distinct(), "again-ok"))
     found = materialize(found, "duplicates")

@@ -163,9 +163,11 @@ def test_line_dedup_is_brute_force(make_docs, rows):
         assert r.text == "\n".join(x for n, x in enumerate(texts[r.doc_id].split("\n")) if n not in set(gone))
 
 
-def test_lines_beyond_the_first_candidates(make_docs, monkeypatch):
+@pytest.mark.parametrize("words", [0, 500_000])
+def test_lines_beyond_the_first_candidates(make_docs, monkeypatch, words):
     """With one candidate a word and bitmaps that let all pairs pass, lost lines are found by the second search."""
     monkeypatch.setattr(line_dedup, "FIRST", 1)
+    monkeypatch.setattr(line_dedup, "WORDS", words)
     rng = random.Random(8)
     base = rng.sample(WORDS, 50)
     rows = [(i, " ".join([*base[:38], *rng.sample(WORDS, 12)])) for i in range(30)] + [(90 + i, " ".join([*base[:46], f"x{i}"])) for i in range(4)]
