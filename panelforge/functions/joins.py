@@ -1,10 +1,5 @@
-"""Broadcast only behind a size check.
-
-``one_row`` marks a global aggregate (exactly one row by construction) for
-broadcast.  ``bounded_broadcast`` counts at most ``max_rows + 1`` rows of a
-small side (a level list, a boundary table) and broadcasts it only when the
-count proves it small; otherwise the side is returned untouched and the join
-stays a shuffle join that AQE may still convert at run time.
+"""Broadcast only sides of a proven size: ``one_row`` marks a global aggregate (exactly one row by
+construction). All other joins are left to AQE, which knows the sizes at run time.
 """
 
 from __future__ import annotations
@@ -16,8 +11,3 @@ from pyspark.sql import functions as F
 def one_row(df: DataFrame) -> DataFrame:
     """Broadcast a global aggregate (a grouping-free ``agg``: one row by construction)."""
     return F.broadcast(df)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

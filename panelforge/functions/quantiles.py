@@ -1,163 +1,133 @@
 """Exact quantiles with linear interpolation (numpy / pandas / DuckDB ``quantile_cont``)
-without gathering a column into one task.
+without gathering values anywhere.
 
 Spark's exact ``percentile`` keeps a value->count map of the whole column in the
-final aggregation task.  Here the ranks k and k+1 around ``prob * (n - 1)`` are
-found by bracket narrowing, for all requested columns in lockstep:
-
-* one aggregate gives, per column, the non-missing count, the number of -inf /
-  +inf values and the finite min / max (the first bracket);
-* each round is ONE job: every row emits (column, bucket, value) for the
-  columns still searching -- 1,024 equal-width buckets inside the column's
-  bracket, -1 / 1,024 for values below / above it -- and a
-  ``groupBy(column, bucket)`` returns count, min and max per bucket (map-side
-  partial aggregation; at most columns x 1,026 rows reach the driver).  The
-  bucket function is monotonic in x, so the buckets holding the two target
-  ranks are exactly the values in [min of the first, max of the last]; that is
-  the next bracket, and the counts below it are exact;
-* a bracket with one distinct value is answered directly; once a bracket holds
-  at most ``gather_limit`` rows, one final job fetches the bracketed values of
-  all such columns and the ranks are read off.
-
-Each round shrinks a bracket about 1,000-fold, so doubles converge in a few
-scans; small inputs finish in two jobs.
+final aggregation task.  Here every rank that is asked for is narrowed to one value:
+
+* one ``groupBy(key)`` gives, per key, the non-missing count, the number of -inf /
+  +inf values and the finite min / max (the first bracket of each rank);
+* each round is ONE job: the rows join the open brackets of their key, fall into one of
+  1,026 buckets (the bracket's two ends alone, 1,024 between them) and a
+  ``groupBy(bracket, bucket)`` returns count, min and max.  The bucket is monotonic
+  in the value, so the bucket that holds a rank holds exactly the values between
+  its min and max: the next bracket.
+
+A bracket is done when its ends are equal.  Both ends leave it in every round, so the search
+ends for any distribution, whatever its size.  Buckets are equally wide in even rounds; in odd rounds
+they are equally wide on a signed logarithm until the bracket lies within one
+octave, which bounds the rounds for heavy tails.  At most brackets x 1,026 rows of
+counts reach the driver in a round, and nothing else does.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 1024
 INF = float("inf")
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], prob, *, gather_limit: int = 20_000) -> dict:
-    """Linear-interpolation quantile(s) of each column's non-missing values.
+def exact_quantiles(df: DataFrame, cols: list[str], prob) -> dict:
+    """Linear-interpolation quantile(s) of each column's non-missing values (NULL and NaN are missing).
 
     ``prob`` a float -> {column: value}; a list of floats -> {column: {prob: value}}.
     An all-missing column gives None."""
-    probs = list(prob) if isinstance(prob, (list, tuple)) else [prob]
-    res = _quantiles(df, cols, probs, gather_limit)
-    if isinstance(prob, (list, tuple)):
-        return res
-    return {c: (None if v is None else v[probs[0]]) for c, v in res.items()}
-
-
-def _quantiles(df: DataFrame, cols: list[str], probs: list[float], gather_limit: int) -> dict:
     if not cols:
         return {}
-    src = df.select(*[F.col(c).cast("double").alias(f"q{i}") for i, c in enumerate(cols)])
-    aggs = []
-    for i in range(len(cols)):
-        x = F.col(f"q{i}")
-        fin = F.when(~F.isnan(x) & (F.abs(x) != INF), x)
-        aggs += [F.count(x).alias(f"n{i}"), F.count(F.when(x == -INF, 1)).alias(f"ni{i}"),
-                 F.count(F.when(x == INF, 1)).alias(f"pi{i}"), F.min(fin).alias(f"lo{i}"),
-                 F.max(fin).alias(f"hi{i}")]
-    st = src.agg(*aggs).first()
-
-    out: dict = {}
-    search = {}   # target id -> state of the bracket search over column i
-    want = {}     # target id -> (column index, prob, h, k, ranks, known values, n_neg)
-    tid = 0
-    for i, c in enumerate(cols):
-        n, n_neg, n_pos = st[f"n{i}"], st[f"ni{i}"], st[f"pi{i}"]
-        if not n:
-            out[c] = None
-            continue
-        out[c] = {}
-        for p in probs:
-            h = p * (n - 1)
-            k = int(math.floor(h))
-            ranks = [k] if (h == k or k + 1 >= n) else [k, k + 1]
-            values, finite_ranks = {}, []
-            for r in ranks:
-                if r < n_neg:
-                    values[r] = -INF
-                elif r >= n - n_pos:
-                    values[r] = INF
-                else:
-                    finite_ranks.append(r - n_neg)
-            want[tid] = (i, p, h, k, ranks, values, n_neg)
-            if finite_ranks:
-                search[tid] = {"col": i, "lo": st[f"lo{i}"], "hi": st[f"hi{i}"], "below": 0,
-                               "cnt": n - n_neg - n_pos, "ranks": finite_ranks}
-            tid += 1
-
-    for _ in range(80):
-        for s_ in search.values():
-            if "value" not in s_ and s_["lo"] == s_["hi"]:
-                s_["value"] = {r: s_["lo"] for r in s_["ranks"]}
-        active = [t for t, s_ in search.items() if "value" not in s_ and s_["cnt"] > gather_limit]
-        if not active:
+    probs = list(prob) if isinstance(prob, (list, tuple)) else [prob]
+    cells = F.array(*[F.struct(F.lit(i).alias("k"), F.col(c).cast("double").alias("x")) for i, c in enumerate(cols)])
+    found = group_quantiles(df.select(F.explode(cells).alias("e")).select("e.k", "e.x"), "k", "x", probs)
+    out = {c: found.get(i) for i, c in enumerate(cols)}
+    if isinstance(prob, (list, tuple)):
+        return out
+    return {c: (None if v is None else v[probs[0]]) for c, v in out.items()}
+
+
+def group_quantiles(df: DataFrame, key: str, value: str, probs: list[float]) -> dict:
+    """{key: {prob: quantile}} over a long table, one entry per key (a NULL key is a key);
+    None for a key without values."""
+    spark = df.sparkSession
+    rows = df.select(F.col(key).alias("k"), F.col(value).cast("double").alias("x"))
+    rows = rows.withColumn("x", F.when(~F.isnan("x"), F.col("x")))
+    finite = F.when(F.abs("x") != INF, F.col("x"))
+    stats = rows.groupBy("k").agg(
+        F.count("x").alias("n"), F.count(F.when(F.col("x") == -INF, 1)).alias("low"), F.count(F.when(F.col("x") == INF, 1)).alias("high"),
+        F.min(finite).alias("lo"), F.max(finite).alias("hi")).collect()
+    key_type = rows.schema["k"].dataType.simpleString()
+    inside = rows.where(finite.isNotNull())
+
+    n_of = {s["k"]: s["n"] for s in stats}
+    values: dict = {}   # (key, rank) -> value
+    open_: dict = {}    # (key, rank) -> (lo, hi, rank within the bracket)
+    for s in stats:
+        for r in {r for p in probs for r in _ranks(p, s["n"])}:
+            if r < s["low"]:
+                values[s["k"], r] = -INF
+            elif r >= s["n"] - s["high"]:
+                values[s["k"], r] = INF
+            else:
+                open_[s["k"], r] = (s["lo"], s["hi"], r - s["low"])
+
+    step = 0
+    while True:
+        for t in [t for t, (lo, hi, _) in open_.items() if lo == hi]:
+            values[t] = open_.pop(t)[0]
+        if not open_:
             break
-        groups: dict[tuple, list[int]] = {}
-        for t in active:
-            groups.setdefault((search[t]["col"], search[t]["lo"], search[t]["hi"]), []).append(t)
-        gid_of = {}
-        structs = []
-        for g, ((col, lo, hi), members) in enumerate(groups.items()):
-            for t in members:
-                gid_of[t] = g
-            x = F.col(f"q{col}")
-            width = (hi / 2 - lo / 2) / BUCKETS
-            inside = F.least(F.floor((x / 2 - F.lit(lo / 2)) / F.lit(width)), F.lit(BUCKETS - 1)).cast("int")
-            b = (F.when(x.isNull() | (F.abs(x) == INF), F.lit(None).cast("int"))
-                 .when(x < F.lit(lo), F.lit(-1)).when(x > F.lit(hi), F.lit(BUCKETS)).otherwise(inside))
-            structs.append(F.struct(F.lit(g).alias("c"), b.alias("b"), x.alias("v")))
-        hist = (src.select(F.explode(F.array(*structs)).alias("e")).where(F.col("e.b").isNotNull())
-                .groupBy(F.col("e.c").alias("c"), F.col("e.b").alias("b"))
-                .agg(F.count(F.lit(1)).alias("cnt"), F.min("e.v").alias("mn"), F.max("e.v").alias("mx"))
-                .collect())
+        spans = sorted({(k, lo, hi) for (k, _), (lo, hi, _) in open_.items()}, key=lambda s: (str(s[0]), s[1], s[2]))
+        at = {s: i for i, s in enumerate(spans)}
+        table = [(k, i, lo, hi, step % 2 == 1 and not _one_octave(lo, hi)) for (k, lo, hi), i in at.items()]
+        brackets = spark.createDataFrame(table, f"bk {key_type}, bid int, lo double, hi double, by_log boolean")
+        met = inside.join(F.broadcast(brackets), F.col("k").eqNullSafe(F.col("bk")) & F.col("x").between(F.col("lo"), F.col("hi")))
+        counts = (met.select("bid", _bucket().alias("b"), "x").groupBy("bid", "b")
+                  .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx")).collect())
         per: dict[int, list] = {}
-        for r in hist:
-            per.setdefault(r["c"], []).append((r["b"], r["cnt"], r["mn"], r["mx"]))
-        for t in active:
-            s_ = search[t]
-            acc, spans = 0, []
-            for b, c, mn, mx in sorted(per.get(gid_of[t], [])):
-                spans.append((b, acc, c, mn, mx))
-                acc += c
-            lo_r, hi_r = min(s_["ranks"]), max(s_["ranks"])
-            first = next(sp for sp in spans if sp[1] <= lo_r < sp[1] + sp[2])
-            last = next(sp for sp in spans if sp[1] <= hi_r < sp[1] + sp[2])
-            if first[0] in (-1, BUCKETS) or last[0] in (-1, BUCKETS):
-                raise RuntimeError("rank left the bracket")  # cannot happen: counts are exact
-            s_["below"] = first[1]
-            s_["cnt"] = sum(sp[2] for sp in spans if first[0] <= sp[0] <= last[0])
-            s_["lo"], s_["hi"] = first[3], last[4]
-
-    pending = [t for t, s_ in search.items() if "value" not in s_]
-    if pending:
-        span: dict[int, list] = {}
-        for t in pending:
-            s_ = search[t]
-            cur = span.setdefault(s_["col"], [s_["lo"], s_["hi"]])
-            cur[0], cur[1] = min(cur[0], s_["lo"]), max(cur[1], s_["hi"])
-        structs = []
-        for col, (lo, hi) in span.items():
-            x = F.col(f"q{col}")
-            keep = x.isNotNull() & (F.abs(x) != INF) & (x >= F.lit(lo)) & (x <= F.lit(hi))
-            structs.append(F.when(keep, F.struct(F.lit(col).alias("c"), x.alias("v"))))
-        pdf = (src.select(F.explode(F.array(*structs)).alias("e")).where(F.col("e").isNotNull())
-               .select(F.col("e.c").alias("c"), F.col("e.v").alias("v")).toPandas())
-        vals = {int(c): np.sort(g["v"].to_numpy()) for c, g in pdf.groupby("c")}
-        for t in pending:
-            s_ = search[t]
-            v = vals.get(s_["col"], np.array([]))
-            start = int(np.searchsorted(v, s_["lo"], side="left"))  # values of the column below this bracket
-            s_["value"] = {r: float(v[start + r - s_["below"]]) for r in s_["ranks"]}
-
-    for t, (i, p, h, k, ranks, values, n_neg) in want.items():
-        s_ = search.get(t)
-        if s_ is not None:
-            for r in ranks:
-                if r not in values:
-                    values[r] = s_["value"][r - n_neg]
-        v_k = values[k]
-        out[cols[i]][p] = v_k if len(ranks) == 1 else v_k + (h - k) * (values[k + 1] - v_k)
+        for r in sorted(counts, key=lambda r: (r["bid"], r["b"])):
+            per.setdefault(r["bid"], []).append(r)
+        for (k, rank), (lo, hi, within) in list(open_.items()):
+            for r in per[at[k, lo, hi]]:
+                if within < r["c"]:
+                    open_[k, rank] = (r["mn"], r["mx"], within)
+                    break
+                within -= r["c"]
+        step += 1
+
+    out: dict = {}
+    for k, n in n_of.items():
+        out[k] = {} if n else None
+        for p in probs if n else ():
+            ranks = _ranks(p, n)
+            v = values[k, ranks[0]]
+            out[k][p] = v if len(ranks) == 1 else v + (p * (n - 1) - ranks[0]) * (values[k, ranks[1]] - v)
     return out
+
+
+def _ranks(p: float, n: int) -> list[int]:
+    if not n:
+        return []
+    h = p * (n - 1)
+    k = int(math.floor(h))
+    return [k] if h == k or k + 1 >= n else [k, k + 1]
+
+
+def _one_octave(lo: float, hi: float) -> bool:
+    small, large = sorted((abs(lo), abs(hi)))
+    return lo * hi > 0 and large / 2 <= small
+
+
+def _bucket() -> Column:
+    """0 and BUCKETS + 1 for the bracket's ends, 1..BUCKETS between them; monotonic in x."""
+    x, lo, hi = F.col("x"), F.col("lo"), F.col("hi")
+
+    def log(c: Column) -> Column:  # ln of the smallest double is about -745
+        return F.when(c == 0, F.lit(0.0)).otherwise(F.signum(c) * (F.log(F.abs(c)) + 750.0))
+
+    def share(at: Column, low: Column, high: Column) -> Column:
+        return F.when(high > low, (at - low) / F.when(high > low, high - low)).otherwise(F.lit(0.0))
+
+    part = F.when(F.col("by_log"), share(log(x), log(lo), log(hi))).otherwise(share(x / 2, lo / 2, hi / 2))
+    middle = F.least(F.lit(BUCKETS), F.floor(part * BUCKETS).cast("int") + 1)
+    return F.when(x == lo, F.lit(0)).when(x == hi, F.lit(BUCKETS + 1)).otherwise(middle)

@@ -75,10 +75,11 @@ class KMeansResult:
         return df.withColumn(out, self.label_col())
 
 
-def kmeans(df: DataFrame, cols: list[str], k: int = 3, *, seeds=tuple(range(42, 52)), max_iter: int = 300,
+def kmeans(df: DataFrame, cols: list[str], k: int = 3, *, seeds=tuple(range(42, 92)), max_iter: int = 300,
            tol: float = 1e-4) -> KMeansResult:
-    """K1: k-means|| from several seeds (the reference restarts 50 times); lowest cost kept."""
-    vec = VectorAssembler(inputCols=cols, outputCol="_features", handleInvalid="skip").transform(df) \
+    """K1: k-means|| from 50 seeds, lowest cost kept.  A NULL or NaN in ``cols`` is an error, never a
+    row silently left out: impute or drop such rows first."""
+    vec = VectorAssembler(inputCols=cols, outputCol="_features", handleInvalid="error").transform(df) \
         .select("_features").persist()
     try:
         best = None

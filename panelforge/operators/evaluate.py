@@ -20,7 +20,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.functions.joins import bounded_broadcast
 from panelforge.functions.metrics import regression_metric_columns
 from panelforge.functions.safe import safe_div
 
@@ -38,10 +37,10 @@ def group_means(df: DataFrame, key: str, target: str, out: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(target).alias(out))
 
 
-def map_group_mean(rows: DataFrame, means: DataFrame, key: str, out: str, fallback: float | None,
-                   *, max_broadcast_rows: int = 100_000) -> DataFrame:
-    """Attach each row's group mean; rows of an unseen group get ``fallback``."""
-    joined = rows.join(bounded_broadcast(means, max_broadcast_rows), key, "left")
+def map_group_mean(rows: DataFrame, means: DataFrame, key: str, out: str, fallback: float | None) -> DataFrame:
+    """Attach each row's group mean; rows of an unseen group get ``fallback``.
+    Spark picks the join from the sizes that it measures at run time."""
+    joined = rows.join(means, key, "left")
     return joined.withColumn(out, F.coalesce(F.col(out), F.lit(fallback).cast("double")))
 
 
@@ -183,26 +182,19 @@ def monthly_metrics(long: DataFrame, models: list[str], *, month: str = "target_
         *per_model)
 
 
-def error_percentiles(long: DataFrame, *, probs: tuple[float, ...] = (0.5, 0.75, 0.9, 0.95),
-                      max_models: int = 1000) -> DataFrame:
-    """Exact percentiles of |error| per model (linear interpolation).  Each model's
-    errors become one conditional column and the distributed exact-quantile search runs
-    on all of them in lockstep, so no model's errors are gathered into one task."""
-    from panelforge.functions.quantiles import exact_quantiles
-    models = sorted(r[0] for r in long.select("model").distinct().limit(max_models + 1).collect())
-    if len(models) > max_models:
-        raise ValueError("too many models for a per-model percentile table")
-    err = F.abs(F.col("actual") - F.col("pred"))
+def error_percentiles(long: DataFrame, *, probs: tuple[float, ...] = (0.5, 0.75, 0.9, 0.95)) -> DataFrame:
+    """Exact percentiles of |error| per model (linear interpolation), searched on the
+    long (model, error) table, so neither a model's errors nor the models are gathered."""
+    from panelforge.functions.quantiles import group_quantiles
     # the table is read by a few small jobs and the result lands on the driver: persist for their duration
-    wide = long.select(*[F.when(F.col("model") == m, err).alias(f"m{j}") for j, m in enumerate(models)]).persist()
+    errors = long.select("model", F.abs(F.col("actual") - F.col("pred")).alias("e")).persist()
     try:
-        q = exact_quantiles(wide, [f"m{j}" for j in range(len(models))], list(probs))
+        q = group_quantiles(errors, "model", "e", list(probs))
     finally:
-        wide.unpersist()
+        errors.unpersist()
     names = {0.5: "p50", 0.75: "p75", 0.9: "p90", 0.95: "p95"}
     cols = [names.get(p, f"p{int(p * 100)}") for p in probs]
-    rows = [(m, *[None if q[f"m{j}"] is None else float(q[f"m{j}"][p]) for p in probs])
-            for j, m in enumerate(models)]
+    rows = [(m, *[None if found is None else float(found[p]) for p in probs]) for m, found in sorted(q.items(), key=lambda x: str(x[0]))]
     table = long.sparkSession.createDataFrame(rows, "model string, " + ", ".join(f"{c} double" for c in cols))
     # round in Spark (half-up on the decimal form), as every other table does
     return table.select("model", *[F.round(c, 6).alias(c) for c in cols])

@@ -87,7 +87,7 @@ def cross_validate(df: DataFrame, features: list[str], kind: str, candidates: li
     best = lowest mean MAE.  Boosted candidates that differ only in ``maxIter`` share one
     fit per fold (boosting is deterministic without subsampling, so a shorter run is a
     prefix of the longest) and are scored per prefix with ``evaluateEachIteration``."""
-    data = assemble(df, features).select(VEC, label, *{c for c in df.columns if c in ("target_month",)}).persist()
+    data = assemble(df, features).select(VEC, label, *[c for c in ("target_month", "fold") if c in df.columns]).persist()
     try:
         if kind == "gbt":
             groups: dict[str, list[int]] = {}

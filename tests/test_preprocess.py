@@ -3,7 +3,7 @@
 import numpy as np
 import pandas as pd
 
-from panelforge.functions.quantiles import exact_quantiles
+from panelforge.functions.quantiles import exact_quantiles, group_quantiles
 from panelforge.operators import preprocess as pp
 from panelforge.operators.pca import pca_fit
 
@@ -68,5 +68,29 @@ def test_exact_quantiles_match_numpy(spark):
     rng = np.random.default_rng(5)
     v = np.concatenate([rng.standard_cauchy(3000), np.full(500, 1.0)])
     df = spark.createDataFrame(pd.DataFrame({"v": v})).repartition(6)
-    for p in (0.1, 0.5, 0.9):
-        assert exact_quantiles(df, ["v"], p, gather_limit=50)["v"] == float(np.quantile(v, p))
+    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    assert exact_quantiles(df, ["v"], probs)["v"] == {p: _linear(v, p) for p in probs}
+
+
+def _linear(v, p):
+    s, h = np.sort(v), p * (len(v) - 1)
+    k = int(h)
+    return float(s[k]) if h == k else float(s[k] + (h - k) * (s[k + 1] - s[k]))
+
+
+def test_quantiles_of_any_distribution(spark, monkeypatch):
+    """Heavy tails, denormals, infinities, missing values, a NULL key; no job returns more than brackets x 1,026 rows."""
+    rng = np.random.default_rng(6)
+    wide = np.concatenate([10.0 ** rng.uniform(-300, 300, 500) * rng.choice([-1, 1], 500), [0.0] * 9, [5e-324, -5e-324, 1e-323, np.inf]])
+    groups = {"wide": wide, "same": np.full(400, 2.5), "one": np.array([7.0]), None: rng.normal(size=300)}
+    rows = [(k, float(x)) for k, v in groups.items() for x in v] + [("none", None), ("none", float("nan")), ("one", None)]
+    df = spark.createDataFrame(rows, "k string, x double").repartition(5)
+    sizes, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: (sizes.append(len(out := collect(self))), out)[1])
+    probs = [0.25, 0.5, 0.93]
+    got = group_quantiles(df, "k", "x", probs)
+    monkeypatch.undo()
+    assert got.pop("none") is None
+    assert got == {k: {p: _linear(v, p) for p in probs} for k, v in groups.items()}
+    assert max(sizes) <= 2 * len(probs) * len(groups) * 1026 and len(sizes) <= 20
+    assert group_quantiles(df.limit(0), "k", "x", probs) == {}
