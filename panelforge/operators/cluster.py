@@ -21,6 +21,7 @@ K8 k_candidates            K1-K4 for k = 2..5
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -82,13 +83,17 @@ def kmeans(df: DataFrame, cols: list[str], k: int = 3, *, seeds=tuple(range(42,
     vec = VectorAssembler(inputCols=cols, outputCol="_features", handleInvalid="error").transform(df) \
         .select("_features").persist()
     try:
-        best = None
-        for s in seeds:
+        def fit(s):
             model = KMeans(k=k, seed=s, maxIter=max_iter, tol=tol, featuresCol="_features",
                            initMode="k-means||").fit(vec)
-            cost = model.summary.trainingCost
-            if best is None or cost < best[0] - 1e-12:
-                best = (cost, s, np.array([np.asarray(c) for c in model.clusterCenters()]))
+            return model.summary.trainingCost, s, np.array([np.asarray(c) for c in model.clusterCenters()])
+
+        with ThreadPoolExecutor(max_workers=8) as pool:  # small jobs that overlap
+            fits = list(pool.map(fit, seeds))
+        best = fits[0]
+        for found in fits[1:]:
+            if found[0] < best[0] - 1e-12:
+                best = found
     finally:
         vec.unpersist()
     cost, seed, centres = best
