@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,8 +80,10 @@ def group_quantiles(df: DataFrame, key: str, value: str, probs: list[float]) ->
             break
         spans = sorted({(k, lo, hi) for (k, _), (lo, hi, _) in open_.items()}, key=lambda s: (str(s[0]), s[1], s[2]))
         at = {s: i for i, s in enumerate(spans)}
-        table = [(k, i, lo, hi, step % 2 == 1 and not _one_octave(lo, hi)) for (k, lo, hi), i in at.items()]
-        brackets = spark.createDataFrame(table, f"bk {key_type}, bid int, lo double, hi double, by_log boolean")
+        table = pa.table({"bk": [k for k, _, _ in spans], "bid": pa.array(range(len(spans)), pa.int32()),
+                          "lo": [lo for _, lo, _ in spans], "hi": [hi for _, _, hi in spans],
+                          "by_log": [step % 2 == 1 and not _one_octave(lo, hi) for _, lo, hi in spans]})
+        brackets = spark.createDataFrame(table).withColumn("bk", F.col("bk").cast(key_type))
         met = inside.join(F.broadcast(brackets), F.col("k").eqNullSafe(F.col("bk")) & F.col("x").between(F.col("lo"), F.col("hi")))
         counts = (met.select("bid", _bucket().alias("b"), "x").groupBy("bid", "b")
                   .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx")).collect())
