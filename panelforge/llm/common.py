@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 import zipfile
@@ -18,6 +19,7 @@ SPACE = b" \t\n\x0b\x0c\r"
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,7 +57,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per session."""
+    """Send this package to the executors, once per session, and bound Arrow batches by bytes where the session doesn't."""
+    if spark.conf.get(ARROW_BYTES, None) is None:
+        spark.conf.set(ARROW_BYTES, str(4 << 20))
     if getattr(spark.sparkContext, "_panelforge_shipped", False):
         return
     import tempfile
@@ -131,6 +135,15 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [b or b"" for b in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()]
 
 
+def release() -> None:
+    """Give memory that numpy and Arrow have freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def slices(batches, most_bytes: int = 4 << 20):
     """Cut Arrow batches into pieces of about most_bytes, so that long rows never pile up in Python."""
     for batch in batches:
@@ -140,7 +153,7 @@ def slices(batches, most_bytes: int = 4 << 20):
         step = max(1, int(rows * most_bytes / max(batch.nbytes, 1)))
         for at in range(0, rows, step):
             yield batch.slice(at, step)
-    pa.default_memory_pool().release_unused()  # workers live on after their task
+    release()  # workers live on after their task
 
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:

@@ -171,7 +171,7 @@ def listed(docs: DataFrame, frequent, only=None) -> DataFrame:
     """(doc, tk, text) -> one row per line and word of its prefix. only: under these words alone."""
     def run(batches):
         order, mine = Order(frequent.value), None if only is None else only.value
-        for batch in slices(batches, 4 << 20):
+        for batch in slices(batches, 1 << 20):
             rows = line_rows(batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2), order, mine)
             if rows:
                 for at in range(0, len(rows[0]), 500_000):
