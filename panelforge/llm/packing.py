@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from panelforge.llm.common import materialize, pick, ship, slices, text_bytes
 
 END_ID = 2
-CACHE = 400_000
+CACHE = 100_000
 _LOADED: dict = {}
 
 
@@ -134,7 +134,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> D
     def run(batches):
         enc, part, before = encoder(tokenizer), TaskContext.get().partitionId(), 0
         tail = np.array([end_id], "<u2").tobytes()
-        for batch in slices(batches, 4 << 20):
+        for batch in slices(batches, 1 << 20):
             ids = [x + tail for x in enc.encode(text_bytes(batch.column(1)))]
             lengths = [len(x) // 2 for x in ids]
             starts = [before, *(before + np.cumsum(lengths)).tolist()]
