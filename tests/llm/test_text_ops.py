@@ -260,6 +260,23 @@ def test_scores(make_docs):
     assert lm_scoring.score_documents(make_docs([]), BYTES).count() == 0
 
 
+def test_every_window_trains(make_docs):
+    """Short documents too: the scores are those of a training on every window."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choices(["th", "eau", "ung", "ko"], k=rng.choice([3, 10, 40])))) for i in range(60)]
+    whole, every = ({r.doc_id: r.score for r in lm_scoring.score_documents(make_docs(rows), BYTES, **more).collect()} for more in ({}, {"train_stride": 1}))
+    assert whole.keys() == every.keys() and all(math.isclose(whole[i], every[i], rel_tol=1e-4) for i in whole)
+
+
+def test_rare_words_are_all_their_pieces():
+    ws = ["zyxwvuts", "th", "漢字é", "th1", "Donaudampfschiff" * 9]
+    speller = lm_scoring.Speller([b"th"], BYTES)
+    place, flat, lengths = speller.ids(pa.array([w.encode() for w in ws], pa.binary()))
+    spelled = np.split(flat, np.cumsum(lengths)[:-1])
+    assert place.tolist() == [-1, 0, -1, -1, -1] and spelled[1].tolist() == [speller.first]
+    assert [speller.bpe.decode((x - 1).tolist()) for i, x in enumerate(spelled) if i != 1] == [" " + w for w in ws if w != "th"]
+
+
 def tiny_model(seed=0, size=40):
     rng = np.random.default_rng(seed)
     classes = np.append(rng.integers(0, lm_scoring.CLASSES, size), 0)
