@@ -240,6 +240,30 @@ def test_main_text(spark):
     assert html_main.main_text(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("copies", [2, 60])
+def test_copies_and_repeated_headings_stay(spark, copies):
+    """Groups of copies, articles with the same headings and pages of template alone, on hosts of two sizes."""
+    def grouped(g):
+        return f"<article><h1>Title {g}</h1>" + "".join(f"<p>Text {g} {k}</p>" for k in range(10)) + "</article>"
+
+    def headed(i):
+        return "<main>" + "".join(f"<section><h2>{h}</h2><p>{h} of {i}</p></section>" for h in ("Aim", "Way", "Data", "End", "Notes")) + "</main>"
+
+    rows = [(g, "http://groups.example/", page(grouped(g), i)) for g in range(5) for i in range(copies)]
+    rows += [(100 + i, "http://headed.example/", page(headed(i), i)) for i in range(10 * copies)]
+    rows += [(10_000 + g, "http://plain.example/", page(f"<div class='c'><p>Plain {g}</p></div>", i)) for g in range(5) for i in range(10 * copies)]
+    rows += [(20_000 + i, "http://same.example/", page(f"<div class='c'>Gone{'' if i else ' first'}</div>", i)) for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {(r.page_id, r.text) for r in html_main.main_text(df).collect()}
+    want = {(g, f"Title {g} " + " ".join(f"Text {g} {k}" for k in range(10))) for g in range(5)}
+    want |= {(100 + i, " ".join(f"{h} {h} of {i}" for h in ("Aim", "Way", "Data", "End", "Notes"))) for i in range(10 * copies)}
+    want |= {(10_000 + g, f"Plain {g}") for g in range(5)} | {(20_000 + i, "Gone" if i else "Gone first") for i in range(20)}
+    assert got == want
+    low = frozenset(["/html/body/div.c"])
+    assert html_main.extract("<html><body><div class=c>All of it</div><nav>Home</nav></body></html>", low) == "All of it"
+    assert html_main.extract("<html><body><div class=c>Template</div><p>Text</p></body></html>", low) == "Text"
+
+
 # ---- scoring -------------------------------------------------------------------------
 
 def test_scores(make_docs):
