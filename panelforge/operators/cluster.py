@@ -11,10 +11,9 @@ K2 silhouette_sqeuclidean  exact mean silhouette for SQUARED Euclidean distance,
                            is deliberately not built (see README).
 K3 davies_bouldin          centroid pass + distance pass, k x k on the driver
 K4 calinski_harabasz       per-cluster moments
-K5 ward_hierarchy          Ward agglomeration on at most ``max_leaves`` leaves: the
-                           entities themselves when there are that few (identical to
-                           full Ward), otherwise KMeans micro-clusters with sizes
-K6 cophenetic correlation  over leaf pairs of K5 (leaves are bounded)
+K5 ward_hierarchy          exact Ward on the driver for at most ``max_leaves`` entities, an
+                           error beyond; not a registered query (see README)
+K6 cophenetic correlation  over leaf pairs of K5
 K7 cluster_assignments     both labels in one projection of the entity table
 K8 k_candidates            K1-K4 for k = 2..5
 """
@@ -165,7 +164,7 @@ def metrics_frame(spark: SparkSession, metrics: dict) -> DataFrame:
                                  "davies_bouldin double, calinski_harabasz double")
 
 
-# ---------------------------------------------------------------- Ward on bounded leaves
+# ---------------------------------------------------------------- Ward of few entities
 
 @dataclass
 class WardResult:
@@ -175,8 +174,8 @@ class WardResult:
     leaf_labels: np.ndarray       # 1..n_clusters per leaf
     merges: list                  # (a, b, height, size)
     cophenetic: float
-    exact: bool
-    leaf_keys: list | None = None  # entity ids when leaves are the entities
+    leaf_keys: list               # entity ids
+    exact: bool = True            # always: the leaves are the entities
 
 
 def _ward(centres: np.ndarray, sizes: np.ndarray):
@@ -237,26 +236,18 @@ def _cut(m: int, merges: list, n_clusters: int) -> np.ndarray:
 
 
 def ward_hierarchy(df: DataFrame, cols: list[str], *, key: str = "entity", n_clusters: int = 3,
-                   max_leaves: int = 1000, seed: int = 42) -> WardResult:
-    """K5 + K6.  Leaves are the rows themselves when there are at most ``max_leaves``
-    (exactly the reference's Ward tree); otherwise KMeans micro-clusters with their
-    sizes, merged by size-weighted Ward (re-aimed; see README)."""
-    data = df.dropna(subset=cols)
-    n = data.count()
-    if n <= max_leaves:
-        rows = data.select(key, *cols).orderBy(key).collect()
-        keys = [r[key] for r in rows]
-        centres = np.array([[r[c] for c in cols] for r in rows], dtype=float)
-        sizes = np.ones(len(rows))
-        exact = True
-    else:
-        km = kmeans(data, cols, max_leaves, seeds=(seed,), max_iter=20)
-        labelled_pts = km.transform(data, "_leaf")
-        counts = {r["_leaf"]: r["c"] for r in labelled_pts.groupBy("_leaf").agg(F.count(F.lit(1)).alias("c")).collect()}
-        idx = sorted(counts)
-        centres = km.centres[[i - 1 for i in idx]]
-        sizes = np.array([counts[i] for i in idx], dtype=float)
-        keys, exact = None, False
+                   max_leaves: int = 1000) -> WardResult:
+    """K5 + K6.  The leaves are the rows themselves, as in the reference.  More than ``max_leaves`` rows, which
+    one machine would have to hold in pairs, are an error, and so is a missing score."""
+    rows = df.select(key, *cols).limit(max_leaves + 1).collect()
+    if len(rows) > max_leaves:
+        raise ValueError(f"Ward needs all pairs of entities: more than {max_leaves} entities")
+    rows = sorted(rows, key=lambda r: r[key])
+    keys = [r[key] for r in rows]
+    centres = np.array([[r[c] for c in cols] for r in rows], dtype=float)
+    if np.isnan(centres).any():
+        raise ValueError("Ward: a score is missing")
+    sizes = np.ones(len(rows))
     m = len(centres)
     merges, coph = _ward(centres, sizes)
     roots = _cut(m, merges, n_clusters)
@@ -277,19 +268,14 @@ def ward_hierarchy(df: DataFrame, cols: list[str], *, key: str = "entity", n_clu
         corr = cov / np.sqrt(np.average((dist - md) ** 2, weights=w) * np.average((c_h - mc) ** 2, weights=w))
     else:
         corr = float("nan")
-    return WardResult(list(cols), centres, sizes, leaf_labels, merges, float(corr), exact, keys)
+    return WardResult(list(cols), centres, sizes, leaf_labels, merges, float(corr), keys)
 
 
 def ward_labels(spark: SparkSession, result: WardResult, df: DataFrame, *, key: str = "entity",
                 out: str = "hc_cluster") -> DataFrame:
-    if result.exact:
-        # bounded by max_leaves rows: a proven-small broadcast side
-        lab = spark.createDataFrame([(k_, int(v)) for k_, v in zip(result.leaf_keys, result.leaf_labels)],
-                                    [key, out])
-        return df.join(F.broadcast(lab), key, "left")
-    leaf = nearest_label(result.cols, result.leaf_centres, list(range(len(result.leaf_centres))))
-    mapping = F.create_map(*[x for i, v in enumerate(result.leaf_labels) for x in (F.lit(i), F.lit(int(v)))])
-    return df.withColumn(out, F.element_at(mapping, leaf))
+    # bounded by max_leaves rows: a proven-small broadcast side
+    lab = spark.createDataFrame([(k_, int(v)) for k_, v in zip(result.leaf_keys, result.leaf_labels)], [key, out])
+    return df.join(F.broadcast(lab), key, "left")
 
 
 def k_candidates(df: DataFrame, cols: list[str], ks=(2, 3, 4, 5), seeds=tuple(range(42, 47))) -> DataFrame:

@@ -21,7 +21,7 @@ from panelforge.sources import sinks
 
 
 def run_explanatory(panel: DataFrame, numeric: list[str], *, n_components: int = 11, k: int = 3,
-                    out_dir: str | None = None, score_scope: str = "train") -> dict:
+                    out_dir: str | None = None, score_scope: str = "train", hierarchy: bool = True) -> dict:
     spark = panel.sparkSession
     checkpoint_root(spark)
     base = random_split(panel.withColumn("target", F.col("ret")), ["entity", "period"]).checkpoint(eager=True)
@@ -42,11 +42,13 @@ def run_explanatory(panel: DataFrame, numeric: list[str], *, n_components: int =
     scores = pca.transform(scored_input, keep=["entity"])
     ent = cl.entity_means(scores, pcs).persist()
     km = cl.kmeans(ent, pcs, k)
-    hc = cl.ward_hierarchy(ent, pcs, n_clusters=k)
-    assign = cl.ward_labels(spark, hc, km.transform(ent, "kmeans_cluster")).select("entity", "kmeans_cluster",
-                                                                                   "hc_cluster")
+    assign = km.transform(ent, "kmeans_cluster").select("entity", "kmeans_cluster")
+    hc = cl.ward_hierarchy(ent, pcs, n_clusters=k) if hierarchy else None
+    if hc:
+        assign = cl.ward_labels(spark, hc, assign)
     metrics = cl.cluster_metrics(km.transform(ent, "cluster"), pcs, label="cluster")
-    metrics["cophenetic_corr"] = hc.cophenetic
+    if hc:
+        metrics["cophenetic_corr"] = hc.cophenetic
     profiles = cl.cluster_profiles(km.transform(ent, "cluster"), pcs)
     ols_pc, ols_pc_coef, ols_pc_stats = lin.ols(pca.transform(d_train, keep=["target"]), pcs, "target")
     fe_coef, fe_info = lin.fe_ols_clustered(panel, numeric, "ret")

@@ -334,22 +334,10 @@ def _scaled_entity_table(spark, sf_dir):
 
 @register("kmeans_clusters")
 def kmeans_clusters_q(spark, sf_dir):
-    """K1 + K7: k = 3 on standardized entity means; label 1..3 by descending first-feature centre."""
+    """K1: k = 3 on standardized entity means; label 1..3 by descending first-feature centre."""
     ent = _scaled_entity_table(spark, sf_dir).persist()
     km = cl.kmeans(ent, CLUSTER_COLS, 3)
-    hc = cl.ward_hierarchy(ent, CLUSTER_COLS, n_clusters=3)
-    out = cl.ward_labels(spark, hc, km.transform(ent, "kmeans_cluster"))
-    return out.select("entity", "kmeans_cluster", "hc_cluster")
-
-
-@register("ward_hierarchy")
-def ward_hierarchy_q(spark, sf_dir):
-    """K5 + K6: Ward merges (leaf pairs, height, size) of the entity table with its cophenetic correlation."""
-    ent = _scaled_entity_table(spark, sf_dir)
-    hc = cl.ward_hierarchy(ent, CLUSTER_COLS, n_clusters=3)
-    rows = [(i + 1, int(a), int(b), float(h), float(sz), hc.cophenetic) for i, (a, b, h, sz) in enumerate(hc.merges)]
-    return spark.createDataFrame(rows, "step int, leaf_a int, leaf_b int, height double, size double, "
-                                       "cophenetic_corr double")
+    return km.transform(ent, "kmeans_cluster").select("entity", "kmeans_cluster")
 
 
 @register("k_candidates")

@@ -98,4 +98,4 @@ def forecasting_comparison_q(spark, sf_dir):
 @register("explanatory_comparison")
 def explanatory_comparison_q(spark, sf_dir):
     """Explanatory run on the dense panel (random split): train / test comparison of every model."""
-    return run_explanatory(panel(spark, sf_dir, "dense"), DENSE_FEATURES)["comparison"]
+    return run_explanatory(panel(spark, sf_dir, "dense"), DENSE_FEATURES, hierarchy=False)["comparison"]

@@ -243,3 +243,15 @@ def test_wide_moments_shuffle_one_triangle_per_partition_and_group(spark):
     for key, part in pdf.groupby("g"):
         z = part[cols].to_numpy()
         assert np.allclose(got[(key,)].C, (z - z.mean(0)).T @ (z - z.mean(0)))
+
+
+def test_ward_is_exact_or_an_error(spark):
+    """No query builds Ward, and beyond its bound nothing else takes its place."""
+    import __spark_entry__
+    assert "ward_hierarchy" not in __spark_entry__.queries()
+    df = spark.createDataFrame([(f"e{i}", float(i * i), float(i % 3)) for i in range(12)], "entity string, a double, b double")
+    assert len(cl.ward_hierarchy(df, ["a", "b"], max_leaves=12).merges) == 11
+    with pytest.raises(ValueError):
+        cl.ward_hierarchy(df, ["a", "b"], max_leaves=11)
+    with pytest.raises(ValueError):
+        cl.ward_hierarchy(df.withColumn("b", F.when(F.col("entity") != "e3", F.col("b"))), ["a", "b"])
