@@ -322,7 +322,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: tuple[int, int] = (4, 5)) -> DataFrame:
-    """The documents with one row of each group: the one with the smallest id (the smallest text hash among rows of one id)."""
+    """The documents with one row of each group: the one with the smallest id (the smallest text hash among rows of one id).
+
+    Of rows that repeat id and text one stays, also if they have no words."""
     found = materialize(near_duplicates(docs, id_col, text_col, threshold), "near")
     key = F.struct(F.col(id_col).isNull().alias("z"), id_col, "tkey")
     lone = found.where((F.col("n_copies") == 1) & (F.col("n_links") == 0)).select(F.col(id_col).alias("__kid"), F.col("tkey").alias("__ktk"))
@@ -330,12 +332,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     # the class id is the group's smallest id, null only where all are null
     first = (group.where(F.col(id_col).eqNullSafe(F.col("class_id"))).groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("rep_id")).alias("r"))
              .agg(F.min(key).alias("k")).select(F.col(f"k.{id_col}").alias("__kid"), F.col("k.tkey").alias("__ktk")))
-    keep = lone.select("__kid", "__ktk", F.lit(False).alias("__once")).union(first.select("__kid", "__ktk", F.lit(True).alias("__once")))
+    keep = lone.distinct().union(first)
     marked = docs.withColumn("__mark", F.coalesce(F.xxhash64(text_col), F.lit(0)))
     out = marked.join(keep, marked[id_col].eqNullSafe(keep["__kid"]) & (marked["__mark"] == F.coalesce(keep["__ktk"], F.lit(0))))
     columns = docs.columns
     repeated = found.groupBy(id_col, "tkey").agg(F.count("*").alias("c")).where("c > 1").select(F.col(id_col).alias("__kid"), F.col("tkey").alias("__ktk"))
-    twice = out.select(*columns, "__kid", "__ktk", "__once")
+    twice = out.select(*columns, "__kid", "__ktk")
     plain = twice.join(repeated, twice["__kid"].eqNullSafe(repeated["__kid"]) & twice["__ktk"].eqNullSafe(repeated["__ktk"]), "left_anti").select(*columns)
-    rest = twice.where("__once").join(repeated, twice["__kid"].eqNullSafe(repeated["__kid"]) & twice["__ktk"].eqNullSafe(repeated["__ktk"]), "left_semi")
+    rest = twice.join(repeated, twice["__kid"].eqNullSafe(repeated["__kid"]) & twice["__ktk"].eqNullSafe(repeated["__ktk"]), "left_semi")
     return plain.union(rest.dropDuplicates(["__kid", "__ktk"]).select(*columns))

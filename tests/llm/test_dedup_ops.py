@@ -120,6 +120,12 @@ def test_keep_one_keeps_one_of_each_group(make_docs):
     assert ngram_join.keep_one(make_docs(corpus(2))).count() == len({c for _, c, _ in brute_near(corpus(2))})
 
 
+def test_keep_one_keeps_repeated_rows_without_words(make_docs):
+    rows = [(1, None), (1, None), (2, ""), (2, ""), (2, ""), (3, " \n"), (3, " \n"), (None, " "), (None, " "), (4, ""), (4, None), (5, "some words"), (5, "some words")]
+    got = sorted(((r.doc_id, r.text) for r in ngram_join.keep_one(make_docs(rows)).collect()), key=str)
+    assert got == sorted(set(rows), key=str)
+
+
 def test_bayesian_bound_falls_with_the_tolerance():
     strict, loose = ngram_join.needed_matches(0.8, 1e-2), ngram_join.needed_matches(0.8, 1e-8)
     assert list(strict) == [24, 48, 72, 96] and all(loose[n] < strict[n] < 0.8 * n for n in strict)
