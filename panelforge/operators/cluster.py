@@ -278,14 +278,14 @@ def ward_labels(spark: SparkSession, result: WardResult, df: DataFrame, *, key:
     return df.join(F.broadcast(lab), key, "left")
 
 
-def k_candidates(df: DataFrame, cols: list[str], ks=(2, 3, 4, 5), seeds=tuple(range(42, 47))) -> DataFrame:
-    """K8: K1-K4 for each candidate k."""
+def k_candidates(df: DataFrame, cols: list[str], ks=(2, 3, 4, 5), **restarts) -> DataFrame:
+    """K8: K1-K4 for each candidate k, with the restarts of K1.  A NULL or NaN in ``cols`` is an error, as there."""
     spark = df.sparkSession
-    data = df.select(*cols).dropna().persist()
+    data = df.select(*cols).persist()
     try:
         rows = []
         for k in ks:
-            km = kmeans(data, cols, k, seeds=seeds)
+            km = kmeans(data, cols, k, **restarts)
             met = cluster_metrics(km.transform(data, "cluster"), cols, label="cluster")
             rows.append((k, met["inertia"], met["silhouette_sqeuclidean"], met["davies_bouldin"],
                          met["calinski_harabasz"]))

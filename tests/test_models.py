@@ -255,3 +255,19 @@ def test_ward_is_exact_or_an_error(spark):
         cl.ward_hierarchy(df, ["a", "b"], max_leaves=11)
     with pytest.raises(ValueError):
         cl.ward_hierarchy(df.withColumn("b", F.when(F.col("entity") != "e3", F.col("b"))), ["a", "b"])
+
+
+def test_k_candidates_restarts_and_missing_scores(spark, monkeypatch):
+    """K8 takes the 50 restarts of K1, and a missing score is an error."""
+    df = spark.createDataFrame([(float(i % 4), float(i * i % 7)) for i in range(30)], "a double, b double")
+    seeds, kmeans = [], cl.kmeans
+
+    def few(df, cols, k, *, seeds_of=kmeans.__kwdefaults__["seeds"], **given):
+        seeds.append(given.get("seeds", seeds_of))
+        return kmeans(df, cols, k, **{**given, "seeds": (42,)})
+
+    monkeypatch.setattr(cl, "kmeans", few)
+    assert {r["k"] for r in cl.k_candidates(df, ["a", "b"]).collect()} == {2, 3, 4, 5}
+    assert [len(s) for s in seeds] == [50] * 4
+    with pytest.raises(Exception, match="(?i)null|nan"):
+        cl.k_candidates(df.union(spark.createDataFrame([(None, 1.0)], "a double, b double")), ["a", "b"])
