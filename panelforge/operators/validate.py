@@ -160,7 +160,7 @@ def holdout_guard(fit_rows: DataFrame, holdout_rows: DataFrame, *, keys: list[st
 
 
 def assert_fit_rows(fit_rows: DataFrame, *, month: str = "target_month", limit: int) -> None:
-    """Runtime form of V14 used at every fit entry: no fit row beyond ``limit``."""
+    """Runtime form of V14, called by the forecasting run only: no fit row beyond ``limit``."""
     latest = fit_rows.agg(F.max(month).alias("m")).first()["m"]
     if latest is not None and latest > limit:
         raise ValidationError(f"fit rows reach {month}={latest} beyond {limit}: holdout leak")
