@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from panelforge.llm import exact_dedup, html_main, line_dedup, lm_scoring, mixing, ngram_join, packing, quality_rules, token_counts, warc_zip
+from panelforge.llm import (exact_dedup, html_main, line_dedup, lm_scoring, mixing, ngram_join, packing, pii, quality_rules, token_alignment,
+                            token_counts, warc_zip, whitening)
 from panelforge.llm.common import table
 from panelforge.llm.production import MIX_WEIGHTS, mixing_tree
 
@@ -77,3 +79,21 @@ def op9(spark, sf_dir):
 @query("op10_line_dedup")
 def op10(spark, sf_dir):
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op11_pii")
+def op11(spark, sf_dir):
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans", "n_added")
+
+
+@query("op12_token_alignment")
+def op12(spark, sf_dir):
+    return token_alignment.token_alignment(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+        ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern=public_tokenizers.PATTERN)
+
+
+@query("op13_whitening")
+def op13(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
