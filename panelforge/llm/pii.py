@@ -13,7 +13,7 @@ A word that no base span touches is added if one kind has a belief of at least S
 neighbouring added words of one kind make one span.
 
 Weights are learned on the driver from a bounded sample, at most SAMPLE documents of at most
-SAMPLE_CHARS characters that hold a digit or @, lowest hash of the id first. The labels there
+SAMPLE_CHARS characters that hold a digit or @, lowest hash first, repeated rows once. The labels there
 are the base spans; features are shapes and contexts, not the patterns themselves. Documents
 in which a pattern ran over several numbers (too many digits or a failed check, which the base
 drops) don't teach: their labels are in doubt. The gradient is that of the likelihood under
@@ -290,7 +290,11 @@ class Field:
 def fit_field(docs: DataFrame, sample: int = SAMPLE, most_chars: int = SAMPLE_CHARS) -> Field:
     """Learn from at most `sample` documents (id, text) of at most `most_chars` characters that hold a digit or @."""
     some = docs.where(F.col("text").rlike("[0-9@]") & (F.length("text") <= most_chars))
-    rows = some.orderBy(F.xxhash64(F.col("id").cast("string")), "text").limit(sample).select("text").collect()
+    some = some.select(F.xxhash64(F.col("id").cast("string"), "text").alias("hash"), "text")
+    lowest = [r["hash"] for r in some.select("hash").orderBy("hash").limit(sample).collect()]  # tasks send numbers, not texts
+    if not lowest:
+        return Field()
+    rows = some.where(F.col("hash") <= lowest[-1]).groupBy("hash").agg(F.first("text").alias("text")).orderBy("hash").collect()  # at most `sample`
     return Field().learn([Graph(r["text"], base_spans(r["text"])) for r in rows if not doubtful(r["text"])])
 
 

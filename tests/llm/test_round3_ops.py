@@ -105,8 +105,7 @@ def field(spark):
 def test_held_out_accuracy(spark, field):
     """Labels of words by the field alone, without the base spans as evidence, in documents it has not learned from."""
     docs = spark.read.parquet("/root/testdata/check_s/documents.parquet").where(F.col("text").rlike("[0-9@]") & (F.length("text") <= pii.SAMPLE_CHARS))
-    order = [F.xxhash64(F.col("doc_id").cast("string")), "text"]
-    rest = docs.orderBy(*order).offset(pii.SAMPLE).select("text").collect()
+    rest = docs.orderBy(F.xxhash64(F.col("doc_id").cast("string"), "text")).offset(pii.SAMPLE).select("text").collect()
     texts = [r["text"] for r in rest if not pii.doubtful(r["text"])]
     assert len(texts) > 300
     graphs = [pii.Graph(t, pii.base_spans(t)) for t in texts]
