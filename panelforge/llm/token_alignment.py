@@ -90,6 +90,41 @@ class TokenizerB:
         return self.sp.encode(texts, num_threads=1) if texts else []
 
 
+BAD = (b"", b"")
+
+
+def merged(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Union and intersection of two ascending lists without repeats."""
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")
+    again = both[1:] == both[:-1]
+    return both[np.concatenate([[True], ~again])] if len(both) else both, both[1:][again]
+
+
+def written_groups(ids_a: np.ndarray, ids_b: np.ndarray, until_a: np.ndarray, until_b: np.ndarray, windows: np.ndarray) -> bytes:
+    """Groups as text, those of a window joined by ; and windows by line feeds.
+
+    Group g holds the A ids up to until_a[g] and the B ids up to until_b[g]; `windows` are the A ids up to each window's end."""
+    na, nb = np.diff(until_a, prepend=0), np.diff(until_b, prepend=0)
+    first = np.cumsum(na + nb) - na - nb  # where a group begins among all its ids
+    ids, mark = np.empty(len(ids_a) + len(ids_b), np.int64), np.full(len(ids_a) + len(ids_b), ord(","), np.uint8)
+    ids[np.repeat(first - (until_a - na), na) + np.arange(len(ids_a))] = ids_a
+    ids[np.repeat(first + na - (until_b - nb), nb) + np.arange(len(ids_b))] = ids_b
+    mark[first + na - 1] = ord("|")
+    mark[first + na + nb - 1] = np.where(np.isin(until_a, windows), ord("\n"), ord(";"))
+    width = len(str(int(ids.max())))
+    digits = np.empty((len(ids), width + 1), np.uint8)
+    left = ids.copy()
+    for k in range(width - 1, -1, -1):
+        left, digits[:, k] = np.divmod(left, 10)
+    shown = np.ones(digits.shape, bool)
+    for k in range(width - 1):
+        shown[:, k] = ids >= 10 ** (width - 1 - k)
+    digits[:, :width] += ord("0")
+    digits[:, width] = mark
+    return digits[shown][:-1].tobytes()
+
+
 def _byte_chars() -> list[tuple[int, str]]:
     """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow from U+0100 on."""
     own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -106,36 +141,36 @@ class Aligner:
         self.spaced = [np.array([t[:1] == b" " for t in x.bytes]) for x in (a, b)]
         self.cache: dict[bytes, tuple[bytes, bytes]] = {}
 
-    def _align(self, windows: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[bytes, bytes]]:
-        """For each window (A ids, B ids): its groups as text and its links as packed pair keys, all windows at once."""
-        na, nb = (np.array([len(w[k]) for w in windows]) for k in (0, 1))
-        ids_a, ids_b = (np.concatenate([w[k] for w in windows]).astype(np.int64) for k in (0, 1))
+    def _align(self, windows: list[bytes]) -> list[tuple[bytes, bytes] | None]:
+        """For each window its groups as text and its links as packed pair keys, all windows at once; None if its bytes differ."""
+        size = np.array([len(w) for w in windows]) // 4
+        buffer = np.frombuffer(b"".join(windows), dtype=np.uint32).astype(np.int64)
+        at = np.cumsum(size) - size
+        na = buffer[at]
+        place = np.arange(len(buffer)) - np.repeat(at, size)
+        side = place > np.repeat(na, size)
+        ids_a, ids_b = buffer[~side & (place > 0)], buffer[side]
+        nb = size - 1 - na
         ends_a, ends_b = np.cumsum(self.length[0][ids_a]), np.cumsum(self.length[1][ids_b])
-        ends = np.union1d(ends_a, ends_b)  # a segment ends at each; windows end in both lists
+        ends = merged(ends_a, ends_b)[0]  # a segment ends at each; windows end in both lists
         ia, ib = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
-        keys = (ids_a[ia] << SHIFT) | ids_b[ib]
-        shared = (ends_a[ia] == ends) & (ends_b[ib] == ends)
-        cut = np.searchsorted(ends, ends_a[np.cumsum(na) - 1], side="right")  # segments up to each window's end
-        text_a, text_b = [b"%d" % i for i in ids_a.tolist()], [b"%d" % i for i in ids_b.tolist()]
-        groups = np.flatnonzero(shared)
-        upto_a, upto_b = (ia[groups] + 1).tolist(), (ib[groups] + 1).tolist()
-        per_window = np.searchsorted(groups, cut).tolist()
-        out, g, pa_, pb_, at = [], 0, 0, 0, 0
-        for end, last in zip(cut.tolist(), per_window):
-            parts = []
-            while g < last:
-                qa, qb = upto_a[g], upto_b[g]
-                parts.append(b",".join(text_a[pa_:qa]) + b"|" + b",".join(text_b[pb_:qb]))
-                pa_, pb_, g = qa, qb, g + 1
-            out.append((b";".join(parts), keys[at:end].tobytes()))
-            at = end
+        raw = ((ids_a[ia] << SHIFT) | ids_b[ib]).tobytes()
+        shared = np.flatnonzero((ends_a[ia] == ends) & (ends_b[ib] == ends))
+        until_a, until_b = np.cumsum(na), np.cumsum(nb)
+        texts = written_groups(ids_a, ids_b, ia[shared] + 1, ib[shared] + 1, until_a).split(b"\n")
+        edges = [0, *(8 * np.searchsorted(ends, ends_a[until_a - 1], side="right")).tolist()]
+        bytes_a, bytes_b = (b"".join(map(x.bytes.__getitem__, ids.tolist())) for x, ids in ((self.a, ids_a), (self.b, ids_b)))
+        out: list = [(t, raw[i:j]) for t, i, j in zip(texts, edges, edges[1:])]
+        if bytes_a != bytes_b:
+            cut = [0, *ends_a[until_a - 1].tolist()]
+            out = [o if bytes_a[i:j] == bytes_b[i:j] else None for o, i, j in zip(out, cut, cut[1:])]
         return out
 
     def _windows(self, ids: list[np.ndarray], doc_ends: np.ndarray):
         """Token bounds of all windows in both lists, and the bytes at which windows begin."""
         starts = [np.concatenate([[0], np.cumsum(self.length[k][ids[k]])])[:-1] for k in (0, 1)]
         marked = [s[self.spaced[k][ids[k]]] for k, s in enumerate(starts)]
-        anchors = np.union1d(np.intersect1d(marked[0], marked[1], assume_unique=True), np.concatenate([[0], doc_ends[:-1]]))
+        anchors = merged(merged(*marked)[1], np.concatenate([[0], doc_ends[:-1]]))[0]
         return anchors, [np.append(np.searchsorted(s, anchors), len(s)) for s in starts]
 
     def align(self, texts: list[str]) -> list[tuple]:
@@ -143,32 +178,28 @@ class Aligner:
         none = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
         out = [none] * len(texts)
         full = [i for i, t in enumerate(texts) if t]
-        lists = [self.a.encode([" " + texts[i] for i in full]), self.b.encode([texts[i] for i in full])]
+        spaced = [" " + texts[i] for i in full]
+        lists = [[np.array(x, dtype=np.uint32) for x in ids] for ids in (self.a.encode(spaced), self.b.encode([texts[i] for i in full]))]
         good, size = [], []
-        for j, i in enumerate(full):
-            want = b" " + texts[i].encode()
-            if all(b"".join(map(x.bytes.__getitem__, ids[j])) == want for x, ids in ((self.a, lists[0]), (self.b, lists[1]))):
+        for j, i in enumerate(full):  # equal lengths here, equal bytes window by window
+            n_bytes = len(texts[i].encode()) + 1
+            if all(int(self.length[k][ids[j]].sum()) == n_bytes for k, ids in enumerate(lists)):
                 good.append(j)
-                size.append(len(want))
+                size.append(n_bytes)
         if not good:
             return out
         n = [np.array([len(ids[j]) for j in good]) for ids in lists]
-        ids = [np.concatenate([np.asarray(x[j], dtype=np.uint32) for j in good]) for x in lists]
+        ids = [np.concatenate([x[j] for j in good]) for x in lists]
         doc_ends = np.cumsum(size)
         anchors, bounds = self._windows(ids, doc_ends)
         codes, distinct = self._distinct(ids, bounds)
         cache = self.cache
         if len(cache) + len(distinct) > CACHE:
             cache.clear()
-        todo = [k for k, w in enumerate(distinct) if w not in cache]
+        todo = [w for w in distinct if w not in cache]
         if todo:
-            pairs = []
-            for k in todo:
-                both = np.frombuffer(distinct[k], np.uint32)
-                pairs.append((both[1:1 + both[0]], both[1 + both[0]:]))
-            fresh = dict(zip((distinct[k] for k in todo), self._align(pairs)))
-            cache.update(fresh)
-        known = [cache[w] for w in distinct]
+            cache.update(zip(todo, self._align(todo)))
+        known = [cache[w] or BAD for w in distinct]
         strings = [g for g, _ in known]
         flat = np.frombuffer(b"".join(k for _, k in known), dtype=np.int64)
         sizes = np.array([len(k) // 8 for _, k in known])
@@ -179,7 +210,10 @@ class Aligner:
         first_window = np.searchsorted(anchors, np.concatenate([[0], doc_ends]))
         link_at = np.concatenate([[0], np.cumsum(n_links)])[first_window]
         wanted = codes.tolist()
+        wrong = np.concatenate([[0], np.cumsum(np.array([k is BAD for k in known])[codes])])[first_window]
         for d, j in enumerate(good):
+            if wrong[d + 1] > wrong[d]:
+                continue
             groups = b";".join([strings[c] for c in wanted[first_window[d]:first_window[d + 1]]])
             keys, times = np.unique(links[link_at[d]:link_at[d + 1]], return_counts=True)
             out[full[j]] = (int(n[0][d]), int(n[1][d]), groups.count(b";") + 1, int(link_at[d + 1] - link_at[d]),
