@@ -52,20 +52,23 @@ class LinearModel:
         return df.orderBy(F.col("abs_coefficient").desc(), "feature")
 
 
-def _solve(A: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.linalg.pinv(A) @ b
+def scaled_pinv(A: np.ndarray) -> tuple[np.ndarray, int]:
+    """Pseudo-inverse and rank of a symmetric moment matrix, taken at unit diagonal: columns of very different
+    size (an amount beside a share) must not push one another below the cut-off."""
+    d = np.sqrt(np.diag(A))
+    d = np.where(d > 0, d, 1.0)
+    R = A / np.outer(d, d)
+    return np.linalg.pinv(R) / np.outer(d, d), int(np.linalg.matrix_rank(R)) if len(d) else 0
 
 
 # ------------------------------------------------------------------- L1 OLS
 
 def ols_from_moments(m: Moments, features: list[str]) -> tuple[LinearModel, dict, list[tuple]]:
-    p = len(features)
     Cxx, Cxy = m.Cxx, m.Cxy
-    inv = np.linalg.pinv(Cxx)
+    inv, rank = scaled_pinv(Cxx)
     beta = inv @ Cxy
     b0 = m.ybar - m.xbar @ beta
     sse = max(m.Cyy - 2 * beta @ Cxy + beta @ Cxx @ beta, 0.0)
-    rank = np.linalg.matrix_rank(Cxx) if p else 0
     df_resid = m.n - rank - 1
     sigma2 = sse / df_resid if df_resid > 0 else float("nan")
     cov_b = sigma2 * inv
@@ -257,8 +260,7 @@ def fe_ols_clustered(df: DataFrame, features: list[str], label: str, *, entity:
                          F.col(label).cast("double").alias("_y"))
     xcols = [*features, *[d[2] for d in dummy_cols]]
     m = moments(design, [*xcols, "_y"])[()]
-    inv_c = np.linalg.pinv(m.Cxx)
-    beta = inv_c @ m.Cxy
+    beta = scaled_pinv(m.Cxx)[0] @ m.Cxy
     b0 = m.ybar - m.xbar @ beta
     k = len(xcols) + 1
     n = m.n
@@ -288,7 +290,7 @@ def fe_ols_clustered(df: DataFrame, features: list[str], label: str, *, entity:
     XtX[0, 0] = n
     XtX[0, 1:] = XtX[1:, 0] = n * m.xbar
     XtX[1:, 1:] = m.Cxx + n * np.outer(m.xbar, m.xbar)
-    bread = np.linalg.pinv(XtX)
+    bread = scaled_pinv(XtX)[0]
     factor = (G / (G - 1)) * ((n - 1) / (n - k)) if G > 1 and n > k else float("nan")
     cov = factor * bread @ meat @ bread
     names = ["const", *xcols]

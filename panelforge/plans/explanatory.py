@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelforge.operators import absorb as ab
 from panelforge.operators import cluster as cl
 from panelforge.operators import evaluate as ev
 from panelforge.operators import linear as lin
@@ -51,7 +52,7 @@ def run_explanatory(panel: DataFrame, numeric: list[str], *, n_components: int =
         metrics["cophenetic_corr"] = hc.cophenetic
     profiles = cl.cluster_profiles(km.transform(ent, "cluster"), pcs)
     ols_pc, ols_pc_coef, ols_pc_stats = lin.ols(pca.transform(d_train, keep=["target"]), pcs, "target")
-    fe_coef, fe_info = lin.fe_ols_clustered(panel, numeric, "ret")
+    fe_coef, fe_effects, _ = ab.fe_ols_absorbed(panel, numeric, "ret")
     vif = lin.vif(pn.complete_cases(panel, numeric), numeric)
     folded = hash_fold(d_train, ["entity", "period"])
     ridge, _ = lin.ridge_cv(folded, feats, "target", fold_col="fold")
@@ -69,12 +70,11 @@ def run_explanatory(panel: DataFrame, numeric: list[str], *, n_components: int =
     out = {"shape": shape, "diagnostics": diagnostics, "explained_variance": pca.explained_variance(spark),
            "loadings": pca.loadings(spark), "assignments": assign, "profiles": profiles,
            "cluster_metrics": cl.metrics_frame(spark, metrics), "ols_on_components": ols_pc_coef,
-           "ols_on_components_fit": ols_pc_stats, "fe_ols_clustered": fe_coef, "vif": vif,
+           "ols_on_components_fit": ols_pc_stats, "fe_ols_clustered": fe_coef, "fe_effects": fe_effects, "vif": vif,
            "comparison": comparison}
     if out_dir:
         sinks.sink_processed(design, f"{out_dir}/processed", "explanatory")
         sinks.sink_pca(spark, pca, scores, out_dir, "explanatory")
         sinks.sink_clusters(assign, profiles, out["cluster_metrics"], out_dir, "explanatory")
         sinks.sink_comparison(comparison, f"{out_dir}/comparison/explanatory")
-    del fe_info
     return out

@@ -60,8 +60,6 @@ def preprocess_q(spark, sf_dir):
 
 # ---------------------------------------------------------------- linear models and PCA
 
-import numpy as np  # noqa: E402
-
 from panelforge.operators import linear as lin  # noqa: E402
 from panelforge.operators import pca as pc  # noqa: E402
 from panelforge.operators.evaluate import fit_mean  # noqa: E402
@@ -239,15 +237,43 @@ def ols_on_components_q(spark, sf_dir):
     return coef
 
 
-@register("fe_ols_clustered")
-def fe_ols_clustered_q(spark, sf_dir):
-    """L2: pooled OLS with category and month fixed effects, errors clustered by entity."""
-    p = panel(spark, sf_dir, "dense")
-    coef, _ = lin.fe_ols_clustered(p, ["hhi", "n_lines", "sd_qty", "small_pct"], "ret")
-    return coef
+from panelforge.operators import absorb as ab  # noqa: E402
 
 
-_ = np
+@register("fe_ols_clustered")
+def fe_ols_clustered_q(spark, sf_dir):
+    """L2: all dense features with category and month effects absorbed, errors clustered by entity."""
+    return ab.fe_ols_absorbed(panel(spark, sf_dir, "dense"), DENSE_FEATURES, "ret")[0]
+
+
+@register("fe_effects")
+def fe_effects_q(spark, sf_dir):
+    """P7 in L2: the category and month effects of the same fit, relative to the lowest level."""
+    return ab.fe_ols_absorbed(panel(spark, sf_dir, "dense"), DENSE_FEATURES, "ret")[1]
+
+
+@register("fe_ols_dummies")
+def fe_ols_dummies_q(spark, sf_dir):
+    """L2 as dummy columns, for errors of the level terms too; as wide as the levels are many."""
+    return lin.fe_ols_clustered(panel(spark, sf_dir, "dense"), DENSE_FEATURES, "ret")[0]
+
+
+@register("fe_ols_single", with_ctes("""
+SELECT 'hhi' AS term, round(beta, 6) AS coef, round(sqrt(v), 6) AS std_err, round(beta / sqrt(v), 6) AS z,
+       CAST(n AS BIGINT) AS n_rows, CAST(g AS BIGINT) AS n_groups
+FROM (SELECT any_value(beta) AS beta, sum(s * s) / (any_value(sxx) * any_value(sxx)) * (count(*) / (count(*) - 1.0))
+             * ((any_value(n) - 1.0) / (any_value(n) - 2 - any_value(levels))) AS v, any_value(n) AS n, count(*) AS g
+      FROM (SELECT entity, sum(x * (y - beta * x)) AS s, any_value(beta) AS beta, any_value(sxx) AS sxx, any_value(n) AS n,
+                   any_value(levels) AS levels FROM fit GROUP BY entity))""", DENSE_CTE, """
+dm AS (SELECT entity, category, hhi - avg(hhi) OVER (PARTITION BY category) AS x, ret - avg(ret) OVER (PARTITION BY category) AS y
+       FROM panel_dense WHERE hhi IS NOT NULL AND ret IS NOT NULL),
+fit AS (SELECT *, sum(x * y) OVER () / sum(x * x) OVER () AS beta, sum(x * x) OVER () AS sxx, count(*) OVER () AS n,
+               (SELECT count(DISTINCT category) - 1 FROM dm) AS levels FROM dm)"""))
+def fe_ols_single_q(spark, sf_dir):
+    """L2 with one regressor and one absorbed factor: closed form of the coefficient and its clustered error."""
+    coef, _, info = ab.fe_ols_absorbed(panel(spark, sf_dir, "dense"), ["hhi"], "ret", factors=("category",))
+    return coef.select("term", *[F.round(c, 6).alias(c) for c in ("coef", "std_err", "z")],
+                       F.lit(int(info["n"])).cast("long").alias("n_rows"), F.lit(info["groups"]).cast("long").alias("n_groups"))
 
 
 # ---------------------------------------------------------------- clustering
