@@ -1,34 +1,28 @@
-"""Clustering of entities.
+"""Clustering of entities.
 
 A7 entity_means            mean of each score per entity (one groupBy)
 A8 cluster_profiles        mean of each feature per cluster + member count
-K1 kmeans                  Spark ML KMeans over several seeds, lowest cost kept;
-                           labels relabelled 1..k by descending first-feature
-                           centroid and assigned by nearest-centre column expressions
+K1 kmeans                  50 restarts of k-means++ in shared passes (operators/kmeans.py), lowest cost
+                           kept; relabelled 1..k by descending first-feature centroid and assigned by
+                           nearest-centre column expressions (K7)
 K2 silhouette_sqeuclidean  exact mean silhouette for SQUARED Euclidean distance,
                            from per-cluster sums (no point pairs).  The Euclidean
                            silhouette of the reference needs all n^2 point pairs and
                            is deliberately not built (see README).
 K3 davies_bouldin          centroid pass + distance pass, k x k on the driver
 K4 calinski_harabasz       per-cluster moments
-K5 ward_hierarchy          exact Ward on the driver for at most ``max_leaves`` entities, an
-                           error beyond; not a registered query (see README)
-K6 cophenetic correlation  over leaf pairs of K5
-K7 cluster_assignments     both labels in one projection of the entity table
-K8 k_candidates            K1-K4 for k = 2..5
+K8 k_candidates            K1-K4 for k = 2..5, all restarts of all k in the same passes
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelforge.operators.kmeans import best_runs
 
 
 def entity_means(df: DataFrame, cols: list[str], *, entity: str = "entity") -> DataFrame:
@@ -53,12 +47,8 @@ def _sqdist(cols: list[str], centre) -> Column:
 
 def nearest_label(cols: list[str], centres: np.ndarray, labels: list[int]) -> Column:
     """Label of the nearest centre (first on ties), as a pure column expression."""
-    d = [_sqdist(cols, c) for c in centres]
-    best = F.least(*d) if len(d) > 1 else d[0]
-    expr = None
-    for di, lab in zip(d, labels):
-        expr = F.when(di == best, F.lit(lab)) if expr is None else expr.when(di == best, F.lit(lab))
-    return expr.cast("int")
+    d = F.array(*[_sqdist(cols, c) for c in centres])
+    return F.element_at(F.array(*[F.lit(v) for v in labels]), F.array_position(d, F.array_min(d)).cast("int")).cast("int")
 
 
 @dataclass
@@ -66,7 +56,7 @@ class KMeansResult:
     cols: list[str]
     centres: np.ndarray     # (k, p) ordered by label 1..k
     cost: float
-    seed: int
+    restart: int
 
     def label_col(self) -> Column:
         return nearest_label(self.cols, self.centres, list(range(1, len(self.centres) + 1)))
@@ -75,36 +65,22 @@ class KMeansResult:
         return df.withColumn(out, self.label_col())
 
 
-def kmeans(df: DataFrame, cols: list[str], k: int = 3, *, seeds=tuple(range(42, 92)), max_iter: int = 300,
-           tol: float = 1e-4) -> KMeansResult:
-    """K1: k-means|| from 50 seeds, lowest cost kept.  A NULL or NaN in ``cols`` is an error, never a
-    row silently left out: impute or drop such rows first."""
-    vec = VectorAssembler(inputCols=cols, outputCol="_features", handleInvalid="error").transform(df) \
-        .select("_features").persist()
-    try:
-        def fit(s):
-            model = KMeans(k=k, seed=s, maxIter=max_iter, tol=tol, featuresCol="_features",
-                           initMode="k-means||").fit(vec)
-            return model.summary.trainingCost, s, np.array([np.asarray(c) for c in model.clusterCenters()])
-
-        with ThreadPoolExecutor(max_workers=8) as pool:  # small jobs that overlap
-            fits = list(pool.map(fit, seeds))
-        best = fits[0]
-        for found in fits[1:]:
-            if found[0] < best[0] - 1e-12:
-                best = found
-    finally:
-        vec.unpersist()
-    cost, seed, centres = best
+def _ordered(cols: list[str], found: tuple[np.ndarray, float, int]) -> KMeansResult:
+    centres, cost, restart = found
     order = np.lexsort(tuple(-centres[:, j] for j in reversed(range(centres.shape[1]))))
-    return KMeansResult(list(cols), centres[order], float(cost), int(seed))
+    return KMeansResult(list(cols), centres[order], cost, restart)
+
+
+def kmeans(df: DataFrame, cols: list[str], k: int = 3, *, key: str | None = None, **settings) -> KMeansResult:
+    """K1: k-means++ with 50 restarts, lowest cost kept.  A NULL or NaN in ``cols`` is an error, never a
+    row silently left out: impute or drop such rows first."""
+    return _ordered(cols, best_runs(df, cols, [k], key=key, **settings)[k])
 
 
 # ---------------------------------------------------------------- quality indices
 
 def cluster_metrics(df: DataFrame, cols: list[str], *, label: str = "cluster") -> dict:
     """K2 (squared Euclidean), K3, K4 and inertia in two passes over the labelled points."""
-    spark = df.sparkSession
     data = df.dropna(subset=[*cols, label])
     sq = sum((F.col(c).cast("double") * F.col(c).cast("double") for c in cols), F.lit(0.0))
     rows = data.groupBy(label).agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
@@ -116,28 +92,17 @@ def cluster_metrics(df: DataFrame, cols: list[str], *, label: str = "cluster") -
     mu = np.array([[r[f"m{i}"] for i in range(len(cols))] for r in rows], dtype=float)
     q = np.array([r["q"] for r in rows], dtype=float)
     n = n_c.sum()
-    # per point: squared distance to every centre as literals
-    d2 = {lab: _sqdist(cols, mu[i]) for i, lab in enumerate(labels)}
-    own = None
-    for lab in labels:
-        own = F.when(F.col(label) == lab, d2[lab]) if own is None else own.when(F.col(label) == lab, d2[lab])
     # mean squared distance to the members of cluster c = ||x - mu_c||^2 + (q_c - ||mu_c||^2)
-    spread = {lab: float(q[i] - mu[i] @ mu[i]) for i, lab in enumerate(labels)}
-    a = None
-    for i, lab in enumerate(labels):
-        ai = (d2[lab] + F.lit(spread[lab])) * F.lit(n_c[i] / max(n_c[i] - 1, 1))
-        a = F.when(F.col(label) == lab, ai) if a is None else a.when(F.col(label) == lab, ai)
-    b = None
-    for lab in labels:
-        others = [d2[o] + F.lit(spread[o]) for o in labels if o != lab]
-        bl = F.least(*others) if len(others) > 1 else (others[0] if others else F.lit(None))
-        b = F.when(F.col(label) == lab, bl) if b is None else b.when(F.col(label) == lab, bl)
-    size = None
-    for i, lab in enumerate(labels):
-        size = F.when(F.col(label) == lab, F.lit(n_c[i])) if size is None else size.when(F.col(label) == lab,
-                                                                                           F.lit(n_c[i]))
+    spread = F.array(*[F.lit(float(q[i] - mu[i] @ mu[i])) for i in range(k)])
+    sizes = F.array(*[F.lit(float(v)) for v in n_c])
+    # per point: its squared distance to every centre, computed once
+    at = F.array_position(F.array(*[F.lit(v) for v in labels]), F.col(label)).cast("int")
+    points = data.select(F.col(label), at.alias("_i"), F.array(*[_sqdist(cols, m) for m in mu]).alias("_d"))
+    own, size = F.element_at("_d", F.col("_i")), F.element_at(sizes, F.col("_i"))
+    a = (own + F.element_at(spread, F.col("_i"))) * size / F.greatest(size - 1, F.lit(1.0))
+    b = F.array_min(F.transform("_d", lambda d, j: F.when(j + 1 != F.col("_i"), d + F.element_at(spread, j + 1))))
     s = F.when(size > 1, (b - a) / F.greatest(a, b)).otherwise(F.lit(0.0))
-    agg = data.select(F.col(label), own.alias("_d2"), s.alias("_s")).groupBy(label).agg(
+    agg = points.select(F.col(label), own.alias("_d2"), s.alias("_s")).groupBy(label).agg(
         F.sum("_d2").alias("w"), F.avg(F.sqrt(F.greatest(F.col("_d2"), F.lit(0.0)))).alias("spread"),
         F.sum("_s").alias("s")).collect()
     by = {r[label]: r for r in agg}
@@ -152,7 +117,6 @@ def cluster_metrics(df: DataFrame, cols: list[str], *, label: str = "cluster") -
     grand = (n_c[:, None] * mu).sum(0) / n
     between = float((n_c * ((mu - grand) ** 2).sum(1)).sum())
     ch = (between / (k - 1)) / (inertia / (n - k)) if k > 1 and n > k and inertia > 0 else float("nan")
-    del spark
     return {"n": int(n), "k": k, "inertia": inertia, "silhouette_sqeuclidean": sil, "davies_bouldin": db,
             "calinski_harabasz": float(ch)}
 
@@ -164,133 +128,15 @@ def metrics_frame(spark: SparkSession, metrics: dict) -> DataFrame:
                                  "davies_bouldin double, calinski_harabasz double")
 
 
-# ---------------------------------------------------------------- Ward of few entities
-
-@dataclass
-class WardResult:
-    cols: list[str]
-    leaf_centres: np.ndarray
-    leaf_sizes: np.ndarray
-    leaf_labels: np.ndarray       # 1..n_clusters per leaf
-    merges: list                  # (a, b, height, size)
-    cophenetic: float
-    leaf_keys: list               # entity ids
-    exact: bool = True            # always: the leaves are the entities
-
-
-def _ward(centres: np.ndarray, sizes: np.ndarray):
-    m = len(centres)
-    cen = centres.astype(float).copy()
-    sz = sizes.astype(float).copy()
-    active = np.ones(m, dtype=bool)
-    members = {i: [i] for i in range(m)}
+# ---------------------------------------------------------------- number of clusters
 
-    def d2_row(i):
-        diff = cen - cen[i]
-        return 2 * sz * sz[i] / (sz + sz[i]) * (diff * diff).sum(1)
-
-    D = np.full((m, m), np.inf)
-    for i in range(m):
-        D[i] = d2_row(i)
-        D[i, i] = np.inf
-    merges = []
-    coph = np.zeros((m, m))
-    for _ in range(m - 1):
-        flat = int(np.argmin(D))
-        i, j = divmod(flat, m)
-        if i > j:
-            i, j = j, i
-        h = float(np.sqrt(max(D[i, j], 0.0)))
-        mi, mj = members[i], members[j]
-        coph[np.ix_(mi, mj)] = h
-        coph[np.ix_(mj, mi)] = h
-        new_size = sz[i] + sz[j]
-        cen[i] = (cen[i] * sz[i] + cen[j] * sz[j]) / new_size
-        sz[i] = new_size
-        members[i] = mi + mj
-        del members[j]
-        active[j] = False
-        D[j, :] = np.inf
-        D[:, j] = np.inf
-        row = d2_row(i)
-        row[~active] = np.inf
-        row[i] = np.inf
-        D[i, :] = row
-        D[:, i] = row
-        merges.append((i, j, h, new_size))
-    return merges, coph
-
-
-def _cut(m: int, merges: list, n_clusters: int) -> np.ndarray:
-    parent = list(range(m))
-
-    def find(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-    for a, b, _, _ in merges[: max(m - n_clusters, 0)]:
-        parent[find(b)] = find(a)
-    roots = np.array([find(i) for i in range(m)])
-    return roots
-
-
-def ward_hierarchy(df: DataFrame, cols: list[str], *, key: str = "entity", n_clusters: int = 3,
-                   max_leaves: int = 1000) -> WardResult:
-    """K5 + K6.  The leaves are the rows themselves, as in the reference.  More than ``max_leaves`` rows, which
-    one machine would have to hold in pairs, are an error, and so is a missing score."""
-    rows = df.select(key, *cols).limit(max_leaves + 1).collect()
-    if len(rows) > max_leaves:
-        raise ValueError(f"Ward needs all pairs of entities: more than {max_leaves} entities")
-    rows = sorted(rows, key=lambda r: r[key])
-    keys = [r[key] for r in rows]
-    centres = np.array([[r[c] for c in cols] for r in rows], dtype=float)
-    if np.isnan(centres).any():
-        raise ValueError("Ward: a score is missing")
-    sizes = np.ones(len(rows))
-    m = len(centres)
-    merges, coph = _ward(centres, sizes)
-    roots = _cut(m, merges, n_clusters)
-    # stable labels: clusters ordered by descending size-weighted mean of the first feature
-    uniq = sorted(set(roots.tolist()))
-    first = {r: np.average(centres[roots == r, 0], weights=sizes[roots == r]) for r in uniq}
-    ordered = sorted(uniq, key=lambda r: -first[r])
-    lab_of = {r: i + 1 for i, r in enumerate(ordered)}
-    leaf_labels = np.array([lab_of[r] for r in roots])
-    iu = np.triu_indices(m, 1)
-    diff = centres[:, None, :] - centres[None, :, :]
-    dist = np.sqrt((diff ** 2).sum(-1))[iu]
-    w = (sizes[:, None] * sizes[None, :])[iu]
-    c_h = coph[iu]
-    if len(dist) > 1:
-        md, mc = np.average(dist, weights=w), np.average(c_h, weights=w)
-        cov = np.average((dist - md) * (c_h - mc), weights=w)
-        corr = cov / np.sqrt(np.average((dist - md) ** 2, weights=w) * np.average((c_h - mc) ** 2, weights=w))
-    else:
-        corr = float("nan")
-    return WardResult(list(cols), centres, sizes, leaf_labels, merges, float(corr), keys)
-
-
-def ward_labels(spark: SparkSession, result: WardResult, df: DataFrame, *, key: str = "entity",
-                out: str = "hc_cluster") -> DataFrame:
-    # bounded by max_leaves rows: a proven-small broadcast side
-    lab = spark.createDataFrame([(k_, int(v)) for k_, v in zip(result.leaf_keys, result.leaf_labels)], [key, out])
-    return df.join(F.broadcast(lab), key, "left")
-
-
-def k_candidates(df: DataFrame, cols: list[str], ks=(2, 3, 4, 5), **restarts) -> DataFrame:
-    """K8: K1-K4 for each candidate k, with the restarts of K1.  A NULL or NaN in ``cols`` is an error, as there."""
+def k_candidates(df: DataFrame, cols: list[str], ks=(2, 3, 4, 5), *, key: str | None = None, **settings) -> DataFrame:
+    """K8: K1-K4 for each candidate k; all restarts of all k share their passes.  A NULL or NaN in ``cols`` is an error."""
     spark = df.sparkSession
-    data = df.select(*cols).persist()
-    try:
-        rows = []
-        for k in ks:
-            km = kmeans(data, cols, k, **restarts)
-            met = cluster_metrics(km.transform(data, "cluster"), cols, label="cluster")
-            rows.append((k, met["inertia"], met["silhouette_sqeuclidean"], met["davies_bouldin"],
-                         met["calinski_harabasz"]))
-    finally:
-        data.unpersist()
+    data = df.select(*dict.fromkeys([*cols, *([key] if key else [])])).checkpoint(eager=True)
+    rows = []
+    for k, found in sorted(best_runs(data, cols, ks, key=key, **settings).items()):
+        met = cluster_metrics(_ordered(cols, found).transform(data, "cluster"), cols, label="cluster")
+        rows.append((k, met["inertia"], met["silhouette_sqeuclidean"], met["davies_bouldin"], met["calinski_harabasz"]))
     return spark.createDataFrame(rows, "k int, inertia double, silhouette_sqeuclidean double, davies_bouldin double, "
                                        "calinski_harabasz double")
-

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelforge.operators.cluster import entity_means
+from panelforge.operators.panel import standardize_panel
+from panelforge.operators.pca import pca_fit
 from panelforge.operators.preprocess import PreprocessModel, fit_preprocess
-from panelforge.operators.splits import WALK_FORWARD_FOLDS
+from panelforge.operators.splits import WALK_FORWARD_FOLDS, random_split
 from panelforge.plans.frames import labelled
 from panelforge.session import checkpoint_root
 from panelforge.sources.panels import DENSE_FEATURES, SPARSE_FEATURES
@@ -41,6 +44,18 @@ def forecasting_design(spark: SparkSession, sf_dir: str, which: str = "dense",
     return design_from_labelled(labelled(spark, sf_dir, which), [*FEATURES[which], "ret"], fit_splits=fit_splits)
 
 
+def component_entity_means(panel: DataFrame, numeric: list[str], n_components: int = 11) -> tuple[DataFrame, list[str]]:
+    """Entity means of all component scores, as the clustering takes them: components of the scaled training
+    numerics (key-hash 80/20 split), scores of the whole panel's z-scores (missing -> 0)."""
+    numeric = sorted(numeric)
+    train = random_split(panel, ["entity", "period"]).where(F.col("split") == "train")
+    scaled = fit_preprocess(train, numeric, []).transform(train)
+    pca = pca_fit(scaled, numeric, min(n_components, len(numeric)))
+    scores = pca.transform(standardize_panel(panel, numeric), keep=["entity"])
+    names = [f"PC{i + 1}" for i in range(len(pca.eigenvalues))]
+    return entity_means(scores, names), names
+
+
 def walk_forward_keys(months: list[int]) -> list[tuple[list, list]]:
     """Fold definitions over target-month group keys (train <= limit, val in [start, end])."""
     out = []

@@ -22,7 +22,7 @@ from panelforge.sources import sinks
 
 
 def run_explanatory(panel: DataFrame, numeric: list[str], *, n_components: int = 11, k: int = 3,
-                    out_dir: str | None = None, score_scope: str = "train", hierarchy: bool = True) -> dict:
+                    out_dir: str | None = None, score_scope: str = "train") -> dict:
     spark = panel.sparkSession
     checkpoint_root(spark)
     base = random_split(panel.withColumn("target", F.col("ret")), ["entity", "period"]).checkpoint(eager=True)
@@ -41,15 +41,10 @@ def run_explanatory(panel: DataFrame, numeric: list[str], *, n_components: int =
     scored_input = design if score_scope == "train" else pn.standardize_panel(panel, numeric)
     pcs = [f"PC{i + 1}" for i in range(len(pca.eigenvalues))]
     scores = pca.transform(scored_input, keep=["entity"])
-    ent = cl.entity_means(scores, pcs).persist()
-    km = cl.kmeans(ent, pcs, k)
+    ent = cl.entity_means(scores, pcs).checkpoint(eager=True)
+    km = cl.kmeans(ent, pcs, k, key="entity")
     assign = km.transform(ent, "kmeans_cluster").select("entity", "kmeans_cluster")
-    hc = cl.ward_hierarchy(ent, pcs, n_clusters=k) if hierarchy else None
-    if hc:
-        assign = cl.ward_labels(spark, hc, assign)
     metrics = cl.cluster_metrics(km.transform(ent, "cluster"), pcs, label="cluster")
-    if hc:
-        metrics["cophenetic_corr"] = hc.cophenetic
     profiles = cl.cluster_profiles(km.transform(ent, "cluster"), pcs)
     ols_pc, ols_pc_coef, ols_pc_stats = lin.ols(pca.transform(d_train, keep=["target"]), pcs, "target")
     fe_coef, fe_effects, _ = ab.fe_ols_absorbed(panel, numeric, "ret")

@@ -63,7 +63,7 @@ def preprocess_q(spark, sf_dir):
 from panelforge.operators import linear as lin  # noqa: E402
 from panelforge.operators import pca as pc  # noqa: E402
 from panelforge.operators.evaluate import fit_mean  # noqa: E402
-from panelforge.plans.design import forecasting_design, walk_forward_keys  # noqa: E402
+from panelforge.plans.design import component_entity_means, forecasting_design, walk_forward_keys  # noqa: E402
 from panelforge.plans.frames import development_and_holdout, panel  # noqa: E402
 from panelforge.plans.oracle_sql import DENSE_CTE  # noqa: E402
 from panelforge.sources.panels import DENSE_FEATURES  # noqa: E402
@@ -278,7 +278,10 @@ def fe_ols_single_q(spark, sf_dir):
 
 # ---------------------------------------------------------------- clustering
 
+import numpy as np  # noqa: E402
+
 from panelforge.operators import cluster as cl  # noqa: E402
+from panelforge.operators import kmeans as km  # noqa: E402
 
 CLUSTER_COLS = ["hhi", "top1_pct"]
 ENTITY_MEANS_CTE = """
@@ -352,24 +355,61 @@ def cluster_metrics_q(spark, sf_dir):
     return _round6(cl.metrics_frame(spark, m))
 
 
-def _scaled_entity_table(spark, sf_dir):
-    ent = _entity_table(spark, sf_dir)
-    from panelforge.operators.panel import standardize_panel
-    return standardize_panel(ent, CLUSTER_COLS)
-
-
 @register("kmeans_clusters")
 def kmeans_clusters_q(spark, sf_dir):
-    """K1: k = 3 on standardized entity means; label 1..3 by descending first-feature centre."""
-    ent = _scaled_entity_table(spark, sf_dir).persist()
-    km = cl.kmeans(ent, CLUSTER_COLS, 3)
-    return km.transform(ent, "kmeans_cluster").select("entity", "kmeans_cluster")
+    """K1 + K7: k = 3 on entity means of all component scores; label 1..3 by descending first-component centre."""
+    ent, cols = component_entity_means(panel(spark, sf_dir, "dense"), DENSE_FEATURES)
+    ent = ent.checkpoint(eager=True)
+    return cl.kmeans(ent, cols, 3, key="entity").transform(ent, "kmeans_cluster").select("entity", "kmeans_cluster")
 
 
 @register("k_candidates")
 def k_candidates_q(spark, sf_dir):
-    """K8: inertia and quality indices for k = 2..5."""
-    return cl.k_candidates(_scaled_entity_table(spark, sf_dir), CLUSTER_COLS)
+    """K8: inertia and quality indices for k = 2..5 on entity means of all component scores."""
+    ent, cols = component_entity_means(panel(spark, sf_dir, "dense"), DENSE_FEATURES)
+    return cl.k_candidates(ent, cols, key="entity")
+
+
+@register("score_profiles")
+def score_profiles_q(spark, sf_dir):
+    """A8 of K1: mean of every component score per cluster."""
+    ent, cols = component_entity_means(panel(spark, sf_dir, "dense"), DENSE_FEATURES)
+    ent = ent.checkpoint(eager=True)
+    labelled_ = cl.kmeans(ent, cols, 3, key="entity").transform(ent, "cluster")
+    return cl.cluster_profiles(labelled_, cols)
+
+
+LLOYD_CTE = """
+cs AS (SELECT category, avg(hhi) AS mx, avg(top1_pct) AS my FROM ent GROUP BY category),
+near AS (SELECT e.entity, e.hhi, e.top1_pct, arg_min(c.category, (e.hhi - c.mx) * (e.hhi - c.mx)
+                                                     + (e.top1_pct - c.my) * (e.top1_pct - c.my)) AS cluster
+         FROM ent e JOIN cs c ON true GROUP BY e.entity, e.hhi, e.top1_pct)"""
+
+
+def _region_centres(spark, sf_dir):
+    ent = _entity_table(spark, sf_dir)
+    rows = ent.groupBy("category").agg(*[F.avg(c).alias(c) for c in CLUSTER_COLS]).orderBy("category").collect()
+    return ent, [r["category"] for r in rows], np.array([[r[c] for c in CLUSTER_COLS] for r in rows])
+
+
+@register("nearest_centre", with_ctes("SELECT entity, cluster FROM near", DENSE_CTE, ENTITY_MEANS_CTE, LLOYD_CTE))
+def nearest_centre_q(spark, sf_dir):
+    """K7 given the centres (the regions' means): label of the nearest one."""
+    ent, names, centres = _region_centres(spark, sf_dir)
+    return ent.select("entity", cl.nearest_label(CLUSTER_COLS, centres, list(range(len(names)))).alias("_i")).select(
+        "entity", F.element_at(F.array(*[F.lit(c) for c in names]), F.col("_i") + 1).alias("cluster"))
+
+
+@register("lloyd_step", with_ctes("""
+SELECT cluster, CAST(count(*) AS BIGINT) AS n_members, round(avg(hhi), 6) AS hhi, round(avg(top1_pct), 6) AS top1_pct
+FROM near GROUP BY cluster""", DENSE_CTE, ENTITY_MEANS_CTE, LLOYD_CTE))
+def lloyd_step_q(spark, sf_dir):
+    """K1: one step from given centres (the regions' means) by the aggregate that all restarts share."""
+    ent, names, centres = _region_centres(spark, sf_dir)
+    points, means, _ = km.stored_points(ent, CLUSTER_COLS, "entity")
+    n, s, _ = km.lloyd_step(points, {len(names): (centres - means)[None]})[len(names)]
+    rows = [(c, int(m), *(float(v) for v in t / m + means)) for c, m, t in zip(names, n[0], s[0]) if m]
+    return _round6(spark.createDataFrame(rows, "cluster string, n_members long, hhi double, top1_pct double"))
 
 
 # ---------------------------------------------------------------- trees

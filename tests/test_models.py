@@ -154,7 +154,7 @@ def test_kmeans_nearest_centre_and_stable_labels(spark):
     rng = np.random.default_rng(8)
     P = np.r_[rng.normal(0, 0.3, (40, 2)), rng.normal(5, 0.3, (40, 2)), rng.normal(10, 0.3, (40, 2))]
     df = spark.createDataFrame(pd.DataFrame(P, columns=["x", "y"]))
-    km = cl.kmeans(df, ["x", "y"], 3, seeds=(1, 2, 3))
+    km = cl.kmeans(df, ["x", "y"], 3, restarts=3)
     lab = km.transform(df, "c").toPandas()
     d = ((P[:, None, :] - km.centres[None]) ** 2).sum(-1)
     assert (lab["c"].to_numpy() == d.argmin(1) + 1).all()
@@ -162,38 +162,6 @@ def test_kmeans_nearest_centre_and_stable_labels(spark):
     assert abs(km.cost - d.min(1).sum()) < 1e-6
 
 
-def _naive_ward(P):
-    clusters = [[i] for i in range(len(P))]
-    heights = []
-    while len(clusters) > 1:
-        best = None
-        for i in range(len(clusters)):
-            for j in range(i + 1, len(clusters)):
-                a, b = P[clusters[i]], P[clusters[j]]
-                na, nb = len(a), len(b)
-                h = np.sqrt(2 * na * nb / (na + nb) * ((a.mean(0) - b.mean(0)) ** 2).sum())
-                if best is None or h < best[0]:
-                    best = (h, i, j)
-        h, i, j = best
-        heights.append(h)
-        clusters[i] = clusters[i] + clusters[j]
-        del clusters[j]
-    return heights
-
-
-def test_ward_matches_naive_ward(spark):
-    rng = np.random.default_rng(9)
-    P = rng.normal(size=(25, 3))
-    pdf = pd.DataFrame(P, columns=["a", "b", "c"])
-    pdf["entity"] = range(25)
-    res = cl.ward_hierarchy(spark.createDataFrame(pdf), ["a", "b", "c"], n_clusters=3)
-    assert res.exact
-    got = sorted(h for _, _, h, _ in res.merges)
-    assert np.allclose(got, sorted(_naive_ward(P)))
-    assert all(b >= a - 1e-12 for a, b in zip([m[2] for m in res.merges], [m[2] for m in res.merges][1:]))
-    assert len(set(res.leaf_labels.tolist())) == 3 and -1 <= res.cophenetic <= 1
-
-
 def test_tree_importances(spark, reg_df):
     df, _, _ = reg_df
     model = tr.fit(df, FEATS, "forest", {"numTrees": 20, "maxDepth": 4, "minInstancesPerNode": 2})
@@ -243,31 +211,3 @@ def test_wide_moments_shuffle_one_triangle_per_partition_and_group(spark):
     for key, part in pdf.groupby("g"):
         z = part[cols].to_numpy()
         assert np.allclose(got[(key,)].C, (z - z.mean(0)).T @ (z - z.mean(0)))
-
-
-def test_ward_is_exact_or_an_error(spark):
-    """No query builds Ward, and beyond its bound nothing else takes its place."""
-    import __spark_entry__
-    assert "ward_hierarchy" not in __spark_entry__.queries()
-    df = spark.createDataFrame([(f"e{i}", float(i * i), float(i % 3)) for i in range(12)], "entity string, a double, b double")
-    assert len(cl.ward_hierarchy(df, ["a", "b"], max_leaves=12).merges) == 11
-    with pytest.raises(ValueError):
-        cl.ward_hierarchy(df, ["a", "b"], max_leaves=11)
-    with pytest.raises(ValueError):
-        cl.ward_hierarchy(df.withColumn("b", F.when(F.col("entity") != "e3", F.col("b"))), ["a", "b"])
-
-
-def test_k_candidates_restarts_and_missing_scores(spark, monkeypatch):
-    """K8 takes the 50 restarts of K1, and a missing score is an error."""
-    df = spark.createDataFrame([(float(i % 4), float(i * i % 7)) for i in range(30)], "a double, b double")
-    seeds, kmeans = [], cl.kmeans
-
-    def few(df, cols, k, *, seeds_of=kmeans.__kwdefaults__["seeds"], **given):
-        seeds.append(given.get("seeds", seeds_of))
-        return kmeans(df, cols, k, **{**given, "seeds": (42,)})
-
-    monkeypatch.setattr(cl, "kmeans", few)
-    assert {r["k"] for r in cl.k_candidates(df, ["a", "b"]).collect()} == {2, 3, 4, 5}
-    assert [len(s) for s in seeds] == [50] * 4
-    with pytest.raises(Exception, match="(?i)null|nan"):
-        cl.k_candidates(df.union(spark.createDataFrame([(None, 1.0)], "a double, b double")), ["a", "b"])
