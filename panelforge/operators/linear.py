@@ -1,7 +1,8 @@
 """Linear models from L0 moments (driver solves p x p systems only).
 
 L1 ols                    OLS with intercept: coefficients, std errors, t, p, CI, R^2, adj R^2, F
-L2 fe_ols_clustered       pooled OLS with category + month dummies, entity-clustered covariance
+L2 fe_ols_clustered       pooled OLS with category + month dummies as columns, entity-clustered covariance
+                          (the absorbed form is in operators/absorb.py)
 L3 vif                    diagonal of the inverse correlation matrix
 L4 ridge / ridge_cv       intercept unpenalized; CV over any fold design from per-group moments
 L5 lasso_cv, L6 elasticnet_cv  coordinate descent on the covariance (Gram) form
@@ -234,11 +235,18 @@ def lasso_cv(df: DataFrame, features: list[str], label: str, *, fold_col: str, a
 
 # ------------------------------------------------------------------- L2 pooled OLS, clustered errors
 
+def _levels(df: DataFrame, col: str, most: int) -> list:
+    found = df.select(col).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{col} has over {most} levels, too many for a column each; absorb them (operators/absorb.py)")
+    return sorted(r[0] for r in found)
+
+
 def fe_ols_clustered(df: DataFrame, features: list[str], label: str, *, entity: str = "entity",
                      category: str = "category", period: str = "period",
                      max_levels: int = 10_000) -> tuple[DataFrame, dict]:
-    """L2: y on features + category and month dummies (first level dropped) + const,
-    covariance clustered by entity (statsmodels' small-sample factor
+    """L2 with a column per level, where errors of the level terms are wanted (any number of levels: absorb.fe_ols_absorbed):
+    y on features + category and month dummies (first level dropped) + const, covariance clustered by entity (statsmodels' small-sample factor
     G/(G-1) * (n-1)/(n-k)), z statistics.
 
     Pass 1: moments of the full design (wide route).  Pass 2: residuals as a
@@ -246,12 +254,9 @@ def fe_ols_clustered(df: DataFrame, features: list[str], label: str, *, entity:
     sums s_g = sum_i x_i e_i per entity, and their outer-product sum (a second
     wide moment pass over the entity table).  Only k x k numbers reach the driver.
     """
-    from panelforge.operators.panel import level_list
-
     checkpoint_root(df.sparkSession)  # several passes follow: cut lineage once in the shared folder
     data = df.dropna(subset=[*features, label, category, period, entity]).checkpoint(eager=True)
-    cats = level_list(data, category, max_levels)
-    pers = level_list(data, period, max_levels)
+    cats, pers = (_levels(data, c, max_levels) for c in (category, period))
     dummy_cols = [(category, v, f"{category}_{v}") for v in cats[1:]] + [(period, v, f"{period}_{v}")
                                                                          for v in pers[1:]]
     design = data.select(entity, category, period, *[F.col(c).cast("double").alias(c) for c in features],

@@ -6,7 +6,7 @@ P3  month ordinal       see functions.periods
 P4  (inside W1)         target set to NULL at a gap, rows without a target dropped
 P5  complete_cases      drop rows with a NULL in the given columns
 P6  standardize_panel   (x - mean) / stddev_samp over a scope, then NULL -> 0
-P7  dummies             first-level-dropped indicator columns (wide) or long form
+P7  dummies_long        first-level-dropped indicators in long form (absorbed: operators/absorb.py)
 J3  demean              x - entity mean through a window (no join)
 A1-A6 panel_diagnostics shape, balance, obs per entity, variance decomposition
 A9-A11, A13             category distribution, monthly counts, target stats, correlations
@@ -18,6 +18,8 @@ number of periods, never by the number of rows.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,27 +77,6 @@ def standardize_panel(df: DataFrame, cols: list[str], *, scope: DataFrame | None
     return out
 
 
-def level_list(df: DataFrame, col: str, max_levels: int = 10_000) -> list:
-    """Sorted distinct non-NULL levels; refuses unbounded cardinality."""
-    levels = (df.select(col).where(F.col(col).isNotNull()).distinct()
-              .limit(max_levels + 1).collect())
-    if len(levels) > max_levels:
-        raise ValueError(f"{col} has more than {max_levels} levels; not a categorical")
-    return sorted(r[0] for r in levels)
-
-
-def dummies(df: DataFrame, col: str, *, prefix: str | None = None, drop_first: bool = True,
-            levels: list | None = None) -> tuple[DataFrame, list[str]]:
-    """P7 (wide): 0/1 DOUBLE columns per level, sorted, first level dropped."""
-    lv = levels if levels is not None else level_list(df, col)
-    keep = lv[1:] if drop_first else lv
-    pre = prefix if prefix is not None else col
-    names = [f"{pre}_{v}" for v in keep]
-    out = df.select("*", *[F.when(F.col(col) == F.lit(v), 1.0).otherwise(0.0).alias(n)
-                           for v, n in zip(keep, names)])
-    return out, names
-
-
 def dummies_long(df: DataFrame, cols: list[str], keys: list[str]) -> DataFrame:
     """P7 (long, sparse): one row per (key, dummy) whose value is 1; the first level
     of each column (its minimum) is dropped.  Only that one level reaches the driver."""
@@ -240,10 +221,32 @@ def target_stats(df: DataFrame, *, group: str, target: str = "target", entity: s
 
 
 def correlation_long(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pairwise Pearson correlation (pairwise-complete rows), lower triangle,
-    long form (feature_a, feature_b, corr) -- one aggregate pass for all pairs."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[:i]]
-    row = df.agg(*[F.corr(a, b).alias(f"c{k}") for k, (a, b) in enumerate(pairs)])
-    stack = ", ".join(f"'{a}', '{b}', c{k}" for k, (a, b) in enumerate(pairs))
-    return row.selectExpr(f"stack({len(pairs)}, {stack}) AS (feature_a, feature_b, corr)") \
-        .select("feature_a", "feature_b", F.round("corr", 6).alias("corr"))
+    """Pairwise Pearson correlation (pairwise-complete rows), lower triangle, long form (feature_a, feature_b, corr).
+
+    One masked Gram pass for all pairs: with x centred and 0 where missing and m the 0/1 mask, a task adds up m'm, x'm,
+    (x*x)'m and x'x of its rows and sends one row per pair; the sums are added on the executors.  NaN counts as missing;
+    a pair without variance has NULL."""
+    p = len(cols)
+    src = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(f"z{i}") for i, c in enumerate(cols)])
+    centre = np.array([v or 0.0 for v in src.agg(*[F.avg(c) for c in src.columns]).first()])  # keeps the sums small
+    ia, ib = np.tril_indices(p, -1)
+
+    def partial(batches):
+        total = np.zeros((6, len(ia)))
+        for batch in batches:
+            z = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float) - centre
+            mask = np.isfinite(z).astype(float)
+            x = np.where(mask > 0, z, 0.0)
+            one, two = x.T @ mask, (x * x).T @ mask
+            total += np.stack([(mask.T @ mask)[ia, ib], one[ia, ib], one[ib, ia], two[ia, ib], two[ib, ia], (x.T @ x)[ia, ib]])
+        yield pa.RecordBatch.from_arrays([pa.array(ia.astype(np.int32)), pa.array(ib.astype(np.int32)), *[pa.array(t) for t in total]],
+                                         names=["a", "b", "n", "sa", "sb", "saa", "sbb", "sab"])
+
+    sums = src.mapInArrow(partial, "a int, b int, n double, sa double, sb double, saa double, sbb double, sab double").groupBy("a", "b").agg(
+        *[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
+    va, vb = (F.col("n") * F.col(f"s{v}{v}") - F.col(f"s{v}") * F.col(f"s{v}") for v in "ab")
+    some = (va > 1e-12 * F.col("n") * F.col("saa")) & (vb > 1e-12 * F.col("n") * F.col("sbb"))  # beyond rounding
+    corr = F.when(some, (F.col("n") * F.col("sab") - F.col("sa") * F.col("sb")) / (F.sqrt(va) * F.sqrt(vb)))
+    name = F.array(*[F.lit(c) for c in cols])
+    return sums.select(F.element_at(name, F.col("a") + 1).alias("feature_a"), F.element_at(name, F.col("b") + 1).alias("feature_b"),
+                       F.round(corr, 6).alias("corr"))

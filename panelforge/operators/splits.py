@@ -9,7 +9,7 @@ C4 kfold               contiguous folds in key order, scikit-learn fold sizes, o
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.session import checkpoint_root
@@ -96,7 +96,7 @@ def dense_index(df: DataFrame, order: list[str], *, out: str = "row_index",
     a partition comes from ``monotonically_increasing_id`` (partition id in the
     upper bits, record number below), and each partition's offset from one small
     count per partition.  The ranged data is checkpointed so both passes see the
-    same partitioning.  Only one number per partition reaches the driver.
+    same partitioning.  The offsets are joined, one row per partition; nothing reaches the driver.
     """
     spark = df.sparkSession
     checkpoint_root(spark)
@@ -106,14 +106,11 @@ def dense_index(df: DataFrame, order: list[str], *, out: str = "row_index",
     ranged = ranged.sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id())
     ranged = ranged.checkpoint(eager=True)
     ranged = ranged.withColumn("_pid", F.shiftright(F.col("_mid"), 33))
-    counts = sorted((r["_pid"], r["n"]) for r in ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect())
-    offsets, acc = [], 0
-    for pid, n in counts:
-        offsets += [F.lit(int(pid)), F.lit(int(acc))]
-        acc += n
-    offset = F.element_at(F.create_map(*offsets), F.col("_pid")) if offsets else F.lit(0)
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = F.broadcast(counts.select("_pid", before.alias("_before")))  # one row of 16 bytes per partition
     local = F.col("_mid") - F.shiftleft(F.col("_pid"), 33)
-    return ranged.withColumn(out, (offset + local).cast("long")).drop("_mid", "_pid")
+    return ranged.join(offsets, "_pid").withColumn(out, (F.col("_before") + local).cast("long")).drop("_mid", "_pid", "_before")
 
 
 def kfold_of_index(index: Column, n: int, k: int = 5) -> Column:

@@ -58,6 +58,32 @@ def preprocess_q(spark, sf_dir):
     return out.select(*[F.round(c, 6).alias(c) if c in SPARSE_NUMERIC else F.col(c) for c in out.columns])
 
 
+@register("level_index", with_ctes("""
+SELECT 'category' AS column_name, category AS level, CAST(row_number() OVER (ORDER BY category) - 1 AS BIGINT) AS index, n
+FROM (SELECT category, CAST(count(*) AS BIGINT) AS n FROM labelled WHERE split = 'train' GROUP BY category)""", SPARSE_CTE,
+                                  labelled_cte("panel_sparse")))
+def level_index_q(spark, sf_dir):
+    """The level table of the training rows."""
+    train = labelled(spark, sf_dir, "sparse").where(F.col("split") == "train")
+    return pp.level_table(train, ["category"]).withColumnRenamed("column", "column_name")
+
+
+@register("preprocess_sparse", with_ctes(f"""
+SELECT entity, period, CAST({len(SPARSE_NUMERIC)} + (SELECT count(DISTINCT category) FROM labelled WHERE split = 'train') AS INTEGER) AS size,
+       CAST({len(SPARSE_NUMERIC)} + (SELECT count(*) FROM lv WHERE lv.category < l.category) AS INTEGER) AS hot,
+       round((l.aum - (SELECT avg(aum) FROM tr)) / (SELECT stddev_pop(aum) FROM tr), 6) AS first_value
+FROM labelled l WHERE l.category IN (SELECT category FROM lv)""", SPARSE_CTE, labelled_cte("panel_sparse"),
+    "tr AS (SELECT * FROM labelled WHERE split = 'train')", "lv AS (SELECT DISTINCT category FROM tr)"))
+def preprocess_sparse_q(spark, sf_dir):
+    """T1 as sparse vectors: their size, the place of the row's level, and the first scaled numeric."""
+    lab = labelled(spark, sf_dir, "sparse")
+    model = pp.fit_preprocess(lab.where(F.col("split") == "train"), SPARSE_NUMERIC, ["category"])
+    rows = model.transform_sparse(lab, keep=["entity", "period"])
+    return rows.where(F.size("features.indices") > len(SPARSE_NUMERIC)).select(
+        "entity", "period", F.col("features.size").alias("size"), F.element_at("features.indices", -1).alias("hot"),
+        F.round(F.element_at("features.values", 1), 6).alias("first_value"))
+
+
 # ---------------------------------------------------------------- linear models and PCA
 
 from panelforge.operators import linear as lin  # noqa: E402

@@ -41,10 +41,27 @@ def test_standardize_scale_missing_to_zero(spark):
 
 
 def test_dummies_first_level_dropped(spark):
-    df = spark.createDataFrame([("a",), ("b",), ("c",), ("b",)], "cat string")
-    out, names = pn.dummies(df, "cat")
-    assert names == ["cat_b", "cat_c"]
-    assert [tuple(r[n] for n in names) for r in out.collect()] == [(0.0, 0.0), (1.0, 0.0), (0.0, 1.0), (1.0, 0.0)]
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "b"), (5, None)], "id long, cat string")
+    got = sorted((r["id"], r["dummy"], r["value"]) for r in pn.dummies_long(df, ["cat"], ["id"]).collect())
+    assert got == [(2, "cat_b", 1.0), (3, "cat_c", 1.0), (4, "cat_b", 1.0)]
+
+
+def test_masked_correlations_equal_pandas(spark):
+    """Pairwise-complete rows; 300 pairs in one pass over the rows; no value without variance."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 25)) * 10.0 ** rng.integers(-6, 7, 25) + 10.0 ** rng.integers(0, 6, 25)
+    x[rng.random(x.shape) < 0.2] = np.nan
+    pdf = pd.DataFrame(x, columns=[f"c{i:02d}" for i in range(25)])
+    pdf["const"] = 3.3
+    df = spark.createDataFrame(pdf).repartition(5)
+    out = pn.correlation_long(df, list(pdf.columns))
+    want = pdf.corr().to_numpy()
+    rows = out.collect()
+    assert len(rows) == 26 * 25 // 2
+    for a, b, c in rows:
+        w = want[pdf.columns.get_loc(a), pdf.columns.get_loc(b)]
+        assert c is None if np.isnan(w) else abs(c - w) < 2e-6
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
 
 
 def test_variance_decomposition_matches_pandas(spark):

@@ -51,6 +51,33 @@ def test_save_load_roundtrip(spark, tmp_path):
     m.save(spark, str(tmp_path / "pre"))
     again = pp.PreprocessModel.load(spark, str(tmp_path / "pre"))
     assert again == m
+    assert again.level_table.collect() == m.level_table.collect()
+    rows = spark.createDataFrame([(None, "b"), (9.0, "zz")], "x double, c string")
+    assert again.transform_sparse(rows).collect() == m.transform_sparse(rows).collect()
+
+
+def test_sparse_rows_equal_the_wide_form(spark):
+    df = spark.createDataFrame([(1, 1.0, "b", 7), (2, None, "a", 7), (3, 4.0, None, 9), (4, 2.0, "b", None)], "id long, x double, c string, d int")
+    m = pp.fit_preprocess(df, ["x"], ["c", "d"])
+    rows = spark.createDataFrame([(1, 1.0, "b", 7), (2, None, "new", 9), (3, 5.0, None, None)], "id long, x double, c string, d int")
+    assert m.output_columns() == ["x", "c_a", "c_b", "d_7", "d_9"]
+    wide = {r["id"]: [r[c] for c in m.output_columns()] for r in m.transform(rows, keep=["id"]).collect()}
+    for r in m.transform_sparse(rows, keep=["id"]).collect():
+        dense = [0.0] * r["features"]["size"]
+        for i, v in zip(r["features"]["indices"], r["features"]["values"]):
+            dense[i] = v
+        assert dense == wide[r["id"]]
+
+
+def test_fifty_thousand_levels(spark):
+    """Levels stay a table: no list, no limit, no column for each."""
+    n = 50_000
+    df = spark.range(0, 2 * n, 1, 4).selectExpr("id", f"concat('k', lpad(id % {n}, 6, '0')) c", "cast(id as double) x").unionByName(
+        spark.range(3).selectExpr("id", "'k000123' c", "cast(id as double) x"))
+    m = pp.fit_preprocess(df, ["x"], ["c"])
+    assert m.n_levels == n and m.modes["c"] == "k000123"
+    got = m.transform_sparse(df.where("id % 10007 = 0"), keep=["id"]).selectExpr("id", "features.size s", "element_at(features.indices, -1) i").collect()
+    assert len(got) == 11 and all(r["s"] == n + 1 and (r["i"] == 1 + r["id"] % n or r["i"] == 124 and r["id"] < 3) for r in got)
 
 
 def test_column_order_does_not_change_projection(spark):
