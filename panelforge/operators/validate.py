@@ -7,11 +7,14 @@ scan), then a tiny unpivot to one row per column.  Guards raise
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelforge.functions.periods import month_ordinal
+from panelforge.session import ship_package
 
 # Name fragments of the reference's value-range rules (lower-case substring tests).
 PROBABILITY_TERMS = ("probability", "prob")
@@ -159,33 +162,51 @@ def holdout_guard(fit_rows: DataFrame, holdout_rows: DataFrame, *, keys: list[st
     return one.withColumn("ok", (F.col("n_overlap") == 0) & (F.col("max_fit_month") <= limit))
 
 
-def assert_fit_rows(fit_rows: DataFrame, *, month: str = "target_month", limit: int) -> None:
-    """Runtime form of V14, called by the forecasting run only: no fit row beyond ``limit``."""
-    latest = fit_rows.agg(F.max(month).alias("m")).first()["m"]
-    if latest is not None and latest > limit:
-        raise ValidationError(f"fit rows reach {month}={latest} beyond {limit}: holdout leak")
+class FitGuard:
+    """V14 inside a pass that runs anyway: watch ``rows`` (use these in place of df), run an action over them, ``check``.
+
+    The latest ``month`` of the rows where ``fit`` holds is collected by the action itself; no extra job."""
+
+    def __init__(self, df: DataFrame, fit, *, month: str = "target_month", limit: int):
+        self.month, self.limit, self.seen = month, limit, Observation("fit rows")
+        self.rows = df.observe(self.seen, F.max(F.when(fit, F.col(month))).alias("latest"))
+
+    def check(self) -> None:
+        latest = self.seen.get["latest"]
+        if latest is not None and latest > self.limit:
+            raise ValidationError(f"fit rows reach {self.month}={latest} beyond {self.limit}: holdout leak")
+
+
+def _footers(batches):
+    """Columns in the footer of each Parquet file, from its bytes."""
+    for batch in batches:
+        for at in range(batch.num_rows):  # one file at a time
+            row = batch.slice(at, 1)
+            n = len(pq.read_schema(pa.BufferReader(row.column(3)[0].as_buffer())).names)
+            yield pa.RecordBatch.from_arrays([row.column(0), row.column(1), row.column(2), pa.array([n], pa.int64())],
+                                             names=["file_path", "sha256", "n_bytes", "n_columns"])
 
 
 def drop_profile(spark: SparkSession, path: str, *, entity: str | None = None,
                  period=None) -> DataFrame:
-    """Per landed Parquet file: SHA-256, bytes, rows, columns, distinct entities,
-    distinct periods.  Hashes come from the ``binaryFile`` source, counts from one
-    aggregate grouped by the file path metadata column."""
+    """Per landed Parquet file: SHA-256, bytes, columns of its own footer, rows, distinct
+    entities, distinct periods.  Digests and footers come from the ``binaryFile`` source (a file of
+    at most 2 GiB is one value), counts from one aggregate grouped by the file path."""
+    ship_package(spark)
     raw = spark.read.format("binaryFile").load(path)
-    hashes = raw.select(F.col("path").alias("file_path"), F.sha2(F.col("content"), 256).alias("sha256"),
-                        F.col("length").cast("long").alias("n_bytes"))
-    data = spark.read.parquet(path)
-    n_cols = len(data.columns)
-    fp = F.col("_metadata.file_path")
+    files = raw.select(F.col("path").alias("file_path"), F.sha2(F.col("content"), 256).alias("sha256"),
+                       F.col("length").cast("long").alias("n_bytes"), "content").mapInArrow(
+        _footers, "file_path string, sha256 string, n_bytes long, n_columns long")
+    data = spark.read.option("mergeSchema", "true").parquet(path)
     aggs = [F.count(F.lit(1)).cast("long").alias("n_rows")]
     if entity is not None:
         aggs.append(F.countDistinct(entity).cast("long").alias("n_entities"))
     if period is not None:
         aggs.append(F.countDistinct(period).cast("long").alias("n_periods"))
-    counts = data.select("*", fp.alias("file_path")).groupBy("file_path").agg(*aggs)
-    norm = F.regexp_replace(F.col("file_path"), "^file:(//)?", "")
-    return (hashes.withColumn("_p", norm).join(counts.withColumn("_p", norm).drop("file_path"), "_p", "left")
-            .drop("_p").withColumn("n_columns", F.lit(n_cols).cast("long")))
+    counts = data.select("*", F.col("_metadata.file_path").alias("_counted")).groupBy("_counted").agg(*aggs)
+    norm = lambda c: F.regexp_replace(c, "^file:(//)?", "")
+    return (files.withColumn("_p", norm("file_path")).join(counts.withColumn("_p", norm("_counted")).drop("_counted"), "_p", "left")
+            .drop("_p").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)).cast("long")))
 
 
 def raw_immutable(before: DataFrame, after: DataFrame) -> DataFrame:

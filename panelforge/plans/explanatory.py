@@ -17,6 +17,7 @@ from panelforge.operators import pca as pc
 from panelforge.operators import trees as tr
 from panelforge.operators.preprocess import fit_preprocess
 from panelforge.operators.splits import hash_fold, random_split
+from panelforge.plans.design import with_log_size
 from panelforge.session import checkpoint_root
 from panelforge.sources import sinks
 
@@ -25,9 +26,9 @@ def run_explanatory(panel: DataFrame, numeric: list[str], *, n_components: int =
                     out_dir: str | None = None, score_scope: str = "train") -> dict:
     spark = panel.sparkSession
     checkpoint_root(spark)
+    panel, numeric = with_log_size(panel, numeric)
     base = random_split(panel.withColumn("target", F.col("ret")), ["entity", "period"]).checkpoint(eager=True)
     train = base.where(F.col("split") == "train")
-    numeric = sorted(numeric)
     pre = fit_preprocess(train, numeric, ["category"])
     design = pre.transform(base, keep=["entity", "period", "split", "target"]).checkpoint(eager=True)
     feats = pre.output_columns()

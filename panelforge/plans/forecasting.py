@@ -13,7 +13,6 @@ from panelforge.operators import trees as tr
 from panelforge.operators.panel import next_month_target
 from panelforge.operators.splits import TEST_END, TRAIN_END, VAL_END, chronological_split, fold_bounds, \
     walk_forward_folds
-from panelforge.operators.validate import assert_fit_rows
 from panelforge.plans.design import design_from_labelled, walk_forward_keys
 from panelforge.sources import sinks
 
@@ -22,10 +21,9 @@ def run_forecasting(panel: DataFrame, numeric: list[str], *, out_dir: str | None
                     train_end: int = TRAIN_END, val_end: int = VAL_END, test_end: int = TEST_END) -> dict:
     spark = panel.sparkSession
     lab = chronological_split(next_month_target(panel), train_end=train_end, val_end=val_end, test_end=test_end)
-    design, feats, pre = design_from_labelled(lab, [*numeric, "ret"])
+    design, feats, pre = design_from_labelled(lab, [*numeric, "ret"], limit=train_end)
     train = design.where(F.col("split") == "train")
     val = design.where(F.col("split") == "val")
-    assert_fit_rows(train, limit=train_end)
     bounds = fold_bounds(walk_forward_folds(train))
     if bounds.where(~F.col("ordered")).count():
         raise AssertionError("walk-forward fold overlap")

@@ -89,7 +89,7 @@ def preprocess_sparse_q(spark, sf_dir):
 from panelforge.operators import linear as lin  # noqa: E402
 from panelforge.operators import pca as pc  # noqa: E402
 from panelforge.operators.evaluate import fit_mean  # noqa: E402
-from panelforge.plans.design import component_entity_means, forecasting_design, walk_forward_keys  # noqa: E402
+from panelforge.plans.design import MODEL_NUMERIC, component_entity_means, forecasting_design, walk_forward_keys, with_log_size  # noqa: E402
 from panelforge.plans.frames import development_and_holdout, panel  # noqa: E402
 from panelforge.plans.oracle_sql import DENSE_CTE  # noqa: E402
 from panelforge.sources.panels import DENSE_FEATURES  # noqa: E402
@@ -240,7 +240,7 @@ def vif_table_q(spark, sf_dir):
 def pca_explained_variance_q(spark, sf_dir):
     """D1 + D2 on the scaled training features (k = all)."""
     _, train, _ = _train_design(spark, sf_dir)
-    numeric = sorted([*DENSE_FEATURES, "ret"])
+    numeric = MODEL_NUMERIC["dense"]
     return pc.pca_fit(train, numeric).explained_variance(spark)
 
 
@@ -248,7 +248,7 @@ def pca_explained_variance_q(spark, sf_dir):
 def pca_loadings_q(spark, sf_dir):
     """D1 loadings (eigenvector x sqrt(eigenvalue)) of the first five components."""
     _, train, _ = _train_design(spark, sf_dir)
-    numeric = sorted([*DENSE_FEATURES, "ret"])
+    numeric = MODEL_NUMERIC["dense"]
     return pc.pca_fit(train, numeric, 5).loadings(spark)
 
 
@@ -256,7 +256,7 @@ def pca_loadings_q(spark, sf_dir):
 def ols_on_components_q(spark, sf_dir):
     """L1 on principal components (PCR): coefficients with t statistics and p-values."""
     _, train, _ = _train_design(spark, sf_dir)
-    numeric = sorted([*DENSE_FEATURES, "ret"])
+    numeric = MODEL_NUMERIC["dense"]
     m = pc.pca_fit(train, numeric, 5)
     scores = m.transform(train, keep=["target"])
     _, coef, _ = lin.ols(scores, [f"PC{i + 1}" for i in range(5)], "target")
@@ -269,19 +269,19 @@ from panelforge.operators import absorb as ab  # noqa: E402
 @register("fe_ols_clustered")
 def fe_ols_clustered_q(spark, sf_dir):
     """L2: all dense features with category and month effects absorbed, errors clustered by entity."""
-    return ab.fe_ols_absorbed(panel(spark, sf_dir, "dense"), DENSE_FEATURES, "ret")[0]
+    return ab.fe_ols_absorbed(*with_log_size(panel(spark, sf_dir, "dense"), DENSE_FEATURES), "ret")[0]
 
 
 @register("fe_effects")
 def fe_effects_q(spark, sf_dir):
     """P7 in L2: the category and month effects of the same fit, relative to the lowest level."""
-    return ab.fe_ols_absorbed(panel(spark, sf_dir, "dense"), DENSE_FEATURES, "ret")[1]
+    return ab.fe_ols_absorbed(*with_log_size(panel(spark, sf_dir, "dense"), DENSE_FEATURES), "ret")[1]
 
 
 @register("fe_ols_dummies")
 def fe_ols_dummies_q(spark, sf_dir):
     """L2 as dummy columns, for errors of the level terms too; as wide as the levels are many."""
-    return lin.fe_ols_clustered(panel(spark, sf_dir, "dense"), DENSE_FEATURES, "ret")[0]
+    return lin.fe_ols_clustered(*with_log_size(panel(spark, sf_dir, "dense"), DENSE_FEATURES), "ret")[0]
 
 
 @register("fe_ols_single", with_ctes("""

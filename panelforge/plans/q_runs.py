@@ -13,6 +13,7 @@ from panelforge.plans.forecasting import run_forecasting
 from panelforge.plans.frames import labelled, panel
 from panelforge.plans.oracle_sql import DENSE_CTE, SPARSE_CTE, labelled_cte, with_ctes
 from panelforge.plans.q_streaming import scratch
+from panelforge.plans.validation import run_validation
 from panelforge.roles import DENSE_ROLES, select_features
 from panelforge.sources.panels import DENSE_FEATURES
 from panelforge.sources.scan import scan_processed
@@ -42,6 +43,53 @@ def lag_feature_q(spark, sf_dir):
     return labelled(spark, sf_dir, "sparse").select("entity", "target_month", F.col("ret").alias("lag_ret"), "target")
 
 
+def _landed_csv(spark, sf_dir) -> tuple[str, str]:
+    """A CSV drop of the dense panel in the shared folder: every row of 200001 twice, and a text in place of the
+    amount in the rows of 199601 whose entity is divisible by 5. Returns its path and the declared schema."""
+    p = panel(spark, sf_dir, "dense")
+    bad = (F.col("entity") % 5 == 0) & (F.col("period") == 199601)
+    text = p.withColumn("aum", F.when(bad, F.lit("n/a")).otherwise(F.col("aum").cast("string")))
+    path = scratch(spark, "landing")
+    text.unionByName(text.where("period = 200001")).write.option("header", "true").csv(path)
+    return path, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in p.schema.fields)
+
+
+@register("validate_run", with_ctes("""
+SELECT 'rejected_lines' AS check_name, CAST(count(*) AS BIGINT) AS n FROM panel_dense WHERE entity % 5 = 0 AND period = 199601
+UNION ALL SELECT 'rows', count(*) FROM good
+UNION ALL SELECT 'missing_values', count(*) FROM good WHERE sd_qty IS NULL
+UNION ALL SELECT 'duplicate_rows', count(*) FROM panel_dense WHERE period = 200001
+UNION ALL SELECT 'infinite_columns', 0 UNION ALL SELECT 'invalid_probability_columns', 0
+UNION ALL SELECT 'negative_risk_columns', 0 UNION ALL SELECT 'constant_columns', 0
+UNION ALL SELECT 'absent_columns', 1 UNION ALL SELECT 'prohibited_columns', 1
+UNION ALL SELECT 'interim_rows', count(*) FROM (SELECT DISTINCT * FROM good)""", DENSE_CTE, """
+good AS (SELECT * FROM panel_dense WHERE NOT (entity % 5 = 0 AND period = 199601)
+         UNION ALL SELECT * FROM panel_dense WHERE period = 200001)"""))
+def validate_run_q(spark, sf_dir):
+    """The validation stage on a landed CSV drop: rejects, V1-V10, deduplicated interim panel published and read back."""
+    drop, schema = _landed_csv(spark, sf_dir)
+    return run_validation(spark, drop, schema, scratch(spark, "interim"), required=[*DENSE_FEATURES, "expense_ratio"],
+                          target="ret", prohibited=["aum", "target"])["report"]
+
+
+@register("interim_panel", with_ctes("""
+SELECT DISTINCT entity, period, category, ret, aum, sd_qty FROM panel_dense WHERE NOT (entity % 5 = 0 AND period = 199601)""", DENSE_CTE))
+def interim_panel_q(spark, sf_dir):
+    """S1 -> S4 (O1) -> S2: the rows of the published interim panel."""
+    drop, schema = _landed_csv(spark, sf_dir)
+    out = run_validation(spark, drop, schema, scratch(spark, "interim"), required=DENSE_FEATURES, target="ret")
+    return out["panel"].select("entity", "period", "category", "ret", "aum", "sd_qty")
+
+
+@register("drop_counts", """
+SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT o_custkey) AS BIGINT) AS n_entities,
+       CAST(count(DISTINCT strftime(o_orderdate, '%Y%m')) AS BIGINT) AS n_periods,
+       CAST((SELECT count(*) FROM (DESCRIBE orders)) AS BIGINT) AS n_columns FROM orders""")
+def drop_counts_q(spark, sf_dir):
+    """V15 without the digest: rows, distinct customers and months, columns of the file's own footer."""
+    return drop_profile_q(spark, sf_dir).select("n_rows", "n_entities", "n_periods", "n_columns")
+
+
 @register("drop_profile")
 def drop_profile_q(spark, sf_dir):
     """SHA-256, bytes, rows, columns, distinct customers and months of the landed orders file."""

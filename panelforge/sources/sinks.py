@@ -6,10 +6,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelforge.sources.publish import new_version, publish
 
-def sink_interim(df: DataFrame, path: str, *, keys: tuple[str, ...] = ("entity", "period")) -> None:
-    """The cleaned panel, clustered by key within files for cheap later windows."""
-    df.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+
+def sort_panel(df: DataFrame, keys: tuple[str, ...] = ("entity", "period")) -> DataFrame:
+    """O1: key order within and across files (range partitions), without one task that sorts everything."""
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+
+def sink_interim(df: DataFrame, path: str, *, keys: tuple[str, ...] = ("entity", "period")) -> str:
+    """The cleaned panel in key order, as a new version; readers see it only when it is complete."""
+    version = new_version()
+    sort_panel(df, keys).write.parquet(f"{path.rstrip('/')}/{version}")
+    publish(df.sparkSession, path, version)
+    return version
 
 
 def sink_processed(df: DataFrame, path: str, mode: str) -> None:

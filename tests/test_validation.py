@@ -73,8 +73,10 @@ def test_holdout_guard(spark):
     fit = spark.createDataFrame([(1, 199901, 199902)], "entity long, period int, target_month int")
     hold = spark.createDataFrame([(1, 200101, 200102)], "entity long, period int, target_month int")
     assert va.holdout_guard(fit, hold, limit=200012).first()["ok"]
+    guard = va.FitGuard(hold, hold["target_month"] > 0, limit=200012)
+    guard.rows.collect()
     with pytest.raises(va.ValidationError):
-        va.assert_fit_rows(hold, limit=200012)
+        guard.check()
     leak = fit.unionByName(hold)
     r = va.holdout_guard(leak, hold, limit=200012).first()
     assert r["n_overlap"] == 1 and not r["ok"]
