@@ -33,7 +33,8 @@ def test_explanatory_run(spark, sf_small, tmp_path):
     ev = out["explained_variance"].orderBy("component_index").collect()
     assert abs(ev[-1]["cumulative_variance_pct"] - 100) < 1e-6          # k = p components
     labels = out["assignments"].collect()
-    assert {r["kmeans_cluster"] for r in labels} == {1, 2, 3} and {r["hc_cluster"] for r in labels} == {1, 2, 3}
+    assert {r["kmeans_cluster"] for r in labels} == {1, 2, 3}
+    assert {r["factor"] for r in out["fe_effects"].collect()} == {"category", "period"}
     assert out["cluster_metrics"].first()["k"] == 3
     assert spark.read.parquet(str(tmp_path / "pca/mode=explanatory/loadings")).count() == 11 * 11
     assert spark.read.parquet(str(tmp_path / "clustering/mode=explanatory/assignments")).count() == len(labels)
