@@ -161,9 +161,19 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[df[source].alias(name) for name, source in columns.items()])
 
 
-def partitions_for(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def shield(docs: DataFrame, *keys: str, **more: Column) -> tuple[DataFrame, list[str]]:
+    """docs under neutral column names, and the new names of ``keys``: whatever a table's columns are called, none can clash
+    with an operator's own. ``more`` are further columns, from expressions over docs. Undo with toDF(*docs.columns)."""
+    names = docs.columns
+    own = [docs[f"`{c}`"].alias(f"own{i}") for i, c in enumerate(names)]
+    return docs.select(*own, *[v.alias(k) for k, v in more.items()]), [f"own{names.index(k)}" for k in keys]
+
 
+def free_name(name: str, taken: list[str]) -> str:
+    while name in taken:
+        name = f"_{name}"
+    return name
 
-def spread(key: Column, n: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+
+def partitions_for(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

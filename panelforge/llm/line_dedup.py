@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import cut_words, hash_words, materialize, partitions_for, ship, small, slices, words_of
+from panelforge.llm.common import cut_words, free_name, hash_words, materialize, partitions_for, shield, ship, small, slices, words_of
 
 UP, DOWN = 4, 5  # threshold 4/5
 FREQUENT, FREQUENT_BYTES = 65_536, 48
@@ -353,7 +353,11 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def remove_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with their text less the duplicate lines, plus columns __lines and __removed (line numbers from 0)."""
+    """The documents with their text less the duplicate lines, plus two last columns __lines and __removed (line numbers from 0).
+
+    Other columns are kept whatever their names; where one has the name of a new column, that gets a further _ in front."""
+    columns = docs.columns
+    docs, (id_col, text_col) = shield(docs, id_col, text_col)
     gone = duplicate_lines(docs, id_col, text_col).groupBy(F.col("doc").alias("__d"), F.col("tk").alias("__t")).agg(F.array_sort(F.collect_list("no")).alias("__removed"))
     gone = small(materialize(gone, "gone"))
     keyed = docs.withColumn("__doc", F.coalesce(docs[id_col].cast("long"), F.lit((1 << 63) - 1))).withColumn("__tk", _tk(docs[text_col]))
@@ -362,7 +366,8 @@ def remove_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kept = F.array_join(F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains("__removed", s["i"])).getField("x"), "\n")
     text = F.when(F.col("__removed").isNull(), F.col(text_col)).otherwise(kept)
     count = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long")
-    return joined.withColumn("__lines", count).withColumn("__removed", F.coalesce("__removed", F.array().cast("array<int>"))).withColumn(text_col, text).select(*docs.columns, "__lines", "__removed")
+    out = joined.withColumn("__lines", count).withColumn("__removed", F.coalesce("__removed", F.array().cast("array<int>"))).withColumn(text_col, text)
+    return out.select(*docs.columns, "__lines", "__removed").toDF(*columns, free_name("__lines", columns), free_name("__removed", columns))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

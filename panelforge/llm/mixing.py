@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import materialize, ship, slices, text_bytes
+from panelforge.llm.common import materialize, shield, ship, slices, text_bytes
 
 NONE = "∅"  # the category of nulls
 DIGITS = 3
@@ -121,13 +121,16 @@ def mix(docs: DataFrame, levels: Mapping[str, Column], budget_share: float = 0.5
 
 def take(docs: DataFrame, levels: Mapping[str, Column], budget_share: float = 0.5, weights: Sequence[Mapping[str, float]] | None = None,
          max_epochs: int = 2, seed: str = "mix-1", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that the mix takes, as often as it takes them, with their own columns."""
-    names = [f"__l{i}" for i in range(len(levels))]
+    """The documents that the mix takes, as often as it takes them, with their own columns, whatever their names."""
+    names, columns = [f"__l{i}" for i in range(len(levels))], docs.columns
+    docs, (id_col, text_col) = shield(docs, id_col, text_col, **{f"__v{i}": c for i, c in enumerate(levels.values())})
+    levels = {k: F.col(f"__v{i}") for i, k in enumerate(levels)}
     plan = mix(docs, levels, budget_share, weights, max_epochs, seed, id_col, text_col).where("copies > 0")
     plan = plan.select(F.col(id_col).alias("__id"), F.coalesce("tk", F.lit(0)).alias("__tk"), *[F.col(k).alias(n) for k, n in zip(levels, names)], F.col("copies").alias("__copies")).distinct()
     keyed = docs.select("*", F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("__tk"), *[F.coalesce(c.cast("string"), F.lit(NONE)).alias(n) for c, n in zip(levels.values(), names)])
     met = keyed.join(plan, keyed[id_col].eqNullSafe(plan["__id"]) & (keyed["__tk"] == plan["__tk"]) & _all(keyed[n] == plan[n] for n in names))
-    return met.select(*[keyed[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("__copy")).drop("__copy")
+    out = met.select(*[keyed[f"own{i}"] for i in range(len(columns))], F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("__copy"))
+    return out.drop("__copy").toDF(*columns)
 
 
 def _all(conditions) -> Column:

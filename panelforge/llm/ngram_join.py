@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import hash_words, materialize, partitions_for, pick, ship, slices, text_bytes, words_of
+from panelforge.llm.common import hash_words, materialize, partitions_for, pick, shield, ship, slices, text_bytes, words_of
 from panelforge.llm.components import connected_components
 
 GRAM, BANDS, ROWS = 5, 24, 4
@@ -324,7 +324,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: tuple[int, int] = (4, 5)) -> DataFrame:
     """The documents with one row of each group: the one with the smallest id (the smallest text hash among rows of one id).
 
-    Of rows that repeat id and text one stays, also if they have no words."""
+    Of rows that repeat id and text one stays, also if they have no words. Other columns are kept whatever their names."""
+    own = docs.columns
+    docs, (id_col, text_col) = shield(docs, id_col, text_col)
     found = materialize(near_duplicates(docs, id_col, text_col, threshold), "near")
     key = F.struct(F.col(id_col).isNull().alias("z"), id_col, "tkey")
     lone = found.where((F.col("n_copies") == 1) & (F.col("n_links") == 0)).select(F.col(id_col).alias("__kid"), F.col("tkey").alias("__ktk"))
@@ -340,4 +342,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     twice = out.select(*columns, "__kid", "__ktk")
     plain = twice.join(repeated, twice["__kid"].eqNullSafe(repeated["__kid"]) & twice["__ktk"].eqNullSafe(repeated["__ktk"]), "left_anti").select(*columns)
     rest = twice.join(repeated, twice["__kid"].eqNullSafe(repeated["__kid"]) & twice["__ktk"].eqNullSafe(repeated["__ktk"]), "left_semi")
-    return plain.union(rest.dropDuplicates(["__kid", "__ktk"]).select(*columns))
+    return plain.union(rest.dropDuplicates(["__kid", "__ktk"]).select(*columns)).toDF(*own)

@@ -14,7 +14,6 @@ extra columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 
 import pyarrow as pa
@@ -22,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelforge.llm.common import SPACE, pick, ship, slices, text_bytes
+from panelforge.llm.common import SPACE, pick, shield, ship, slices, text_bytes
 
 SYMBOLS = b"#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_shouted")
@@ -117,10 +116,11 @@ def apply_policy(entries: DataFrame, policy: str = CURRENT) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame, policy: str = CURRENT, text_col: str = "text") -> DataFrame:
-    """The documents that a policy keeps, with their own columns: ledger and policy in one pass over the texts."""
+    """The documents that a policy keeps, with their own columns, whatever their names: ledger and policy in one pass over the texts."""
     ship(docs.sparkSession)
-    names = [f"__{m}" for m in MEASURES]
-    at = docs.columns.index(text_col)
+    columns, names = docs.columns, list(MEASURES)
+    at = columns.index(text_col)
+    docs, _ = shield(docs)
 
     def run(batches):
         for batch in slices(batches):
@@ -129,10 +129,8 @@ def filter_documents(docs: DataFrame, policy: str = CURRENT, text_col: str = "te
 
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in names)])
     measured = docs.mapInArrow(run, schema)
-    own = re.compile(r"\b(" + "|".join(MEASURES) + r")\b")
-    failed = F.expr(" | ".join(f"(case when {own.sub(lambda m: '__' + m[1], cond)} then {1 << i}L else 0L end)" for i, cond in enumerate(RULES.values())))
     mask = mask_of(policy) | mask_of("base-1")
-    return measured.where(failed.bitwiseAND(F.lit(mask)) == 0).drop(*names)
+    return measured.where(failed_bits().bitwiseAND(F.lit(mask)) == 0).drop(*names).toDF(*columns)
 
 
 def ablation(entries: DataFrame, policy: str = CURRENT) -> DataFrame:
