@@ -19,7 +19,7 @@ from panelforge.llm import line_dedup, mixing, ngram_join, packing, quality_rule
 from panelforge.llm.common import scratch_path, table
 from panelforge.llm.production import MIX_WEIGHTS, mixing_tree
 
-#: SQL can't express a stage (MinHash, tokenizer); tests hold run() against a brute-force version
+#: SQL can't express a stage (MinHash, tokenizer); tests/llm/test_pipeline.py holds stages and run() against brute force
 ORACLE_SQL = None
 BUDGET_SHARE, EPOCHS = 0.8, 2
 
@@ -30,9 +30,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     left = line_dedup.remove_lines(docs)
-    gone = (F.size("__removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    changed = F.size(left.columns[-1]) > 0  # the removed lines
+    gone = changed & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
     if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.when(F.size("__removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        left = left.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return left.where(~gone).select(*docs.columns)
 
 
