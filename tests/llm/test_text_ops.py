@@ -13,6 +13,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from panelforge.llm import html_main, lm_scoring, mixing, packing, quality_rules, token_counts, warc_zip
@@ -260,8 +261,106 @@ def test_copies_and_repeated_headings_stay(spark, copies):
     want |= {(10_000 + g, f"Plain {g}") for g in range(5)} | {(20_000 + i, "Gone" if i else "Gone first") for i in range(20)}
     assert got == want
     low = frozenset(["/html/body/div.c"])
-    assert html_main.extract("<html><body><div class=c>All of it</div><nav>Home</nav></body></html>", low) == "All of it"
-    assert html_main.extract("<html><body><div class=c>Template</div><p>Text</p></body></html>", low) == "Text"
+    assert html_main.extract("<html><body><div class=c>All of it</div><nav>Home</nav></body></html>", low) == ("All of it", 0, 1)
+    assert html_main.extract("<html><body><div class=c>Template</div><p>Text</p></body></html>", low) == ("Text", 1, 0)
+
+
+def brute_low(pages, lists):
+    """Template branches of one host's pages by recursion over a merged tree."""
+    bodies = {}
+    for html in pages:
+        layouts = []
+        found = html_main.blocks(html, layouts)
+        left = sorted((p, t) for p, _, dropped, t in found if not (lists and dropped))
+        if left:
+            whole = Counter((p, html_main.TEXT, xxhash.xxh3_64_intdigest(t.encode()) - (1 << 63)) for p, _, _, t in found)
+            whole.update((p, html_main.LAYOUT, xxhash.xxh3_64_intdigest("/".join(c).encode()) - (1 << 63)) for p, c in layouts if c)
+            rank = xxhash.xxh3_128_digest(repr(sorted(whole.items())).encode())
+            if repr(left) not in bodies or rank < bodies[repr(left)][0]:
+                bodies[repr(left)] = rank, [(p, t) for p, _, _, t in found], [(p, tuple(c)) for p, c in layouts if c]
+    root = {"kids": {}, "texts": [], "shapes": []}
+
+    def node(path):
+        at = root
+        for step in path.split("/")[1:]:
+            at = at["kids"].setdefault(step, {"kids": {}, "texts": [], "shapes": []})
+        return at
+
+    for _, texts, shapes in bodies.values():
+        for p, t in texts:
+            node(p)["texts"].append(t)
+        for p, c in shapes:
+            node(p)["shapes"].append(c)
+
+    def effective(things):
+        m = len(things)
+        return math.exp(-sum(n / m * math.log(n / m) for n in Counter(things).values())) / m
+
+    low = set()
+
+    def walk(at, path):
+        """(sum of blocks' content, blocks, highest importance) of a branch."""
+        total, m, best = (effective(at["texts"]) * len(at["texts"]) if at["texts"] else 0.0), len(at["texts"]), 0.0
+        for step, kid in at["kids"].items():
+            t, n, b = walk(kid, f"{path}/{step}")
+            total, m, best = total + t, m + n, max(best, b)
+        if m:
+            own = total / m
+            if at["shapes"]:
+                g = 0.9 ** len(set(at["shapes"]))
+                own = (1 - g) * effective(at["shapes"]) + g * own
+            best = max(best, own)
+            tags = [s.split(".")[0] for s in path.split("/")[1:]]
+            bare = path.rsplit("/", 1)[-1] in "p h1 h2 h3 h4 h5 h6 li dt dd tr td th thead tbody tfoot pre blockquote".split()
+            if round(best, 9) < 0.3 and not bare and tags and tags[-1] not in ("html", "body") and not {"article", "main"} & set(tags):
+                low.add(path)
+        return total, m, best
+
+    walk(root, "")
+    return low
+
+
+@pytest.mark.parametrize("lists", [True, False])
+def test_style_tree_is_the_brute_force_one(spark, lists):
+    rng = random.Random(8)
+
+    def some(depth):
+        tag = rng.choice(["div", "div class=a", "div class='b c'", "p", "ul", "li", "h2", "section", "div class=ad", f"div id=x{rng.random()}", "footer"])
+        inner = "".join(some(depth - 1) for _ in range(rng.randint(0, 3))) if depth else ""
+        return f"<{tag}>{rng.choice(['', 'same', 'two', f'own {rng.random()}'])}{inner}</{tag.split()[0]}>"
+
+    rows = []
+    for h, n in enumerate([1, 3, 12, 60]):
+        fixed = some(3)
+        pages = [f"<html><body>{fixed}{some(3)}{some(2)}</body></html>" for _ in range(n)]
+        rows += [(h, f"http://h{h}.example/", x) for x in pages + pages[:n // 2]]
+    rows = [(i, u, x) for i, (_, u, x) in enumerate(rows)]
+    got = {r.page_id: (r.text, r.n_chars, r.by_tree, r.by_lists)
+           for r in html_main.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5), lists=lists).collect()}
+    low = {u: frozenset(brute_low([x for _, v, x in rows if v == u], lists)) for u in {u for _, u, _ in rows}}
+    assert any(low.values())
+    for i, u, x in rows:
+        every = html_main.blocks(x)
+        kept = [b for b in every if not any((b[0] + "/").startswith(p + "/") for p in low[u])]
+        kept = kept if any(not (lists and b[2]) for b in kept) else every
+        left = [b for b in kept if not (lists and b[2])]
+        text = " ".join(b[3] for b in left)
+        assert got[i] == (text, len(text), len(every) - len(kept), len(kept) - len(left))
+
+
+def test_tree_alone_removes_what_repeats(spark):
+    """Without lists: menus, notices, footers and a small pool of adverts go, ids per page or not; articles, headings in running text stay."""
+    rng = random.Random(2)
+
+    def whole(i):
+        return (f"<html><body><div class=bar><ul>{''.join(f'<li>Menu {k}</li>' for k in rng.sample(range(9), 5))}</ul></div><div id='strip-{i}' class='n{i}'>We use cookies</div>"
+                f"<div class=x>Buy {rng.randrange(6)}</div><div class=t><h2>Aim</h2><p>Aim of {i}</p><h2>Way</h2><p>Way of {i}</p></div><div class=foot><p>Site</p></div></body></html>")
+
+    rows = [(i, "http://many.example/", whole(i)) for i in range(200)] + [(1000, "http://one.example/", whole(1000))]
+    got = {r.page_id: r for r in html_main.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"), lists=False).collect()}
+    for i in range(200):
+        assert got[i].text == f"Aim Aim of {i} Way Way of {i}" and got[i].by_tree == 8 and got[i].by_lists == 0
+    assert "We use cookies" in got[1000].text  # a single page tells the tree nothing
 
 
 # ---- scoring -------------------------------------------------------------------------
