@@ -36,7 +36,7 @@ import re
 from collections import Counter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.llm.common import materialize, pick, ship, slices
@@ -194,9 +194,9 @@ def _bodies(bodies: dict) -> pa.RecordBatch:
                                       names=["host", "body", "whole", "blocks"])
 
 
-def _branches(path: str) -> F.Column:
+def _prefixes(path: str) -> Column:
     """The path and every branch above it."""
-    return F.explode(F.expr(f"transform(sequence(2, size(split({path}, '/'))), i -> array_join(slice(split({path}, '/'), 1, i), '/'))"))
+    return F.expr(f"transform(sequence(2, size(split({path}, '/'))), i -> array_join(slice(split({path}, '/'), 1, i), '/'))")
 
 
 def importance(counts: DataFrame) -> DataFrame:
@@ -204,13 +204,15 @@ def importance(counts: DataFrame) -> DataFrame:
     # the effective number of kinds, m * exp(-sum(n log n) / m), over m
     paths = counts.groupBy("host", "path", "kind").agg(F.sum("n").alias("m"), F.count(F.lit(1)).alias("l"),
                                                        F.exp(-F.sum(F.col("n") * F.log("n")) / F.sum("n")).alias("own"))
-    texts = paths.where((F.col("kind") == TEXT) & (F.col("path") != ""))
-    content = (texts.select("host", "m", "own", _branches("path").alias("path")).groupBy("host", "path")
-               .agg((F.sum(F.col("m") * F.col("own")) / F.sum("m")).alias("content")))
-    layouts = paths.where(F.col("kind") == LAYOUT).select("host", "path", F.col("own").alias("shown"), F.pow(F.lit(GAMMA), F.col("l")).alias("g"))
-    nodes = content.join(layouts, ["host", "path"], "left").select(
-        "host", "path", F.coalesce((1 - F.col("g")) * F.col("shown") + F.col("g") * F.col("content"), F.col("content")).alias("importance"))
-    return (nodes.select("host", "importance", _branches("path").alias("branch")).groupBy("host", "branch")
+    # texts count for every branch above them, layouts for their own element
+    above = F.explode(F.when(F.col("kind") == TEXT, _prefixes("path")).otherwise(F.array("path"))).alias("path")
+    text, g = F.col("kind") == TEXT, F.pow(F.lit(GAMMA), F.col("l"))
+    nodes = (paths.where("path <> ''").select("host", "kind", "m", "l", "own", above).groupBy("host", "path")
+             .agg((F.sum(F.when(text, F.col("m") * F.col("own"))) / F.sum(F.when(text, F.col("m")))).alias("content"),
+                  F.max(F.when(~text, F.col("own"))).alias("shown"), F.max(F.when(~text, g)).alias("g"))
+             .where("content IS NOT NULL")
+             .select("host", "path", F.coalesce((1 - F.col("g")) * F.col("shown") + F.col("g") * F.col("content"), F.col("content")).alias("importance")))
+    return (nodes.select("host", "importance", F.explode(_prefixes("path")).alias("branch")).groupBy("host", "branch")
             .agg(F.round(F.max("importance"), 9).alias("importance")))
 
 
