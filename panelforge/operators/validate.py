@@ -7,9 +7,15 @@ scan), then a tiny unpivot to one row per column.  Guards raise
 
 from __future__ import annotations
 
+import hashlib
+import os
+import re
+from urllib.parse import unquote
+
 import pyarrow as pa
+import pyarrow.fs as pafs
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -177,26 +183,54 @@ class FitGuard:
             raise ValidationError(f"fit rows reach {self.month}={latest} beyond {self.limit}: holdout leak")
 
 
-def _footers(batches):
-    """Columns in the footer of each Parquet file, from its bytes."""
+DIGEST_CHUNK = 8 << 20
+
+
+def _open(path: str):
+    """A landed file for range reads, wherever it lies."""
+    if not path.startswith("file:") and "://" in path:
+        fs, local = pafs.FileSystem.from_uri(path)
+        return fs.open_input_file(local)
+    local = re.sub("^file:(//)?", "", path)
+    return pafs.LocalFileSystem().open_input_file(local if os.path.exists(local) else unquote(local))
+
+
+def _digest(path: str) -> tuple[str, int, list[str]]:
+    """(SHA-256, bytes, columns of the footer) of one Parquet file, DIGEST_CHUNK bytes in memory at a time."""
+    with _open(path) as f:
+        sha, size = hashlib.sha256(), f.size()
+        while chunk := f.read(DIGEST_CHUNK):
+            sha.update(chunk)
+        return sha.hexdigest(), size, pq.read_schema(f).names
+
+
+def _digests(batches):
     for batch in batches:
-        for at in range(batch.num_rows):  # one file at a time
-            row = batch.slice(at, 1)
-            n = len(pq.read_schema(pa.BufferReader(row.column(3)[0].as_buffer())).names)
-            yield pa.RecordBatch.from_arrays([row.column(0), row.column(1), row.column(2), pa.array([n], pa.int64())],
-                                             names=["file_path", "sha256", "n_bytes", "n_columns"])
+        sha, size, names = zip(*map(_digest, batch.column(0).to_pylist())) if batch.num_rows else ((), (), ())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sha, pa.string()), pa.array(size, pa.int64()),
+                                          pa.array(names, pa.list_(pa.string()))], names=["file_path", "sha256", "n_bytes", "columns"])
+
+
+def file_digests(files: DataFrame) -> DataFrame:
+    """(file_path, sha256, n_bytes, columns) of the Parquet files listed in the first column; files of any size are read in
+    chunks inside the tasks, spread over the cluster's cores."""
+    ship_package(files.sparkSession)
+    spread = files.toDF("file_path").repartition(files.sparkSession.sparkContext.defaultParallelism, "file_path")
+    return spread.mapInArrow(_digests, "file_path string, sha256 string, n_bytes long, columns array<string>")
+
+
+def same_file(path: str) -> Column:
+    """A file's path without the scheme, which Spark's sources write in two ways for local files."""
+    return F.regexp_replace(path, "^file:(//)?", "")
 
 
 def drop_profile(spark: SparkSession, path: str, *, entity: str | None = None,
                  period=None) -> DataFrame:
     """Per landed Parquet file: SHA-256, bytes, columns of its own footer, rows, distinct
-    entities, distinct periods.  Digests and footers come from the ``binaryFile`` source (a file of
-    at most 2 GiB is one value), counts from one aggregate grouped by the file path."""
-    ship_package(spark)
-    raw = spark.read.format("binaryFile").load(path)
-    files = raw.select(F.col("path").alias("file_path"), F.sha2(F.col("content"), 256).alias("sha256"),
-                       F.col("length").cast("long").alias("n_bytes"), "content").mapInArrow(
-        _footers, "file_path string, sha256 string, n_bytes long, n_columns long")
+    entities, distinct periods.  Digests and footers are read file by file in the tasks, counts come from one
+    aggregate grouped by the file path."""
+    listed = spark.read.format("binaryFile").load(path).select("path")  # names only: the contents are not read here
+    files = file_digests(listed).select("file_path", "sha256", "n_bytes", F.size("columns").cast("long").alias("n_columns"))
     data = spark.read.option("mergeSchema", "true").parquet(path)
     aggs = [F.count(F.lit(1)).cast("long").alias("n_rows")]
     if entity is not None:
@@ -204,8 +238,7 @@ def drop_profile(spark: SparkSession, path: str, *, entity: str | None = None,
     if period is not None:
         aggs.append(F.countDistinct(period).cast("long").alias("n_periods"))
     counts = data.select("*", F.col("_metadata.file_path").alias("_counted")).groupBy("_counted").agg(*aggs)
-    norm = lambda c: F.regexp_replace(c, "^file:(//)?", "")
-    return (files.withColumn("_p", norm("file_path")).join(counts.withColumn("_p", norm("_counted")).drop("_counted"), "_p", "left")
+    return (files.withColumn("_p", same_file("file_path")).join(counts.withColumn("_p", same_file("_counted")).drop("_counted"), "_p", "left")
             .drop("_p").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)).cast("long")))
 
 
@@ -251,14 +284,28 @@ def schema_drift(active: DataFrame, new: DataFrame, *, null_rate_shift: float =
 DROP_ROLES = ("descriptive", "explanatory", "prospective")
 
 
+#: One row per landed file, whoever writes it
+LEDGER = ("drop_id string, drop_time timestamp, sha256 string, n_bytes long, n_columns long, n_rows long, n_entities long, n_periods long, "
+          "n_duplicate_keys long, schema_ok boolean, role string, recorded_at timestamp")
+
+
+def ledger_rows(entries: DataFrame) -> DataFrame:
+    """Entries in the ledger's columns; what they lack is null, the time of recording is now."""
+    have = {**{c: F.col(c) for c in entries.columns}, "recorded_at": F.current_timestamp()}
+    return entries.select(*[have.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(LEDGER)])
+
+
+def check_role(role: str) -> None:
+    if role not in DROP_ROLES:
+        raise ValidationError(f"unknown drop role {role!r}")
+
+
 def append_ledger(spark: SparkSession, ledger_path: str, entries: list[tuple[str, str, str, int]]) -> DataFrame:
     """Append (drop_id, sha256, role, n_rows) entries to an append-only Parquet ledger."""
     for _, _, role, _ in entries:
-        if role not in DROP_ROLES:
-            raise ValidationError(f"unknown drop role {role!r}")
-    df = spark.createDataFrame(entries, "drop_id string, sha256 string, role string, n_rows long") \
-        .withColumn("recorded_at", F.current_timestamp())
-    df.write.mode("append").parquet(ledger_path)
+        check_role(role)
+    df = spark.createDataFrame(entries, "drop_id string, sha256 string, role string, n_rows long")
+    ledger_rows(df).write.mode("append").parquet(ledger_path)
     return spark.read.parquet(ledger_path)
 
 

@@ -1,5 +1,5 @@
 """Structured Streaming ingestion of landed panel drops (G1)."""
 
-from panelforge.streaming.ingest import ingest_drops, resolve_latest
+from panelforge.streaming.ingest import current_panel, ingest_drops
 
-__all__ = ["ingest_drops", "resolve_latest"]
+__all__ = ["current_panel", "ingest_drops"]

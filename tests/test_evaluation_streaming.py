@@ -1,12 +1,14 @@
 """Metrics conventions, evaluation tables, streaming ingestion, driver contract."""
 
+import hashlib
 import math
 
 from pyspark.sql import functions as F
 
 from panelforge.functions.metrics import regression_metric_columns
 from panelforge.operators import evaluate as ev
-from panelforge.streaming.ingest import ingest_drops, resolve_latest
+from panelforge.operators import validate as va
+from panelforge.streaming.ingest import current_panel, ingest_drops
 
 
 def _m(spark, rows):
@@ -55,7 +57,7 @@ def test_streaming_latest_drop_wins_and_replay_is_idempotent(spark, tmp_path):
     n3 = ingest_drops(spark, str(tmp_path / "land"), str(tmp_path / "store"), str(tmp_path / "ledger"),
                       str(tmp_path / "ckpt"), schema, files_per_batch=1)
     assert (n1, n2, n3) == (1, 1, 0)
-    cur = {(r["period"]): r["ret"] for r in resolve_latest(spark.read.parquet(str(tmp_path / "store"))).collect()}
+    cur = {(r["period"]): r["ret"] for r in current_panel(spark, str(tmp_path / "store"), str(tmp_path / "ledger")).collect()}
     assert cur == {202001: 1.0, 202002: 9.0, 202003: 3.0}
     assert spark.read.parquet(str(tmp_path / "ledger")).count() == 2
 
@@ -92,5 +94,48 @@ def test_replayed_batch_leaves_one_ledger_row_and_faulty_file_stays_out(spark, t
         ingest_drops(spark, land, store, ledger, str(tmp_path / f"ckpt{attempt}"), good.schema, required=("ret",))
     rows = spark.read.parquet(ledger).collect()
     assert sorted(r.schema_ok for r in rows) == [False, True]
-    kept = spark.read.parquet(store).collect()
+    kept = current_panel(spark, store, ledger).collect()
     assert sorted((r.entity, r.ret) for r in kept) == [(1, 0.5), (2, 0.1)]
+
+
+def test_a_correction_writes_its_period_alone_and_unfinished_batches_stay_unseen(spark, tmp_path):
+    land, store, ledger, drift = (str(tmp_path / n) for n in ("land", "store", "ledger", "drift"))
+    schema = "entity long, period int, ret double"
+    where = (spark, land, store, ledger, str(tmp_path / "ckpt"), schema)
+    first = [(e, 202000 + m, float(e + m)) for e in range(20) for m in range(1, 13)]
+    spark.createDataFrame(first, schema).coalesce(1).write.parquet(f"{land}/d1")
+    ingest_drops(*where, drift=drift)
+
+    def files():
+        return {str(f.relative_to(store)): f.read_bytes() for f in (tmp_path / "store").rglob("*.parquet")}
+
+    before = files()
+    spark.createDataFrame([(3, 202005, -1.0), (99, 202005, 7.0)], schema).coalesce(1).write.parquet(f"{land}/d2")
+    ingest_drops(*where, drift=drift, role="prospective")
+    after = files()
+    assert all(after[n] == b for n, b in before.items())
+    assert {n.split("/")[0] for n in set(after) - set(before)} == {"part=202005"}
+    want = {(e, p): r for e, p, r in first} | {(3, 202005): -1.0, (99, 202005): 7.0}
+    rows = current_panel(spark, store, ledger)
+    assert rows.columns == ["entity", "period", "ret"] and {(r.entity, r.period): r.ret for r in rows.collect()} == want
+    assert rows.count() == len(want)
+    # the roles of the drops decide which rows may be fitted
+    entries = spark.read.parquet(ledger)
+    fit = va.fit_eligible(current_panel(spark, store, ledger, provenance=True), entries)
+    assert fit.count() == len(first) - 1
+    assert {(r.n_rows, r.n_columns, r.schema_ok, len(r.sha256)) for r in entries.collect()} == {(240, 3, True, 64), (2, 3, True, 64)}
+    assert {r.column_name for r in spark.read.parquet(drift).collect()} == {"entity", "period", "ret"}
+    # a batch that died before its ledger entry
+    spark.createDataFrame([(3, 202005, 0.0)], schema).selectExpr("*", "'x' drop_id", "current_timestamp() drop_time", "'202005' part", "9L epoch") \
+        .write.mode("append").partitionBy("part", "epoch").parquet(store)
+    assert {(r.entity, r.period): r.ret for r in current_panel(spark, store, ledger).collect()} == want
+
+
+def test_digests_in_chunks_are_the_files(spark, tmp_path, monkeypatch):
+    path = tmp_path / "a b%20c"
+    spark.range(5000).write.parquet(str(path))
+    monkeypatch.setattr(va, "DIGEST_CHUNK", 1000)
+    for f in path.glob("*.parquet"):
+        assert va._digest(f"file:{f}") == va._digest(f"file://{f}") == (hashlib.sha256(f.read_bytes()).hexdigest(), f.stat().st_size, ["id"])
+    got = {r.sha256 for r in va.file_digests(spark.createDataFrame([(f"file:{f}",) for f in path.glob("*.parquet")], "p string")).collect()}
+    assert got == {hashlib.sha256(f.read_bytes()).hexdigest() for f in path.glob("*.parquet")}
