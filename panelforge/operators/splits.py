@@ -1,6 +1,6 @@
 """Splits and folds.
 
-C1 random_split        stable key-hash split (md5 or xxhash64), independent of partitioning
+C1 random_split        the ceil(share * n) smallest key hashes (md5 or xxhash64), independent of partitioning
 C2 chronological_split train / val / test / prospective by target month
 C3 walk_forward_folds  expanding windows; each row carries the (fold, role) pairs it belongs to
 C4 kfold               contiguous folds in key order, scikit-learn fold sizes, on a dense index
@@ -9,6 +9,10 @@ C4 kfold               contiguous folds in key order, scikit-learn fold sizes, o
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,17 +33,57 @@ def _key_string(keys: list[str], seed: int) -> Column:
     return F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
 
 
-def hash_bucket(keys: list[str], seed: int = 42, method: str = "md5", buckets: int = 10000) -> Column:
+HASH_BITS, STEP_BITS = 52, 13
+
+
+def key_hash(keys: list[str], seed: int = 42, method: str = "md5") -> Column:
+    """HASH_BITS of a hash of the keys, as a LONG."""
     if method == "md5":
-        return F.conv(F.substring(F.md5(_key_string(keys, seed)), 1, 8), 16, 10).cast("long") % buckets
-    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(buckets))
+        return F.conv(F.substring(F.md5(_key_string(keys, seed)), 1, HASH_BITS // 4), 16, 10).cast("long")
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), 64 - HASH_BITS)
+
+
+def _smallest(df: DataFrame, h: Column, share: float) -> tuple[int, int]:
+    """(t, r): the ceil(share * n) smallest hashes are those below t and r of those equal to t.
+
+    Each round counts the hashes of one bracket by their next STEP_BITS bits and goes into the bracket that holds
+    the rank: at most four rounds for any number of rows, 2^STEP_BITS counts on the driver."""
+    prefix, left, rank = 0, HASH_BITS, None
+    hashed = df.select(h.alias("_h"))
+    while True:
+        shift = left - STEP_BITS
+        inside = hashed.where(F.shiftright("_h", left) == prefix) if left < HASH_BITS else hashed
+        counts = sorted(inside.groupBy(F.shiftright("_h", shift).alias("b")).count().collect())
+        if rank is None:
+            rank = math.ceil(share * sum(c for _, c in counts))
+        if rank == 0:
+            return prefix << left, 0
+        for bracket, n in counts:
+            if rank <= n:
+                break
+            rank -= n
+        if rank == n:  # the whole bracket: everything below its end
+            return (bracket + 1) << shift, 0
+        prefix, left = bracket, shift
+        if not shift:
+            return bracket, rank
 
 
 def random_split(df: DataFrame, keys: list[str], *, test_share: float = 0.2, seed: int = 42,
                  method: str = "md5", out: str = "split") -> DataFrame:
-    """Row-level split by key hash: reproducible, no sort, no shuffle."""
-    cut = int(round(test_share * 10000))
-    return df.withColumn(out, F.when(hash_bucket(keys, seed, method) < cut, "test").otherwise("train"))
+    """Exactly ceil(test_share * n) test rows, those with the smallest hash of their key (ties in key order): the same
+    rows for every partitioning, no sort, no shuffle of rows.  Keys are unique (V3); rows that repeat a key stay on one
+    side, so repeats of the last key taken come on top.  Reads df's keys once a round of the search."""
+    h = key_hash(keys, seed, method)
+    t, r = _smallest(df, h, test_share)
+    test = h < t
+    if r:  # different keys of equal hash: a handful
+        for row in df.where(h == t).groupBy(*keys).count().orderBy(*keys).collect():
+            if r <= 0:
+                break
+            test = test | ((h == t) & reduce(and_, [F.col(k).eqNullSafe(F.lit(row[k])) for k in keys]))
+            r -= row["count"]
+    return df.withColumn(out, F.when(test, "test").otherwise("train"))
 
 
 def chronological_split(df: DataFrame, *, col: str = "target_month", train_end: int = TRAIN_END,

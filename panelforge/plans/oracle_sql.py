@@ -71,6 +71,14 @@ panel_sparse AS (
 )"""
 
 
+def split_cte(panel: str) -> str:
+    """Rows in the order of their key hash, the first fifth (rounded up) is the test part."""
+    return f"""
+hashed AS (SELECT entity, period, row_number() OVER (ORDER BY CAST('0x' || substr(md5('42|' || CAST(entity AS VARCHAR) || '|'
+                  || CAST(period AS VARCHAR)), 1, 13) AS BIGINT), entity, period) AS place, count(*) OVER () AS n FROM {panel}),
+parts AS (SELECT entity, period, CASE WHEN place <= ceil(CAST(0.2 AS DOUBLE) * n) THEN 'test' ELSE 'train' END AS split FROM hashed)"""
+
+
 def with_ctes(body: str, *ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n" + body
 

@@ -8,7 +8,7 @@ from panelforge.operators import panel as pn
 from panelforge.operators import splits as sp
 from panelforge.plans.catalog import register
 from panelforge.plans.frames import development_and_holdout, labelled, panel
-from panelforge.plans.oracle_sql import DENSE_CTE, SPARSE_CTE, labelled_cte, with_ctes
+from panelforge.plans.oracle_sql import DENSE_CTE, SPARSE_CTE, labelled_cte, split_cte, with_ctes
 from panelforge.sources.panels import DENSE_FEATURES
 
 
@@ -166,13 +166,9 @@ def dummies_q(spark, sf_dir):
     return pn.dummies_long(panel(spark, sf_dir, "dense"), ["category", "period"], ["entity", "period"])
 
 
-@register("random_split", with_ctes("""
-SELECT entity, period,
-       CASE WHEN CAST('0x' || substr(md5('42|' || CAST(entity AS VARCHAR) || '|' || CAST(period AS VARCHAR)), 1, 8)
-                      AS BIGINT) % 10000 < 2000 THEN 'test' ELSE 'train' END AS split
-FROM panel_dense""", DENSE_CTE))
+@register("random_split", with_ctes("SELECT entity, period, split FROM parts", DENSE_CTE, split_cte("panel_dense")))
 def random_split_q(spark, sf_dir):
-    """80/20 key-hash split, seed 42."""
+    """Exact 80/20 split by key hash, seed 42."""
     return sp.random_split(panel(spark, sf_dir, "dense"), ["entity", "period"]).select("entity", "period", "split")
 
 

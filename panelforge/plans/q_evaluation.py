@@ -8,7 +8,7 @@ from panelforge.operators import evaluate as ev
 from panelforge.operators import splits as sp
 from panelforge.plans.catalog import register
 from panelforge.plans.frames import development_and_holdout, labelled, panel
-from panelforge.plans.oracle_sql import DENSE_CTE, SPARSE_CTE, labelled_cte, preds_cte, with_ctes
+from panelforge.plans.oracle_sql import DENSE_CTE, SPARSE_CTE, labelled_cte, preds_cte, split_cte, with_ctes
 
 MODELS = [ev.PERSISTENCE, ev.ZERO, ev.CATEGORY_MEAN, ev.ENTITY_MEAN, ev.DEV_MEAN]
 IDS = ["entity", "period", "target_month", "category", "split"]
@@ -74,11 +74,9 @@ def unseen_entities_q(spark, sf_dir):
 
 
 @register("align_by_key", with_ctes("""
-SELECT l.entity, l.period, l.target,
-       CASE WHEN CAST('0x' || substr(md5('42|' || CAST(p.entity AS VARCHAR) || '|' || CAST(p.period AS VARCHAR)),
-                      1, 8) AS BIGINT) % 10000 < 2000 THEN 'test' ELSE 'train' END AS random_split
-FROM labelled l JOIN panel_sparse p ON l.entity = p.entity AND l.period = p.period""",
-                                    SPARSE_CTE, labelled_cte("panel_sparse")))
+SELECT l.entity, l.period, l.target, p.split AS random_split
+FROM labelled l JOIN parts p ON l.entity = p.entity AND l.period = p.period""",
+                                    SPARSE_CTE, labelled_cte("panel_sparse"), split_cte("panel_sparse")))
 def align_by_key_q(spark, sf_dir):
     """Labels computed on the panel attached to the labelled rows by key, not position."""
     labels = sp.random_split(panel(spark, sf_dir, "sparse"), ["entity", "period"], out="random_split")

@@ -76,12 +76,12 @@ def ingest_drops(spark: SparkSession, landing: str, store: str, ledger: str, che
     batches = []
 
     def entries(batch: DataFrame) -> DataFrame:
-        counts = batch.groupBy("drop_id", "drop_time").agg(
-            F.count(F.lit(1)).alias("n_rows"), F.countDistinct(keys[0]).alias("n_entities"), F.countDistinct(period).alias("n_periods"))
-        dup = (batch.groupBy("drop_id", *keys).count().where(F.col("count") > 1)
-               .groupBy("drop_id").agg(F.count(F.lit(1)).alias("n_duplicate_keys")))
+        cells = batch.groupBy("drop_id", "drop_time", *keys).agg(F.count(F.lit(1)).alias("n"))
+        counts = cells.groupBy("drop_id", "drop_time").agg(
+            F.sum("n").alias("n_rows"), F.countDistinct(keys[0]).alias("n_entities"), F.countDistinct(period).alias("n_periods"),
+            F.sum((F.col("n") > 1).cast("long")).alias("n_duplicate_keys"))
         files = va.file_digests(batch.select("drop_id").distinct()).withColumnRenamed("file_path", "drop_id")
-        return (counts.join(files, "drop_id").join(dup, "drop_id", "left").na.fill(0, ["n_duplicate_keys"])
+        return (counts.join(files, "drop_id")
                 .withColumn("n_columns", F.size("columns"))
                 .withColumn("schema_ok", F.size(F.array_except(F.array(*map(F.lit, required)).cast("array<string>"), "columns")) == 0)
                 .withColumn("role", F.lit(role)))
