@@ -15,6 +15,7 @@ from panelforge.operators.splits import TEST_END, TRAIN_END, VAL_END, chronologi
     walk_forward_folds
 from panelforge.plans.design import design_from_labelled, walk_forward_keys
 from panelforge.sources import sinks
+from panelforge.sources.models import ModelStore
 
 
 def run_forecasting(panel: DataFrame, numeric: list[str], *, out_dir: str | None = None,
@@ -45,5 +46,7 @@ def run_forecasting(panel: DataFrame, numeric: list[str], *, out_dir: str | None
         sinks.sink_processed(design, f"{out_dir}/processed", "forecasting")
         sinks.sink_comparison(out["comparison"], f"{out_dir}/comparison/forecasting")
         sinks.sink_predictions(ev.residuals(long), f"{out_dir}/predictions", "forecasting_validation")
+        out["model_version"] = ModelStore(spark, f"{out_dir}/models").save(
+            "forecasting", {"ridge": ridge, "elastic_net": enet, "decision_tree": tree}, train, preprocessor=pre, note={"train_end": train_end})
     out["preprocessor"] = pre
     return out

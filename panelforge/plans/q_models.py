@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelforge.operators import preprocess as pp
+from panelforge.session import checkpoint_root
+from panelforge.sources.models import ModelStore
 from panelforge.plans.catalog import register
 from panelforge.plans.frames import labelled
 from panelforge.plans.oracle_sql import SPARSE_CTE, labelled_cte, with_ctes
@@ -136,6 +140,18 @@ def ridge_fixed_q(spark, sf_dir):
     return _round6(spark.createDataFrame([(float(m.intercept), float(m.coef[0]))], "intercept double, slope double"))
 
 
+@register("stored_model_scores", DEV_DENSE.format(body="""
+SELECT entity, period, round(regr_avgy(target, ret) OVER () + regr_sxy(target, ret) OVER () / (regr_sxx(target, ret) OVER () + 100)
+                             * (ret - regr_avgx(target, ret) OVER ()), 6) AS pred FROM dev"""))
+def stored_model_scores_q(spark, sf_dir):
+    """Ridge in one regressor saved as a new version; the latest version is loaded and scores the development rows."""
+    dev = _dev(spark, sf_dir)
+    store = ModelStore(spark, f"{checkpoint_root(spark).rstrip('/')}/panelforge-models-{uuid.uuid4().hex[:12]}")
+    store.save("returns", {"ridge": lin.ridge(dev, ["ret"], "target", 100.0)}, dev)
+    scored = store.load("returns", "ridge", dev).predict(dev)
+    return scored.select("entity", "period", F.round("pred", 6).alias("pred"))
+
+
 @register("vif_pair", with_ctes("""
 SELECT 'hhi' AS feature, round(1 / (1 - corr(hhi, top1_pct) * corr(hhi, top1_pct)), 6) AS vif FROM panel_dense
 UNION ALL

@@ -82,3 +82,28 @@ def test_model_store_roundtrip(spark, tmp_path):
     store.save_pca(spark, p, str(tmp_path / "pca"))
     q = store.load_pca(spark, str(tmp_path / "pca"))
     assert np.allclose(q.components, p.components) and q.features == p.features
+
+
+def test_versions_of_models_and_refusals(spark, tmp_path):
+    from panelforge.operators import trees as tr
+    from panelforge.operators.preprocess import fit_preprocess
+    df = spark.createDataFrame(pd.DataFrame(np.random.default_rng(2).normal(size=(60, 3)), columns=["a", "b", "y"])).withColumn("c", F.lit("x"))
+    kept = store.ModelStore(spark, str(tmp_path / "models"))
+    with pytest.raises(FileNotFoundError):
+        kept.load("m", "ridge", df)
+    pre = fit_preprocess(df, ["a", "b"], ["c"])
+    first, tree = lin.ridge(df, ["a", "b"], "y", 1.0), tr.fit(df, ["a", "b"], "tree", {"maxDepth": 3}, label="y")
+    v1 = kept.save("m", {"ridge": first, "tree": tree, "pca": pc.pca_fit(df, ["a", "b"])}, df, preprocessor=pre, note={"until": 199912})
+    v2 = kept.save("m", {"ridge": lin.ridge(df, ["a", "b"], "y", 50.0)}, df)
+    assert kept.manifest("m")["version"] == v2 and kept.manifest("m", v1)["note"] == {"until": 199912}
+    assert not np.allclose(kept.load("m", "ridge", df).coef, first.coef)
+    assert np.allclose(kept.load("m", "ridge", df, version=v1).coef, first.coef)
+    again = kept.load("m", "tree", df, version=v1).predict(df).orderBy("a")
+    assert [r.pred for r in again.collect()] == [r.pred for r in tree.predict(df).orderBy("a").collect()]
+    assert kept.load("m", "pca", df, version=v1).features == ["a", "b"]
+    assert kept.preprocessor("m", version=v1).medians == pre.medians
+    for rows, key, version in ((df.drop("b"), "ridge", v2), (df.withColumn("a", F.col("a").cast("string")), "ridge", v2), (df, "tree", v2)):
+        with pytest.raises(store.ModelMismatch):
+            kept.load("m", key, rows, version=version)
+    with pytest.raises(store.ModelMismatch):
+        kept.preprocessor("m")
