@@ -38,8 +38,8 @@ from panelforge.llm.common import cut_words, free_name, hash_words, materialize,
 UP, DOWN = 4, 5  # threshold 4/5
 FREQUENT, FREQUENT_BYTES = 65_536, 48
 FIRST = 3
-LOST = 20_000  # lines of one more search
-WORDS = 500_000  # words sent to the executors for it; more are joined
+SIEVE = 1 << 22  # bits of the sieve of words in the second search
+SUB, FLUSH = 16, 150_000  # buckets a partition; rows kept before they are dealt to buckets
 _TOP = 1 << 62
 
 
@@ -102,10 +102,11 @@ def width(n: np.ndarray) -> np.ndarray:
 
 
 
-def line_rows(doc: np.ndarray, tk: np.ndarray, text: pa.Array, order: Order, only: np.ndarray | None = None):
-    """Rows (NAMES) of a batch of documents, as arrays.
+def line_rows(doc: np.ndarray, tk: np.ndarray, text: pa.Array, order: Order, sieve: np.ndarray | None = None):
+    """Rows (NAMES) of a batch of documents, as one array, and its copies: (later doc, later line, doc, line) of lines with an equal
+    earlier one in the batch, which get no rows.
 
-    line: tk << 32 | number; size: n << 32 | place of the word in the line's order. only: rows under these words (sorted) alone."""
+    line: tk << 32 | number; size: n << 32 | place of the word in the line's order. sieve: rows under words that pass it alone."""
     words, row, number, line = words_of(text)
     if not len(words):
         return None
@@ -113,8 +114,8 @@ def line_rows(doc: np.ndarray, tk: np.ndarray, text: pa.Array, order: Order, onl
     keys = order.of(coded.dictionary)
     codes = coded.indices.to_numpy()
     fresh = np.concatenate([[True], line[1:] != line[:-1]])
-    if only is not None:  # lines without such a word are left out before they are sorted
-        hit = np.logical_or.reduceat(np.isin(keys, only)[codes], np.flatnonzero(fresh))[np.cumsum(fresh) - 1]
+    if sieve is not None:  # lines without such a word are left out before they are sorted
+        hit = np.logical_or.reduceat(passes(sieve, keys)[codes], np.flatnonzero(fresh))[np.cumsum(fresh) - 1]
         if not hit.any():
             return None
         row, number, codes, fresh = row[hit], number[hit], codes[hit], fresh[hit]
@@ -139,43 +140,99 @@ def line_rows(doc: np.ndarray, tk: np.ndarray, text: pa.Array, order: Order, onl
     bits[0, fold] ^= bits[1, fold]
     bits[1, fold] = 0
     prints = np.add.reduceat(mixed ^ (mixed >> np.uint64(29)), starts) ^ n.astype(np.uint64)
-    p = prefix_length(n)
+    prints = prints.view(np.int64)
+    by = np.lexsort((tl, doc, flat[starts], n, prints))
+    same = np.zeros(len(n), dtype=bool)
+    same[1:] = np.all([c[by[1:]] == c[by[:-1]] for c in (prints, n, flat[starts], *bits)], axis=0)
+    leader = by[np.flatnonzero(~same)[np.cumsum(~same) - 1]]
+    later, leader = by[same], leader[same]
+    alone = np.ones(len(n), dtype=bool)
+    alone[later] = False
+    other = (doc[later] != doc[leader]) | (tl[later] != tl[leader])
+    later, leader = later[other], leader[other]
+    p = np.where(alone, prefix_length(n), 0)
     line = np.repeat(np.arange(len(n)), p)
     place = np.arange(len(line)) - np.repeat(np.concatenate([[0], np.cumsum(p)[:-1]]), p)
-    if only is not None:
-        mine = np.isin(flat[starts[line] + place], only)
+    if sieve is not None:
+        mine = passes(sieve, flat[starts[line] + place])
         line, place = line[mine], place[mine]
-    return flat[starts[line] + place], doc[line], tl[line], n[line] << 32 | place, prints[line].view(np.int64), *(b[line].view(np.int64) for b in bits)
+    rows = np.stack([flat[starts[line] + place], doc[line], tl[line], n[line] << 32 | place, prints[line], *(x[line].view(np.int64) for x in bits)], axis=1)
+    return rows, np.stack([doc[later], tl[later], doc[leader], tl[leader]], axis=1)
 
 
-LISTED = "word long, row binary"  # row: the other columns of NAMES, 8 bytes each
+def sieve_place(word, bits: int):
+    """The bit of a word (numpy array or column) in a sieve of so many bits, a power of two."""
+    if isinstance(word, np.ndarray):
+        return word.astype(np.uint64) & np.uint64(bits - 1)
+    return word.bitwiseAND(F.lit(bits - 1))
 
 
-def _packed(columns) -> pa.RecordBatch:
-    word, *rest = columns
-    body = np.stack(rest, axis=1)
-    ends = np.arange(len(word) + 1, dtype=np.int32) * np.int32(8 * len(rest))
-    return pa.RecordBatch.from_arrays([pa.array(word), pa.Array.from_buffers(pa.binary(), len(word), [None, pa.py_buffer(ends), pa.py_buffer(body)])], names=["word", "row"])
+def passes(sieve: np.ndarray, words: np.ndarray) -> np.ndarray:
+    at = sieve_place(words, 64 * len(sieve))
+    return (sieve[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def _unpacked(batch: pa.RecordBatch) -> np.ndarray:
-    """(rows, columns of NAMES)"""
-    column = batch.column(1).cast(pa.large_binary())
-    width = len(NAMES) - 1
-    first = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset]
-    body = np.frombuffer(column.buffers()[2], dtype=np.uint8)[first:first + 8 * width * len(column)].view(np.int64).reshape(-1, width)
-    return np.concatenate([batch.column(0).to_numpy()[:, None], body], axis=1)
+def sieve_of(rows: DataFrame) -> np.ndarray:
+    """The words of listed rows as a sieve of SIEVE bits: at most SIEVE / 64 numbers reach the driver, however many words there are."""
+    def run(batches):
+        for batch in slices(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_unpacked(batch.column(1), len(NAMES))[:, 0]))], names=["word"])
+
+    at = sieve_place(F.col("word"), SIEVE)
+    parts = (rows.select("bucket", "rows").mapInArrow(run, "word long").groupBy(F.shiftright(at, 6).alias("at"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(word & 63 as int))")).alias("bits")).collect())
+    sieve = np.zeros(SIEVE // 64, dtype=np.int64)
+    for r in parts:
+        sieve[r["at"]] = r["bits"]
+    return sieve.view(np.uint64)
+
+
+#: rows of one bucket of words together, each 8 bytes a column of NAMES. kind 0: of lost lines, 1: of any lines, 2: copies, which need no search
+LISTED = "bucket int, kind int, rows binary"
+
+
+def _packed(table: np.ndarray, bucket: np.ndarray, kind: int) -> pa.RecordBatch:
+    by = np.argsort(bucket, kind="stable")
+    table, bucket = np.ascontiguousarray(table[by]), bucket[by]
+    start = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    ends = (np.append(start, len(bucket)) * 8 * table.shape[1]).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(bucket[start].astype(np.int32)), pa.array(np.full(len(start), kind, dtype=np.int32)),
+                                       pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(table)])], names=["bucket", "kind", "rows"])
+
+
+def _unpacked(column: pa.Array, columns: int) -> np.ndarray:
+    column = column.cast(pa.large_binary())
+    ends = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], dtype=np.uint8)[ends[0]:ends[-1]].view(np.int64).reshape(-1, columns)
+
+
+def listed(docs: DataFrame, frequent, sieve=None, kind: int = 1) -> DataFrame:
+    """(doc, tk, text) -> one row per line and word of its prefix, rows of a bucket of words packed together.
 
+    Lines that repeat in a slice are pre-aggregated: the earliest is listed, the others become copies."""
+    buckets = partitions_for(docs.sparkSession) * SUB
 
-def listed(docs: DataFrame, frequent, only=None) -> DataFrame:
-    """(doc, tk, text) -> one row per line and word of its prefix. only: under these words alone."""
     def run(batches):
-        order, mine = Order(frequent.value), None if only is None else only.value
+        order, mine, held = Order(frequent.value), None if sieve is None else sieve.value, []
+
+        def flush():
+            table = np.concatenate(held)
+            held.clear()
+            return _packed(table, (_mixed(table[:, 0]) >> np.uint64(20)) % np.uint64(buckets), kind)
+
         for batch in slices(batches, 1 << 20):
-            rows = line_rows(batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2), order, mine)
-            if rows:
-                for at in range(0, len(rows[0]), 500_000):
-                    yield _packed([c[at:at + 500_000] for c in rows])
+            got = line_rows(batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2), order, mine)
+            if got is None:
+                continue
+            rows, copies = got
+            if len(copies) and kind:
+                yield _packed(copies, np.full(len(copies), copies[0, 1] % buckets), 2)
+            for at in range(0, len(rows), FLUSH):
+                held.append(rows[at:at + FLUSH])
+                if sum(map(len, held)) >= FLUSH:
+                    yield flush()
+        if held:
+            yield flush()
 
     return docs.select("doc", "tk", "text").mapInArrow(run, LISTED)
 
@@ -197,7 +254,8 @@ def candidate_pairs(word, doc, line, size, prints, *bits, first: int | None = No
     new = np.ones(len(word), dtype=bool)
     new[1:] = np.any([c[1:] != c[:-1] for c in (word, size, prints, *bits)], axis=0)
     leader = np.flatnonzero(new)[np.cumsum(new) - 1]
-    copies = np.flatnonzero(~new & (place == 0) & ((doc != doc[leader]) | (line != line[leader])))  # identical sets meet under their first word
+    copies = ~new & (place == 0) & ((doc != doc[leader]) | (line != line[leader]))  # identical sets meet under their first word
+    copies = np.flatnonzero(copies if wanted is None else copies & wanted)
     lead = np.flatnonzero(new)
     w, m, at, b = word[lead], n[lead], place[lead], [x[lead].view(np.uint64) for x in bits]
     late, early, far, sure = [], [], [], []
@@ -248,33 +306,65 @@ def candidate_pairs(word, doc, line, size, prints, *bits, first: int | None = No
 PAIRS = "later_doc long, later_line long, doc long, line long, same boolean, cut boolean, far long"
 
 
-def candidates(rows: DataFrame, first: int | None, lost=None) -> DataFrame:
-    """Candidate pairs of all listed rows; a word's rows meet in one task. lost: pairs of these later lines (doc, line) only."""
-    def run(batches):
-        only = None if lost is None else np.array(lost.value, dtype=np.int64).reshape(-1, 2)
-        held = None
+def collapsed(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The earliest of equal lines under each word, and the others as copies."""
+    word, doc, line, size, prints, *bits = table.T
+    table = table[np.lexsort((line, doc, prints, size, word))]
+    new = np.ones(len(table), dtype=bool)
+    new[1:] = np.any(table[1:, [0, 3, 4, 5, 6, 7, 8]] != table[:-1, [0, 3, 4, 5, 6, 7, 8]], axis=1)
+    leader = table[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    other = ~new & (table[:, 3] & 0xFFFFFFFF == 0) & np.any(table[:, 1:3] != leader[:, 1:3], axis=1)
+    return table[new], np.concatenate([table[other, 1:3], leader[other, 1:3]], axis=1)
+
+
+HELD = 500_000  # rows of a bucket beyond which equal lines are collapsed while it is read
+
+
+def candidates(rows: DataFrame, first: int | None) -> DataFrame:
+    """Candidate pairs of all listed rows; a word's rows meet in one task, which takes one bucket of words at a time.
+
+    Rows of kind 0, if any: pairs of these later lines only."""
+    names = ["later_doc", "later_line", "doc", "line", "same", "cut", "far"]
+
+    def as_pairs(copies):
+        return pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(c)) for c in copies.T), pa.array(np.ones(len(copies), dtype=bool)),
+                                           pa.array(np.zeros(len(copies), dtype=bool)), pa.array(np.zeros(len(copies), dtype=np.int64))], names=names)
+
+    def out(lost, held):
+        table, wanted = np.concatenate([*lost, *held]), None
+        if lost:  # they come first among equal rows, so that they lead them
+            wanted = np.arange(len(table)) < sum(map(len, lost))
+            hit = np.isin(table[:, 0], table[wanted, 0])
+            table, wanted = table[hit], wanted[hit]
+        by = np.argsort(table[:, 0], kind="stable")
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in candidate_pairs(*table[by].T, first=first, wanted=None if wanted is None else wanted[by])], names=names)
+
+    def run(batches, second=first is None):
+        bucket, lost, held, full = None, [], [], HELD
         for batch in slices(batches):
-            table = _unpacked(batch)
-            if held is not None:
-                table = np.concatenate([held, table])
-            cut = int(np.searchsorted(table[:, 0], table[-1, 0]))  # the last word may go on
-            if cut:
-                yield out(table[:cut], only)
-            held = table[cut:]
-        if held is not None:
-            yield out(held, only)
-
-    def out(table, only):
-        wanted = None
-        if only is not None:
-            wanted = np.isin(table[:, 1], only[:, 0])
-            pairs = set(map(tuple, only.tolist()))
-            at = np.flatnonzero(wanted)
-            wanted[at] = [x in pairs for x in map(tuple, table[at, 1:3].tolist())]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in candidate_pairs(*table.T, first=first, wanted=wanted)],
-                                          names=["later_doc", "later_line", "doc", "line", "same", "cut", "far"])
-
-    ordered = rows.repartition(partitions_for(rows.sparkSession), "word").sortWithinPartitions("word")
+            buckets, kinds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            edges = np.flatnonzero(np.concatenate([[True], (buckets[1:] != buckets[:-1]) | (kinds[1:] != kinds[:-1]), [True]]))
+            for a, b in zip(edges[:-1], edges[1:]):
+                if buckets[a] != bucket:
+                    if lost or held and not second:
+                        yield out(lost, held)
+                    bucket, lost, held, full = buckets[a], [], [], HELD
+                part = batch.column(2).slice(a, b - a)
+                if kinds[a] == 2:
+                    if not second:
+                        yield as_pairs(_unpacked(part, 4))
+                elif kinds[a] == 0:
+                    lost.append(_unpacked(part, len(NAMES)).copy())
+                elif lost or not second:
+                    held.append(_unpacked(part, len(NAMES)).copy())
+                    if not second and sum(map(len, held)) >= full:
+                        rest, copies = collapsed(np.concatenate(held))
+                        held, full = [rest], 2 * len(rest) + HELD
+                        yield as_pairs(copies)
+        if lost or held and not second:
+            yield out(lost, held)
+
+    ordered = rows.repartition(partitions_for(rows.sparkSession), "bucket").sortWithinPartitions("bucket", "kind")
     return ordered.mapInArrow(run, PAIRS)
 
 
@@ -327,25 +417,13 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     checked = materialize(verified(materialize(pairs.where("not same").join(same, late, "left_anti"), "unlike"), texts), "checked")
     found = same.union(checked.where("ok").select(*late))
     lost = checked.where("cut and not ok").select(F.col("later_doc").alias("doc"), F.col("later_line").alias("line"))
-    parts = lost.count() // LOST + 1  # searched in parts of a bounded number of lines each
-    if parts > 1 or not lost.isEmpty():
-        lost = materialize(lost.withColumn("part", F.pmod(F.xxhash64("doc", "line"), F.lit(parts))), "lost")
-    else:
-        parts = 0
-    for part in range(parts):
-        mine = [(r["doc"], r["line"]) for r in lost.where(F.col("part") == part).collect()]
-        held = spark.sparkContext.broadcast(mine)
-        ids = spark.createDataFrame(sorted({(d,) for d, _ in mine}), "doc long") if mine else None
-        if ids is None:
-            continue
-        words = materialize(listed(texts.join(F.broadcast(ids), "doc", "left_semi"), frequent).select("word").distinct(), "words")
-        if words.count() <= WORDS:
-            only = np.sort(np.array([r["word"] for r in words.collect()], dtype=np.int64))
-            near = listed(texts, frequent, spark.sparkContext.broadcast(only))
-        else:
-            near = listed(texts, frequent).join(small(words), "word", "left_semi")
-        rest = candidates(near, None, held)
-        again = materialize(rest.select(*late, "doc", "line", "cut", "far").groupBy(*late, "doc", "line").agg(F.max("cut").alias("cut"), F.min("far").alias("far")), "again")
+    if not lost.isEmpty():  # one more search for all of them, without a bound; other lines of their documents are left blank
+        nos = lost.groupBy("doc", F.shiftright("line", 32).cast("int").alias("tk")).agg(F.collect_set(F.col("line").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")).alias("nos"))
+        nos = small(materialize(nos, "lost"))
+        own = F.transform(F.split("text", "\n", -1), lambda x, i: F.when(F.array_contains("nos", i), x).otherwise(""))
+        mine = materialize(listed(texts.join(nos, ["doc", "tk"]).select("doc", "tk", F.array_join(own, "\n").alias("text")), frequent, kind=0), "lost-rows")
+        near = listed(texts, frequent, spark.sparkContext.broadcast(sieve_of(mine)))
+        again = materialize(candidates(mine.union(near), None).groupBy(*late, "doc", "line").agg(F.max("cut").alias("cut"), F.min("far").alias("far")), "again")
         found = found.union(materialize(verified(again, texts).where("ok").select(*late).distinct(), "again-ok"))
     found = materialize(found, "duplicates")
     return found.select(F.col("later_doc").alias("doc"), F.shiftright("later_line", 32).cast("int").alias("tk"),

@@ -169,11 +169,11 @@ def test_line_dedup_is_brute_force(make_docs, rows):
         assert r.text == "\n".join(x for n, x in enumerate(texts[r.doc_id].split("\n")) if n not in set(gone))
 
 
-@pytest.mark.parametrize("words", [0, 500_000])
-def test_lines_beyond_the_first_candidates(make_docs, monkeypatch, words):
-    """With one candidate a word and bitmaps that let all pairs pass, lost lines are found by the second search."""
+@pytest.mark.parametrize("bits", [64, 1 << 22])
+def test_lines_beyond_the_first_candidates(make_docs, monkeypatch, bits):
+    """With one candidate a word and bitmaps that let all pairs pass, lost lines are found by the second search, also if its sieve lets all words pass."""
     monkeypatch.setattr(line_dedup, "FIRST", 1)
-    monkeypatch.setattr(line_dedup, "WORDS", words)
+    monkeypatch.setattr(line_dedup, "SIEVE", bits)
     rng = random.Random(8)
     base = rng.sample(WORDS, 50)
     rows = [(i, " ".join([*base[:38], *rng.sample(WORDS, 12)])) for i in range(30)] + [(90 + i, " ".join([*base[:46], f"x{i}"])) for i in range(4)]
@@ -181,6 +181,29 @@ def test_lines_beyond_the_first_candidates(make_docs, monkeypatch, words):
     assert got == brute_lines(rows)
 
 
+def test_line_in_a_third_of_the_documents(make_docs, monkeypatch):
+    """Equal lines are pre-aggregated in the slices and collapsed while a bucket is read; few rows of them reach a task."""
+    monkeypatch.setattr(line_dedup, "HELD", 50)
+    monkeypatch.setattr(line_dedup, "FLUSH", 40)
+    rng = random.Random(21)
+    hot, near = "the one line of many", " ".join(WORDS[:20])
+    rows = []
+    for i in range(240):
+        lines = [" ".join(rng.sample(WORDS, 15)), hot if i % 3 == 0 else f"own{i} alone{i}"]
+        if i % 4 == 1:
+            lines.append(" ".join([*WORDS[:19], f"v{i}"]) if i % 8 == 1 else near)
+        rows.append((i, "\n".join(lines)))
+    docs = make_docs(rows)
+    got = {r.doc_id: list(r.removed_lines) for r in line_dedup.line_dedup(docs).collect()}
+    assert got == brute_lines(rows)
+    texts = line_dedup._texts(docs.coalesce(1), "doc_id", "text")
+    blocks = line_dedup.listed(texts, docs.sparkSession.sparkContext.broadcast([])).toPandas()
+    listed = sum(len(b) // 72 for b in blocks[blocks.kind == 1].rows)
+    copies = sum(len(b) // 32 for b in blocks[blocks.kind == 2].rows)
+    distinct = {frozenset(x.split()) for _, t in rows for x in t.split("\n")}
+    assert listed == sum(len(x) - -(-4 * len(x) // 5) + 1 for x in distinct) and copies == sum(t.count("\n") + 1 for _, t in rows) - len(distinct)
+
+
 def test_words_of_is_split():
     rng = random.Random(2)
     for _ in range(300):
