@@ -177,6 +177,7 @@ def test_lines_beyond_the_first_candidates(make_docs, monkeypatch, bits):
     rng = random.Random(8)
     base = rng.sample(WORDS, 50)
     rows = [(i, " ".join([*base[:38], *rng.sample(WORDS, 12)])) for i in range(30)] + [(90 + i, " ".join([*base[:46], f"x{i}"])) for i in range(4)]
+    rows += [(200 + i, rows[i][1]) for i in range(4)]  # their copies meet the second search too and must not be named twice
     got = {r.doc_id: list(r.removed_lines) for r in line_dedup.line_dedup(make_docs(rows)).collect()}
     assert got == brute_lines(rows)
 
