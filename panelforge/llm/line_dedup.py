@@ -9,16 +9,16 @@ doc_id, then by their number in the document.
    this one keeps lists of lines short.
 2. Prefix filter: a line of n words is listed under its n - ceil(t n) + 1 rarest words only.
 3. Lines that share such a word meet in one task, ordered by size. Identical sets (equal size, rarest word,
-   64-bit sum of word hashes and bitmap) are first collapsed onto their earliest line, so the
-   copies of a common line cost one row each. The others must pass the length filter, the positional filter (words that
-   remain behind the shared one) and a bitmap filter (a parity of the words, 64 or 256 bits wide, bounds
-   the sets' difference from below).
+   64-bit sum of word hashes and bitmap) are collapsed onto their earliest line before that: in each slice of text, so that the
+   copies of a common line never reach the shuffle, and again while a bucket of words is read. The others must pass the length
+   filter, the positional filter (words that remain behind the shared one) and a bitmap filter (a parity of the words, 64 or
+   256 bits wide, bounds the sets' difference from below).
 4. Pairs that are left are verified on the words themselves.
 
 Each line needs one earlier match only, so a task passes on a line's candidates by the likeness of their bitmaps, until FIRST of them are
 likely matches. Lines
-that had more and found no match among these are searched again without that bound, so
-nothing is lost.
+that had more and found no match among these are searched again without that bound, all in one pass: a sieve of fixed size (a
+bit per hash of their prefix words) keeps other lines out of the shuffle; what passes it by chance is dropped in the task.
 
 Defined results: null text has no lines; lines without words are kept; a null doc_id comes last; rows that
 repeat doc_id and text are one document whose lines share a verdict; rows of one doc_id with different texts
