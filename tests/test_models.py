@@ -188,6 +188,39 @@ def test_boosting_prefix_scores_equal_separate_fits(spark, reg_df):
             assert np.allclose(got, (sc["mae"], sc["rmse"], sc["r2"]), atol=1e-9)
 
 
+def _fits_of(monkeypatch):
+    """The (kind, parameters, partitions of the training rows) of every fit from here on."""
+    seen, build = [], tr.estimator
+
+    def spied(kind, params, **kw):
+        est = build(kind, params, **kw)
+        fit = est.fit
+        est.fit = lambda rows: seen.append((kind, params, rows.rdd.getNumPartitions())) or fit(rows)
+        return est
+
+    monkeypatch.setattr(tr, "estimator", spied)
+    return seen
+
+
+@pytest.mark.parametrize("kind, fixed", [("tree", {}), ("forest", {"numTrees": 7})])
+def test_depths_share_one_fit_and_score_as_separate_fits(spark, reg_df, monkeypatch, kind, fixed):
+    import json
+    df, _, _ = reg_df
+    folds = [(F.col("fold") != k, F.col("fold") == k) for k in range(2)]
+    cands = [{**fixed, "maxDepth": d, "minInstancesPerNode": m} for d in (1, 2, 4) for m in (1, 3)]
+    fits = _fits_of(monkeypatch)
+    _, table = tr.cross_validate(df, FEATS, kind, cands, folds)
+    assert len(fits) == 4  # 2 leaf sizes, 2 folds
+    shared = {(r["params"], r["fold"]): (r["mae"], r["rmse"], r["r2"]) for r in table.collect()}
+    assert len(shared) == 12
+    data = tr.assemble(df, FEATS).persist()  # as stored, the rows lie in the same partitions for the same bootstrap draws
+    for c in cands:
+        for fi, (a, b) in enumerate(folds):
+            sc = tr._score(tr.estimator(kind, dict(c)).fit(data.where(a)).transform(data.where(b)), "target")
+            assert np.allclose(shared[(json.dumps(c, sort_keys=True), fi + 1)], (sc["mae"], sc["rmse"], sc["r2"]), atol=1e-9)
+    data.unpersist()
+
+
 def test_permuted_index_passes_the_range_of_long(spark):
     from panelforge.operators.trees import permuted_index
     n, a, i, b = 5_000_000_000, 4_999_999_997, 4_999_999_999, 12_345
