@@ -221,6 +221,14 @@ def test_depths_share_one_fit_and_score_as_separate_fits(spark, reg_df, monkeypa
     data.unpersist()
 
 
+def test_boosting_on_few_rows_runs_in_few_tasks(spark, reg_df, monkeypatch):
+    df, _, _ = reg_df
+    fits = _fits_of(monkeypatch)
+    cand = [{"maxIter": 2, "maxDepth": 2}]
+    _, table = tr.cross_validate(df.repartition(9), FEATS, "gbt", cand, [(F.col("fold") != 0, F.col("fold") == 0)])
+    assert [n for _, _, n in fits] == [1] and table.count() == 1
+
+
 def test_permuted_index_passes_the_range_of_long(spark):
     from panelforge.operators.trees import permuted_index
     n, a, i, b = 5_000_000_000, 4_999_999_997, 4_999_999_999, 12_345
