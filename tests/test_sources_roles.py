@@ -107,3 +107,20 @@ def test_versions_of_models_and_refusals(spark, tmp_path):
             kept.load("m", key, rows, version=version)
     with pytest.raises(store.ModelMismatch):
         kept.preprocessor("m")
+
+
+def test_panel_build_starts_with_more_partitions_on_larger_sources(spark, tmp_path, monkeypatch):
+    from panelforge.sources import interim
+    src = str(tmp_path / "t.parquet")
+    spark.range(20_000).selectExpr("id", "hash(id) AS v").write.parquet(src)
+    monkeypatch.setattr(interim, "BYTES_PER_PARTITION", 4096)
+    seen = []
+
+    def build():
+        df = spark.read.parquet(src).groupBy("id").count()
+        seen.append(spark.conf.get(interim.INITIAL, None))
+        return df
+
+    before = spark.conf.get(interim.INITIAL, None)
+    assert interim.materialized(spark, "t", [src], build).count() == 20_000
+    assert int(seen[0]) >= 20 and spark.conf.get(interim.INITIAL, None) == before
