@@ -431,6 +431,40 @@ def test_gradient_is_the_slope():
         assert math.isclose((losses[0] - losses[1]) / 4e-2, grad[name][at], rel_tol=0.1, abs_tol=3e-3), name
 
 
+def test_probabilities_sum_to_one_far_from_zero():
+    """Logits of any size: each id's score is its log softmax, as in plain float64 arithmetic with keys and values built."""
+    ids = np.random.default_rng(5).integers(0, 40, 50).astype(np.int32)
+    for shift in (0, -300, 300):
+        m = tiny_model(4)
+        m.w["b2"] += np.float32(shift)
+        w = {k: v.astype(np.float64) for k, v in m.w.items()}
+        inputs, targets, follows = m.windows(ids, np.array([0, 50]))
+        x = m.joined(inputs, follows, 0, len(inputs))
+        e = m.vectors[x].astype(np.float64)
+        a = np.clip(e[:, 16:] @ w["wq"] / 4 @ (e @ w["wk"]).transpose(0, 2, 1) + w["pos"][m.lag], -30, 30) + m.mask + np.where(x < 0, -60, 0)[:, None, :]
+        a = np.exp(a) / np.exp(a).sum(2, keepdims=True)
+        z = np.maximum(np.concatenate([e[:, 16:], a @ (e @ w["wv"])], axis=2) @ w["w1"] + w["b1"], 0) @ w["w2"] + w["b2"]
+        logp = z - z.max(2, keepdims=True)
+        logp -= np.log(np.exp(logp).sum(2, keepdims=True))
+        want = np.take_along_axis(logp, m.classes[targets][..., None], 2)[..., 0][targets >= 0].sum()
+        assert math.isclose(m.score(ids, np.array([0, 50]))[0] * math.log(10), want, rel_tol=1e-4), shift
+        assert math.isclose(m.gradient(x, targets)[1], -want / 50, rel_tol=1e-4), shift
+
+
+def test_many_words_are_spelled_at_once():
+    """The same ids as word by word, white space of other alphabets and repeated calls included."""
+    speller = lm_scoring.Speller([], BYTES)
+    ws = ["a", "it's", "'s", "x1", "--", "\u00a0", "a\u00a0", "\u00a0b", "a\u2003b", "\x1c", "\u3000\u3000", "\u6f22\u5b57\u00e9", "z" * 300, "\U0001f600!", "12,5", "\u200b"]
+    ws += [f"w{i}" for i in range(30_000)]
+    calls = []
+    one, many = speller.bpe.encode_ordinary, speller.bpe.encode_to_numpy
+    want = [(np.array(one(" " + w)) + 1).tolist() for w in ws]
+    speller.bpe = type("Counted", (), {"encode_ordinary": lambda _, t: calls.append(t) or one(t), "encode_to_numpy": lambda _, t, **more: many(t, **more)})()
+    for _ in range(2):
+        assert [np.frombuffer(x, np.int32).tolist() for x in speller.pieces([w.encode() for w in ws])] == want
+    assert len(calls) < 20
+
+
 def test_hashing_in_arrow():
     from panelforge.llm.common import hash_words
     ws = [f"w{i}".encode() for i in range(5000)] + [b"x" * n for n in range(1, 300)]
