@@ -7,7 +7,8 @@ running total is a document's global offset. Pass 2 cuts at every multiple of th
 piece k of a document lies in sequence ``offset div window``. A document that crosses a
 window's boundary gives one piece on each side. Only the last sequence needs padding.
 
-Encoding is that of the tokenizer file, word by word with a bounded cache in each worker.
+Encoding is that of the tokenizer file: the distinct words of a slice of text are encoded together, as arrays, and put in
+place by their numbers.
 
 Defined results: null text is empty and gives its end id alone; an empty table gives no
 pieces; repeated rows are packed each; extra columns are ignored; the last sequence is
@@ -16,31 +17,30 @@ padded to the window unless its length is a power of two already.
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import materialize, pick, ship, slices, text_bytes
+from panelforge.llm.common import cut_words, materialize, pick, ship, slices
 
 END_ID = 2
-CACHE = 100_000
 _LOADED: dict = {}
 
 
 #: words of these characters only are merged by the fast engine: no controls, no white space, nothing that NFC changes
-PLAIN = re.compile(r"[\x21-\x7e\xa1-\u012f\u0131-\u024f]+")
+PLAIN = r"^[\x21-\x7e\x{a1}-\x{12f}\x{131}-\x{24f}]+$"
 
 
 class Encoder:
     """ids of whole texts, equal to Tokenizer.encode(text, add_special_tokens=False).ids.
 
     The tokenizer drops white space and never merges across it, so ids of a text are those
-    of its words one after another. New words are encoded many at once. Plain words go to
+    of its words one after another. Distinct words are encoded many at once. Plain words go to
     tiktoken's merge loop under the same vocabulary: byte 0 stands for the end of a word,
     and since the file's ids follow the order of its merges (checked), an id is its rank.
     All other words go to the tokenizer itself."""
@@ -72,46 +72,52 @@ class Encoder:
         self.cut = ranks[b"\1"]
         self.fast = tiktoken.Encoding("words", pat_str="\\x01|[^\\x00\\x01]+\\x00", mergeable_ranks=ranks, special_tokens={})
         self.split = regex.compile(next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"))
-        self.cache: dict[bytes, bytes] = {}
-
-    def _fresh(self, words: list[bytes]) -> dict[bytes, bytes]:
-        out, plain, named = {}, [], []
-        for w in words:
-            t = w.decode("utf-8", "replace")
-            if PLAIN.fullmatch(t) and "<|" not in t:
-                plain.append(t)
-                named.append(w)
-            else:
-                out[w] = np.array(self.tok.encode(t, add_special_tokens=False).ids, "<u2").tobytes()
-        for at in range(0, len(plain), 20_000):
-            part = named[at:at + 20_000]
-            marked = self.split.sub("\\g<0>\0", "\n".join(plain[at:at + 20_000]).lower()).replace("\n", "\1")
-            ids = np.array(self.fast.encode_ordinary(marked), "<u2")
-            ends = np.flatnonzero(ids == self.cut)
+
+    def _plain(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        flat, lengths = [np.zeros(0, "<u2")], [np.zeros(0, np.int64)]
+        for at in range(0, len(words), 20_000):
+            part = words.slice(at, 20_000)
+            text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part), "\n")[0].as_py()
+            marked = self.split.sub("\\g<0>\0", text.lower()).replace("\n", "\1")
+            ids = self.fast.encode_to_numpy(marked, disallowed_special=()).astype("<u2")
+            own = ids != self.cut
+            ends = np.flatnonzero(~own)
             if len(ends) != len(part) - 1:
                 raise ValueError("words were not kept apart")
-            raw, edges = ids.tobytes(), [0, *(2 * (ends + 1)).tolist(), 2 * (len(ids) + 1)]
-            for w, a, b in zip(part, edges, edges[1:]):
-                out[w] = raw[a:b - 2]
-        return out
+            flat.append(ids[own])
+            lengths.append(np.diff(np.concatenate([[-1], ends, [len(ids)]])) - 1)
+        return np.concatenate(flat), np.concatenate(lengths)
+
+    def ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """16-bit ids of words (binary, without white space), one after another, and their numbers."""
+        text = words.cast(pa.string())
+        plain = pc.and_not(pc.match_substring_regex(text, PLAIN), pc.match_substring(text, "<|")).to_numpy(zero_copy_only=False)
+        some, counts = self._plain(text.filter(pa.array(plain)))
+        others = [np.array(self.tok.encode(w, add_special_tokens=False).ids, "<u2") for w in text.filter(pa.array(~plain)).to_pylist()]
+        lengths = np.zeros(len(words), np.int64)
+        lengths[plain], lengths[~plain] = counts, list(map(len, others))
+        flat, mine = np.empty(lengths.sum(), "<u2"), np.repeat(plain, lengths)
+        flat[mine], flat[~mine] = some, np.concatenate([np.zeros(0, "<u2"), *others])
+        return flat, lengths
+
+    def column(self, texts: pa.Array, end: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+        """16-bit ids of a string column, one text after another, each with the ids of ``end`` at its close, and the texts' bounds in them."""
+        words, at, _, offsets = cut_words(pc.fill_null(texts, ""))
+        coded = words.dictionary_encode()
+        flat, lengths = self.ids(coded.dictionary)
+        first = np.concatenate([np.cumsum(lengths) - lengths, [len(flat)]])
+        flat, lengths = np.append(flat, np.array(end, "<u2")), np.append(lengths, len(end))
+        row = np.searchsorted(at, offsets)  # bounds of the texts among the words
+        token = np.full(len(words) + len(texts), len(lengths) - 1)  # the end closes each text
+        token[np.arange(len(words)) + np.repeat(np.arange(len(texts)), np.diff(row))] = coded.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(lengths[token])])
+        ids = flat[np.repeat(first[token] - ends[:-1], lengths[token]) + np.arange(ends[-1])]
+        return ids, ends[row + np.arange(len(row))]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 16-bit ids of each text."""
-        split = [t.split() for t in texts]
-        cache = self.cache
-        todo = list({w for ws in split for w in ws if w not in cache})
-        if len(cache) + len(todo) > CACHE:
-            cache.clear()
-            todo = list({w for ws in split for w in ws})
-        fresh = self._fresh(todo)
-        cache.update((w, ids) for w, ids in fresh.items() if len(w) <= 64)
-        out = []
-        for ws in split:
-            try:
-                out.append(b"".join([cache[w] for w in ws]))
-            except KeyError:
-                out.append(b"".join([cache[w] if w in cache else fresh[w] for w in ws]))
-        return out
+        ids, bounds = self.column(pa.array(texts, pa.binary()).cast(pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
 
 
 def _byte_chars(alphabet: list[str]) -> list[tuple[int, str]]:
@@ -133,14 +139,13 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> D
 
     def run(batches):
         enc, part, before = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        tail = np.array([end_id], "<u2").tobytes()
-        for batch in slices(batches, 1 << 20):
-            ids = [x + tail for x in enc.encode(text_bytes(batch.column(1)))]
-            lengths = [len(x) // 2 for x in ids]
-            starts = [before, *(before + np.cumsum(lengths)).tolist()]
-            before = starts.pop()
+        for batch in slices(batches, 2 << 20):
+            ids, bounds = enc.column(batch.column(1), (end_id,))
+            starts = before + bounds[:-1]
+            before += int(bounds[-1])
+            raw = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer((2 * bounds).astype(np.int32)), pa.py_buffer(ids)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([part] * len(ids), pa.int64()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(ids, pa.binary())],
+                [batch.column(0), pa.array(np.full(batch.num_rows, part)), pa.array(starts), pa.array(np.diff(bounds)), raw],
                 names=["id", "part", "before", "n_ids", "ids"])
 
     kind = docs.schema["id"].dataType.simpleString()

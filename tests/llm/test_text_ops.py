@@ -109,6 +109,18 @@ def test_encoder_is_the_library():
     assert enc.encode([t.encode() for t in texts]) == want
 
 
+def test_column_encodes_distinct_words_once():
+    """A slice is one array of ids: null is empty, every text closes with the end id, and a word is encoded once however often it occurs."""
+    enc, seen = packing.Encoder(CLIP), []
+    texts = [None, "", " \n", *["the same words \u00e9 \u6f22 <|endoftext|> " * 50] * 20, "last"]
+    plain = enc.ids
+    enc.ids = lambda words: seen.extend(words.to_pylist()) or plain(words)
+    ids, bounds = enc.column(pa.array(["cut off", *texts]).slice(1), (2,))
+    want = [[*enc.tok.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == want and len(seen) == len(set(seen)) == 7
+    assert [x.tolist() for x in enc.column(pa.array([], pa.string()), (2,))] == [[], [0]]
+
+
 # ---- mixing --------------------------------------------------------------------------
 
 def brute_fill(budget, caps, weights):
