@@ -72,8 +72,13 @@ def frequent_words(counts: DataFrame) -> list[tuple[bytes, int]]:
 class Order:
     """Words -> places in the order of rarity, whole numbers that also stand for the words."""
 
-    def __init__(self, frequent: list[tuple[bytes, int]]):
-        self.ranked = pa.array([w for w, _ in sorted(frequent, key=lambda x: (x[1], x[0]))], pa.binary())
+    def __init__(self, ranked: list[bytes]):
+        self.ranked = pa.array(ranked, pa.binary())
+
+    @staticmethod
+    def ranked_words(frequent: list[tuple[bytes, int]]) -> list[bytes]:
+        """The frequent words, rarest first: sorted once, not in every task."""
+        return [w for w, _ in sorted(frequent, key=lambda x: (x[1], x[0]))]
 
     def of(self, words: pa.Array) -> np.ndarray:
         rank = pc.fill_null(pc.index_in(words, value_set=self.ranked), -1).to_numpy(zero_copy_only=False)
@@ -192,8 +197,9 @@ LISTED = "bucket int, kind int, rows binary"
 
 
 def _packed(table: np.ndarray, bucket: np.ndarray, kind: int) -> pa.RecordBatch:
+    bucket = bucket.astype(np.uint16 if bucket.max() < 1 << 16 else np.int32)  # 16 bits are sorted by counting
     by = np.argsort(bucket, kind="stable")
-    table, bucket = np.ascontiguousarray(table[by]), bucket[by]
+    table, bucket = table[by], bucket[by]
     start = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
     ends = (np.append(start, len(bucket)) * 8 * table.shape[1]).astype(np.int32)
     return pa.RecordBatch.from_arrays([pa.array(bucket[start].astype(np.int32)), pa.array(np.full(len(start), kind, dtype=np.int32)),
@@ -220,7 +226,7 @@ def listed(docs: DataFrame, frequent, sieve=None, kind: int = 1) -> DataFrame:
             held.clear()
             return _packed(table, (_mixed(table[:, 0]) >> np.uint64(20)) % np.uint64(buckets), kind)
 
-        for batch in slices(batches, 1 << 20):
+        for batch in slices(batches, 2 << 20):
             got = line_rows(batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2), order, mine)
             if got is None:
                 continue
@@ -408,7 +414,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     ship(spark)
     texts = _texts(docs, id_col, text_col)
-    frequent = spark.sparkContext.broadcast(frequent_words(word_counts(texts)))
+    frequent = spark.sparkContext.broadcast(Order.ranked_words(frequent_words(word_counts(texts))))
     pairs = materialize(candidates(listed(texts, frequent), FIRST).groupBy("later_doc", "later_line", "doc", "line")
                         .agg(F.max("same").alias("same"), F.max("cut").alias("cut"), F.min("far").alias("far")), "pairs")
     late = ["later_doc", "later_line"]
