@@ -83,13 +83,13 @@ def lloyd_step(points: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, t
         totals = {k: (np.zeros(len(centres[k]) * k), np.zeros((len(centres[k]) * k, p)), np.zeros(len(centres[k]))) for k in ks}
         for _, x in _blocks(batches, p):
             for k in ks:
-                n, s, cost = (t.reshape(len(centres[k]), *rest) for t, rest in zip(totals[k], ((k,), (k, p), ())))  # views
+                n, s, cost = totals[k]
                 label, best = nearest(x, centres[k])
                 cost += best.sum(0)
-                for j in range(k):
-                    mine = (label == j).astype(np.float64)
-                    n[:, j] += mine.sum(0)
-                    s[:, j] += mine.T @ x
+                at = (label + np.arange(len(centres[k])) * k).ravel()
+                n += np.bincount(at, minlength=len(n))
+                for j in range(p):
+                    s[:, j] += np.bincount(at, np.repeat(x[:, j], len(centres[k])), len(n))
         v = np.concatenate([part.ravel() for k in ks for part in totals[k]])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(v), dtype=np.int32)), pa.array(v)], names=["i", "v"])
 
