@@ -64,16 +64,6 @@ def distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum(d, 0.0).reshape(len(x), *centres.shape[:2])
 
 
-def nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The nearest centre of each run, the first of equally near ones, and its squared distance: both (rows, runs)."""
-    d = distances(x, np.swapaxes(centres, 0, 1))  # (rows, k, runs): a run is a column, so that each comparison takes all runs at once
-    label, best = np.zeros((len(x), len(centres)), dtype=np.int8 if centres.shape[1] < 128 else np.int64), d[:, 0].copy()
-    for j in range(1, centres.shape[1]):
-        label[d[:, j] < best] = j
-        np.minimum(best, d[:, j], out=best)
-    return label, best
-
-
 def lloyd_step(points: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """One step of all runs: for each k, from centres (runs, k, p): members (runs, k), sums (runs, k, p), costs (runs)."""
     ks = sorted(k for k in centres if len(centres[k]))
@@ -84,8 +74,9 @@ def lloyd_step(points: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, t
         for _, x in _blocks(batches, p):
             for k in ks:
                 n, s, cost = totals[k]
-                label, best = nearest(x, centres[k])
-                cost += best.sum(0)
+                d = distances(x, centres[k])
+                label = d.argmin(2)
+                cost += np.take_along_axis(d, label[:, :, None], 2)[:, :, 0].sum(0)
                 at = (label + np.arange(len(centres[k])) * k).ravel()
                 n += np.bincount(at, minlength=len(n))
                 for j in range(p):
@@ -124,7 +115,7 @@ def seeded(points: DataFrame, p: int, ks: list[int], restarts: int, seed: int) -
             best = {(k, r): (np.inf, None) for k in open_ks for r in range(restarts)}
             for h, x in _blocks(batches, p):
                 for k in open_ks:
-                    w = nearest(x, chosen[k])[1] if step else np.ones((len(x), restarts))
+                    w = distances(x, chosen[k]).min(2) if step else np.ones((len(x), restarts))
                     u = np.stack([_uniform(h, ((seed * 1009 + k) * 1009 + r) * 1009 + step) for r in range(restarts)], 1)
                     race = -np.log(u) / np.maximum(w, 1e-300)
                     first = race.argmin(0)
