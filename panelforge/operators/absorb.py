@@ -29,6 +29,10 @@ from panelforge.operators.linear import COEF_SCHEMA, scaled_pinv
 from panelforge.session import checkpoint_root
 
 
+#: numbers (cells x columns) up to which the cells' level effects are broadcast to the rows: some 8 MB
+BROADCAST_NUMBERS = 500_000
+
+
 @dataclass
 class Absorbed:
     """``rows``: keys and the demeaned columns under their own names; ``cells``: one row per cell and column
@@ -38,6 +42,7 @@ class Absorbed:
     columns: list[str]
     factors: list[str]
     rounds: int
+    shuffled: bool  # the cells were too many to broadcast: computing ``rows`` shuffles the source
 
     def level_effects(self, weights: dict[str, float]) -> DataFrame:
         """(factor, level, effect) of the combination sum_c weights[c] * column c; each factor's lowest level is 0."""
@@ -81,11 +86,12 @@ def absorb(df: DataFrame, columns: list[str], factors: list[str], *, keys: list[
             raise ArithmeticError(f"level effects still move by {moved:.1e} after {done} rounds")
     shift = cells.groupBy(*factors).pivot("_j", list(range(q))).agg(F.first(F.col("_m") - F.col("_r")))
     shift = shift.select(*factors, *[F.col(str(j)).alias(f"_f{j}") for j in range(q)])
-    rows = scaled.join(shift, factors).select(
+    shuffled = cells.count() > BROADCAST_NUMBERS
+    rows = scaled.join(shift if shuffled else F.broadcast(shift), factors).select(
         *kept, *[((F.col(x) - F.col(f"_f{j}")) * F.lit(scale[j][1])).alias(columns[j]) for j, x in enumerate(names)])
     unit = F.element_at(F.array(*[F.lit(float(s)) for _, s in scale]), F.col("_j") + 1)
     cells = cells.select(*factors, "_j", *[(F.col(f"_e{i}") * unit).alias(f"_e{i}") for i in range(len(factors))])
-    return Absorbed(rows, cells, list(columns), list(factors), done)
+    return Absorbed(rows, cells, list(columns), list(factors), done, shuffled)
 
 
 def _project(cells: DataFrame, i: int, factor: str) -> DataFrame:
@@ -106,7 +112,9 @@ def fe_ols_absorbed(df: DataFrame, features: list[str], label: str, *, entity: s
     columns = [*features, label]
     found = absorb(df.dropna(subset=[entity]), columns, list(factors), keys=[entity])
     p = len(features)
-    rows = found.rows.select(entity, *[F.col(c).alias(f"_d{j}") for j, c in enumerate(columns)]).checkpoint(eager=True)
+    rows = found.rows.select(entity, *[F.col(c).alias(f"_d{j}") for j, c in enumerate(columns)])
+    if found.shuffled:
+        rows = rows.checkpoint(eager=True)  # read three times; without a shuffle that is cheaper than a copy of the source
     d = [f"_d{j}" for j in range(p + 1)]
     m = moments(rows, d)[()]
     bread = scaled_pinv(m.Cxx)[0]

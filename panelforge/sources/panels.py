@@ -5,11 +5,13 @@
 
 Scale notes
 -----------
-* lineitem is aggregated to (supplier, month, brand) right after the part join,
-  with map-side partial aggregation, so a hot supplier or month collapses
-  before the shuffle.  The brand ranking and the cell aggregate then run on that
-  reduced table; both share one hash partitioning on (entity, period), so the
-  second step adds no exchange.
+* lineitem is narrowed to what the panel needs before the part join and dealt by
+  (entity, period) right after it; the aggregate to (supplier, month, brand), the
+  brand ranking and the cell aggregate share that one exchange.  Most (supplier,
+  month, brand) groups hold a line or two, so a map-side aggregate collapsed
+  next to nothing and the wider aggregates were shuffled twice.  A hot supplier
+  spreads over its months, a hot month over its suppliers, and a task aggregates
+  the lines of a cell as it reads them: its memory holds the cell's brands only.
 * The supplier -> nation -> region lookup is joined to the *aggregated* cells,
   not to lineitem.  nation / region are TPC-H fixed-size dimensions (25 / 5
   rows); the join strategy for supplier is left to AQE's runtime size check.
@@ -49,11 +51,12 @@ def panel_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
                     ["l_suppkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
                      "l_shipdate"])
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_size", "p_retailprice"])
+    li = li.select("l_partkey", F.col("l_suppkey").alias("entity"), yyyymm("l_shipdate").alias("period"),
+                   "l_quantity", "l_extendedprice", (F.col("l_discount") - F.col("l_tax")).alias("dt"))
     lines = (li.join(part, li.l_partkey == part.p_partkey)
-             .select(F.col("l_suppkey").alias("entity"), yyyymm("l_shipdate").alias("period"),
-                     F.col("p_brand").alias("brand"), "l_quantity", "l_extendedprice",
-                     (F.col("l_discount") - F.col("l_tax")).alias("dt"),
-                     "p_retailprice", "p_size"))
+             .select("entity", "period", F.col("p_brand").alias("brand"), "l_quantity", "l_extendedprice", "dt",
+                     "p_retailprice", "p_size")
+             .repartition("entity", "period"))
     by_brand = lines.groupBy("entity", "period", "brand").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("l_extendedprice").alias("bval"),

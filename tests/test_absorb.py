@@ -89,3 +89,18 @@ def test_plan_reads_each_step_once(spark):
     cells = spark.range(10).selectExpr("id % 3 as f", "cast(0 as int) _j", "1D _n", "1D _m", "1D _r", "0D _e0", "0D _moved").checkpoint()
     plan = ab._project(cells, 0, "f")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LogicalRDD") == 2
+
+
+def test_rows_take_the_effects_of_few_cells_without_a_shuffle(spark, monkeypatch):
+    """Few cells are broadcast to the rows, which are then neither shuffled nor copied; many are joined, with the same results."""
+    pdf, feats = frame(), ["x0", "x1", "x2"]
+    df = spark.createDataFrame(pdf)
+    plan = ab.absorb(df, [*feats, "y"], ["category", "period"], keys=["entity"]).rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    few = ab.fe_ols_absorbed(df, feats, "y")
+    monkeypatch.setattr(ab, "BROADCAST_NUMBERS", 0)
+    assert ab.absorb(df, [*feats, "y"], ["category", "period"]).shuffled
+    many = ab.fe_ols_absorbed(df, feats, "y")
+    assert np.allclose(few[0].toPandas().iloc[:, 1:], many[0].toPandas().iloc[:, 1:], rtol=1e-9)
+    by = [x.toPandas().set_index(["factor", "level"]).effect.sort_index() for x in (few[1], many[1])]
+    assert by[0].index.equals(by[1].index) and np.allclose(by[0], by[1], atol=1e-9)

@@ -124,3 +124,42 @@ def test_panel_build_starts_with_more_partitions_on_larger_sources(spark, tmp_pa
     before = spark.conf.get(interim.INITIAL, None)
     assert interim.materialized(spark, "t", [src], build).count() == 20_000
     assert int(seen[0]) >= 20 and spark.conf.get(interim.INITIAL, None) == before
+
+
+def test_dense_panel_deals_its_lines_once(spark, tmp_path):
+    """One exchange by (entity, period) serves the brand aggregate, the ranking and the cells; values by brute force."""
+    from panelforge.sources.panels import panel_dense
+    rng = np.random.default_rng(0)
+    n = 400
+    li = pd.DataFrame({"l_suppkey": rng.integers(1, 4, n), "l_partkey": rng.integers(1, 13, n), "l_quantity": rng.integers(1, 51, n).astype(float),
+                       "l_extendedprice": rng.integers(1, 500, n).astype(float), "l_discount": rng.integers(0, 11, n) / 100,
+                       "l_tax": rng.integers(0, 9, n) / 100, "l_shipdate": pd.to_datetime(rng.choice(["1995-01-05", "1995-01-31", "1995-02-01"], n)).date})
+    part = pd.DataFrame({"p_partkey": np.arange(1, 12), "p_brand": [f"b{i % 5}" for i in range(11)], "p_size": np.arange(11) * 5, "p_retailprice": 900.0 + np.arange(11)})
+    tables = {"lineitem": li, "part": part, "supplier": pd.DataFrame({"s_suppkey": [1, 2, 3], "s_nationkey": [0, 1, 0]}),
+              "nation": pd.DataFrame({"n_nationkey": [0, 1], "n_regionkey": [0, 1]}), "region": pd.DataFrame({"r_regionkey": [0, 1], "r_name": ["A", "B"]})}
+    for name, pdf in tables.items():
+        spark.createDataFrame(pdf).write.parquet(str(tmp_path / f"{name}.parquet"))
+    panel = panel_dense(spark, str(tmp_path))
+    plan = panel._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(entity" in line and "period" in line]
+    assert len(dealt) == 1 and "brand" not in dealt[0].split("hashpartitioning(")[1].split(")")[0]
+    got = {(r["entity"], r["period"]): r for r in panel.collect()}
+    both = li.merge(part, left_on="l_partkey", right_on="p_partkey")
+    both["period"] = [d.year * 100 + d.month for d in both.l_shipdate]
+    groups = both.groupby(["l_suppkey", "period"])
+    assert set(got) == set(groups.indices)
+    for key, g in groups:
+        r, brands = got[key], g.groupby("p_brand").l_extendedprice.sum().sort_values(ascending=False)
+        total = brands.sum()
+        want = {"n_lines": len(g), "n_brands": len(brands), "aum": total, "ret": ((g.l_discount - g.l_tax).mean() * 100), "hhi": (brands ** 2).sum() / total ** 2,
+                "top1_pct": brands.iloc[0] / total * 100, "top3_pct": brands.iloc[:3].sum() / total * 100, "small_pct": (g.p_size <= 15).mean() * 100,
+                "large_pct": (g.p_size > 35).mean() * 100, "avg_qty": g.l_quantity.mean(), "avg_retail": g.p_retailprice.mean(), "sd_qty": g.l_quantity.std()}
+        assert all(abs(r[c] - v) < 2e-6 for c, v in want.items()) and r["category"] == ("B" if key[0] == 2 else "A")
+
+
+def test_larger_builds_bound_the_bytes_a_task_reads(spark):
+    from panelforge.sources import interim
+    before = spark.conf.get(interim.ADVISORY, None)
+    with interim.shuffles_for(spark, 1 << 34):
+        assert spark.conf.get(interim.ADVISORY) == str(interim.TASK_BYTES) and spark.conf.get(interim.INITIAL) == "2048"
+    assert spark.conf.get(interim.ADVISORY, None) == before
