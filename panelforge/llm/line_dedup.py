@@ -82,7 +82,18 @@ class Order:
 
     def of(self, words: pa.Array) -> np.ndarray:
         rank = pc.fill_null(pc.index_in(words, value_set=self.ranked), -1).to_numpy(zero_copy_only=False)
-        return np.where(rank < 0, (hash_words(words) >> np.uint64(2)).astype(np.int64), _TOP + rank.astype(np.int64))
+        return np.where(rank < 0, self.hashed(words), _TOP + rank.astype(np.int64))
+
+    @staticmethod
+    def hashed(words: pa.Array) -> np.ndarray:
+        return (hash_words(words) >> np.uint64(2)).astype(np.int64)
+
+    def loose(self, sieve: np.ndarray) -> np.ndarray:
+        """The sieve with frequent words that pass it entered by their hashes too: what passes by its place passes this one by its hash."""
+        kept = self.ranked.filter(pa.array(passes(sieve, _TOP + np.arange(len(self.ranked), dtype=np.int64))))
+        at, out = sieve_place(self.hashed(kept), 64 * len(sieve)), sieve.copy()
+        np.bitwise_or.at(out, at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63)))
+        return out
 
 
 def prefix_length(n: np.ndarray) -> np.ndarray:
@@ -107,18 +118,28 @@ def width(n: np.ndarray) -> np.ndarray:
 
 
 
-def line_rows(doc: np.ndarray, tk: np.ndarray, text: pa.Array, order: Order, sieve: np.ndarray | None = None):
+def line_rows(doc: np.ndarray, tk: np.ndarray, text: pa.Array, order: Order, sieve: np.ndarray | None = None,
+              loose: np.ndarray | None = None):
     """Rows (NAMES) of a batch of documents, as one array, and its copies: (later doc, later line, doc, line) of lines with an equal
     earlier one in the batch, which get no rows.
 
-    line: tk << 32 | number; size: n << 32 | place of the word in the line's order. sieve: rows under words that pass it alone."""
+    line: tk << 32 | number; size: n << 32 | place of the word in the line's order. sieve: rows under words that pass it alone;
+    loose: order.loose(sieve), which spares most words the search for their place."""
     words, row, number, line = words_of(text)
     if not len(words):
         return None
     coded = words.dictionary_encode()
-    keys = order.of(coded.dictionary)
     codes = coded.indices.to_numpy()
     fresh = np.concatenate([[True], line[1:] != line[:-1]])
+    if loose is not None:
+        hit = np.logical_or.reduceat(passes(loose, order.hashed(coded.dictionary))[codes], np.flatnonzero(fresh))[np.cumsum(fresh) - 1]
+        if not hit.any():
+            return None
+        row, number, codes, fresh = row[hit], number[hit], codes[hit], fresh[hit]
+        used, codes = np.unique(codes, return_inverse=True)
+        keys = order.of(coded.dictionary.take(pa.array(used)))
+    else:
+        keys = order.of(coded.dictionary)
     if sieve is not None:  # lines without such a word are left out before they are sorted
         hit = np.logical_or.reduceat(passes(sieve, keys)[codes], np.flatnonzero(fresh))[np.cumsum(fresh) - 1]
         if not hit.any():
@@ -220,6 +241,7 @@ def listed(docs: DataFrame, frequent, sieve=None, kind: int = 1) -> DataFrame:
 
     def run(batches):
         order, mine, held = Order(frequent.value), None if sieve is None else sieve.value, []
+        loose = None if mine is None else order.loose(mine)
 
         def flush():
             table = np.concatenate(held)
@@ -227,7 +249,7 @@ def listed(docs: DataFrame, frequent, sieve=None, kind: int = 1) -> DataFrame:
             return _packed(table, (_mixed(table[:, 0]) >> np.uint64(20)) % np.uint64(buckets), kind)
 
         for batch in slices(batches, 2 << 20):
-            got = line_rows(batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2), order, mine)
+            got = line_rows(batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2), order, mine, loose)
             if got is None:
                 continue
             rows, copies = got
@@ -374,6 +396,12 @@ def candidates(rows: DataFrame, first: int | None) -> DataFrame:
     return ordered.mapInArrow(run, PAIRS)
 
 
+def _lines_at(text: str, nos: str):
+    """(no, one) of the numbered lines of a text, which is split once and not again for each of them."""
+    split = F.array(F.split(text, "\n", -1))  # bound as a lambda's variable
+    return F.transform(split, lambda lines: F.transform(nos, lambda no: F.struct(no.alias("no"), lines[no].alias("one"))))[0]
+
+
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """(later_doc, later_line, cut, ok) of lines with candidates, by the words themselves.
 
@@ -383,8 +411,8 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     wanted = ends.groupBy("doc", F.shiftright("line", 32).cast("int").alias("tk")).agg(F.collect_list(F.col("line").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")).alias("nos"))
     wanted = small(materialize(wanted, "wanted"))
     lines = materialize(
-        docs.join(wanted, ["doc", "tk"]).select("doc", "tk", F.explode("nos").alias("no"), F.split("text", "\n", -1).alias("all"))
-        .select("doc", (F.shiftleft(F.col("tk").cast("long"), 32) + F.col("no")).alias("line"), F.col("all")[F.col("no")].alias("one"))
+        docs.join(wanted, ["doc", "tk"]).select("doc", "tk", F.explode(_lines_at("text", "nos")).alias("at"))
+        .select("doc", (F.shiftleft(F.col("tk").cast("long"), 32) + F.col("at.no")).alias("line"), F.col("at.one").alias("one"))
         .select("doc", "line", F.array_distinct(F.array_remove(F.split("one", r"[\x20\x09-\x0D]+"), "")).alias("words")), "lines")
     later = lines.select(F.col("doc").alias("later_doc"), F.col("line").alias("later_line"), F.col("words").alias("later_words"))
     both = F.size(F.array_intersect("words", "later_words"))
@@ -446,10 +474,10 @@ def remove_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     gone = small(materialize(gone, "gone"))
     keyed = docs.withColumn("__doc", F.coalesce(docs[id_col].cast("long"), F.lit((1 << 63) - 1))).withColumn("__tk", _tk(docs[text_col]))
     joined = keyed.join(gone, (keyed["__doc"] == gone["__d"]) & (keyed["__tk"] == gone["__t"]), "left")
-    lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.array_join(F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains("__removed", s["i"])).getField("x"), "\n")
+    kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains("__removed", i)), "\n")
     text = F.when(F.col("__removed").isNull(), F.col(text_col)).otherwise(kept)
-    count = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long")
+    feeds = F.octet_length(text_col) - F.octet_length(F.replace(F.col(text_col), F.lit("\n"), F.lit("")))  # counted without a split
+    count = F.when(F.col(text_col).isNull(), 0).otherwise(feeds + 1).cast("long")
     out = joined.withColumn("__lines", count).withColumn("__removed", F.coalesce("__removed", F.array().cast("array<int>"))).withColumn(text_col, text)
     return out.select(*docs.columns, "__lines", "__removed").toDF(*columns, free_name("__lines", columns), free_name("__removed", columns))
 

@@ -218,3 +218,32 @@ def test_words_of_is_split():
 @pytest.mark.parametrize("run", [exact_dedup.exact_dedup, ngram_join.near_duplicates, ngram_join.keep_one, line_dedup.line_dedup])
 def test_empty_table(make_docs, run):
     assert run(make_docs([])).count() == 0
+
+
+def test_lines_of_a_text_are_picked_from_one_split(spark):
+    """A text is split before its lines are picked, not once for each of them; lines are counted and removed as a split would."""
+    texts = ["a\nb\n\nc", "", "\n", "x", "é\n\r\n z \n"]
+    df = spark.createDataFrame([(i, t, list(range(t.count("\n") + 1))) for i, t in enumerate(texts)], "i int, text string, nos array<int>")
+    got = df.select("i", line_dedup._lines_at("text", "nos").alias("at")).collect()
+    assert {r["i"]: [tuple(x) for x in r["at"]] for r in got} == {i: list(enumerate(t.split("\n"))) for i, t in enumerate(texts)}
+    out = {r["doc_id"]: r for r in line_dedup.line_dedup(df.selectExpr("cast(i as long) doc_id", "text")).collect()}
+    assert {i: r["n_lines"] for i, r in out.items()} == {i: t.count("\n") + 1 for i, t in enumerate(texts)}
+    plan = line_dedup.remove_lines(df.selectExpr("cast(i as long) doc_id", "text"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+
+
+def test_loose_sieve_passes_the_same_rows():
+    """Words are held against the sieve by their hashes first, those left by their places: the rows are those of the places alone."""
+    rng = np.random.default_rng(0)
+    words = [f"w{i}" for i in range(400)]
+    texts = pa.array(["\n".join(" ".join(rng.choice(words, 6)) for _ in range(5)) for _ in range(60)])
+    doc, tk = np.arange(60), np.zeros(60, dtype=np.int32)
+    order = line_dedup.Order([w.encode() for w in words[:100]])
+    for picked in (words[3:5] + words[300:303], words[300:301], words[7:8], ["absent"]):
+        sieve = np.zeros(4096, dtype=np.uint64)
+        at = line_dedup.sieve_place(order.of(pa.array([w.encode() for w in picked])), 64 * len(sieve))
+        np.bitwise_or.at(sieve, at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63)))
+        want = line_dedup.line_rows(doc, tk, texts, order, sieve)
+        got = line_dedup.line_rows(doc, tk, texts, order, sieve, order.loose(sieve))
+        assert (got is None) == (want is None)
+        assert got is None or all(np.array_equal(a, b) for a, b in zip(got, want))
