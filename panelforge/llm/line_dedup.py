@@ -29,14 +29,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import cut_words, free_name, hash_words, materialize, partitions_for, shield, ship, small, slices, words_of
+from panelforge.llm.common import free_name, materialize, partitions_for, places, shield, ship, small, slices, span_hashes, word_spans
 
 UP, DOWN = 4, 5  # threshold 4/5
-FREQUENT, FREQUENT_BYTES = 65_536, 48
+FREQUENT = 65_536
+COUNTED = 1 << 20  # counts kept in a task before they are added up
 FIRST = 3
 SIEVE = 1 << 22  # bits of the sieve of words in the second search
 SUB, FLUSH = 16, 150_000  # buckets a partition; rows kept before they are dealt to buckets
@@ -44,20 +44,41 @@ _TOP = 1 << 62
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, n) over all texts. Words that occur once in a slice of some megabytes are left out there: they are not
+    """(word, n) over all texts, words by their hashes. Words that occur once in a slice of some megabytes are left out there: they are not
     frequent, and rare words are ordered by hash anyway."""
     def run(batches):
+        held = []
+
+        def total():
+            word, n = (np.concatenate(c) for c in zip(*held))
+            by = np.argsort(word)
+            word, n = word[by], n[by]
+            start = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            return word[start], np.add.reduceat(n, start)
+
+        def rows():
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in total()], names=["word", "n"])
+
         for batch in slices(batches, 4 << 20):
-            counts = cut_words(batch.column(0))[0].value_counts()
-            seen = counts.filter(pc.greater(counts.field("counts"), 1))
-            yield pa.RecordBatch.from_arrays([seen.field("values"), seen.field("counts")], names=["word", "n"])
+            word = np.sort(hashes(*word_spans(batch.column(0))[:3]))
+            edges = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1], [True]])) if len(word) else np.zeros(1, dtype=np.int64)
+            n = np.diff(edges)
+            if (n > 1).any():
+                held.append((word[edges[:-1][n > 1]], n[n > 1]))
+            if sum(len(w) for w, _ in held) >= COUNTED:
+                held = [total()]
+                if len(held[0][0]) >= COUNTED // 2:
+                    yield rows()
+                    held = []
+        if held:
+            yield rows()
 
-    return texts.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def frequent_words(counts: DataFrame) -> list[tuple[bytes, int]]:
-    """At most FREQUENT short words with their counts: those above the lowest eighth of an octave that fits."""
-    fit = counts.where((F.col("n") > 1) & (F.octet_length("word") <= FREQUENT_BYTES)).withColumn("level", F.floor(F.log2("n") * 8).cast("int"))
+def frequent_words(counts: DataFrame) -> np.ndarray:
+    """At most FREQUENT words, rarest first: those above the lowest eighth of an octave of counts that fits."""
+    fit = counts.where(F.col("n") > 1).withColumn("level", F.floor(F.log2("n") * 8).cast("int"))
     fit = materialize(fit, "frequent")
     steps = sorted(((r["level"], r["words"]) for r in fit.groupBy("level").agg(F.count("*").alias("words")).collect()), reverse=True)
     least, total = None, 0
@@ -66,32 +87,43 @@ def frequent_words(counts: DataFrame) -> list[tuple[bytes, int]]:
         if total > FREQUENT:
             break
         least = at
-    return [] if least is None else [(bytes(r["word"]), r["n"]) for r in fit.where(F.col("level") >= least).collect()]
+    picked = [] if least is None else fit.where(F.col("level") >= least).collect()
+    return np.array([w for _, w in sorted((r["n"], r["word"]) for r in picked)], dtype=np.int64)
+
+
+def hashes(at: np.ndarray, n: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """62-bit hashes of the words at these places of data; they stand for the words."""
+    return (span_hashes(at, n, data) >> np.uint64(2)).astype(np.int64)
 
 
 class Order:
-    """Words -> places in the order of rarity, whole numbers that also stand for the words."""
+    """Words -> places in the order of rarity, whole numbers that also stand for the words.
 
-    def __init__(self, ranked: list[bytes]):
-        self.ranked = pa.array(ranked, pa.binary())
+    ranked: the frequent words or their hashes, rarest first."""
 
-    @staticmethod
-    def ranked_words(frequent: list[tuple[bytes, int]]) -> list[bytes]:
-        """The frequent words, rarest first: sorted once, not in every task."""
-        return [w for w, _ in sorted(frequent, key=lambda x: (x[1], x[0]))]
+    def __init__(self, ranked: list[bytes] | np.ndarray):
+        self.ranked = ranked if isinstance(ranked, np.ndarray) else self.hashed(pa.array(ranked, pa.binary()))
+        self.by = np.argsort(self.ranked)
+        self.sorted = self.ranked[self.by]
 
     def of(self, words: pa.Array) -> np.ndarray:
-        rank = pc.fill_null(pc.index_in(words, value_set=self.ranked), -1).to_numpy(zero_copy_only=False)
-        return np.where(rank < 0, self.hashed(words), _TOP + rank.astype(np.int64))
+        return self.placed(self.hashed(words))
+
+    def placed(self, hashed: np.ndarray) -> np.ndarray:
+        if not len(self.sorted):
+            return hashed.copy()
+        at = np.minimum(np.searchsorted(self.sorted, hashed), len(self.sorted) - 1)
+        return np.where(self.sorted[at] == hashed, _TOP + self.by[at], hashed)
 
     @staticmethod
     def hashed(words: pa.Array) -> np.ndarray:
-        return (hash_words(words) >> np.uint64(2)).astype(np.int64)
+        offsets = np.array([0, *np.cumsum([len(w) for w in words.to_pylist()])], dtype=np.int64)
+        return hashes(offsets[:-1], np.diff(offsets), np.frombuffer(b"".join(words.to_pylist()), dtype=np.uint8))
 
     def loose(self, sieve: np.ndarray) -> np.ndarray:
         """The sieve with frequent words that pass it entered by their hashes too: what passes by its place passes this one by its hash."""
-        kept = self.ranked.filter(pa.array(passes(sieve, _TOP + np.arange(len(self.ranked), dtype=np.int64))))
-        at, out = sieve_place(self.hashed(kept), 64 * len(sieve)), sieve.copy()
+        kept = self.ranked[passes(sieve, _TOP + np.arange(len(self.ranked), dtype=np.int64))]
+        at, out = sieve_place(kept, 64 * len(sieve)), sieve.copy()
         np.bitwise_or.at(out, at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63)))
         return out
 
@@ -125,21 +157,22 @@ def line_rows(doc: np.ndarray, tk: np.ndarray, text: pa.Array, order: Order, sie
 
     line: tk << 32 | number; size: n << 32 | place of the word in the line's order. sieve: rows under words that pass it alone;
     loose: order.loose(sieve), which spares most words the search for their place."""
-    words, row, number, line = words_of(text)
-    if not len(words):
+    at, length, data, offsets = word_spans(text)
+    if not len(at):
+        return None
+    hashed = hashes(at, length, data)
+    hit = None if loose is None else passes(loose, hashed)
+    if hit is not None and not hit.any():
         return None
-    coded = words.dictionary_encode()
-    codes = coded.indices.to_numpy()
+    row, number, line = places(at, data, offsets)
     fresh = np.concatenate([[True], line[1:] != line[:-1]])
-    if loose is not None:
-        hit = np.logical_or.reduceat(passes(loose, order.hashed(coded.dictionary))[codes], np.flatnonzero(fresh))[np.cumsum(fresh) - 1]
-        if not hit.any():
-            return None
-        row, number, codes, fresh = row[hit], number[hit], codes[hit], fresh[hit]
-        used, codes = np.unique(codes, return_inverse=True)
-        keys = order.of(coded.dictionary.take(pa.array(used)))
-    else:
-        keys = order.of(coded.dictionary)
+    if hit is not None:
+        hit = np.logical_or.reduceat(hit, np.flatnonzero(fresh))[np.cumsum(fresh) - 1]
+        row, number, hashed, fresh = row[hit], number[hit], hashed[hit], fresh[hit]
+    by = np.argsort(hashed)  # the distinct words, and each word's place among them
+    first, codes = np.concatenate([[True], np.diff(hashed[by]) != 0]), np.empty(len(by), dtype=np.int64)
+    codes[by] = np.cumsum(first) - 1
+    keys = order.placed(hashed[by[first]])
     if sieve is not None:  # lines without such a word are left out before they are sorted
         hit = np.logical_or.reduceat(passes(sieve, keys)[codes], np.flatnonzero(fresh))[np.cumsum(fresh) - 1]
         if not hit.any():
@@ -442,7 +475,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     ship(spark)
     texts = _texts(docs, id_col, text_col)
-    frequent = spark.sparkContext.broadcast(Order.ranked_words(frequent_words(word_counts(texts))))
+    frequent = spark.sparkContext.broadcast(frequent_words(word_counts(texts)))
     pairs = materialize(candidates(listed(texts, frequent), FIRST).groupBy("later_doc", "later_line", "doc", "line")
                         .agg(F.max("same").alias("same"), F.max("cut").alias("cut"), F.min("far").alias("far")), "pairs")
     late = ["later_doc", "later_line"]

@@ -247,3 +247,39 @@ def test_loose_sieve_passes_the_same_rows():
         got = line_dedup.line_rows(doc, tk, texts, order, sieve, order.loose(sieve))
         assert (got is None) == (want is None)
         assert got is None or all(np.array_equal(a, b) for a, b in zip(got, want))
+
+
+def test_words_are_hashed_where_they_stand(monkeypatch):
+    """Word spans are the words of cut_words; equal words have equal hashes, others don't; lines are listed without copies of their words."""
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("ab \n\té\r\x00漢", weights=[6, 6, 2, 1, 1, 2, 1, 1, 2], k=rng.choice([0, 1, 30, 900]))) for _ in range(200)] + ["x" * 5000, "x" * 5001, "x" * 8 + "y", "x" * 8]
+    seen = {}
+    for column in (pa.array(texts), pa.array(texts).slice(7, 90), pa.array([" ", ""]), pa.array([], pa.string())):
+        words, first, _, _ = common.cut_words(column)
+        at, n, data, _ = common.word_spans(column)
+        assert at.tolist() == first.tolist() and [bytes(data[a:a + k]) for a, k in zip(at, n)] == words.to_pylist()
+        hashed = line_dedup.hashes(at, n, data).tolist()
+        assert all(seen.setdefault(w, h) == h for w, h in zip(words.to_pylist(), hashed))
+        assert line_dedup.Order([]).of(words).tolist() == hashed
+    assert len(set(seen.values())) == len(seen)
+    order = line_dedup.Order([b"b", b"a"])
+    assert order.of(pa.array([b"a", b"c", b"b"]))[[2, 0]].tolist() == [1 << 62, (1 << 62) + 1]
+
+    def copied(*_):
+        raise AssertionError("words were copied")
+
+    monkeypatch.setattr(common, "cut_words", copied)
+    rows, copies = line_dedup.line_rows(np.arange(2), np.zeros(2, dtype=np.int32), pa.array(["a b c d e\nx", "e d c b a\ny z"]), order)
+    assert copies.tolist() == [[1, 0, 0, 0]] and len(rows) == 4 and len(set(rows[:, 0].tolist())) == 4
+
+
+def test_counted_words_are_ranked(make_docs, monkeypatch):
+    """Words that repeat in a slice are counted by their hashes, also if a task hands its counts on early; the frequent ones are ranked rarest first."""
+    monkeypatch.setattr(line_dedup, "COUNTED", 4)
+    docs = make_docs([(i, "a b b c c c d" + " e" * i) for i in range(6)]).coalesce(1)
+    words = [w.encode() for w in "abcde"]
+    place = dict(zip(line_dedup.Order.hashed(pa.array(words)).tolist(), "abcde"))
+    counts = line_dedup.word_counts(docs)
+    assert {place[r["word"]]: r["n"] for r in counts.collect()} == {"a": 6, "b": 12, "c": 18, "d": 6, "e": 15}
+    ranked = [place[x] for x in line_dedup.frequent_words(counts).tolist()]
+    assert set(ranked[:2]) == {"a", "d"} and ranked[2:] == ["b", "e", "c"]
