@@ -40,6 +40,7 @@ COUNTED = 1 << 20  # counts kept in a task before they are added up
 FIRST = 3
 SIEVE = 1 << 22  # bits of the sieve of words in the second search
 SUB, FLUSH = 16, 150_000  # buckets a partition; rows kept before they are dealt to buckets
+TOGETHER = 1 << 16  # pairs of lines compared at once
 _TOP = 1 << 62
 
 
@@ -169,21 +170,25 @@ def line_rows(doc: np.ndarray, tk: np.ndarray, text: pa.Array, order: Order, sie
     if hit is not None:
         hit = np.logical_or.reduceat(hit, np.flatnonzero(fresh))[np.cumsum(fresh) - 1]
         row, number, hashed, fresh = row[hit], number[hit], hashed[hit], fresh[hit]
-    by = np.argsort(hashed)  # the distinct words, and each word's place among them
-    first, codes = np.concatenate([[True], np.diff(hashed[by]) != 0]), np.empty(len(by), dtype=np.int64)
-    codes[by] = np.cumsum(first) - 1
-    keys = order.placed(hashed[by[first]])
+    doc, tl = doc[row[fresh]], tk[row[fresh]].astype(np.int64) << 32 | number[fresh]
+    by = np.argsort(hashed)
+    hashed, owner = hashed[by], (np.cumsum(fresh) - 1)[by]  # words by their hashes, and their lines
+    first = np.concatenate([[True], hashed[1:] != hashed[:-1]])
+    word = np.cumsum(first) - 1
+    keys = order.placed(hashed[first])  # of the distinct words
     if sieve is not None:  # lines without such a word are left out before they are sorted
-        hit = np.logical_or.reduceat(passes(sieve, keys)[codes], np.flatnonzero(fresh))[np.cumsum(fresh) - 1]
+        hit = np.zeros(len(doc), dtype=bool)
+        hit[owner[passes(sieve, keys)[word]]] = True
         if not hit.any():
             return None
-        row, number, codes, fresh = row[hit], number[hit], codes[hit], fresh[hit]
-    by = np.argsort(keys, kind="stable")
+        mine = hit[owner]
+        word, owner, doc, tl = word[mine], (np.cumsum(hit) - 1)[owner[mine]], doc[hit], tl[hit]
+    frequent = np.flatnonzero(keys >= _TOP)
+    by = np.concatenate([np.flatnonzero(keys < _TOP), frequent[np.argsort(keys[frequent])]])  # hashes ascend already
     rank = np.empty(len(by), dtype=np.int64)
     rank[by] = np.arange(len(by))
-    both = np.sort((np.cumsum(fresh) - 1) << 32 | rank[codes])
+    both = np.sort(owner << 32 | rank[word])
     both = both[np.concatenate([[True], both[1:] != both[:-1]])]  # each line's words once, rarest first
-    doc, tl = doc[row[fresh]], tk[row[fresh]].astype(np.int64) << 32 | number[fresh]
     owner, flat = both >> 32, keys[by][both & 0xFFFFFFFF]
     n = np.bincount(owner)
     starts = np.concatenate([[0], np.cumsum(n)[:-1]])
@@ -320,30 +325,38 @@ def candidate_pairs(word, doc, line, size, prints, *bits, first: int | None = No
     lead = np.flatnonzero(new)
     w, m, at, b = word[lead], n[lead], place[lead], [x[lead].view(np.uint64) for x in bits]
     late, early, far, sure = [], [], [], []
-    wide = width(m)
-    i, k = np.arange(len(lead)), 0
-    while len(i):
-        k += 1
-        i = i[i + k < len(lead)]
-        j = i + k
-        ok = (w[i] == w[j]) & (DOWN * m[i] >= UP * m[j])  # the sizes ascend: once too far apart, always
+    wide, left = width(m), m - at
+    group = np.cumsum(np.concatenate([[True], w[1:] != w[:-1]])) if len(w) else w
+    # the sizes ascend under a word: partners stand behind a line, up to the first that is too large
+    count = np.searchsorted(group << 32 | m, group << 32 | DOWN * m // UP, side="right") - np.arange(len(lead)) - 1
+    edges = np.flatnonzero(np.diff((np.cumsum(count) - count) // TOGETHER, prepend=-1, append=-1)) if len(lead) else []
+    for first_line, behind in zip(edges[:-1], edges[1:]):
+        c = count[first_line:behind]
+        i = np.repeat(np.arange(first_line, behind), c)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(c) - c, c)
+        ok = (UP + DOWN) * np.minimum(left[i], left[j]) >= UP * (m[i] + m[j])
         i, j = i[ok], j[ok]
-        need = -(-UP * (m[i] + m[j]) // (UP + DOWN))  # least intersection
+        if not len(i):
+            continue
+        total = m[i] + m[j]
+        most = total - 2 * -(-UP * total // (UP + DOWN))  # of words that only one has; the rest is the least intersection
         apart = sum(np.bitwise_count(x[i] ^ x[j]).astype(np.int64) for x in b)
+        narrow, differ = np.minimum(wide[i], wide[j]), wide[i] != wide[j]
         for level in (1, 0):  # bitmaps of two widths: fold the wide one
-            mixed = (np.minimum(wide[i], wide[j]) == level) & (wide[i] != wide[j])
-            if mixed.any():
+            mixed = np.flatnonzero((narrow == level) & differ)
+            if len(mixed):
                 x, y = i[mixed], j[mixed]
                 even, odd = b[0][x] ^ b[2][x] ^ b[0][y] ^ b[2][y], b[1][x] ^ b[3][x] ^ b[1][y] ^ b[3][y]
                 apart[mixed] = np.bitwise_count(even ^ odd) if level == 0 else np.bitwise_count(even).astype(np.int64) + np.bitwise_count(odd)
-        ok = (np.minimum(m[i] - at[i], m[j] - at[j]) >= need) & (apart <= m[i] + m[j] - 2 * need)
-        u, v = lead[i[ok]], lead[j[ok]]
+        ok = apart <= most
+        i, j, apart, most = i[ok], j[ok], apart[ok], most[ok]
+        u, v = lead[i], lead[j]
         swap = (doc[u] > doc[v]) | ((doc[u] == doc[v]) & (line[u] > line[v]))
         late.append(np.where(swap, u, v))
         early.append(np.where(swap, v, u))
-        far.append(apart[ok])
+        far.append(apart)
         # the bitmap of a short line hardly folds words onto each other; that of a long one must be well below the bound
-        sure.append(((m[j] <= 24) | (5 * apart <= 3 * (m[i] + m[j] - 2 * need)))[ok])
+        sure.append((m[j] <= 24) | (5 * apart <= 3 * most))
         if wanted is not None:
             mine = wanted[late[-1]]
             late[-1], early[-1], far[-1], sure[-1] = late[-1][mine], early[-1][mine], far[-1][mine], sure[-1][mine]

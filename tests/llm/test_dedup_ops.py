@@ -283,3 +283,18 @@ def test_counted_words_are_ranked(make_docs, monkeypatch):
     assert {place[r["word"]]: r["n"] for r in counts.collect()} == {"a": 6, "b": 12, "c": 18, "d": 6, "e": 15}
     ranked = [place[x] for x in line_dedup.frequent_words(counts).tolist()]
     assert set(ranked[:2]) == {"a", "d"} and ranked[2:] == ["b", "e", "c"]
+
+
+@pytest.mark.parametrize("together", [1, 1 << 16])
+def test_pairs_of_a_long_list(monkeypatch, together):
+    """All pairs of lines under a word that sizes, places and bitmaps let pass, however many are compared at once."""
+    monkeypatch.setattr(line_dedup, "TOGETHER", together)
+    rng = random.Random(12)
+    sets = [sorted(rng.sample(range(30), rng.randint(3, 28))) for _ in range(150)]
+    texts = pa.array([" ".join(f"w{x}" for x in s) for s in sets])
+    rows, _ = line_dedup.line_rows(np.arange(150), np.zeros(150, dtype=np.int32), texts, line_dedup.Order([b"w%d" % x for x in range(30)]))
+    by = np.argsort(rows[:, 0], kind="stable")
+    got = {(int(a), int(b)) for a, b in zip(*(c for k, c in enumerate(line_dedup.candidate_pairs(*rows[by].T)[:4]) if k in (0, 2)))}
+    near = {(a, b) for a in range(150) for b in range(a) if 9 * len({*sets[a]} & {*sets[b]}) >= 4 * (len(sets[a]) + len(sets[b])) and sets[a] != sets[b]}
+    assert near and near <= got
+    assert all(5 * min(len(sets[a]), len(sets[b])) >= 4 * max(len(sets[a]), len(sets[b])) for a, b in got)
