@@ -4,7 +4,7 @@ A line (text between line feeds) is the set of its words ``[^\\x20\\x09-\\x0D]+`
 if any earlier line has Jaccard similarity of at least the threshold (0.8) with it. Lines are ordered by
 doc_id, then by their number in the document.
 
-1. All words are counted. Words of a line are ordered by rarity: the most frequent words of the corpus (a fixed
+1. All words are counted, by 62-bit hashes that stand for them up to step 4. Words of a line are ordered by rarity: the most frequent words of the corpus (a fixed
    number) by their counts, all others before them. Any total order gives exact results;
    this one keeps lists of lines short.
 2. Prefix filter: a line of n words is listed under its n - ceil(t n) + 1 rarest words only.
